@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, gam, lengths, mix, orc_tokens, rules
+from . import bpe, chat, gam, jaccard, lengths, mix, orc_tokens, pivots, rules
 from .common import shared_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pivot_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op4_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.digest(spark, out)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_cascade(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "quality.n_words", "quality.word_chars", "quality.n_symbols", "quality.n_dup_lines", "quality.n_repeat_words", "quality.base_failed", "quality.kept")
@@ -66,6 +74,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op4_orc_tokens, op6_quality_rules, op7_bpe, op8_quality_classifier, op9_token_counts, op10_chat_format)
+    f.__name__: f for f in (op1_pivot_near_dedup, op2_mix_sources, op4_orc_tokens, op5_jaccard_join, op6_quality_rules, op7_bpe, op8_quality_classifier, op9_token_counts, op10_chat_format)
 }
 ORACLES: dict[str, str] = {"op2_mix_sources": mix.ORACLE}
