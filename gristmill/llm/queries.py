@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, gam, jaccard, lengths, mix, orc_tokens, pivots, rules
+from . import bpe, chat, gam, jaccard, lengths, mix, orc_tokens, pivots, rules, suffix
 from .common import shared_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,12 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix.remove_repeats(table(spark, sf_dir, "documents"), width=50)
+    removed = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"]), F.lit(0).cast("long"))
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_dir(spark, "op4")
     orc_tokens.write_token_files(table(spark, sf_dir, "documents"), out, WORD_BPE, end_id=1)
@@ -74,6 +80,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pivot_near_dedup, op2_mix_sources, op4_orc_tokens, op5_jaccard_join, op6_quality_rules, op7_bpe, op8_quality_classifier, op9_token_counts, op10_chat_format)
+    f.__name__: f for f in (op1_pivot_near_dedup, op2_mix_sources, op3_suffix_dedup, op4_orc_tokens, op5_jaccard_join, op6_quality_rules, op7_bpe, op8_quality_classifier, op9_token_counts, op10_chat_format)
 }
 ORACLES: dict[str, str] = {"op2_mix_sources": mix.ORACLE}
