@@ -16,7 +16,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .units import UnitTable, encode_texts
@@ -221,3 +221,20 @@ def unpack_ids(ids: Column | str) -> Column:
         return pa.array([None if x is None else np.frombuffer(x, "<u4").astype(np.int64) for x in column.to_pylist()], pa.list_(pa.int64()))
 
     return unpack(F.col(ids) if isinstance(ids, str) else ids)
+
+
+def encode_documents(documents: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every document: ids as array<int>, in the order of the text.
+
+    A null or empty text has no ids; other columns are dropped.
+    """
+
+    @F.arrow_udf("array<int>")
+    def encode(column: pa.Array) -> pa.Array:
+        parts = list(encoded(column, path))
+        counts = np.concatenate([n for _, n in parts]) if parts else np.zeros(0, np.int64)
+        ids = np.concatenate([i for i, _ in parts]).astype(np.int32) if parts else np.zeros(0, np.int32)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(ids, pa.int32()))
+
+    rows = documents.select("doc_id", encode("text").alias("ids"))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")

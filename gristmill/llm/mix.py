@@ -65,6 +65,33 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     return out.withColumn("w", F.col("w") / F.sum("w").over(Window.partitionBy()))
 
 
+def _levels(documents: DataFrame) -> dict[str, Column]:
+    """Each document's level of every margin; null source or lang is the level ''."""
+    return {
+        "source": F.coalesce(documents["source"].cast("string"), F.lit("")),
+        "lang": F.coalesce(documents["lang"].cast("string"), F.lit("")),
+        "topic": topic_of(documents["text"]),
+    }
+
+
+def _described(documents: DataFrame) -> DataFrame:
+    """Levels and tokens of every document; texts are read once, what follows needs these columns only."""
+    levels = _levels(documents)
+    return stored(documents.select("doc_id", *(levels[m].alias(m) for m in MARGINS), word_count(documents["text"]).alias("n_tokens")), "mix-rows")
+
+
+def _cell_chances(rows: DataFrame, targets: dict[str, DataFrame] | None, budget: float | None, rounds: int) -> DataFrame:
+    """(source, lang, topic, probability) of every cell that has tokens."""
+    cells = rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("n")).where(F.col("n") > 0)
+    wanted = {m: (targets or {}).get(m) or tempered_targets(cells, m, TEMPER[m]) for m in MARGINS}
+    raked = rake(cells, wanted, rounds).withColumn("factor", F.col("w") / F.col("n"))
+    if budget is None:
+        scaled = F.col("factor") / F.max("factor").over(Window.partitionBy())
+    else:
+        scaled = F.least(F.lit(1.0), F.lit(float(budget)) * F.col("factor"))
+    return stored(raked.select(*MARGINS, scaled.alias("probability")), "mix-cells")
+
+
 def mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | None = None, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, source, lang, topic, n_tokens, probability, kept) for every document.
 
@@ -74,27 +101,27 @@ def mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budge
     Null source or lang is the level ''; null text has no tokens; documents of a cell without
     tokens have probability 0. Rows with one doc_id are drawn alike. Other columns are ignored.
     """
-    described = documents.select(
-        "doc_id",
-        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
-        topic_of(F.col("text")).alias("topic"),
-        word_count(F.col("text")).alias("n_tokens"),
-    )
-    rows = stored(described, "mix-rows")  # texts are read once; what follows needs these columns only
-    cells = rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("n")).where(F.col("n") > 0)
-    wanted = {m: (targets or {}).get(m) or tempered_targets(cells, m, TEMPER[m]) for m in MARGINS}
-    raked = rake(cells, wanted, rounds).withColumn("factor", F.col("w") / F.col("n"))
-    if budget is None:
-        scaled = F.col("factor") / F.max("factor").over(Window.partitionBy())
-    else:
-        scaled = F.least(F.lit(1.0), F.lit(float(budget)) * F.col("factor"))
-    chances = stored(raked.select(*MARGINS, scaled.alias("probability")), "mix-cells")
-    joined = rows.join(chances, list(MARGINS), "left")
+    rows = _described(documents)
+    joined = rows.join(_cell_chances(rows, targets, budget, rounds), list(MARGINS), "left")
     p = F.coalesce("probability", F.lit(0.0))
     return joined.select("doc_id", *MARGINS, "n_tokens", F.round(p, 6).alias("probability"), (draw(F.col("doc_id")) < p).alias("kept"))
 
 
+def sample_mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """The documents that `mix` keeps, with their own columns only.
+
+    The probability of a document depends on its cell alone, so the cells' probabilities are joined
+    (their number is bounded by the levels of the margins) and no row is matched by id.
+    """
+    cells = _cell_chances(_described(documents), targets, budget, rounds)
+    named = {m: f"_{m}_of_cell" for m in MARGINS}
+    small = cells.select(*(F.col(m).alias(named[m]) for m in MARGINS), F.col("probability").alias("_probability"))
+    levels = _levels(documents)
+    on = [levels[m] == small[named[m]] for m in MARGINS]
+    joined = documents.join(small, on, "inner").where(draw(documents["doc_id"]) < small["_probability"])
+    return joined.select(*(documents[f"`{c}`"] for c in documents.columns))
+
+
 ORACLE = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,

@@ -551,8 +551,12 @@ def remove_repeats(documents: DataFrame, width: int = 50) -> DataFrame:
 
 
 def cut_repeats(documents: DataFrame, width: int = 50) -> DataFrame:
-    """The documents, own columns only, with repeated passages cut from their texts at whole characters."""
+    """The documents, own columns only, with repeated passages cut from their texts at whole characters.
+
+    A column n_chars, where there is one, follows the texts that are cut.
+    """
     spans = _checked(stored(repeated_spans(documents, width), "spans"))
     text = F.coalesce(F.decode(_without(documents["text"], spans["spans"], True), "UTF-8"), documents["text"])
     joined = documents.join(spans, documents["doc_id"] == spans["doc_id"], "left")
-    return joined.select(*(text.alias(c) if c == "text" else documents[f"`{c}`"] for c in documents.columns))
+    new = {"text": text, "n_chars": F.when(spans["spans"].isNull(), documents["n_chars"]).otherwise(F.length(text).cast("long"))} if "n_chars" in documents.columns else {"text": text}
+    return joined.select(*(new[c].alias(c) if c in new else documents[f"`{c}`"] for c in documents.columns))
