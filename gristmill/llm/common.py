@@ -136,4 +136,16 @@ def stored(df, name: str):
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_stored_path"] = path
+    return out
+
+
+def discard(*frames) -> None:
+    """Delete the folders of stored intermediates that nothing reads any more; other frames are left alone."""
+    for df in frames:
+        path = None if df is None else df.__dict__.get("_stored_path")
+        if path:
+            jvm = df.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _star(edges: DataFrame, small: bool) -> DataFrame:
@@ -33,7 +33,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     now = stored(edges.where("a <> b").select("a", "b").distinct(), "edges")
     mark = None
     for _ in range(most_rounds):
-        now = stored(_star(_star(now, small=False), small=True), "edges")
+        before, now = now, stored(_star(_star(now, small=False), small=True), "edges")
+        discard(before)
         seen = now.agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(2**40))).alias("h")).first()
         if (seen.n, seen.h) == mark:
             break

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SpanHash, chunks, mix, ngram_hash, stored, word_spans
+from .common import LOWER, SpanHash, chunks, discard, mix, ngram_hash, stored, word_spans
 from .graph import components
 
 #: Each band's largest size is this many times its smallest.
@@ -37,7 +37,7 @@ BAND_RATIO = 2.0
 BROADCAST_ROWS = 500_000
 #: Members of one centre that a single verification task reads; larger groups are salted.
 CENTRE_ROWS = 2000
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 
 
 def word_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -230,18 +230,134 @@ def _checked(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
 
+def parity_marks(elements: np.ndarray) -> np.ndarray:
+    """Bits that each element flips at its own place: sets differ in at least as many elements as marks in bits.
+
+    As many bits as about four fifths of the elements, a power of two; a wider mark folds to a
+    narrower one by xor of its halves.
+    """
+    words = 1
+    while words * 64 < 0.8 * len(elements):
+        words *= 2
+    at = (mix(elements) >> np.uint64(20)) % np.uint64(64 * words)
+    odd = np.bincount(at.astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+class Marks:
+    """Marks of several nodes, compared in pairs at the narrower width."""
+
+    def __init__(self, raw: list[bytes]):
+        self.width = np.array([len(r) // 8 for r in raw])
+        self.folded = {}
+        for w in np.unique(self.width).tolist():
+            table = np.zeros((len(raw), w), np.uint64)
+            for i in np.flatnonzero(self.width >= w):
+                table[i] = np.bitwise_xor.reduce(np.frombuffer(raw[i], np.uint64).reshape(-1, w), axis=0)
+            self.folded[w] = table
+
+    def least_difference(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.empty(len(i), np.int64)
+        narrow = np.minimum(self.width[i], self.width[j])
+        for w in np.unique(narrow).tolist():
+            at = np.flatnonzero(narrow == w)
+            table = self.folded[w]
+            for part in np.array_split(at, max(1, len(at) * w // 2_000_000)):
+                out[part] = np.bitwise_count(table[i[part]] ^ table[j[part]]).sum(1)
+        return out
+
+
+#: Members of a key that the others are held against in a star round (those with the least node ids).
+PIVOTS = 6
+
+
+def _pair_up(percent: int, star: bool):
+    """Of one bucket of keys: pairs of nodes of different components that may reach the threshold.
+
+    Sizes and marks rule out pairs exactly, in place. In a star round members of a key are held against
+    a few pivots and only the most central partner of each node is given; otherwise every pair left is.
+    Members of a key's largest component are held against the others only.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        k = table.column("k").to_numpy()
+        node, n, component = (table.column(c).to_numpy() for c in ("node", "n", "component"))
+        distinct, first, back = np.unique(node, return_index=True, return_inverse=True)
+        raw = table.column("mark").combine_chunks().take(pa.array(first)).to_pylist()
+        marks = Marks(raw)
+        order = np.lexsort((node, k))
+        back, n, component = back[order], n[order].astype(np.int64), component[order]
+        starts = np.flatnonzero(np.append(True, k[order][1:] != k[order][:-1]))
+        sizes = np.diff(np.append(starts, len(order)))
+        lefts, rights = [], []
+        kept_i, kept_j = [], []
+
+        def sift() -> None:
+            i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lefts, rights))
+            lefts.clear()
+            rights.clear()
+            total = n[i] + n[j]
+            shared = -(-percent * total // (100 + percent))
+            fits = (component[i] != component[j]) & (shared <= np.minimum(n[i], n[j]))
+            i, j, most = i[fits], j[fits], (total - 2 * shared)[fits]
+            near = marks.least_difference(back[i], back[j]) <= most
+            a, b = back[i[near]], back[j[near]]
+            both = np.unique(np.minimum(a, b) * len(distinct) + np.maximum(a, b))
+            kept_i.append(both // len(distinct))
+            kept_j.append(both % len(distinct))
+
+        held = 0
+        for at, size in zip(starts.tolist(), sizes.tolist(), strict=True):
+            rows = np.arange(at, at + size)
+            if star:
+                heads, others = rows[:PIVOTS], rows
+            else:
+                values, counts = np.unique(component[rows], return_counts=True)
+                if len(values) == 1:
+                    continue
+                largest = values[np.argmax(counts)]
+                heads = rows[component[rows] != largest]
+                others = np.concatenate([heads, rows[component[rows] == largest]])
+            for part in np.array_split(np.arange(len(heads)), max(1, len(heads) * len(others) // 2_000_000)):
+                # Heads come first in `others`, so each unordered pair is met once.
+                i = np.repeat(part, len(others) - part - 1)
+                offset = np.repeat(np.cumsum(len(others) - part - 1) - (len(others) - part - 1), len(others) - part - 1)
+                j = np.arange(len(i)) - offset + i + 1
+                lefts.append(heads[i])
+                rights.append(others[j])
+                held += len(i)
+                if held > 2_000_000:
+                    sift()
+                    held = 0
+        sift()
+        i, j = np.concatenate(kept_i), np.concatenate(kept_j)
+        pair = np.unique(i * len(distinct) + j)
+        i, j = pair // len(distinct), pair % len(distinct)
+        degree = np.bincount(i, minlength=len(distinct)) + np.bincount(j, minlength=len(distinct))
+        if star:
+            a, b = np.concatenate([i, j]), np.concatenate([j, i])
+            rank = np.lexsort((b, -degree[b], a))
+            a, b = a[rank], b[rank]
+            best = np.append(True, a[1:] != a[:-1]) if len(a) else np.zeros(0, bool)
+            i, j = a[best], b[best]
+        return pa.table({"a": distinct[i], "b": distinct[j], "weight": degree[j].astype(np.int64)}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("weight", pa.int64())]))
+
+    return run
+
+
 def _candidate_sets(documents: DataFrame, members: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, elements) of every node that shares a key with another one, from one of its documents."""
+    """(node, elements, mark) of every node that shares a key with another one, from one of its documents."""
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = stored(wanted, "candidates")
 
     def build(batches):
         for batch in batches:
-            elements = [x.tobytes() for x in word_sets(batch.column(1), words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(elements, pa.binary())], names=["node", "elements"])
+            elements = list(word_sets(batch.column(1), words))
+            marks = pa.array([parity_marks(x).tobytes() for x in elements], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in elements], pa.binary()), marks], names=["node", "elements", "mark"])
 
     texts = documents.join(_checked(wanted), "doc_id").select("node", "text")
-    return stored(texts.mapInArrow(build, "node long, elements binary").dropDuplicates(["node"]), "sets")
+    return stored(texts.mapInArrow(build, "node long, elements binary, mark binary"), "sets")
 
 
 def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -252,9 +368,10 @@ def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) ->
     component_id is the least doc_id reachable by links. doc_id is taken as unique and not null;
     other columns are ignored; an empty table gives no rows.
 
-    Links are searched from the outside in: first each node against the most central node it shares
-    a key with, then every pair of nodes that share a key but aren't yet in one component. What is
-    left out are pairs whose outcome can't change the components.
+    Links are searched in rounds. Star rounds verify for each node the most central partner among the
+    pivots of its keys; the last round verifies every pair that shares a key, isn't in one component
+    yet and can't be ruled out by sizes and marks. Only pairs whose outcome can't change the
+    components are left out.
     """
     if percent <= 100 / BAND_RATIO:
         raise ValueError(f"percent must exceed {100 / BAND_RATIO:g}: partners further apart than one size band aren't searched")
@@ -262,45 +379,44 @@ def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) ->
     docs = documents.select("doc_id", "text")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     emitted = stored(docs.mapInArrow(_emit(words, percent, buckets), "doc_id long, n long, node long, bucket int, entries binary"), "entries")
-    nodes = emitted.where("bucket IS NULL").select("doc_id", "n", "node")
+    nodes = stored(emitted.where("bucket IS NULL").select("doc_id", "n", "node"), "nodes")
     entries = emitted.where("bucket IS NOT NULL").select("bucket", "entries")
     members = stored(entries.groupBy("bucket").applyInArrow(_shared_keys, "k long, node long, n int"), "members")
+    discard(emitted)
     sets = _candidate_sets(docs, members, nodes, words)
-    linked, tried = None, None
-    parts = members.select("node").distinct().select("node", F.col("node").alias("component"))
+    parts = sets.select("node", F.col("node").alias("component"))
+    linked, tried, done = None, None, [members, sets]
     for step in range(STAR_ROUNDS + 1):
-        placed = members.join(parts, "node")
-        mixed = placed.groupBy("k").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("k", "size")
-        open_groups = stored(placed.join(mixed, "k"), "open")
-        if not open_groups.take(1):
-            break
-        fits = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
-        if step < STAR_ROUNDS:
-            score = open_groups.groupBy("node").agg(F.sum("size").alias("score"))
-            scored = open_groups.join(score, "node")
-            centre = scored.groupBy("k").agg(F.max(F.struct("score", "node", "component", F.col("n").alias("n2"))).alias("c"))
-            pairs = scored.join(centre, "k").where("component <> c.component").withColumn("n2", F.col("c.n2")).where(fits)
-            pairs = pairs.groupBy(F.col("node").alias("a")).agg(F.max(F.struct("c.score", "c.node")).alias("c")).select("a", F.col("c.node").alias("b"))
+        star = step < STAR_ROUNDS
+        open_keys = members.select("k", "node")
+        if step:
+            apart = open_keys.join(parts, "node").groupBy("k").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("k")
+            open_members = members.join(apart, "k")
+        else:
+            open_members = members
+        described = open_members.join(parts.join(sets.select("node", "mark"), "node"), "node")
+        dealt = described.withColumn("bucket", F.pmod(F.xxhash64("k"), F.lit(buckets)))
+        found = dealt.select("bucket", "k", "node", "n", "component", "mark").groupBy("bucket").applyInArrow(_pair_up(percent, star), "a long, b long, weight long")
+        if star:
+            pairs = found.groupBy("a").agg(F.max(F.struct("weight", "b")).alias("w")).select("a", F.col("w.b").alias("b"))
         else:
-            other = open_groups.select("k", F.col("node").alias("b"), F.col("component").alias("component2"), F.col("n").alias("n2"))
-            pairs = open_groups.join(other, "k").where("node < b AND component <> component2").where(fits).select(F.col("node").alias("a"), "b").distinct()
-        ordered = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
+            pairs = found.select("a", "b")
+        pairs = pairs.withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")}).dropDuplicates(["x", "y"])
         if tried is not None:
-            ordered = ordered.join(tried, ["x", "y"], "left_anti")
-        ordered = stored(ordered, "pairs")
-        # The partner that more pairs share is the centre.
-        shared = ordered.select(F.col("x").alias("v")).unionByName(ordered.select(F.col("y").alias("v"))).groupBy("v").agg(F.count("*").alias("c"))
-        left = ordered.join(shared.select(F.col("v").alias("x"), F.col("c").alias("cx")), "x").join(shared.select(F.col("v").alias("y"), F.col("c").alias("cy")), "y")
-        turned = left.select(F.when(F.col("cx") > F.col("cy"), F.col("y")).otherwise(F.col("x")).alias("a"), F.when(F.col("cx") > F.col("cy"), F.col("x")).otherwise(F.col("y")).alias("b"))
-        found = stored(verify(turned, sets, percent), "links")
-        tried = ordered if tried is None else tried.unionByName(ordered)
-        linked = found if linked is None else linked.unionByName(found)
-        grouped = components(linked)
-        parts = members.select("node").distinct().join(grouped, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-        parts = stored(parts, "parts")
+            pairs = pairs.join(tried, ["x", "y"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        done.append(pairs)
+        if pairs.take(1):
+            similar = stored(verify(pairs.select("a", "b"), sets, percent), "links")
+            done += [similar, parts]
+            linked = similar if linked is None else linked.unionByName(similar)
+            tried = pairs.select("x", "y") if tried is None else tried.unionByName(pairs.select("x", "y"))
+            grouped = components(linked)
+            parts = stored(sets.select("node").join(grouped, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "parts")
     empty = F.col("n") == 0
     by_node = nodes.join(parts, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("class"))
     by_node = stored(by_node, "classes")
+    discard(*done, parts, nodes)
     least = by_node.where(~empty).groupBy("class").agg(F.min("doc_id").alias("least"))
     out = by_node.join(least, "class", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(empty, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, chunks, stored
+from .common import SpanHash, chunks, discard, stored
 
 #: Rows up to which a list of ids or spans is broadcast instead of shuffled against.
 BROADCAST_ROWS = 500_000
@@ -499,6 +499,7 @@ def repeated_spans(documents: DataFrame, width: int = 50) -> DataFrame:
     digests = stored(docs.select("doc_id", F.md5("text").alias("d"), F.octet_length("text").alias("n")), "digests")
     least = digests.groupBy("d").agg(F.min("doc_id").alias("least"))
     copies = stored(digests.join(least, "d").where("doc_id <> least").select("doc_id", "n").distinct(), "copies")
+    discard(digests)
     unique = docs.where(F.octet_length("text") >= width).join(_checked(copies.select("doc_id")), "doc_id", "left_anti")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = unique.mapInArrow(_emit_keys(width, buckets), "bucket int, low binary, high binary, docs binary")

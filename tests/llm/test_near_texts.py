@@ -87,3 +87,12 @@ def test_components(spark):
     want = brute.components({x for p in links for x in p}, links)
     assert got == {n: c for n, c in want.items() if any(n in p and p[0] != p[1] for p in links)}
     assert graph.components(df.limit(0)).count() == 0
+
+
+def test_marks_never_overstate_the_difference():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 500, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for n in rng.integers(1, 400, 60)]
+    marks = jaccard.Marks([jaccard.parity_marks(s).tobytes() for s in sets])
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(60), np.arange(60)))
+    real = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)])
+    assert (marks.least_difference(i, j) <= real).all()
