@@ -37,7 +37,7 @@ BASE_RULES = (
     Rule("repeated_windows", lambda b: 100 * b.n_repeat_words() > 30 * b.n_words()),
 )
 EXTRA_RULES = (
-    Rule("symbols", lambda b: _share(b.n_symbols(), b.word_chars()) > 0.05),
+    Rule("symbols", lambda b: _share(b.n_symbols(), b.word_chars()) > 0.03),
     Rule("shouting", lambda b: _share(b.n_upper(), b.n_chars()) > 0.30),
     Rule("duplicate_lines", lambda b: _share(b.n_dup_lines(), b.n_lines()) > 0.50),
     Rule("stutter", lambda b: _share(b.n_same_next(), b.n_words()) > 0.30),
