@@ -23,7 +23,7 @@ _CLASS = np.full(256, _OTHER_CLASS, np.uint8)
 _CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE_CLASS
 _CLASS[48:58] = _DIGIT_CLASS
 _CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = _LETTER_CLASS
-TEXTS_BYTES = 1 << 21
+TEXTS_BYTES = 1 << 20
 
 
 def plain(text: str, special: tuple[str, ...]) -> bool:
@@ -92,51 +92,53 @@ def _next_space(solid: np.ndarray, first: np.ndarray, start: np.ndarray) -> np.n
 
 
 class UnitTable:
-    """Ids of the pre-tokens met so far, by hash; starts afresh when `most` are held."""
+    """Ids of the pre-tokens met so far, found by hash in a sorted array; starts afresh beyond `most`.
+
+    Arrays rather than a dict: about 40 bytes a pre-token, and a chunk's distinct hashes, which are
+    sorted too, are looked up at once.
+    """
 
     def __init__(self, encode_unit: Callable[[str], list[int]], most: int = 1_000_000):
         self.encode_unit, self.most = encode_unit, most
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[int, int] = {}
-        self.flat = np.zeros(1 << 20, np.int32)
-        self.at = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int64)
+        self.keys = np.zeros(0, np.uint64)
+        self.at = np.zeros(0, np.int32)
+        self.length = np.zeros(0, np.int32)
+        self.flat = np.zeros(1 << 18, np.int32)
         self.used = 0
 
-    def _add(self, key: int, ids: list[int]) -> int:
-        k = len(self.index)
-        if k >= len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.at[k], self.length[k] = self.used, len(ids)
-        self.used += len(ids)
-        self.index[key] = k
-        return k
+    def _add(self, place: np.ndarray, keys: np.ndarray, new: list[list[int]]) -> None:
+        length = np.array([len(x) for x in new], np.int32)
+        total = int(length.sum())
+        if self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat) // 2), np.int32)])
+        self.flat[self.used : self.used + total] = [i for x in new for i in x]
+        at = (self.used + np.cumsum(length) - length).astype(np.int32)
+        self.used += total
+        self.keys = np.insert(self.keys, place, keys)
+        self.at = np.insert(self.at, place, at)
+        self.length = np.insert(self.length, place, length)
 
     def ids(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units one after the other, and how many each unit has."""
         if not len(start):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        if len(self.index) > self.most:
+        if len(self.keys) > self.most:
             self.clear()
         unique, where, back = np.unique(SpanHash(data).of(start, end), return_index=True, return_inverse=True)
-        keys = unique.tolist()
-        rows = np.empty(len(keys), np.int64)
-        raw = data.tobytes()
-        get = self.index.get
-        for i, key in enumerate(keys):
-            row = get(key)
-            if row is None:
-                s = where[i]
-                row = self._add(key, self.encode_unit(raw[start[s] : end[s]].decode("utf-8")))
-            rows[i] = row
-        rows = rows[back]
-        length = self.length[rows]
+        place = np.searchsorted(self.keys, unique)
+        known = place < len(self.keys)
+        known[known] = self.keys[place[known]] == unique[known]
+        missing = np.flatnonzero(~known)
+        if len(missing):
+            raw = data.tobytes()
+            spans = zip(start[where[missing]].tolist(), end[where[missing]].tolist(), strict=True)
+            self._add(place[missing], unique[missing], [self.encode_unit(raw[a:b].decode("utf-8")) for a, b in spans])
+            place = np.searchsorted(self.keys, unique)
+        rows = place[back]
+        length = self.length[rows].astype(np.int64)
         total = np.cumsum(length)
         spread = np.repeat(self.at[rows] - (total - length), length)
         return self.flat[spread + np.arange(total[-1])], length
