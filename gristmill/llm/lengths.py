@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import token_count
+from .common import stored
 
 BLOCK = 1024
 
@@ -29,9 +30,9 @@ def context_totals(histogram: DataFrame, *by: str) -> DataFrame:
     lengths follow from the row below it: truncated_tokens + docs_over * (limit - L).
 
     The sums run in two levels (inside blocks of 1024 lengths, then over blocks), so no task gets
-    all lengths. An empty histogram gives no rows.
+    all lengths. The histogram is stored first, as it is read twice. An empty one gives no rows.
     """
-    h = histogram.withColumn("block", F.floor(F.col("length") / BLOCK))
+    h = stored(histogram, "histogram").withColumn("block", F.floor(F.col("length") / BLOCK))
     h = h.withColumn("tokens", F.col("length") * F.col("n_docs"))
     blocks = h.groupBy(*by, "block").agg(F.sum("n_docs").alias("b_docs"), F.sum("tokens").alias("b_tokens"))
     later = Window.partitionBy(*by).orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
