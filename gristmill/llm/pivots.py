@@ -11,28 +11,50 @@ the root of its group within the task.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 from .graph import components
 
-#: Bounded sample from which the pivots are chosen, and their number.
-SAMPLE_ROWS, PIVOTS = 4096, 256
-#: Nearest pivots that describe a vector, and how many of them candidates share at least.
-NEAREST, SHARED = 12, 4
+#: Least and greatest number of pivots; in between as many as the root of the number of vectors, a power of two.
+PIVOTS = (256, 4096)
+#: Vectors in the bounded sample for each pivot that is chosen from it.
+SAMPLE_PER_PIVOT = 16
+#: Nearest pivots that candidates share at least.
+SHARED = 4
 BLOCK_ROWS = 1024
 #: Pivots are no closer to each other than this cosine, so that a mass of copies takes only one.
 APART = 0.8
 
 
-def unit_rows(vectors: list) -> np.ndarray:
-    x = np.array(vectors, np.float64)
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
+    x = np.asarray(vectors, np.float64)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def as_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length, without nulls, as the rows of a matrix."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1)
+
+
+def pivots_for(n: int) -> int:
+    """More pivots for more vectors, so that lists grow as the root of their number."""
+    return int(min(PIVOTS[1], max(PIVOTS[0], 2 ** math.ceil(math.log2(max(n, 1)) / 2))))
+
+
+def nearest_for(n_pivots: int) -> int:
+    """Pivots that describe a vector: enough that pairs at the threshold share SHARED of them (see the tests)."""
+    return 12 if n_pivots <= PIVOTS[0] else 16
+
+
 def usable(v: Column) -> Column:
     """Whether a vector can link at all: not null or empty, all components finite, one of them not 0."""
     d = v.cast("array<double>")
@@ -40,16 +62,18 @@ def usable(v: Column) -> Column:
     return F.coalesce((F.size(d) > 0) & good & F.exists(d, lambda x: x != 0), F.lit(False))
 
 
-def choose_pivots(vectors: DataFrame, sample_rows: int = SAMPLE_ROWS, most: int = PIVOTS) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+def choose_pivots(vectors: DataFrame, most: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Per dimension: pivots, and their rank by rarity as nearest pivots of the sample (0: rarest).
 
-    The sample is the `sample_rows` vectors with the smallest hashes; pivots are taken from it in
+    The sample is the SAMPLE_PER_PIVOT * `most` vectors with the smallest hashes; pivots are taken from it in
     that order, skipping those close to one taken before.
     """
-    rows = vectors.select("embedding", F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id").limit(sample_rows).collect()
+    ordered = vectors.select("embedding", F.size("embedding").alias("dim"), F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id")
+    rows = ordered.limit(SAMPLE_PER_PIVOT * most).select("dim", "embedding").toArrow()
+    sizes = rows["dim"].to_numpy()
     out = {}
-    for dim in {len(r.embedding) for r in rows}:
-        x = unit_rows([r.embedding for r in rows if len(r.embedding) == dim])
+    for dim in np.unique(sizes).tolist():
+        x = unit_rows(as_matrix(rows["embedding"].take(pa.array(np.flatnonzero(sizes == dim)))))
         taken = [0]
         near = x @ x[0]
         for k in range(1, len(x)):
@@ -59,33 +83,36 @@ def choose_pivots(vectors: DataFrame, sample_rows: int = SAMPLE_ROWS, most: int
                 taken.append(k)
                 near = np.maximum(near, x @ x[k])
         pivots = x[taken]
-        used = np.bincount(nearest(x, pivots).ravel(), minlength=len(pivots))
+        used = np.bincount(nearest(x, pivots, nearest_for(most)).ravel(), minlength=len(pivots))
         rank = np.empty(len(pivots), np.int64)
         rank[np.lexsort((np.arange(len(pivots)), used))] = np.arange(len(pivots))
         out[dim] = (pivots, rank)
     return out
 
 
-def nearest(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """The NEAREST pivots of each row in order of nearness."""
-    k = min(NEAREST, len(pivots))
-    return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :k]
+def nearest(x: np.ndarray, pivots: np.ndarray, many: int) -> np.ndarray:
+    """The `many` nearest pivots of each row in order of nearness."""
+    near = -(x @ pivots.T)
+    k = min(many, len(pivots))
+    if k == len(pivots):
+        return np.argsort(near, axis=1, kind="stable")
+    some = np.argpartition(near, k, axis=1)[:, :k]
+    return np.take_along_axis(some, np.argsort(np.take_along_axis(near, some, 1), axis=1, kind="stable"), 1)
 
 
-def _describe(pivots: dict[int, tuple[np.ndarray, np.ndarray]]):
+def _describe(pivots: dict[int, tuple[np.ndarray, np.ndarray]], many: int):
     """Permutation of each vector as ranks by rarity; a dimension the sample lacks has one list."""
 
     @F.arrow_udf("array<int>")
     def describe(column: pa.Array) -> pa.Array:
-        vectors, out = column.to_pylist(), []
-        sizes = np.array([len(v) for v in vectors])
-        out = [[0]] * len(vectors)
+        sizes = np.diff(column.offsets.to_numpy())
+        out = [[0]] * len(column)
         for dim in np.unique(sizes).tolist():
             if dim in pivots:
                 at = np.flatnonzero(sizes == dim)
                 points, rank = pivots[dim]
-                for i, row in zip(at, rank[nearest(unit_rows([vectors[k] for k in at]), points)], strict=True):
-                    out[i] = row.tolist()
+                for i, row in zip(at, rank[nearest(unit_rows(as_matrix(column.take(pa.array(at)))), points, many)].tolist(), strict=True):
+                    out[i] = row
         return pa.array(out, pa.list_(pa.int32()))
 
     return describe
@@ -109,11 +136,9 @@ def _compare(threshold: float):
     def run(table: pa.Table) -> pa.Table:
         pivot = table.column("pivot")[0].as_py()
         left, right = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        ids = np.array(table.column("vec_id").to_pylist(), np.int64)
-        weight = np.array(table.column("copies").to_pylist(), np.int64)
-        block = np.array(table.column("block").to_pylist())
-        ranks = np.array(table.column("near").to_pylist())
-        x = unit_rows(table.column("embedding").to_pylist())
+        ids, weight, block = (table.column(c).to_numpy() for c in ("vec_id", "copies", "block"))
+        ranks = as_matrix(table.column("near")).astype(np.int64)
+        x = unit_rows(as_matrix(table.column("embedding")))
         # How many pivots a pair shares, and how many of these are rarer than this list's.
         seen = np.zeros((len(ids), int(ranks.max()) + 1), np.float32)
         np.put_along_axis(seen, ranks, 1, axis=1)
@@ -138,17 +163,19 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:
 
     Vectors link when their labels are equal and not null, their lengths equal and their cosine is at
     least `threshold`. Null, empty and zero vectors and those with null or non-finite components link
-    with nothing. Equal vectors of a label are compared once and count as linked copies. Of repeated
+    with nothing, nor do rows with a null vec_id. Equal vectors of a label are compared once and count as linked copies. Of repeated
     vec_ids each row counts. Other columns are ignored; an empty table gives no rows.
     """
     rows = embeddings.select("vec_id", "embedding", "label")
-    good = rows.where(F.col("label").isNotNull() & usable(F.col("embedding")))
+    fit = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable(F.col("embedding"))
+    good = rows.where(fit)
     keyed = good.select("vec_id", "label", "embedding", F.xxhash64("embedding").alias("d1"), F.hash("embedding").alias("d2"))
     key = ["label", "d1", "d2"]
     distinct = keyed.groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
     distinct = stored(distinct, "vectors")
     vectors = distinct.select("label", F.col("rep").alias("vec_id"), "copies", "embedding")
-    describe = _describe(choose_pivots(vectors))
+    many = pivots_for(distinct.count())
+    describe = _describe(choose_pivots(vectors, many), nearest_for(many))
     described = vectors.withColumn("dim", F.size("embedding")).withColumn("near", describe("embedding"))
     lists = F.slice(F.array_sort("near"), F.lit(1), F.greatest(F.lit(1), F.size("near") - (SHARED - 1)))
     posted = stored(described.withColumn("pivot", F.explode(lists)), "postings")
@@ -160,11 +187,12 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:
     paired = paired.select(*where, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "vec_id", "copies", "near", "embedding")
     found = paired.groupBy(*where, "i", "j").applyInArrow(_compare(threshold), "vec_id long, links long, root long")
     found = stored(found, "links")
+    discard(posted)
     links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
     of_rep = distinct.select(*key, "rep", "copies").join(links, F.col("rep") == links.vec_id, "left").drop("vec_id").join(joined, F.col("rep") == F.col("node"), "left")
     of_rep = of_rep.select(*key, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     copies = keyed.select("vec_id", *key).join(of_rep, key)
-    alone = rows.where(F.col("label").isNull() | ~usable(F.col("embedding"))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component"))
+    alone = rows.where(~fit).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component"))
     out = copies.select("vec_id", "n_links", "component").unionByName(alone)
     return out.select("vec_id", "n_links", F.col("component").alias("component_id"), (F.col("vec_id") == F.col("component")).alias("kept"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from gristmill.llm import pivots, queries
 
@@ -41,16 +42,24 @@ def test_odd_vectors_and_blocks(spark, monkeypatch):
 def test_few_rows(spark):
     check(spark, [(3, [1.0, 0.0], 1), (2, [1.0, 0.1], 1), (1, [0.0, 1.0], 1)])
     check(spark, [(9, [1.0, 2.0], 1)])
+    null = spark.createDataFrame([(None, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (4, [1.0, 0.0], 1)], "vec_id long, embedding array<float>, label int")
+    assert sorted(((r.vec_id or 0), r.n_links) for r in pivots.near_vectors(null).collect()) == [(0, 0), (0, 0), (4, 0)]
     check(spark, [])
 
 
-def test_recall_at_the_threshold():
-    """Pairs at exactly the threshold share enough pivots: recall of the index on random directions."""
+@pytest.mark.parametrize("n", [1000, 10**6, 10**9])
+def test_recall_at_the_threshold(n):
+    """Pairs at exactly the threshold share enough pivots at every index size: recall on random directions."""
     rng = np.random.default_rng(0)
     unit = lambda a: a / np.linalg.norm(a, axis=1, keepdims=True)
-    points, x = unit(rng.normal(size=(256, 64))), unit(rng.normal(size=(3000, 64)))
+    many = pivots.pivots_for(n)
+    points, x = unit(rng.normal(size=(many, 64))), unit(rng.normal(size=(1500, 64)))
     noise = rng.normal(size=x.shape)
     y = 0.93 * x + np.sqrt(1 - 0.93**2) * unit(noise - (noise * x).sum(1, keepdims=True) * x)
-    a, b = pivots.nearest(x, points), pivots.nearest(y, points)
+    a, b = (pivots.nearest(v, points, pivots.nearest_for(many)) for v in (x, y))
     shared = np.array([len(set(p) & set(q)) for p, q in zip(a.tolist(), b.tolist(), strict=True)])
     assert (shared >= pivots.SHARED).mean() >= 0.99
+
+
+def test_pivots_grow_with_the_vectors():
+    assert [pivots.pivots_for(n) for n in (0, 1, 65536, 65537, 10**6, 10**7, 10**9)] == [256, 256, 256, 512, 1024, 4096, 4096]
