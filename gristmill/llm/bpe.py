@@ -19,6 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_memory
 from .units import UnitTable, encode_texts
 
 #: Fixed value: the published pre-token pattern of this vocabulary.
@@ -168,7 +169,8 @@ def coder(path: str) -> tuple[BytePairCoder, UnitTable]:
 
 def encoded(column: pa.Array, path: str):
     made, table = coder(path)
-    return encode_texts(column, table, made.encode_text, tuple(made.special), keep_space=True, lower=False)
+    yield from encode_texts(column, table, made.encode_text, tuple(made.special), keep_space=True, lower=False)
+    release_memory()
 
 
 def bpe_encode(text: Column | str, path: str) -> Column:

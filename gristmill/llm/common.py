@@ -8,6 +8,7 @@ limit is a chunk of its own, never cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,6 +121,15 @@ def ngram_hash(word_hash: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.nd
     return mix(h), first
 
 
+def release_memory() -> None:
+    """Give freed pages back to the system: Python workers outlive their tasks and share the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc: nothing to give back
+        pass
+
+
 def shared_dir(spark, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder (a local one only where none is set)."""
     import tempfile

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, release_memory
 from .features import FEATURES, TextBlock, feature_matrix
 
 #: Most labelled rows that a model is fitted on (smallest hashes of doc_id first).
@@ -130,6 +130,7 @@ def _quadrants(g: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _matrix(column: pa.Array) -> np.ndarray:
     parts = [feature_matrix(TextBlock(data, offsets)) for _, _, data, offsets in chunks(column)]
+    release_memory()
     return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
 
 

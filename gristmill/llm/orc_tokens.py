@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import byte_characters
+from .common import release_memory
 from .units import UnitTable, encode_texts
 
 ORC_OPTIONS = {
@@ -69,6 +70,7 @@ def library_ids(column: pa.Array, path: str):
         yield np.concatenate(each) if each else np.zeros(0, np.int32), np.array([len(x) for x in each], np.int64)
     else:
         yield from encode_texts(column, table, encode_text, special, keep_space=False, lower=True)
+    release_memory()
 
 
 def token_ids(text: Column | str, path: str, end_id: int | None = None) -> Column:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, chunks, discard, stored
+from .common import SpanHash, chunks, discard, release_memory, stored
 
 #: Rows up to which a list of ids or spans is broadcast instead of shuffled against.
 BROADCAST_ROWS = 500_000
@@ -102,6 +102,8 @@ def _emit_keys(width: int, buckets: int):
                 step = np.diff(part["doc"], prepend=0)
                 out["docs"].append(pa.compress(step.astype("<i8").tobytes(), "zstd", asbytes=True))
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("bucket", pa.int32()), ("low", pa.binary()), ("high", pa.binary()), ("docs", pa.binary())]))
+            del rows, parts, out
+            release_memory()
 
     return run
 
@@ -150,6 +152,8 @@ def _emit_windows(width: int, buckets: int):
                 out["sizes"].append(np.array([len(w) for w in known], "<u4").tobytes())
                 out["uses"].append(np.array(uses, "<i8").tobytes())
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("bucket", pa.int32()), ("windows", pa.binary()), ("sizes", pa.binary()), ("uses", pa.binary())]))
+            del shards, out
+            release_memory()
 
     return run
 
@@ -452,6 +456,8 @@ def _shard(width: int):
         position = np.repeat(begin[uses[:, 2]] - (total - count), count)
         a = position[opens] + opens + base
         b = position[closes] + closes + base + width
+        del known, windows, text, order, shared, earliest, at, position
+        release_memory()
         return pa.table({"doc_id": uses[owner[opens], 0], "a": a, "b": b}, schema=pa.schema([("doc_id", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]))
 
     return run
@@ -489,13 +495,13 @@ def repeated_spans(documents: DataFrame, width: int = 50) -> DataFrame:
 
     A `width`-byte string of the text (UTF-8, null: empty) is repeated if it also starts in a document
     with a smaller doc_id; matches never cross texts and are judged on the whole input. Equal texts
-    are sorted once, as their least doc_id; the others repeat it from end to end. doc_id is taken as
-    not null and to have one text (repeated rows are fine).
+    are sorted once, as their least doc_id; the others repeat it from end to end. A doc_id is taken to
+    have one text (repeated rows are fine); rows with a null doc_id repeat nothing and are not repeated.
     """
     spark = documents.sparkSession
     if width < 2:
         raise ValueError("width must be 2 at least")
-    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     digests = stored(docs.select("doc_id", F.md5("text").alias("d"), F.octet_length("text").alias("n")), "digests")
     least = digests.groupBy("d").agg(F.min("doc_id").alias("least"))
     copies = stored(digests.join(least, "d").where("doc_id <> least").select("doc_id", "n").distinct(), "copies")

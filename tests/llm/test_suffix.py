@@ -49,6 +49,9 @@ def test_equals_brute_force(spark, width):
     rows = [(5 * i - 40, t) for i, t in enumerate(texts)]
     df = spark.createDataFrame([(*r, [1], "k") for r in rows], "doc_id long, text string, spans array<int>, keys string")
     assert digest(df, width) == brute.repeated_bytes(rows, width)
+    null = spark.createDataFrame([(None, texts[0]), (None, texts[0])], "doc_id long, text string")
+    got = suffix.remove_repeats(df.select("doc_id", "text").limit(3).unionByName(null), width).where("doc_id IS NULL").collect()
+    assert len(got) == 2 and all(r.spans is None and r.kept == (texts[0] or "").encode() for r in got)
 
 
 def test_documents(spark, sf):
