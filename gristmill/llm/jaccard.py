@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SpanHash, chunks, discard, mix, ngram_hash, stored, word_spans
+from .common import LOWER, SpanHash, chunks, discard, mix, ngram_hash, release_memory, stored, word_spans
 from .graph import components
 
 #: Each band's largest size is this many times its smallest.
@@ -37,7 +37,8 @@ BAND_RATIO = 2.0
 BROADCAST_ROWS = 500_000
 #: Members of one centre that a single verification task reads; larger groups are salted.
 CENTRE_ROWS = 2000
-STAR_ROUNDS = 2
+#: How the rounds choose pairs to verify; the last one leaves none out.
+ROUNDS = ("star", "forest", "forest", "all")
 
 
 def word_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -170,6 +171,8 @@ def _emit(words: int, percent: int, buckets: int):
                     out["bucket"].append(b)
                     out["entries"].append(table[cuts[b] : cuts[b + 1]].tobytes())
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bucket", pa.int32()), ("entries", pa.binary())]))
+            del out, keys, owners
+            release_memory()
 
     return run
 
@@ -183,6 +186,7 @@ def _shared_keys(table: pa.Table) -> pa.Table:
     many[1:] |= same
     many[:-1] |= same
     rows = rows[many]
+    release_memory()
     return pa.table({"k": rows["k"].view(np.int64), "node": rows["node"], "n": rows["n"]}, schema=pa.schema([("k", pa.int64()), ("node", pa.int64()), ("n", pa.int32())]))
 
 
@@ -230,14 +234,17 @@ def _checked(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
 
-def parity_marks(elements: np.ndarray) -> np.ndarray:
+#: Bits of a mark for each element of its set, at least: in star rounds, and where every pair is judged.
+NARROW, WIDE = 0.8, 4.0
+
+
+def parity_marks(elements: np.ndarray, per_element: float) -> np.ndarray:
     """Bits that each element flips at its own place: sets differ in at least as many elements as marks in bits.
 
-    As many bits as about four fifths of the elements, a power of two; a wider mark folds to a
-    narrower one by xor of its halves.
+    The number of bits is a power of two; a wider mark folds to a narrower one by xor of its halves.
     """
     words = 1
-    while words * 64 < 0.8 * len(elements):
+    while words * 64 < per_element * len(elements):
         words *= 2
     at = (mix(elements) >> np.uint64(20)) % np.uint64(64 * words)
     odd = np.bincount(at.astype(np.int64), minlength=64 * words) & 1
@@ -262,7 +269,7 @@ class Marks:
         for w in np.unique(narrow).tolist():
             at = np.flatnonzero(narrow == w)
             table = self.folded[w]
-            for part in np.array_split(at, max(1, len(at) * w // 2_000_000)):
+            for part in np.array_split(at, max(1, len(at) * w // 500_000)):
                 out[part] = np.bitwise_count(table[i[part]] ^ table[j[part]]).sum(1)
         return out
 
@@ -271,13 +278,35 @@ class Marks:
 PIVOTS = 6
 
 
-def _pair_up(percent: int, star: bool):
+def _forest(component: np.ndarray, i: np.ndarray, j: np.ndarray, excess: np.ndarray) -> np.ndarray:
+    """Places of pairs that join components without a cycle, the likeliest pairs first."""
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    kept = []
+    order = np.lexsort((j, i, excess))
+    for at, a, b in zip(order.tolist(), component[i[order]].tolist(), component[j[order]].tolist(), strict=True):
+        a, b = find(a), find(b)
+        if a != b:
+            up[max(a, b)] = min(a, b)
+            kept.append(at)
+    return np.array(kept, np.int64)
+
+
+def _pair_up(percent: int, choose: str):
     """Of one bucket of keys: pairs of nodes of different components that may reach the threshold.
 
-    Sizes and marks rule out pairs exactly, in place. In a star round members of a key are held against
-    a few pivots and only the most central partner of each node is given; otherwise every pair left is.
+    Sizes and marks rule out pairs exactly, in place. A star round holds members of a key against a few
+    pivots and gives the most central partner of each node. A forest round gives pairs that would join
+    all components, the likeliest first, so no more pairs than nodes. `all` gives every pair left.
     Members of a key's largest component are held against the others only.
     """
+    star = choose == "star"
 
     def run(table: pa.Table) -> pa.Table:
         k = table.column("k").to_numpy()
@@ -290,7 +319,7 @@ def _pair_up(percent: int, star: bool):
         starts = np.flatnonzero(np.append(True, k[order][1:] != k[order][:-1]))
         sizes = np.diff(np.append(starts, len(order)))
         lefts, rights = [], []
-        kept_i, kept_j = [], []
+        kept_i, kept_j, kept_excess = [], [], []
 
         def sift() -> None:
             i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lefts, rights))
@@ -300,11 +329,13 @@ def _pair_up(percent: int, star: bool):
             shared = -(-percent * total // (100 + percent))
             fits = (component[i] != component[j]) & (shared <= np.minimum(n[i], n[j]))
             i, j, most = i[fits], j[fits], (total - 2 * shared)[fits]
-            near = marks.least_difference(back[i], back[j]) <= most
+            excess = marks.least_difference(back[i], back[j]) / np.maximum(most, 1)
+            near = excess <= np.where(most > 0, 1.0, 0.0)
             a, b = back[i[near]], back[j[near]]
-            both = np.unique(np.minimum(a, b) * len(distinct) + np.maximum(a, b))
+            both, place = np.unique(np.minimum(a, b) * len(distinct) + np.maximum(a, b), return_index=True)
             kept_i.append(both // len(distinct))
             kept_j.append(both % len(distinct))
+            kept_excess.append(excess[near][place])
 
         held = 0
         for at, size in zip(starts.tolist(), sizes.tolist(), strict=True):
@@ -318,7 +349,7 @@ def _pair_up(percent: int, star: bool):
                 largest = values[np.argmax(counts)]
                 heads = rows[component[rows] != largest]
                 others = np.concatenate([heads, rows[component[rows] == largest]])
-            for part in np.array_split(np.arange(len(heads)), max(1, len(heads) * len(others) // 2_000_000)):
+            for part in np.array_split(np.arange(len(heads)), max(1, len(heads) * len(others) // 500_000)):
                 # Heads come first in `others`, so each unordered pair is met once.
                 i = np.repeat(part, len(others) - part - 1)
                 offset = np.repeat(np.cumsum(len(others) - part - 1) - (len(others) - part - 1), len(others) - part - 1)
@@ -326,13 +357,13 @@ def _pair_up(percent: int, star: bool):
                 lefts.append(heads[i])
                 rights.append(others[j])
                 held += len(i)
-                if held > 2_000_000:
+                if held > 500_000:
                     sift()
                     held = 0
         sift()
         i, j = np.concatenate(kept_i), np.concatenate(kept_j)
-        pair = np.unique(i * len(distinct) + j)
-        i, j = pair // len(distinct), pair % len(distinct)
+        pair, place = np.unique(i * len(distinct) + j, return_index=True)
+        i, j, excess = pair // len(distinct), pair % len(distinct), np.concatenate(kept_excess)[place]
         degree = np.bincount(i, minlength=len(distinct)) + np.bincount(j, minlength=len(distinct))
         if star:
             a, b = np.concatenate([i, j]), np.concatenate([j, i])
@@ -340,24 +371,33 @@ def _pair_up(percent: int, star: bool):
             a, b = a[rank], b[rank]
             best = np.append(True, a[1:] != a[:-1]) if len(a) else np.zeros(0, bool)
             i, j = a[best], b[best]
+        elif choose == "forest":
+            of_node = np.empty(len(distinct), np.int64)
+            of_node[back] = component
+            kept = _forest(of_node, i, j, excess)
+            i, j = i[kept], j[kept]
+        del marks, kept_i, kept_j, kept_excess, raw
+        release_memory()
         return pa.table({"a": distinct[i], "b": distinct[j], "weight": degree[j].astype(np.int64)}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("weight", pa.int64())]))
 
     return run
 
 
 def _candidate_sets(documents: DataFrame, members: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, elements, mark) of every node that shares a key with another one, from one of its documents."""
+    """(node, elements, narrow, wide) of every node that shares a key with another one, from one of its documents."""
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = stored(wanted, "candidates")
 
     def build(batches):
         for batch in batches:
             elements = list(word_sets(batch.column(1), words))
-            marks = pa.array([parity_marks(x).tobytes() for x in elements], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in elements], pa.binary()), marks], names=["node", "elements", "mark"])
+            marks = [pa.array([parity_marks(x, bits).tobytes() for x in elements], pa.binary()) for bits in (NARROW, WIDE)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in elements], pa.binary()), *marks], names=["node", "elements", "narrow", "wide"])
+            del elements, marks
+            release_memory()
 
     texts = documents.join(_checked(wanted), "doc_id").select("node", "text")
-    return stored(texts.mapInArrow(build, "node long, elements binary, mark binary"), "sets")
+    return stored(texts.mapInArrow(build, "node long, elements binary, narrow binary, wide binary"), "sets")
 
 
 def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -365,12 +405,14 @@ def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) ->
 
     Documents link when 100 |A∩B| >= percent |A∪B| of their distinct word shingles; a text of fewer
     words is one shingle. Null, empty and wordless texts have no shingle and link with nothing.
-    component_id is the least doc_id reachable by links. doc_id is taken as unique and not null;
-    other columns are ignored; an empty table gives no rows.
-
-    Links are searched in rounds. Star rounds verify for each node the most central partner among the
-    pivots of its keys; the last round verifies every pair that shares a key, isn't in one component
-    yet and can't be ruled out by sizes and marks. Only pairs whose outcome can't change the
+    component_id is the least doc_id reachable by links. doc_id is taken as unique; rows with a null
+    one are classed with documents of the same shingles and never name a class. Other columns are
+    ignored; an empty table gives no rows.
+
+    Links are searched in rounds. A star round verifies for each node the most central partner among the
+    pivots of its keys; forest rounds verify pairs that would join what isn't joined yet; the last round
+    verifies every pair that shares a key, isn't in one component yet and can't be ruled out by sizes
+    and marks. Only pairs whose outcome can't change the
     components are left out.
     """
     if percent <= 100 / BAND_RATIO:
@@ -386,17 +428,18 @@ def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) ->
     sets = _candidate_sets(docs, members, nodes, words)
     parts = sets.select("node", F.col("node").alias("component"))
     linked, tried, done = None, None, [members, sets]
-    for step in range(STAR_ROUNDS + 1):
-        star = step < STAR_ROUNDS
+    for step, choose in enumerate(ROUNDS):
+        star = choose == "star"
         open_keys = members.select("k", "node")
         if step:
             apart = open_keys.join(parts, "node").groupBy("k").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("k")
             open_members = members.join(apart, "k")
         else:
             open_members = members
-        described = open_members.join(parts.join(sets.select("node", "mark"), "node"), "node")
+        marks = sets.select("node", F.col("narrow" if star else "wide").alias("mark"))
+        described = open_members.join(parts.join(marks, "node"), "node")
         dealt = described.withColumn("bucket", F.pmod(F.xxhash64("k"), F.lit(buckets)))
-        found = dealt.select("bucket", "k", "node", "n", "component", "mark").groupBy("bucket").applyInArrow(_pair_up(percent, star), "a long, b long, weight long")
+        found = dealt.select("bucket", "k", "node", "n", "component", "mark").groupBy("bucket").applyInArrow(_pair_up(percent, choose), "a long, b long, weight long")
         if star:
             pairs = found.groupBy("a").agg(F.max(F.struct("weight", "b")).alias("w")).select("a", F.col("w.b").alias("b"))
         else:

@@ -64,6 +64,9 @@ def test_documents(spark, sf):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.jaccard_classes(df).count() == 0
+    text = "one two three four five six seven"
+    null = spark.createDataFrame([(None, text), (8, text), (9, text), (None, None)], "doc_id long, text string")
+    assert sorted(((r.doc_id or 0), r.n_shingles, r.component_id) for r in jaccard.jaccard_classes(null).where("n_shingles > 0").collect()) == [(0, 3, 8), (8, 3, 8), (9, 3, 8)]
 
 
 def test_similar_sets_always_share_a_key():
@@ -92,7 +95,8 @@ def test_components(spark):
 def test_marks_never_overstate_the_difference():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 500, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for n in rng.integers(1, 400, 60)]
-    marks = jaccard.Marks([jaccard.parity_marks(s).tobytes() for s in sets])
     i, j = (x.ravel() for x in np.meshgrid(np.arange(60), np.arange(60)))
     real = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)])
-    assert (marks.least_difference(i, j) <= real).all()
+    for bits in (jaccard.NARROW, jaccard.WIDE):
+        marks = jaccard.Marks([jaccard.parity_marks(s, bits).tobytes() for s in sets])
+        assert (marks.least_difference(i, j) <= real).all()
