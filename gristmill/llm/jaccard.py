@@ -70,6 +70,13 @@ def most_difference(a: int, b: int, percent: int) -> int:
     return a + b - 2 * shared
 
 
+@lru_cache(maxsize=None)
+def most_between(low: int, high: int, percent: int) -> int:
+    """Greatest symmetric difference of similar sets whose sizes add up to low..high: it isn't monotone in the sum."""
+    total = np.arange(max(low, high - 4 * (100 + percent)), high + 1)
+    return int((total - 2 * -(-percent * total // (100 + percent))).max())
+
+
 @lru_cache(maxsize=None)
 def band_of(size: int) -> tuple[int, int, int]:
     """(number, smallest size, largest size) of the band of a size."""
@@ -89,8 +96,7 @@ def scheme(band: int, low: int, high: int, percent: int) -> tuple[int, int]:
     left out. Weight-2 segments are taken while they lower the expected cost: index keys plus, for each
     list, the chance that a segment is too poor in elements to tell sets apart.
     """
-    partner = high * 100 // percent
-    weight = most_difference(high, partner, percent) + 1 + (2 if high > 6 else 0)
+    weight = most_between(2 * low, high + high * 100 // percent, percent) + 1 + (2 if high > 6 else 0)
     best, choice = None, (weight, 0)
     for twice in range(weight // 2 + 1):
         once = weight - 2 * twice
@@ -109,11 +115,13 @@ def index_keys(elements: np.ndarray, percent: int) -> np.ndarray:
     if not n:
         return np.zeros(0, np.uint64)
     own = band_of(n)
-    wanted = [(own, most_difference(n, n * 100 // percent, percent))]
+    # Partners that a set meets in a scheme: the smaller of a pair is of the scheme's band.
+    smallest = -(-n * percent // 100)
+    wanted = [(own, most_between(n + max(own[1], smallest), n + n * 100 // percent, percent))]
     if own[0]:
         below = band_of(own[1] - 1)
         if n <= below[2] * 100 // percent:
-            wanted.append((below, most_difference(n, n, percent)))
+            wanted.append((below, most_between(n + max(below[1], smallest), n + below[2], percent)))
     out = []
     for band, most in wanted:
         once, twice = scheme(*band, percent)

@@ -82,6 +82,38 @@ def test_similar_sets_always_share_a_key():
                     assert len(np.intersect1d(jaccard.index_keys(base, percent), jaccard.index_keys(other, percent)))
 
 
+@pytest.mark.parametrize("percent", (80, 85))
+def test_greatest_difference_across_a_border_shares_a_key(percent):
+    """Every pair of sizes on both sides of a band's border that differs by as much as a link may."""
+    rng = np.random.default_rng(7)
+    borders = [2**k for k in range(1, 8)]
+    pairs = [(a, b, 20) for low in borders for a in range(low // 2, low) for b in range(low, a * 100 // percent + 1)]
+    lost = []
+    for a, b, seeds in [*pairs, (31, 32, 4000)]:
+        shared = -(-percent * (a + b) // (100 + percent))
+        if shared > a:
+            continue
+        for _ in range(seeds):
+            every = rng.integers(0, 2**63, a + b - shared, dtype=np.uint64)
+            keys = (jaccard.index_keys(np.sort(x), percent) for x in (every[:a], every[a - shared :]))
+            if not len(np.intersect1d(*keys)):
+                lost.append((a, b))
+    assert not lost
+
+
+@pytest.mark.parametrize("percent", (80, 85, 90))
+def test_left_out_segments_never_exceed_what_must_agree(percent):
+    for n in range(1, 700):
+        for m in range(n, n * 100 // percent + 1):
+            band = jaccard.band_of(n)
+            weight = np.dot(jaccard.scheme(*band, percent), (1, 2))
+            smallest = [-(-x * percent // 100) for x in (n, m)]
+            own = jaccard.most_between(n + max(band[1], smallest[0]), n + n * 100 // percent, percent)
+            other = jaccard.most_between(m + max(band[1], smallest[1]), m + min(band[2], m * 100 // percent), percent)
+            most = jaccard.most_difference(n, m, percent)
+            assert most <= min(own, other) and most < weight
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(120)] + [(5, 5)]
