@@ -15,6 +15,10 @@ MARGINS = ("source", "lang", "topic")
 #: Exponent by which each margin's natural shares are tempered to get its target weights.
 TEMPER = {"source": 0.7, "lang": 0.9, "topic": 1.0}
 ROUNDS = 8
+#: Share of all tokens that a mix without a budget keeps at least.
+KEPT_SHARE = 0.8
+#: Budget that lets the largest factor alone set the scale: targets are met exactly, whatever is lost.
+EXACT = "exact"
 
 
 def word_count(text: Column) -> Column:
@@ -80,24 +84,45 @@ def _described(documents: DataFrame) -> DataFrame:
     return stored(documents.select("doc_id", *(levels[m].alias(m) for m in MARGINS), word_count(documents["text"]).alias("n_tokens")), "mix-rows")
 
 
-def _cell_chances(rows: DataFrame, targets: dict[str, DataFrame] | None, budget: float | None, rounds: int) -> DataFrame:
+def _filled(raked: DataFrame, budget: Column) -> DataFrame:
+    """The cells with the `level` by which their factors are multiplied so that the tokens kept, none twice, add up to `budget`.
+
+    Cells are filled in the order of their factors: the first one whose probability stays within 1, once all
+    before it are kept whole, sets the level of the rest; later ones give lower levels. Without one (budget of
+    all tokens) level is null.
+    """
+    order = Window.partitionBy().orderBy(F.desc("factor"), *MARGINS)
+    before, rest = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
+    level = (budget - F.coalesce(F.sum("n").over(before), F.lit(0))) / F.sum("w").over(rest)
+    tried = raked.withColumn("level", level)
+    fits = F.when(F.col("level") * F.col("factor") <= 1, F.col("level"))
+    return tried.withColumn("level", F.max(fits).over(Window.partitionBy()))
+
+
+def _cell_chances(rows: DataFrame, targets: dict[str, DataFrame] | None, budget: float | str | None, rounds: int) -> DataFrame:
     """(source, lang, topic, probability) of every cell that has tokens."""
     cells = rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("n")).where(F.col("n") > 0)
     wanted = {m: (targets or {}).get(m) or tempered_targets(cells, m, TEMPER[m]) for m in MARGINS}
     raked = rake(cells, wanted, rounds).withColumn("factor", F.col("w") / F.col("n"))
-    if budget is None:
-        scaled = F.col("factor") / F.max("factor").over(Window.partitionBy())
+    exact = F.col("factor") / F.max("factor").over(Window.partitionBy())
+    if budget == EXACT:
+        scaled = exact
     else:
-        scaled = F.least(F.lit(1.0), F.lit(float(budget)) * F.col("factor"))
+        tokens = F.lit(KEPT_SHARE) * F.sum("n").over(Window.partitionBy()) if budget is None else F.lit(float(budget))
+        raked = _filled(raked, tokens)
+        scaled = F.when(F.col("factor") > 0, F.least(F.lit(1.0), F.coalesce(F.col("level") * F.col("factor"), F.lit(1.0)))).otherwise(0.0)
+        scaled = F.greatest(scaled, exact) if budget is None else scaled
     return stored(raked.select(*MARGINS, scaled.alias("probability")), "mix-cells")
 
 
-def mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | None = None, rounds: int = ROUNDS) -> DataFrame:
+def mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | str | None = None, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, source, lang, topic, n_tokens, probability, kept) for every document.
 
     `targets` maps a margin to (level, target) rows; a margin left out gets tempered natural shares.
-    `budget` is the number of tokens wanted; by default it is the most that needs no document
-    twice, so the largest probability is 1. With a larger budget probabilities are held at 1.
+    `budget` is the number of tokens wanted. Cells whose probability would exceed 1 are kept whole and the
+    others are scaled up to fill it. EXACT is the most that meets the targets with no document twice, so the
+    largest factor alone sets the scale; by default that holds too, but KEPT_SHARE of the tokens is kept at
+    least, so that a rare cell doesn't scale down all others.
     Null source or lang is the level ''; null text has no tokens; documents of a cell without
     tokens have probability 0. Rows with one doc_id are drawn alike. Other columns are ignored.
     """
@@ -107,7 +132,7 @@ def mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budge
     return joined.select("doc_id", *MARGINS, "n_tokens", F.round(p, 6).alias("probability"), (draw(F.col("doc_id")) < p).alias("kept"))
 
 
-def sample_mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | None = None, rounds: int = ROUNDS) -> DataFrame:
+def sample_mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | str | None = None, rounds: int = ROUNDS) -> DataFrame:
     """The documents that `mix` keeps, with their own columns only.
 
     The probability of a document depends on its cell alone, so the cells' probabilities are joined

@@ -24,7 +24,7 @@ def op1_pivot_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix.mix(table(spark, sf_dir, "documents"))
+    return mix.mix(table(spark, sf_dir, "documents"), budget=mix.EXACT)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

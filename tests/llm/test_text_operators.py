@@ -170,6 +170,19 @@ def test_mix_meets_targets(spark, odd, documents):
     assert mix.mix(odd.limit(0)).count() == 0
 
 
+def test_a_rare_source_does_not_empty_the_mix(spark):
+    rows = [(i, "word " * 50, "en", "ab"[i % 2]) for i in range(2000)] + [(5000, "word " * 20, "en", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    total = 2000 * 50 + 20
+    exact = mix.mix(df, budget=mix.EXACT).agg(F.sum(F.col("probability") * F.col("n_tokens"))).first()[0]
+    assert exact < 0.2 * total
+    for budget, want in ((None, mix.KEPT_SHARE * total), (30_000, 30_000), (99_000, 99_000), (total, total), (10 * total, total)):
+        got = mix.mix(df, budget=budget).collect()
+        assert abs(sum(r.probability * r.n_tokens for r in got) - want) < 1 and max(r.probability for r in got) == 1.0
+    assert 0.75 * len(rows) < mix.sample_mix(df).count() < 0.85 * len(rows)
+    assert mix.sample_mix(df.where("source = 'a'")).count() == 1000
+
+
 def test_sha_of_packed_ids(spark, sf):
     r = queries.op7_bpe(spark, sf).orderBy("doc_id").first()
     text = spark.read.parquet(f"{sf}/documents.parquet").where(F.col("doc_id") == r.doc_id).first().text
