@@ -25,7 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, SpanHash, chunks, discard, mix, ngram_hash, release_memory, stored, word_spans
@@ -148,7 +148,7 @@ def index_keys(elements: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _emit(words: int, percent: int, buckets: int):
-    """Per batch of documents: its (doc_id, n, node) rows and its index entries packed by bucket."""
+    """Per batch of documents: its (doc_id, n, node, row) rows and its index entries packed by bucket."""
 
     def run(batches):
         for batch in batches:
@@ -163,7 +163,7 @@ def _emit(words: int, percent: int, buckets: int):
                     k = index_keys(elements, percent)
                     keys.append(k)
                     owners.append((node, len(elements), len(k)))
-            out = {"doc_id": ids, "n": sizes, "node": nodes, "bucket": [None] * len(ids), "entries": [None] * len(ids)}
+            out = {"doc_id": ids, "n": sizes, "node": nodes, "row": batch.column(2).to_pylist(), "bucket": [None] * len(ids), "entries": [None] * len(ids)}
             if keys:
                 table = np.zeros(sum(map(len, keys)), [("k", "<u8"), ("node", "<i8"), ("n", "<i4")])
                 table["k"] = np.concatenate(keys)
@@ -174,11 +174,11 @@ def _emit(words: int, percent: int, buckets: int):
                 table, at = table[order], at[order]
                 cuts = np.searchsorted(at, np.arange(buckets + 1))
                 for b in np.flatnonzero(np.diff(cuts)).tolist():
-                    for name in ("doc_id", "n", "node"):
+                    for name in ("doc_id", "n", "node", "row"):
                         out[name].append(None)
                     out["bucket"].append(b)
                     out["entries"].append(table[cuts[b] : cuts[b + 1]].tobytes())
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bucket", pa.int32()), ("entries", pa.binary())]))
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("row", pa.int64()), ("bucket", pa.int32()), ("entries", pa.binary())]))
             del out, keys, owners
             release_memory()
 
@@ -391,9 +391,15 @@ def _pair_up(percent: int, choose: str):
     return run
 
 
+def _row_key(documents: DataFrame) -> Column:
+    """64-bit key of a row's doc_id and text, never null; rows equal in both share it."""
+    return F.xxhash64(documents["doc_id"], documents["text"])
+
+
 def _candidate_sets(documents: DataFrame, members: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, elements, narrow, wide) of every node that shares a key with another one, from one of its documents."""
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    """(node, elements, narrow, wide) of every node that shares a key with another one, once, from one of its rows."""
+    by_row = nodes.join(members.select("node").distinct(), "node", "left_semi").groupBy("node", "row").agg(F.count("*").alias("times"))
+    wanted = by_row.groupBy("node").agg(F.min(F.struct("times", "row")).alias("r")).select("node", "r.row", "r.times")
     wanted = stored(wanted, "candidates")
 
     def build(batches):
@@ -404,32 +410,27 @@ def _candidate_sets(documents: DataFrame, members: DataFrame, nodes: DataFrame,
             del elements, marks
             release_memory()
 
-    texts = documents.join(_checked(wanted), "doc_id").select("node", "text")
-    return stored(texts.mapInArrow(build, "node long, elements binary, narrow binary, wide binary"), "sets")
+    def texts(some: DataFrame) -> DataFrame:
+        keyed = documents.select("text", _row_key(documents).alias("row"))
+        return keyed.join(_checked(some.select("node", "row")), "row").select("node", "text")
 
+    rows = texts(wanted.where("times = 1"))
+    repeated = wanted.where("times > 1")
+    if repeated.take(1):
+        rows = rows.unionByName(texts(repeated).groupBy("node").agg(F.first("text").alias("text")))
+    return stored(rows.mapInArrow(build, "node long, elements binary, narrow binary, wide binary"), "sets")
 
-def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every document.
-
-    Documents link when 100 |A∩B| >= percent |A∪B| of their distinct word shingles; a text of fewer
-    words is one shingle. Null, empty and wordless texts have no shingle and link with nothing.
-    component_id is the least doc_id reachable by links. doc_id is taken as unique; rows with a null
-    one are classed with documents of the same shingles and never name a class. Other columns are
-    ignored; an empty table gives no rows.
 
-    Links are searched in rounds. A star round verifies for each node the most central partner among the
-    pivots of its keys; forest rounds verify pairs that would join what isn't joined yet; the last round
-    verifies every pair that shares a key, isn't in one component yet and can't be ruled out by sizes
-    and marks. Only pairs whose outcome can't change the
-    components are left out.
-    """
+def _row_classes(documents: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, n, row, class) of every document, stored; the class is a node of its component."""
     if percent <= 100 / BAND_RATIO:
         raise ValueError(f"percent must exceed {100 / BAND_RATIO:g}: partners further apart than one size band aren't searched")
     spark = documents.sparkSession
     docs = documents.select("doc_id", "text")
+    keyed = docs.withColumn("row", _row_key(docs))
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    emitted = stored(docs.mapInArrow(_emit(words, percent, buckets), "doc_id long, n long, node long, bucket int, entries binary"), "entries")
-    nodes = stored(emitted.where("bucket IS NULL").select("doc_id", "n", "node"), "nodes")
+    emitted = stored(keyed.mapInArrow(_emit(words, percent, buckets), "doc_id long, n long, node long, row long, bucket int, entries binary"), "entries")
+    nodes = stored(emitted.where("bucket IS NULL").select("doc_id", "n", "node", "row"), "nodes")
     entries = emitted.where("bucket IS NOT NULL").select("bucket", "entries")
     members = stored(entries.groupBy("bucket").applyInArrow(_shared_keys, "k long, node long, n int"), "members")
     discard(emitted)
@@ -464,16 +465,51 @@ def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) ->
             tried = pairs.select("x", "y") if tried is None else tried.unionByName(pairs.select("x", "y"))
             grouped = components(linked)
             parts = stored(sets.select("node").join(grouped, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "parts")
-    empty = F.col("n") == 0
-    by_node = nodes.join(parts, "node", "left").select("doc_id", "n", F.coalesce("component", "node").alias("class"))
+    by_node = nodes.join(parts, "node", "left").select("doc_id", "n", "row", F.coalesce("component", "node").alias("class"))
     by_node = stored(by_node, "classes")
     discard(*done, parts, nodes)
+    return by_node
+
+
+def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every document.
+
+    Documents link when 100 |A∩B| >= percent |A∪B| of their distinct word shingles; a text of fewer
+    words is one shingle. Null, empty and wordless texts have no shingle and link with nothing.
+    component_id is the least doc_id reachable by links. Every row is classed by its own text, also where
+    rows repeat or share a doc_id; rows with a null one are linked like others but never name a class (null
+    where a class has no other). Other columns are ignored; an empty table gives no rows.
+
+    Links are searched in rounds. A star round verifies for each node the most central partner among the
+    pivots of its keys; forest rounds verify pairs that would join what isn't joined yet; the last round
+    verifies every pair that shares a key, isn't in one component yet and can't be ruled out by sizes
+    and marks. Only pairs whose outcome can't change the
+    components are left out.
+    """
+    by_node = _row_classes(documents, words, percent)
+    empty = F.col("n") == 0
     least = by_node.where(~empty).groupBy("class").agg(F.min("doc_id").alias("least"))
     out = by_node.join(least, "class", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(empty, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
 def drop_near_copies(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents with one of each class of near copies (the least doc_id), own columns only."""
-    kept = jaccard_classes(documents, words, percent).where("doc_id = component_id").select("doc_id")
-    return documents.join(kept, "doc_id", "left_semi")
+    """The documents with one row of each class of near copies, own columns only.
+
+    The row with the least doc_id stays; one with a null doc_id only where its whole class has none. Texts of
+    one doc_id count by themselves, and of several rows that are equal in doc_id and text one stays,
+    chosen by a hash of all columns. Null, empty and wordless texts are no copies; all their rows stay.
+    """
+    rows = _row_classes(documents, words, percent)
+    by_row = rows.where("n > 0").groupBy("class", "row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("times"))
+    first = by_row.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row", "times")).alias("r")).select("r.row", "r.times")
+    first = stored(first, "first-rows")
+    whole = first.where("times = 1").select("row").unionByName(rows.where("n = 0").select("row").distinct())
+    out = documents.join(whole, _row_key(documents) == whole["row"], "left_semi")
+    repeated = first.where("times > 1").select("row")
+    if repeated.take(1):
+        columns = F.struct(*(documents[f"`{c}`"] for c in documents.columns))
+        some = documents.join(repeated, _row_key(documents) == repeated["row"], "left_semi")
+        one = some.groupBy(_row_key(some).alias("_row")).agg(F.min_by(columns, F.xxhash64(F.to_json(columns))).alias("_kept"))
+        out = out.unionByName(one.select("_kept.*"))
+    return out

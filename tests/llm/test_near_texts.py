@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gristmill.llm import graph, jaccard
 
@@ -69,6 +70,31 @@ def test_empty(spark):
     assert sorted(((r.doc_id or 0), r.n_shingles, r.component_id) for r in jaccard.jaccard_classes(null).where("n_shingles > 0").collect()) == [(0, 3, 8), (8, 3, 8), (9, 3, 8)]
 
 
+def test_null_ids_repeated_rows_and_shared_ids(spark):
+    rng = random.Random(11)
+    words = [[f"{c}{rng.randrange(10**6)}" for _ in range(80)] for c in "abcdef"]
+    near = [" ".join([*w[:-1], "changed"]) for w in words]
+    text = [" ".join(w) for w in words]
+    rows = [
+        (None, text[0], "x"),  # unique text without an id
+        *[(None, None, "x"), (None, "", "y"), (7, " ", "x"), (7, " ", "x")],  # wordless
+        *[(None, text[1], "x"), (None, text[1], "y"), (None, near[1], "x")],  # a class of null ids
+        *[(None, text[2], "x"), (20, near[2], "x")],
+        *[(30, text[3], "y"), (30, text[3], "x"), (30, text[3], "x"), (31, near[3], "x")],  # equal rows
+        *[(40, text[4], "x"), (40, text[5], "x"), (41, near[4], "x"), (42, near[5], "x")],  # two texts of one id
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    classes = [tuple(r) for r in jaccard.jaccard_classes(df).collect()]
+    assert len(classes) == len(rows)
+    assert sorted((r for r in classes if r[0] is not None), key=str) == sorted([(7, 0, 7)] * 2 + [(20, 76, 20)] + [(30, 76, 30)] * 3 + [(31, 76, 30)] + [(40, 76, 40)] * 2 + [(41, 76, 40), (42, 76, 40)], key=str)
+    for some in (df, df.orderBy(F.desc("source")).repartition(3)):
+        kept = sorted((tuple(r) for r in jaccard.drop_near_copies(some).collect()), key=str)
+        alone = [r for r in kept if r[1] in (text[1], near[1])]
+        equal = [r for r in kept if r[0] == 30]
+        assert len(alone) == 1 and len(equal) == 1
+        assert sorted((r for r in kept if r not in alone + equal), key=str) == sorted([*rows[:5], (20, near[2], "x"), *rows[14:16]], key=str)
+
+
 def test_similar_sets_always_share_a_key():
     rng = np.random.default_rng(3)
     for percent in (80, 85):
