@@ -14,8 +14,8 @@ from gristmill.llm.common import stored
 
 #: Shingle length and similarity in percent of the near-copy stage.
 WORDS, PERCENT = 5, 80
-#: Shortest repeated passage, in bytes, that the suffix-array stage cuts.
-PASSAGE_BYTES = 200
+#: Shortest repeated passage, in bytes, that the suffix-array stage cuts: the least length of 51 words with a blank between them.
+PASSAGE_BYTES = 101
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,6 +42,14 @@ def test_stages(spark, sf):
     assert all(list(r.ids) == library.encode(want[r.doc_id], add_special_tokens=False).ids and r.n_tokens == len(r.ids) for r in last)
 
 
+def test_short_words_of_a_repeated_passage_are_cut(spark, sf):
+    passage = " ".join("abcdefghij"[(i * i) % 10] for i in range(51))
+    rows = [(i, f"{head} {passage} {tail}", "en", "s", 1) for i, head, tail in ((1, "first", "here"), (2, "second", "there"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in P.repeated_passages(spark, docs, sf).collect()}
+    assert got[1] == rows[0][1] and passage not in got[2] and len(got[2]) < 20
+
+
 def test_odd_rows(spark, sf):
     rows = [(i, t, None if i % 2 else "en", "s" if i % 3 else None, None) for i, t in enumerate(brute.ODD_TEXTS)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
