@@ -9,6 +9,9 @@ limit is a chunk of its own, never cut.
 from __future__ import annotations
 
 import ctypes
+import hashlib
+import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,22 +26,11 @@ IS_WORD = ~_SPACE
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_RNG = np.random.default_rng(20240611)
-_CHAR = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(kind: str, n: int) -> np.ndarray:
-    """Powers 0..n-1 of the base (or its inverse) modulo 2**64, grown on demand."""
-    have = _powers.get(kind)
-    if have is None or len(have) < n:
-        step = np.uint64(_BASE if kind == "up" else _INVERSE)
-        full = np.full(max(n, CHUNK_BYTES + 1), step, np.uint64)
-        full[0] = 1
-        have = _powers[kind] = np.multiply.accumulate(full)
-    return have[:n]
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Keeps the first 0..8 bytes of a little-endian word.
+_HEAD_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+#: Spans longer than this are hashed one by one.
+LONG_SPAN = 64
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -52,17 +44,60 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def _step(h: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hash states after one more word each: a one-to-one map of the state for a given word, and of the word for a given state."""
+    h = (h ^ words) * _ODD
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def _words_at_every_byte(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from every place on (zeros behind the end) as one number each."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
 class SpanHash:
-    """64-bit hashes of arbitrary byte spans of a chunk from one prefix sum."""
+    """64-bit hashes of byte spans of a chunk, eight bytes a step over all spans that are as long.
+
+    Spans of one length of at most 8 bytes never share a hash. Others of up to LONG_SPAN bytes go through a
+    chain of mixing steps, longer ones through blake2b: no family of texts shares hashes by its structure.
+    """
 
     def __init__(self, data: np.ndarray):
-        n = len(data)
-        self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(_CHAR[data] * _power("up", n), out=self.prefix[1:])
+        self.data = data
+        self.words = _words_at_every_byte(data)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        inverse = _power("down", len(self.prefix))
-        return mix((self.prefix[end] - self.prefix[start]) * inverse[start] + (end - start).astype(np.uint64))
+        size = end - start
+        h = _step(size.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9), self.words[start] & _HEAD_MASK[np.minimum(size, 8)])
+        more, done = np.flatnonzero((size > 8) & (size <= LONG_SPAN)), 8
+        while len(more):
+            h[more] = _step(h[more], self.words[start[more] + done] & _HEAD_MASK[np.minimum(size[more] - done, 8)])
+            done += 8
+            more = more[size[more] > done]
+        raw = memoryview(self.data)
+        for i in np.flatnonzero(size > LONG_SPAN).tolist():
+            h[i] = int.from_bytes(hashlib.blake2b(raw[start[i] : end[i]], digest_size=8).digest(), "little")
+        return h
+
+
+def gram_hash(data: np.ndarray, k: int, block: int = 1 << 15) -> np.ndarray:
+    """64-bit hashes of all runs of k bytes, worked out in blocks that fit a processor's cache."""
+    n = len(data) - k + 1
+    words = _words_at_every_byte(data)
+    out = np.empty(max(n, 0), np.uint64)
+    parts = [*range(0, k - 8, 8), k - 8] if k > 8 else [0]
+    for first in range(0, n, block):
+        end = min(first + block, n)
+        h = np.full(end - first, k, np.uint64)
+        for at in parts:
+            h = _step(h, words[first + at : end + at] & _HEAD_MASK[min(k, 8)])
+        out[first:end] = mix(h)
+    return out
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -131,12 +166,11 @@ def release_memory() -> None:
 
 
 def shared_dir(spark, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder (a local one only where none is set)."""
-    import tempfile
-    import uuid
-
+    """A fresh folder under the cluster's shared checkpoint folder; on one machine without that setting, a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="gristmill-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, chunks, discard, release_memory, stored
+from .common import chunks, discard, gram_hash, release_memory, stored
 
 #: Rows up to which a list of ids or spans is broadcast instead of shuffled against.
 BROADCAST_ROWS = 500_000
@@ -57,8 +57,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int):
     none = np.zeros(0, np.int64)
     if len(data) < width:
         return none, none.astype(np.uint64), none, none
-    at = np.arange(len(data) - k + 1)
-    h = SpanHash(data).of(at, at + k)
+    h = gram_hash(data, k)
+    at = np.arange(len(h))
     packed = (h & np.uint64(0xFFFFFFFF80000000)) | at.astype(np.uint64)
     owner = (_sliding_min(packed, span) & np.uint64(0x7FFFFFFF)).astype(np.int64)
     # Strings that run over the end of their text don't count.

@@ -94,8 +94,9 @@ def _next_space(solid: np.ndarray, first: np.ndarray, start: np.ndarray) -> np.n
 class UnitTable:
     """Ids of the pre-tokens met so far, found by hash in a sorted array; starts afresh beyond `most`.
 
-    Arrays rather than a dict: about 40 bytes a pre-token, and a chunk's distinct hashes, which are
-    sorted too, are looked up at once.
+    Arrays rather than a dict: about 50 bytes a pre-token, and a chunk's distinct hashes, which are
+    sorted too, are looked up at once. The bytes of each pre-token are kept and compared, so that one
+    whose hash is another's gets its own ids.
     """
 
     def __init__(self, encode_unit: Callable[[str], list[int]], most: int = 1_000_000):
@@ -104,28 +105,42 @@ class UnitTable:
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int32)
-        self.length = np.zeros(0, np.int32)
-        self.flat = np.zeros(1 << 18, np.int32)
-        self.used = 0
+        self.at, self.length, self.raw_at, self.size = (np.zeros(0, np.int32) for _ in range(4))
+        self.flat, self.used = np.zeros(1 << 18, np.int32), 0
+        self.raw, self.raw_used = np.zeros(1 << 18, np.uint8), 0
 
-    def _add(self, place: np.ndarray, keys: np.ndarray, new: list[list[int]]) -> None:
+    def _store(self, new: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of some units lie from now on, and how many each has."""
         length = np.array([len(x) for x in new], np.int32)
-        total = int(length.sum())
-        if self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat) // 2), np.int32)])
-        self.flat[self.used : self.used + total] = [i for x in new for i in x]
-        at = (self.used + np.cumsum(length) - length).astype(np.int32)
-        self.used += total
+        self.flat, self.used = _appended(self.flat, self.used, np.array([i for x in new for i in x], np.int32))
+        return (self.used - int(length.sum()) + np.cumsum(length) - length).astype(np.int32), length
+
+    def _encode(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[list[int]]:
+        return [self.encode_unit(data[a:b].tobytes().decode("utf-8")) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+
+    def _add(self, place: np.ndarray, keys: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        at, length = self._store(self._encode(data, start, end))
+        size = end - start
+        raw_at = self.raw_used + np.cumsum(size) - size
+        self.raw, self.raw_used = _appended(self.raw, self.raw_used, data[_spread(start, size)])
         self.keys = np.insert(self.keys, place, keys)
-        self.at = np.insert(self.at, place, at)
-        self.length = np.insert(self.length, place, length)
+        for name, values in (("at", at), ("length", length), ("raw_at", raw_at), ("size", size)):
+            setattr(self, name, np.insert(getattr(self, name), place, values))
+
+    def _others(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Places of units that aren't the ones kept under their hashes. Up to 8 bytes, equal size and hash are equal bytes."""
+        differs = size != self.size[rows]
+        long = np.flatnonzero(~differs & (size > 8))
+        unequal = data[_spread(start[long], size[long])] != self.raw[_spread(self.raw_at[rows[long]].astype(np.int64), size[long])]
+        if unequal.any():
+            differs[np.repeat(long, size[long])[unequal]] = True
+        return np.flatnonzero(differs)
 
     def ids(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units one after the other, and how many each unit has."""
         if not len(start):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        if len(self.keys) > self.most:
+        if len(self.keys) > self.most or self.used > 8 * self.most:
             self.clear()
         unique, where, back = np.unique(SpanHash(data).of(start, end), return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, unique)
@@ -133,15 +148,28 @@ class UnitTable:
         known[known] = self.keys[place[known]] == unique[known]
         missing = np.flatnonzero(~known)
         if len(missing):
-            raw = data.tobytes()
-            spans = zip(start[where[missing]].tolist(), end[where[missing]].tolist(), strict=True)
-            self._add(place[missing], unique[missing], [self.encode_unit(raw[a:b].decode("utf-8")) for a, b in spans])
+            self._add(place[missing], unique[missing], data, start[where[missing]], end[where[missing]])
             place = np.searchsorted(self.keys, unique)
         rows = place[back]
-        length = self.length[rows].astype(np.int64)
-        total = np.cumsum(length)
-        spread = np.repeat(self.at[rows] - (total - length), length)
-        return self.flat[spread + np.arange(total[-1])], length
+        at, length = self.at[rows], self.length[rows].astype(np.int64)
+        others = self._others(data, start, end - start, rows)
+        if len(others):
+            at[others], length[others] = self._store(self._encode(data, start[others], end[others]))
+        return self.flat[_spread(at, length)], length
+
+
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Every place of the given runs, one run after the other."""
+    total = np.cumsum(size)
+    return np.repeat(start - (total - size), size) + np.arange(total[-1] if len(total) else 0)
+
+
+def _appended(held: np.ndarray, used: int, new: np.ndarray) -> tuple[np.ndarray, int]:
+    """An array with room to grow, after `new` is put behind its first `used` values, and how many it now has."""
+    if used + len(new) > len(held):
+        held = np.concatenate([held, np.zeros(max(len(new), len(held) // 2), held.dtype)])
+    held[used : used + len(new)] = new
+    return held, used + len(new)
 
 
 def encode_texts(

@@ -26,6 +26,9 @@ ODD_TEXTS = [
     "\x1c \x00 a|b # $",
     "The end.\nThe end.",
 ]
+#: Two words that a polynomial hash modulo a power of two can't tell apart: parities of the ones in 0..2047, and their complement.
+THUE_MORSE = "".join("ab"[k.bit_count() % 2] for k in range(2048))
+ODD_TEXTS += [THUE_MORSE, THUE_MORSE.translate({97: "b", 98: "a"}), THUE_MORSE + "\n" + THUE_MORSE.translate({97: "b", 98: "a"})]
 
 
 def components(nodes, links):
