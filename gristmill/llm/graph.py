@@ -42,4 +42,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     roots = now.select(F.col("b").alias("node")).distinct()
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
+    out = now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
+    out.__dict__["_stored_path"] = now.__dict__["_stored_path"]  # for discard()
+    return out

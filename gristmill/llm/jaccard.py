@@ -14,17 +14,20 @@ element hashes is partitioned into segments, more than H by weight, so some segm
   similar pair agrees in more segments than either side leaves out, and the last of them in that
   order is left out by neither.
 
-Sets are verified by sorted 64-bit shingle hashes. Copies (equal sets) are one node from the start.
+Members of a key are first held against each other by size and by a parity mark, which rule out pairs
+without losing one. What is left forms candidate components, whose texts meet once to be
+verified by sorted 64-bit shingle hashes. Equal sets (by 128-bit fingerprints) are one node from the start.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,12 +36,12 @@ from .graph import components
 
 #: Each band's largest size is this many times its smallest.
 BAND_RATIO = 2.0
-#: Rows up to which a list of ids is broadcast instead of shuffled against.
-BROADCAST_ROWS = 500_000
-#: Members of one centre that a single verification task reads; larger groups are salted.
-CENTRE_ROWS = 2000
-#: How the rounds choose pairs to verify; the last one leaves none out.
-ROUNDS = ("star", "forest", "forest", "all")
+#: Sets of one key, and elements of one candidate component, that one task settles; larger groups are dealt over tasks.
+KEY_ROWS, CELL_ELEMENTS = 1 << 15, 1 << 20
+#: Nodes outside the largest part of such a group that one task holds against a block of it.
+LEFT_ROWS = 1000
+#: Bits of a mark for each element of its set, at least: where marks travel, and where a task makes them.
+NARROW, WIDE = 0.8, 4.0
 
 
 def word_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -59,9 +62,10 @@ def word_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def node_of(elements: np.ndarray) -> int:
-    """64-bit fingerprint of a set (signed)."""
-    return int.from_bytes(hashlib.blake2b(elements.tobytes(), digest_size=8).digest(), "little", signed=True)
+def digest_of(elements: np.ndarray) -> tuple[int, int]:
+    """128-bit fingerprint of a set, as two signed numbers."""
+    raw = hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
+    return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
 def most_difference(a: int, b: int, percent: int) -> int:
@@ -148,102 +152,78 @@ def index_keys(elements: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _emit(words: int, percent: int, buckets: int):
-    """Per batch of documents: its (doc_id, n, node, row) rows and its index entries packed by bucket."""
+    """Per batch of documents: its rows, and its index entries packed by bucket, 14 bytes each (48 bits of the key, the set).
+
+    `ord` numbers the rows of the whole table; equal sets of a batch are indexed once.
+    """
 
     def run(batches):
+        base = TaskContext.get().partitionId() << 33
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            nodes, sizes, keys, owners, seen = [], [], [], [], set()
+            rows = {name: [] for name in ("n", "node", "twin", "mark")}
+            keys, nodes, counts, known = [], [], [], {}
             for elements in word_sets(batch.column(1), words):
-                node = node_of(elements)
-                nodes.append(node)
-                sizes.append(len(elements))
-                if len(elements) and node not in seen:
-                    seen.add(node)
+                pair = digest_of(elements)
+                if len(elements) and pair not in known:
+                    known[pair] = parity_marks(elements, NARROW).tobytes()
                     k = index_keys(elements, percent)
                     keys.append(k)
-                    owners.append((node, len(elements), len(k)))
-            out = {"doc_id": ids, "n": sizes, "node": nodes, "row": batch.column(2).to_pylist(), "bucket": [None] * len(ids), "entries": [None] * len(ids)}
+                    nodes.append(pair[0])
+                    counts.append(len(k))
+                for name, value in zip(rows, (len(elements), *pair, known.get(pair)), strict=True):
+                    rows[name].append(value)
+            m = batch.num_rows
+            rows |= {"doc_id": batch.column(0), "row": batch.column(2), "ord": np.arange(base, base + m), "bucket": pa.nulls(m, pa.int32()), "keys": pa.nulls(m, pa.binary()), "nodes": pa.nulls(m, pa.binary())}
+            base += m
+            yield pa.RecordBatch.from_pydict({f.name: rows[f.name] for f in EMITTED}, schema=EMITTED)
             if keys:
-                table = np.zeros(sum(map(len, keys)), [("k", "<u8"), ("node", "<i8"), ("n", "<i4")])
-                table["k"] = np.concatenate(keys)
-                table["node"] = np.repeat([o[0] for o in owners], [o[2] for o in owners])
-                table["n"] = np.repeat([o[1] for o in owners], [o[2] for o in owners])
-                at = (table["k"] % np.uint64(buckets)).astype(np.int64)
+                key, node = np.concatenate(keys) & np.uint64(2**48 - 1), np.repeat(np.array(nodes, np.int64), counts)
+                at = (key % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(at, kind="stable")
-                table, at = table[order], at[order]
-                cuts = np.searchsorted(at, np.arange(buckets + 1))
-                for b in np.flatnonzero(np.diff(cuts)).tolist():
-                    for name in ("doc_id", "n", "node", "row"):
-                        out[name].append(None)
-                    out["bucket"].append(b)
-                    out["entries"].append(table[cuts[b] : cuts[b + 1]].tobytes())
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("row", pa.int64()), ("bucket", pa.int32()), ("entries", pa.binary())]))
-            del out, keys, owners
+                key, node = key[order], node[order]
+                cuts = np.searchsorted(at[order], np.arange(buckets + 1))
+                some = np.flatnonzero(np.diff(cuts)).tolist()
+                packed = {f.name: pa.nulls(len(some), f.type) for f in EMITTED}
+                packed["bucket"] = pa.array(some, pa.int32())
+                packed["keys"] = pa.array([_six_bytes(key[cuts[x] : cuts[x + 1]]) for x in some], pa.binary())
+                packed["nodes"] = pa.array([node[cuts[x] : cuts[x + 1]].tobytes() for x in some], pa.binary())
+                yield pa.RecordBatch.from_pydict(packed, schema=EMITTED)
+                del key, node, at, order, packed
+            del rows, keys, nodes, known
             release_memory()
 
     return run
 
 
-def _shared_keys(table: pa.Table) -> pa.Table:
-    """Of one bucket: the entries of keys that two nodes or more have."""
-    raw = b"".join(table.column("entries").to_pylist())
-    rows = np.unique(np.frombuffer(raw, [("k", "<u8"), ("node", "<i8"), ("n", "<i4")]))
-    many = np.zeros(len(rows), bool)
-    same = rows["k"][1:] == rows["k"][:-1]
-    many[1:] |= same
-    many[:-1] |= same
-    rows = rows[many]
-    release_memory()
-    return pa.table({"k": rows["k"].view(np.int64), "node": rows["node"], "n": rows["n"]}, schema=pa.schema([("k", pa.int64()), ("node", pa.int64()), ("n", pa.int32())]))
-
-
-def _compare(percent: int):
-    """Rows sorted by (centre, salt, role): the centre's set first, then its members; yields similar pairs."""
-
-    def run(batches):
-        held, centre = None, None
-        for batch in batches:
-            found = []
-            cols = [batch.column(i).to_pylist() for i in range(4)]
-            for b, node, is_member, raw in zip(*cols, strict=True):
-                elements = np.frombuffer(raw, np.uint64)
-                if not is_member:
-                    centre, held = b, elements
-                elif b == centre:
-                    at = np.searchsorted(held, elements)
-                    at[at == len(held)] = 0
-                    both = int((held[at] == elements).sum())
-                    if 100 * both >= percent * (len(held) + len(elements) - both):
-                        found.append((node, b))
-            yield pa.RecordBatch.from_pydict({"a": [x[0] for x in found], "b": [x[1] for x in found]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-
-    return run
-
-
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) pairs whose sets reach the threshold.
-
-    Each b is a centre: its set is streamed once before those of its partners, so a task holds one
-    centre and one batch. Centres with many partners are dealt over salts, the set repeated for each.
-    """
-    salted = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(64)).alias("part"))
-    sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / CENTRE_ROWS).alias("salts"))
-    members = salted.join(sizes, "b").select("b", F.pmod(F.col("part"), F.least("salts", F.lit(64))).cast("int").alias("salt"), "a")
-    centres = members.select("b", "salt").distinct()
-    own = members.join(sets, members.a == sets.node).select("b", "salt", F.col("a").alias("node"), F.lit(1).alias("role"), "elements")
-    heads = centres.join(sets, centres.b == sets.node).select("b", "salt", F.col("b").alias("node"), F.lit(0).alias("role"), "elements")
-    rows = own.unionByName(heads).repartition("b", "salt").sortWithinPartitions("b", "salt", "role")
-    return rows.select("b", "node", (F.col("role") == 1).alias("m"), "elements").mapInArrow(_compare(percent), "a long, b long")
+EMITTED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("twin", pa.int64()), ("mark", pa.binary()), ("row", pa.int64()), ("ord", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("nodes", pa.binary())])
 
 
-def _checked(ids: DataFrame) -> DataFrame:
-    """Broadcast a list of ids only where it is counted to be small; otherwise the join shuffles."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+def _six_bytes(key: np.ndarray) -> bytes:
+    return np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
-#: Bits of a mark for each element of its set, at least: in star rounds, and where every pair is judged.
-NARROW, WIDE = 0.8, 4.0
+def _shared_keys(table: pa.Table) -> pa.Table:
+    """Of one bucket: the (key, set, sets of the key) rows of keys that two sets or more have."""
+    raw = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint8).reshape(-1, 6)
+    key = np.zeros((len(raw), 8), np.uint8)
+    key[:, :6] = raw
+    key = key.view("<i8").ravel()
+    node = np.frombuffer(b"".join(table.column("nodes").to_pylist()), np.int64)
+    order = np.argsort(key)
+    begin = np.append(True, key[order][1:] != key[order][:-1])
+    begin = np.flatnonzero(begin)
+    order = order[np.repeat(np.diff(np.append(begin, len(order))) > 1, np.diff(np.append(begin, len(order))))]
+    key, node = key[order], node[order]
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))[: len(key)]
+    key, node = key[new], node[new]
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    size = np.diff(np.append(begin, len(key)))
+    size = np.repeat(size, size)
+    del raw, order
+    release_memory()
+    return pa.table({"grp": key[size > 1], "node": node[size > 1], "size": size[size > 1]}, schema=pa.schema([("grp", pa.int64()), ("node", pa.int64()), ("size", pa.int64())]))
 
 
 def parity_marks(elements: np.ndarray, per_element: float) -> np.ndarray:
@@ -282,195 +262,269 @@ class Marks:
         return out
 
 
-#: Members of a key that the others are held against in a star round (those with the least node ids).
-PIVOTS = 6
+# --- relating the members of groups --------------------------------------------------------------
 
 
-def _forest(component: np.ndarray, i: np.ndarray, j: np.ndarray, excess: np.ndarray) -> np.ndarray:
-    """Places of pairs that join components without a cycle, the likeliest pairs first."""
-    up: dict[int, int] = {}
+#: Part of a row in its cell: held against others while outside the largest part; against all others; only as the other.
+OWN, HEAD, MEMBER = 0, 1, 2
+#: Heads of a group that is dealt over several cells.
+HEADS = 8
 
-    def find(x: int) -> int:
-        while (y := up.get(x, x)) != x:
-            up[x] = up.get(y, y)
-            x = y
-        return x
 
-    kept = []
-    order = np.lexsort((j, i, excess))
-    for at, a, b in zip(order.tolist(), component[i[order]].tolist(), component[j[order]].tolist(), strict=True):
-        a, b = find(a), find(b)
-        if a != b:
-            up[max(a, b)] = min(a, b)
-            kept.append(at)
-    return np.array(kept, np.int64)
+def _joined(m: int, side: np.ndarray, compare: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join what is related among m members of one group, no more than there are members.
 
+    A head is held against all members that aren't joined to it yet. OWN members become heads until all that
+    weren't are in one part, the largest: so of two members that end up apart one was a head.
+    """
+    part = np.arange(m)
+    size = np.ones(m, np.int64)
+    waiting = side != MEMBER
+    always = side == HEAD
+    done = np.zeros(m, bool)
+    links = []
+    while True:
+        heads = waiting & (always | (part != np.argmax(size)))
+        if not heads.any():
+            return links
+        x = int(np.argmax(heads))
+        waiting[x] = False
+        others = np.flatnonzero((part != part[x]) & ~done)
+        done[x] = True
+        if len(others):
+            for y in others[compare(x, others)].tolist():
+                if part[y] != part[x]:
+                    links.append((x, y))
+                    size[part[x]] += size[part[y]]
+                    size[part[y]] = 0
+                    part[part == part[y]] = part[x]
+
+
+def _local_roots(m: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least member of each member's component."""
+    root = np.arange(m)
+    while True:
+        low = np.minimum(root[a], root[b])
+        before = root.copy()
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        root = root[root]
+        if (root == before).all():
+            return root
 
-def _pair_up(percent: int, choose: str):
-    """Of one bucket of keys: pairs of nodes of different components that may reach the threshold.
 
-    Sizes and marks rule out pairs exactly, in place. A star round holds members of a key against a few
-    pivots and gives the most central partner of each node. A forest round gives pairs that would join
-    all components, the likeliest first, so no more pairs than nodes. `all` gives every pair left.
-    Members of a key's largest component are held against the others only.
-    """
-    star = choose == "star"
+def _cell(settle: Callable):
+    """Links of one cell. `settle` gets its rows sorted by group, node and side, and gives pairs of rows."""
 
     def run(table: pa.Table) -> pa.Table:
-        k = table.column("k").to_numpy()
-        node, n, component = (table.column(c).to_numpy() for c in ("node", "n", "component"))
-        distinct, first, back = np.unique(node, return_index=True, return_inverse=True)
-        raw = table.column("mark").combine_chunks().take(pa.array(first)).to_pylist()
-        marks = Marks(raw)
-        order = np.lexsort((node, k))
-        back, n, component = back[order], n[order].astype(np.int64), component[order]
-        starts = np.flatnonzero(np.append(True, k[order][1:] != k[order][:-1]))
-        sizes = np.diff(np.append(starts, len(order)))
-        lefts, rights = [], []
-        kept_i, kept_j, kept_excess = [], [], []
-
-        def sift() -> None:
-            i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lefts, rights))
-            lefts.clear()
-            rights.clear()
-            total = n[i] + n[j]
-            shared = -(-percent * total // (100 + percent))
-            fits = (component[i] != component[j]) & (shared <= np.minimum(n[i], n[j]))
-            i, j, most = i[fits], j[fits], (total - 2 * shared)[fits]
-            excess = marks.least_difference(back[i], back[j]) / np.maximum(most, 1)
-            near = excess <= np.where(most > 0, 1.0, 0.0)
-            a, b = back[i[near]], back[j[near]]
-            both, place = np.unique(np.minimum(a, b) * len(distinct) + np.maximum(a, b), return_index=True)
-            kept_i.append(both // len(distinct))
-            kept_j.append(both % len(distinct))
-            kept_excess.append(excess[near][place])
-
-        held = 0
-        for at, size in zip(starts.tolist(), sizes.tolist(), strict=True):
-            rows = np.arange(at, at + size)
-            if star:
-                heads, others = rows[:PIVOTS], rows
-            else:
-                values, counts = np.unique(component[rows], return_counts=True)
-                if len(values) == 1:
-                    continue
-                largest = values[np.argmax(counts)]
-                heads = rows[component[rows] != largest]
-                others = np.concatenate([heads, rows[component[rows] == largest]])
-            for part in np.array_split(np.arange(len(heads)), max(1, len(heads) * len(others) // 500_000)):
-                # Heads come first in `others`, so each unordered pair is met once.
-                i = np.repeat(part, len(others) - part - 1)
-                offset = np.repeat(np.cumsum(len(others) - part - 1) - (len(others) - part - 1), len(others) - part - 1)
-                j = np.arange(len(i)) - offset + i + 1
-                lefts.append(heads[i])
-                rights.append(others[j])
-                held += len(i)
-                if held > 500_000:
-                    sift()
-                    held = 0
-        sift()
-        i, j = np.concatenate(kept_i), np.concatenate(kept_j)
-        pair, place = np.unique(i * len(distinct) + j, return_index=True)
-        i, j, excess = pair // len(distinct), pair % len(distinct), np.concatenate(kept_excess)[place]
-        degree = np.bincount(i, minlength=len(distinct)) + np.bincount(j, minlength=len(distinct))
-        if star:
-            a, b = np.concatenate([i, j]), np.concatenate([j, i])
-            rank = np.lexsort((b, -degree[b], a))
-            a, b = a[rank], b[rank]
-            best = np.append(True, a[1:] != a[:-1]) if len(a) else np.zeros(0, bool)
-            i, j = a[best], b[best]
-        elif choose == "forest":
-            of_node = np.empty(len(distinct), np.int64)
-            of_node[back] = component
-            kept = _forest(of_node, i, j, excess)
-            i, j = i[kept], j[kept]
-        del marks, kept_i, kept_j, kept_excess, raw
+        grp, node, side = (table.column(c).to_numpy() for c in ("grp", "node", "side"))
+        order = np.lexsort((side, node, grp))
+        i, j = settle(table.take(pa.array(order)), grp[order], node[order], side[order])
+        names, at = np.unique(node[order], return_inverse=True)
+        root = _local_roots(len(names), at[i], at[j])
+        moved = np.flatnonzero(root != np.arange(len(names)))
         release_memory()
-        return pa.table({"a": distinct[i], "b": distinct[j], "weight": degree[j].astype(np.int64)}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("weight", pa.int64())]))
+        return pa.table({"a": names[moved], "b": names[root[moved]]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     return run
 
 
-def _row_key(documents: DataFrame) -> Column:
-    """64-bit key of a row's doc_id and text, never null; rows equal in both share it."""
-    return F.xxhash64(documents["doc_id"], documents["text"])
+def _once(grp: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Places of the first row of each (group, node), of sorted rows."""
+    return np.flatnonzero(np.append(True, (grp[1:] != grp[:-1]) | (node[1:] != node[:-1]))[: len(grp)])
 
 
-def _candidate_sets(documents: DataFrame, members: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, elements, narrow, wide) of every node that shares a key with another one, once, from one of its rows."""
-    by_row = nodes.join(members.select("node").distinct(), "node", "left_semi").groupBy("node", "row").agg(F.count("*").alias("times"))
-    wanted = by_row.groupBy("node").agg(F.min(F.struct("times", "row")).alias("r")).select("node", "r.row", "r.times")
-    wanted = stored(wanted, "candidates")
+def _groups(grp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    begin = np.flatnonzero(np.append(True, grp[1:] != grp[:-1])[: len(grp)])
+    return begin, np.append(begin[1:], len(grp))[: len(begin)]
 
-    def build(batches):
-        for batch in batches:
-            elements = list(word_sets(batch.column(1), words))
-            marks = [pa.array([parity_marks(x, bits).tobytes() for x in elements], pa.binary()) for bits in (NARROW, WIDE)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in elements], pa.binary()), *marks], names=["node", "elements", "narrow", "wide"])
-            del elements, marks
-            release_memory()
 
-    def texts(some: DataFrame) -> DataFrame:
-        keyed = documents.select("text", _row_key(documents).alias("row"))
-        return keyed.join(_checked(some.select("node", "row")), "row").select("node", "text")
+def _by_marks(percent: int):
+    """Relation of members of a key: sizes and marks don't rule out that their sets are similar."""
 
-    rows = texts(wanted.where("times = 1"))
-    repeated = wanted.where("times > 1")
-    if repeated.take(1):
-        rows = rows.unionByName(texts(repeated).groupBy("node").agg(F.first("text").alias("text")))
-    return stored(rows.mapInArrow(build, "node long, elements binary, narrow binary, wide binary"), "sets")
+    def near(marks: Marks, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        total = n[i] + n[j]
+        shared = -(-percent * total // (100 + percent))
+        fits = np.flatnonzero(shared <= np.minimum(n[i], n[j]))
+        out = np.zeros(len(i), bool)
+        out[fits] = marks.least_difference(i[fits], j[fits]) <= (total - 2 * shared)[fits]
+        return out
+
+    def settle(table: pa.Table, grp: np.ndarray, node: np.ndarray, side: np.ndarray):
+        at = _once(grp, node)
+        grp, side = grp[at], side[at]
+        n = table.column("n").to_numpy()[at].astype(np.int64)
+        marks = Marks(table.column("mark").take(pa.array(at)).to_pylist())
+        begin, end = _groups(grp)
+        lefts, rights = [], []
+        # Pairs of small groups at once, one offset after the other; larger groups head by head.
+        small = np.repeat(end - begin <= 12, end - begin)
+        last = np.repeat(end, end - begin)
+        for step in range(1, 12):
+            i = np.flatnonzero(small & (np.arange(len(grp)) + step < last))
+            if not len(i):
+                break
+            i = i[~((side[i] == MEMBER) & (side[i + step] == MEMBER))]
+            keep = i[near(marks, n, i, i + step)]
+            lefts.append(keep)
+            rights.append(keep + step)
+        for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+            if b - a > 12:
+                pairs = _joined(b - a, side[a:b], lambda x, others, a=a: near(marks, n, np.full(len(others), a + x), a + others))
+                lefts.append(np.array([x for x, _ in pairs], np.int64) + a)
+                rights.append(np.array([y for _, y in pairs], np.int64) + a)
+        none = [np.zeros(0, np.int64)]
+        return at[np.concatenate(lefts + none)], at[np.concatenate(rights + none)]
+
+    return settle
+
+
+def _by_sets(words: int, percent: int):
+    """Relation of members of a candidate component: their sets, made from the texts, are similar."""
+
+    def settle(table: pa.Table, grp: np.ndarray, node: np.ndarray, side: np.ndarray):
+        sets = list(word_sets(table.column("text"), words))
+        n = np.array([len(x) for x in sets])
+        # A text that came by another row's key isn't of this set.
+        real = [digest_of(x) == (d1, d2) for x, d1, d2 in zip(sets, table.column("digest").to_pylist(), table.column("twin").to_pylist(), strict=True)]
+        at = np.flatnonzero(real)
+        at = at[_once(grp[at], node[at])]
+        lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        begin, end = _groups(grp[at])
+        for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+            rows = at[a:b]
+            own, count = [sets[i] for i in rows.tolist()], n[rows]
+            marks = Marks([parity_marks(x, WIDE).tobytes() for x in own]) if b - a > 8 else None
+
+            def similar(x: int, others: np.ndarray, own=own, count=count, marks=marks) -> np.ndarray:
+                total = count[others] + count[x]
+                shared = -(-percent * total // (100 + percent))
+                out = np.zeros(len(others), bool)
+                left = np.flatnonzero(shared <= np.minimum(count[others], count[x]))
+                if marks is not None:
+                    left = left[marks.least_difference(np.full(len(left), x), others[left]) <= (total - 2 * shared)[left]]
+                for part in np.array_split(left, max(1, int(count[others[left]].sum()) // 1_000_000)):
+                    if len(part):
+                        each = np.concatenate([own[i] for i in others[part].tolist()])
+                        place = np.searchsorted(own[x], each)
+                        place[place == count[x]] = 0
+                        bounds = np.concatenate(([0], np.cumsum(count[others[part]])[:-1]))
+                        both = np.add.reduceat((own[x][place] == each).astype(np.int64), bounds)
+                        out[part] = 100 * both >= percent * (total[part] - both)
+                return out
+
+            pairs = _joined(b - a, side[rows], similar)
+            lefts.append(rows[[x for x, _ in pairs]])
+            rights.append(rows[[y for _, y in pairs]])
+        return np.concatenate(lefts), np.concatenate(rights)
+
+    return settle
+
+
+def _related(rows: DataFrame, settle: Callable, most: int, cells: int) -> list[DataFrame]:
+    """(a, b) links that join the related nodes of every group, in one or two tables.
+
+    `rows` has grp, node, size (of the whole group, in any unit) and what `settle` reads. Groups up to `most` are
+    settled whole, many to a cell. A larger one is dealt over cells by node; each cell also gets the group's
+    heads, so members related to one of them are joined in linear work. Nodes that stay outside the
+    group's largest part are then held against all its nodes, a block of them in each cell.
+    """
+    kind = "a long, b long"
+    cell = F.col("cell")
+    whole = rows.where(F.col("size") <= most).withColumn("side", F.lit(OWN)).withColumn("cell", F.pmod(F.xxhash64("grp"), F.lit(cells)))
+    out = [whole.groupBy(cell).applyInArrow(_cell(settle), kind)]
+    large = rows.where(F.col("size") > most)
+    if not large.take(1):
+        return out
+    blocks = F.ceil(F.col("size") / most).cast("int")
+    members = large.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("side", F.lit(MEMBER))
+    heads = large.groupBy("grp", F.pmod(F.xxhash64("node"), F.lit(HEADS)).alias("slot")).agg(F.min("node").alias("node")).select("grp", "node")
+    heads = large.join(heads, ["grp", "node"]).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("side", F.lit(HEAD))
+    dealt = members.unionByName(heads).withColumn("cell", F.xxhash64("grp", "block"))
+    first = stored(dealt.groupBy(cell).applyInArrow(_cell(settle), kind), "links")
+    parts = components(first)
+    placed = large.select("grp", "node").join(parts, "node", "left").select("grp", "node", F.coalesce("component", "node").alias("part"))
+    core = placed.groupBy("grp", "part").agg(F.count("*").alias("many")).groupBy("grp").agg(F.max_by("part", F.struct("many", "part")).alias("core"))
+    outside = stored(placed.join(core, "grp").where("part <> core").select("grp", "node"), "outside")
+    out.append(first)
+    if outside.take(1):
+        own = large.join(outside, ["grp", "node"])
+        sizes = outside.groupBy("grp").agg(F.count("*").alias("left"))
+        slices = F.ceil(F.col("left") / LEFT_ROWS).cast("int")
+        own = own.join(sizes, "grp").withColumn("slice", F.pmod(F.xxhash64("node", F.lit(1)), slices)).drop("left")
+        own = own.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("side", F.lit(HEAD))
+        every = members.join(sizes, "grp").withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("left")
+        dealt = every.unionByName(own).withColumn("cell", F.xxhash64("grp", "block", "slice"))
+        out.append(stored(dealt.groupBy(cell).applyInArrow(_cell(settle), kind), "links"))
+    discard(outside, parts)
+    return out
+
+
+def _row_key(documents: DataFrame) -> Column:
+    """64-bit key of a row's doc_id and text, never null; rows equal in both share it."""
+    return F.xxhash64(documents["doc_id"].cast("long"), documents["text"].cast("string"))
 
 
 def _row_classes(documents: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, row, class) of every document, stored; the class is a node of its component."""
+    """(doc_id, n, row, class) of every document, stored; the class is the number of a row of its component."""
     if percent <= 100 / BAND_RATIO:
         raise ValueError(f"percent must exceed {100 / BAND_RATIO:g}: partners further apart than one size band aren't searched")
     spark = documents.sparkSession
-    docs = documents.select("doc_id", "text")
+    docs = documents.select(documents["doc_id"].cast("long").alias("doc_id"), documents["text"].cast("string").alias("text"))
     keyed = docs.withColumn("row", _row_key(docs))
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    emitted = stored(keyed.mapInArrow(_emit(words, percent, buckets), "doc_id long, n long, node long, row long, bucket int, entries binary"), "entries")
-    nodes = stored(emitted.where("bucket IS NULL").select("doc_id", "n", "node", "row"), "nodes")
-    entries = emitted.where("bucket IS NOT NULL").select("bucket", "entries")
-    members = stored(entries.groupBy("bucket").applyInArrow(_shared_keys, "k long, node long, n int"), "members")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    emitted = stored(keyed.mapInArrow(_emit(words, percent, buckets), "doc_id long, n long, node long, twin long, mark binary, row long, ord long, bucket int, keys binary, nodes binary"), "entries")
+    nodes = stored(emitted.where("bucket IS NULL").drop("bucket", "keys", "nodes"), "nodes")
+    entries = emitted.where("bucket IS NOT NULL").select("bucket", "keys", "nodes")
+    members = stored(entries.groupBy("bucket").applyInArrow(_shared_keys, "grp long, node long, size long"), "members")
     discard(emitted)
-    sets = _candidate_sets(docs, members, nodes, words)
-    parts = sets.select("node", F.col("node").alias("component"))
-    linked, tried, done = None, None, [members, sets]
-    for step, choose in enumerate(ROUNDS):
-        star = choose == "star"
-        open_keys = members.select("k", "node")
-        if step:
-            apart = open_keys.join(parts, "node").groupBy("k").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("k")
-            open_members = members.join(apart, "k")
-        else:
-            open_members = members
-        marks = sets.select("node", F.col("narrow" if star else "wide").alias("mark"))
-        described = open_members.join(parts.join(marks, "node"), "node")
-        dealt = described.withColumn("bucket", F.pmod(F.xxhash64("k"), F.lit(buckets)))
-        found = dealt.select("bucket", "k", "node", "n", "component", "mark").groupBy("bucket").applyInArrow(_pair_up(percent, choose), "a long, b long, weight long")
-        if star:
-            pairs = found.groupBy("a").agg(F.max(F.struct("weight", "b")).alias("w")).select("a", F.col("w.b").alias("b"))
-        else:
-            pairs = found.select("a", "b")
-        pairs = pairs.withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")}).dropDuplicates(["x", "y"])
-        if tried is not None:
-            pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        done.append(pairs)
-        if pairs.take(1):
-            similar = stored(verify(pairs.select("a", "b"), sets, percent), "links")
-            done += [similar, parts]
-            linked = similar if linked is None else linked.unionByName(similar)
-            tried = pairs.select("x", "y") if tried is None else tried.unionByName(pairs.select("x", "y"))
-            grouped = components(linked)
-            parts = stored(sets.select("node").join(grouped, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "parts")
-    by_node = nodes.join(parts, "node", "left").select("doc_id", "n", "row", F.coalesce("component", "node").alias("class"))
+    # One representative of each set: the least of its rows, and for the text a row that is alone in its key if there is one.
+    by_row = nodes.where("n > 0").groupBy("node", "twin", "row").agg(F.count("*").alias("times"), F.min("ord").alias("rep"), F.first("n").alias("n"), F.first("mark").alias("mark"))
+    reps = by_row.groupBy("node", "twin").agg(F.min("rep").alias("rep"), F.min(F.struct("times", "row")).alias("text_row"), F.first("n").alias("n"), F.first("mark").alias("mark"))
+    reps = stored(reps.select("node", "twin", "rep", "text_row.row", "text_row.times", "n", "mark"), "sets")
+    marked = members.join(reps.select("node", "rep", "n", "mark"), "node").select("grp", F.col("rep").alias("node"), "size", "n", "mark")
+    near = _related(marked, _by_marks(percent), KEY_ROWS, 2 * buckets)
+    candidates = components(_union(near))
+    described = candidates.join(reps.withColumnRenamed("node", "digest"), F.col("node") == F.col("rep"))
+    described = described.select(F.col("component").alias("grp"), "node", "digest", "twin", "row", "times", "n")
+    sizes = described.groupBy("grp").agg(F.sum("n").alias("size"))
+    wanted = stored(described.join(sizes, "grp").drop("n"), "candidates")
+    elements = sizes.agg(F.sum("size")).first()[0] or 0
+    discard(members, candidates, *near)
+    linked = _related(_with_texts(docs, wanted), _by_sets(words, percent), CELL_ELEMENTS, max(buckets, int(elements // CELL_ELEMENTS) + 1))
+    joined = components(_union(linked))
+    classes = reps.select("node", "twin", "rep").join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left").select("node", "twin", F.coalesce("component", "rep").alias("class"))
+    by_node = nodes.join(classes, ["node", "twin"], "left").select("doc_id", "n", "row", F.coalesce("class", "ord").alias("class"))
     by_node = stored(by_node, "classes")
-    discard(*done, parts, nodes)
+    discard(nodes, reps, wanted, joined, *linked)
     return by_node
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The wanted sets with the text of one of their rows each.
+
+    The list of rows grows with the data, so it isn't broadcast; it is the side that is hashed, and texts aren't sorted.
+    """
+    keyed = docs.select("text", _row_key(docs).alias("row"))
+    columns = ("grp", "node", "size", "digest", "twin")
+
+    def texts(some: DataFrame) -> DataFrame:
+        return keyed.join(some.drop("times").hint("shuffle_hash"), "row").select(*columns, "text")
+
+    rows = texts(wanted.where("times = 1"))
+    repeated = wanted.where("times > 1")
+    if repeated.take(1):
+        rows = rows.unionByName(texts(repeated).groupBy(*columns, F.md5("text").alias("_md5")).agg(F.first("text").alias("text")).drop("_md5"))
+    return rows
+
+
 def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document.
 
@@ -480,11 +534,8 @@ def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) ->
     rows repeat or share a doc_id; rows with a null one are linked like others but never name a class (null
     where a class has no other). Other columns are ignored; an empty table gives no rows.
 
-    Links are searched in rounds. A star round verifies for each node the most central partner among the
-    pivots of its keys; forest rounds verify pairs that would join what isn't joined yet; the last round
-    verifies every pair that shares a key, isn't in one component yet and can't be ruled out by sizes
-    and marks. Only pairs whose outcome can't change the
-    components are left out.
+    Sets that share a key and aren't ruled out by their sizes and marks form candidate components; inside
+    each, sets are compared exactly until no pair is left whose outcome could change the components.
     """
     by_node = _row_classes(documents, words, percent)
     empty = F.col("n") == 0

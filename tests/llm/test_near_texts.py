@@ -51,6 +51,32 @@ def test_equals_brute_force(spark, words, percent):
     assert got == brute.near_texts(rows, words, percent)
 
 
+@pytest.mark.parametrize("left", (1, 1000))
+def test_large_groups_are_dealt_over_cells(spark, monkeypatch, left):
+    """Keys of more than 3 sets and components of more than 400 elements go the way of large groups."""
+    for name, value in (("KEY_ROWS", 3), ("CELL_ELEMENTS", 400), ("LEFT_ROWS", left), ("HEADS", 2)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(i, " ".join(edited(rng, base, 0.05))) for i in range(40)] + corpus(9)[:150]
+    rows = [(k, t) for k, (_, t) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_classes(df, 4, 85).collect()}
+    assert got == brute.near_texts(rows)
+
+
+def test_parts_of_one_size_are_compared():
+    """Every order of links must end in the components of the relation, whichever part is the largest meanwhile."""
+    rng = np.random.default_rng(4)
+    for _ in range(400):
+        m = int(rng.integers(1, 14))
+        related = np.triu(rng.random((m, m)) < rng.choice([0.05, 0.15, 0.3]), 1)
+        related = related | related.T
+        pairs = jaccard._joined(m, np.zeros(m, np.int64), lambda x, others, r=related: r[x, others])
+        assert all(related[p] for p in pairs) and len(pairs) < m
+        assert brute.components(range(m), pairs) == brute.components(range(m), list(zip(*np.nonzero(related), strict=True)))
+
+
 def test_documents(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.collect()]
