@@ -77,22 +77,26 @@ def lookup_filter(**lookups: Any) -> Column:
     return all_of(*parts)
 
 
+def live_rows_sql(df: DataFrame) -> str | None:
+    """The predicate of `live_rows` as SQL text; none without flags."""
+    parts = []
+    deleted = next((f.name for f in df.schema if "deleted" in f.name.lower()), None)
+    if deleted is not None:
+        parts.append(f"`{deleted}` IS NULL")
+    for f in df.schema:
+        if isinstance(f.dataType, T.BooleanType) and f.name.lower() in ("disabled", "archived", "active", "enabled"):
+            parts.append(f"`{f.name}` = {'false' if f.name.lower() in ('disabled', 'archived') else 'true'}")
+    return " AND ".join(parts) or None
+
+
 def live_rows(df: DataFrame) -> Column:
     """Rows that no flag marks as gone.
 
     The first column whose name contains `deleted` must be null; boolean `disabled` and `archived`
     must be false, `active` and `enabled` true. A null flag doesn't pass.
     """
-    parts = []
-    deleted = next((f.name for f in df.schema if "deleted" in f.name.lower()), None)
-    if deleted is not None:
-        parts.append(F.col(f"`{deleted}`").isNull())
-    for f in df.schema:
-        if isinstance(f.dataType, T.BooleanType) and f.name.lower() in ("disabled", "archived"):
-            parts.append(F.col(f"`{f.name}`") == F.lit(False))
-        elif isinstance(f.dataType, T.BooleanType) and f.name.lower() in ("active", "enabled"):
-            parts.append(F.col(f"`{f.name}`") == F.lit(True))
-    return all_of(*parts)
+    text = live_rows_sql(df)
+    return F.lit(True) if text is None else F.expr(text)
 
 
 def where_sql(df: DataFrame, predicate: str | None) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -42,10 +41,15 @@ def validate_mapping(left: DataFrame, right: DataFrame, key: str, mappings: dict
             F.struct(
                 F.lit(a).alias("left_col"), F.lit(b).alias("right_col"), F.count("*").alias("rows"), F.count_if(same).alias("matches"),
                 F.avg(F.when(same, 1.0).otherwise(0.0)).alias("match_ratio"), F.count_if(x.isNull()).alias("null_count"),
-                F.count_distinct(x).alias("unique_count"), F.min(x).cast("string").alias("min_value"), F.max(x).cast("string").alias("max_value"),
+                F.min(x).cast("string").alias("min_value"), F.max(x).cast("string").alias("max_value"),
             )
         )
     done = pairs.agg(F.array(*cells).alias("m")).select(F.explode("m").alias("m")).select("m.*")
+    # Distinct values by unpivot and two groupings: a count of distinct values per mapping in one aggregate would multiply the rows.
+    values = pairs.select(*(F.col(f"l{i}").cast("string").alias(f"{i}") for i in range(len(known)))).unpivot([], [_q(str(i)) for i in range(len(known))], "place", "value")
+    distinct = values.where("value IS NOT NULL").groupBy("place", "value").agg(F.lit(1)).groupBy("place").agg(F.count("*").alias("unique_count"))
+    place = F.array_position(F.array(*map(F.lit, known)), F.col("left_col")) - 1
+    done = done.join(distinct, place == F.col("place"), "left").withColumn("unique_count", F.coalesce("unique_count", F.lit(0).cast("long")))
     done = done.withColumns({"verdict": verdict(F.coalesce("match_ratio", F.lit(0.0))), "error": F.lit(None).cast("string")})
     return done.select(*failed.columns).unionByName(failed)
 
@@ -85,8 +89,8 @@ def check_constraints(df: DataFrame, constraints: dict[str, dict]) -> DataFrame:
                 groups = df.groupBy(_q(c).alias("k")).agg(F.count("*").alias("n"))
                 extra = F.when(F.col("k").isNotNull(), F.col("n") - 1).otherwise(F.col("n") if rule == "primary_key" else 0)
                 parts.append(groups.agg(F.coalesce(F.sum(extra), F.lit(0)).alias("violations")).select(F.lit(c).alias("column_name"), F.lit(rule).alias("rule"), "violations"))
-    out = parts[0]
-    for p in parts[1:]:
+    out = df.sparkSession.createDataFrame([], "column_name string, rule string, violations long")
+    for p in parts:
         out = out.unionByName(p)
     return out
 
@@ -123,10 +127,3 @@ def schema_drift(old: DataFrame, new: DataFrame) -> DataFrame:
     both = a.join(b, "field", "full_outer")
     change = F.when(F.col("p1").isNull(), "added").when(F.col("p2").isNull(), "removed").when(F.col("t1") != F.col("t2"), "retyped").when(F.col("p1") != F.col("p2"), "moved")
     return both.select("field", change.alias("change"), "t1", "t2").where(F.col("change").isNotNull())
-
-
-def schema_hash(schema: dict) -> str:
-    """SHA-256 of a schema's canonical JSON."""
-    import hashlib
-
-    return hashlib.sha256(json.dumps(schema, sort_keys=True, default=str).encode()).hexdigest()

@@ -7,10 +7,8 @@ A schema is {"name": ..., "fields": {position: {"name", "type", "alias", "python
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
-from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,12 +125,13 @@ def named_view(df: DataFrame, schema: dict, view: str | None = None) -> DataFram
     return out
 
 
-def load_schemas(path: str) -> dict[str, dict]:
-    """Schemas of one JSON (or, where PyYAML is there, YAML) file, or of a folder's `*-schema.*` files."""
+def load_schemas(spark: SparkSession, path: str) -> dict[str, dict]:
+    """Schemas of one JSON (or, where PyYAML is there, YAML) file, or of a folder's `*-schema.*` files, wherever Spark can read."""
+    whole = path if path.rsplit(".", 1)[-1] in ("json", "yaml", "yml") else f"{path.rstrip('/')}/*-schema.*"
+    files = spark.read.text(whole, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value").orderBy("path").collect()
     out: dict[str, dict] = {}
-    for p in sorted(Path(path).glob("*-schema.*")) if Path(path).is_dir() else [Path(path)]:
-        text = p.read_text(encoding="utf-8")
-        if p.suffix == ".json":
+    for path, text in files:
+        if path.endswith(".json"):
             data = json.loads(text)
         else:
             import yaml
@@ -143,6 +142,15 @@ def load_schemas(path: str) -> dict[str, dict]:
     return out
 
 
+def read_with_schema(spark: SparkSession, path: str, schema: dict, kind: str = "parquet", rows: str | None = None, **options) -> DataFrame:
+    """A positional table read by its schema: names, types and transformers of every described position.
+
+    `rows` names an array column that holds the positions; otherwise the file's columns stand in order.
+    """
+    df = spark.read.options(**options).format(kind).load(path)
+    return transform_fields(map_positions(df, schema, rows), schema)
+
+
 def infer_schema(df: DataFrame, overrides: dict[int, str] | None = None, name: str = "table") -> dict:
     """A schema from types and meanings found in the data; `overrides` name positions by hand."""
     from .profile import classify_columns
@@ -151,8 +159,3 @@ def infer_schema(df: DataFrame, overrides: dict[int, str] | None = None, name: s
     for r in classify_columns(df).orderBy("position").collect():
         fields[r.position] = {"name": (overrides or {}).get(r.position, r.inferred_name), "type": r.inferred_type}
     return {"name": name, "fields": fields, "total": len(df.columns)}
-
-
-def on_column(function: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    """Marks a Column function as a field transformer or validator."""
-    return function

@@ -60,18 +60,24 @@ def bulk_insert(target: DataFrame, rows: DataFrame, key: str, on_conflict: str =
 def upsert(target: DataFrame, rows: DataFrame, key: str, order: str | None = None, partial: bool = False, now: Column | None = None) -> DataFrame:
     """The table after a batch: known keys are updated, their version raised once per row; new keys start at 1 per row.
 
-    Columns that the batch lacks stay as stored (null for new keys). One full outer join on the key.
+    With `order` the greater of the stored and the incoming row by (order, row) stays, so batches may come in any
+    order; without it the incoming row wins. Columns that the batch lacks stay as stored (null for new
+    keys). One full outer join on the key.
     """
     new = per_key(rows, key, order)
     stored, fresh = target.alias("o"), new.alias("n")
-    joined = stored.join(fresh, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
+    joined = stored.join(fresh, F.col(f"o.`{key}`") == F.col(f"n.`{key}`"), "full_outer")
     hit = F.col("n._rows").isNotNull()
-    out = [F.when(hit, F.col(f"n.`{c}`")).otherwise(F.col(f"o.`{c}`")).alias(c) if c in rows.columns else F.col(f"o.`{c}`").alias(c) for c in _data(target)]
+    both = [c for c in ([order] if order in target.columns else []) + _data(target) if c in rows.columns]
+    rank = {side: F.struct(*(F.col(f"{side}.`{c}`").alias(f"c{i}") for i, c in enumerate(both))) for side in "on"}
+    late = hit & F.col("o._sync_version").isNotNull() & (rank["n"] < rank["o"]) if order else F.lit(False)
+    taken = hit & ~late
+    out = [F.when(taken, F.col(f"n.`{c}`")).otherwise(F.col(f"o.`{c}`")).alias(c) if c in rows.columns else F.col(f"o.`{c}`").alias(c) for c in _data(target)]
     return joined.select(
         *out,
         F.when(hit, now if now is not None else F.current_timestamp()).otherwise(F.col("o._synced_at")).alias("_synced_at"),
         (F.coalesce("o._sync_version", F.lit(0)) + F.coalesce("n._rows", F.lit(0))).cast("long").alias("_sync_version"),
-        F.when(hit, F.lit(partial)).otherwise(F.col("o._is_partial")).alias("_is_partial"),
+        F.when(taken, F.lit(partial)).otherwise(F.col("o._is_partial")).alias("_is_partial"),
     )
 
 

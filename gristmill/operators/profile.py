@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -9,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.predicates import live_rows_sql
+
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -103,31 +106,43 @@ def _fits(c: Column, kind: str) -> Column:
     return c.try_cast({"integer": "bigint", "float": "double"}[kind]).isNotNull()
 
 
+def _share(test) -> Callable[[Column], Column]:
+    """Share of the non-null values that pass a test; null without values."""
+    return lambda c: F.avg(F.when(c.isNotNull(), F.when(test(c.cast("string")), 1.0).otherwise(0.0)))
+
+
+def _kind_shares() -> dict:
+    return {k: _share(lambda c, k=k: _fits(c, k)) for k in _KINDS} | {"present": F.count}
+
+
+def _kind() -> Column:
+    kind = reduce(lambda later, k: F.when(F.col(k) == 1.0, k).otherwise(later), _KINDS[::-1], F.lit("string"))
+    return F.when(F.col("present") == 0, "unknown").otherwise(kind)
+
+
+def _place(df: DataFrame) -> Column:
+    return F.array_position(F.array(*map(F.lit, df.columns)), F.col("column_name")).cast("int") - 1
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """(position, column_name, inferred_type): the narrowest type that all non-null values fit; unknown without values."""
-    shares = {k: (lambda c, k=k: F.avg(F.when(c.isNotNull(), F.when(_fits(c.cast("string"), k), 1.0).otherwise(0.0)))) for k in _KINDS}
-    rows = _per_column(df, df.columns, shares | {"present": F.count})
-    kind = reduce(lambda later, k: F.when(F.col(k) == 1.0, k).otherwise(later), _KINDS[::-1], F.lit("string"))
-    place = F.array_position(F.array(*map(F.lit, df.columns)), F.col("column_name")).cast("int") - 1
-    return rows.select(place.alias("position"), "column_name", F.when(F.col("present") == 0, "unknown").otherwise(kind).alias("inferred_type"))
+    return _per_column(df, df.columns, _kind_shares()).select(_place(df).alias("position"), "column_name", _kind().alias("inferred_type"))
 
 
 def classify_columns(df: DataFrame, threshold: float = 0.9) -> DataFrame:
     """(position, column_name, inferred_type, inferred_name): what each column means, over all its values.
 
-    A meaning holds if at least `threshold` of the non-null values show it. Repeated names get `_<position>`.
+    A meaning holds if at least `threshold` of the non-null values show it. Repeated names get `_<position>`. Types
+    and meanings come from one aggregate over the table.
     """
 
-    def share(test):
-        return lambda c: F.coalesce(F.avg(F.when(c.isNotNull(), F.when(test(F.trim(c.cast("string"))), 1.0).otherwise(0.0))), F.lit(0.0))
-
     def phone(c):
         clean = F.regexp_replace(c, r"[ ()-]", "")
         return clean.rlike(PHONE) & ~clean.rlike(EIGHT_DIGITS)
 
     tests = {"email": lambda c: c.rlike(EMAIL), "url": lambda c: c.rlike(URL), "uuid": lambda c: F.lower(c).rlike(UUID), "phone": phone}
-    shown = _per_column(df, df.columns, {k: share(t) for k, t in tests.items()})
-    kinds = infer_types(df)
+    shown = {k: _share(lambda c, t=t: t(F.trim(c))) for k, t in tests.items()}
+    kinds = _per_column(df, df.columns, _kind_shares() | shown).na.fill(0.0, list(tests)).select("column_name", *tests, _place(df).alias("position"), _kind().alias("inferred_type"))
     numbers = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     p, kind, own = F.col("position"), F.col("inferred_type"), F.concat(F.lit("Field_"), F.col("position"))
     name = (
@@ -143,7 +158,7 @@ def classify_columns(df: DataFrame, threshold: float = 0.9) -> DataFrame:
         .when(kind == "date", F.concat(F.lit("date_"), p))
         .otherwise(own)
     )
-    named = kinds.join(shown, "column_name").select("position", "column_name", "inferred_type", name.alias("n"))
+    named = kinds.select("position", "column_name", "inferred_type", name.alias("n"))
     again = F.row_number().over(Window.partitionBy("n").orderBy("position")) > 1
     return named.select("position", "column_name", "inferred_type", F.when(again, F.concat_ws("_", "n", "position")).otherwise(F.col("n")).alias("inferred_name"))
 
@@ -166,17 +181,32 @@ def ingest_policy(metadata: DataFrame) -> DataFrame:
     )
 
 
+#: Column names that tell when a row was last changed.
 UPDATE_NAMES = ("updated_at", "modified_at", "update_time")
 
 
+def policy_metadata(df: DataFrame, name: str) -> DataFrame:
+    """One row for `ingest_policy`: table_name, row_count, has_update_time, incremental_field and the predicate of live rows as SQL text."""
+    update = next((c for c in df.columns if c.lower() in UPDATE_NAMES), None)
+    return df.agg(F.count("*").alias("row_count")).select(
+        F.lit(name).alias("table_name"),
+        "row_count",
+        F.lit(update is not None).alias("has_update_time"),
+        F.lit(update).cast("string").alias("incremental_field"),
+        F.lit(live_rows_sql(df)).cast("string").alias("where"),
+    )
+
+
 def introspect_all(tables: dict[str, DataFrame], job=profile, at_once: int = 3) -> dict[str, DataFrame | str]:
-    """A job per table, a few at a time; a table that fails gives its error text instead of a DataFrame."""
+    """A job per table, a few at a time; a table that fails, also while it runs, gives its error text instead of a DataFrame.
+
+    Results are profiles: a row per table or column, held on the driver.
+    """
 
     def one(df: DataFrame):
         try:
             out = job(df)
-            out.schema  # noqa: B018  analysis errors show here
-            return out
+            return out.sparkSession.createDataFrame(out.collect(), out.schema)
         except Exception as e:  # one table must not end the others
             return f"{type(e).__name__}: {e}"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import all_of
+from .mapping import fields_of, output_name
 
 
 def pick_fields(df: DataFrame, include: list[str] | None = None, exclude: list[str] | None = None) -> DataFrame:
@@ -14,13 +14,6 @@ def pick_fields(df: DataFrame, include: list[str] | None = None, exclude: list[s
     return df.select(*(F.col(f"`{c}`") for c in keep))
 
 
-def join_chain(first: DataFrame, *steps: tuple[DataFrame, Column | list[Column], str]) -> DataFrame:
-    """Fold of joins; each step is (right side, condition or conditions, kind)."""
-    for right, on, how in steps:
-        first = first.join(right, all_of(*on) if isinstance(on, list) else on, how)
-    return first
-
-
 def without_match(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
     """Rows of the left side that have no partner."""
     return left.join(right, on, "left_anti")
@@ -43,6 +36,24 @@ def join_related(df: DataFrame, related: DataFrame, key: str, related_key: str,
     return df.join(side, F.col(key) == F.col("_related"), "left").drop("_related")
 
 
+def join_declared(df: DataFrame, schema: dict, tables: dict[str, DataFrame], schemas: dict[str, dict] | None = None) -> DataFrame:
+    """The table with every relationship that schemas declare.
+
+    A field with foreign_key "table.column" adds that row as a struct named after the table; with `schemas`, tables whose
+    foreign keys point here are added as arrays of structs named `<table>_list`. Tables that aren't given are left out.
+    """
+    for p, f in sorted(fields_of(schema).items()):
+        table, _, column = str(f.get("foreign_key") or "").partition(".")
+        if column and table in tables:
+            df = join_related(df, tables[table], output_name(schema, p), column, table)
+    for name, other in (schemas or {}).items():
+        for p, f in sorted(fields_of(other).items()):
+            table, _, column = str(f.get("foreign_key") or "").partition(".")
+            if column and table == schema["name"] and name in tables:
+                df = join_related(df, tables[name], column, output_name(other, p), f"{name}_list", many=True)
+    return df
+
+
 def page(df: DataFrame, order_by: list[str], offset: int, limit: int) -> DataFrame:
     return df.orderBy(*order_by).offset(offset).limit(limit)
 

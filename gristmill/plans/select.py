@@ -165,11 +165,38 @@ def default_order(spec: dict) -> list[str]:
     return ["id"] if limited and plain and wanted and not spec.get("group_by") and not _is_aggregate(data) and not spec.get("order_by") else []
 
 
+def _not_in(node: Any) -> tuple[Any, dict] | None:
+    """(column, subquery) of NOT IN with a subquery; none for anything else."""
+    inner = _list(node["not"])[0] if isinstance(node, dict) and "not" in node else None
+    if not isinstance(inner, dict) or "in" not in inner:
+        return None
+    rest = inner["in"][1:]
+    if len(rest) == 1 and isinstance(rest[0], (list, tuple)):
+        rest = rest[0]
+    return (inner["in"][0], rest[0].get("select", rest[0])) if len(rest) == 1 and isinstance(rest[0], dict) else None
+
+
+def _filtered(df: DataFrame, where: Any, tables: Tables) -> DataFrame:
+    """Rows for which the predicate holds.
+
+    NOT IN with a subquery, alone or joined by AND, becomes an anti join and a check for nulls on either side, because
+    Spark plans the predicate itself as a join that broadcasts the whole subquery.
+    """
+    if where is None:
+        return df
+    parts = where["and"] if isinstance(where, dict) and "and" in where else [where]
+    plain = [x for x in parts if _not_in(x) is None]
+    for x in parts:
+        if (found := _not_in(x)) is not None:
+            key, sub = column(found[0], tables), run_select(found[1], tables).toDF("_in")
+            figures = sub.agg(F.struct(F.count("*").alias("n"), F.count_if(F.col("_in").isNull()).alias("nulls")).alias("f")).scalar()
+            df = df.join(sub, key == F.col("_in"), "left_anti").where((figures["n"] == 0) | (key.isNotNull() & (figures["nulls"] == 0)))
+    return df.where(P.all_of(*(column(x, tables) for x in plain))) if plain else df
+
+
 def run_select(spec: dict, tables: Tables) -> DataFrame:
     """from → where → group and having → data → distinct → order → offset and limit."""
-    df = _from(spec["from"], tables)
-    if spec.get("where") is not None:
-        df = df.where(column(spec["where"], tables))
+    df = _filtered(_from(spec["from"], tables), spec.get("where"), tables)
     data = _list(spec.get("data", "*"))
     distinct = bool(spec.get("distinct")) or any(isinstance(x, dict) and x.get("function") == "distinct" for x in data)
     keys = _list(spec.get("group_by") or [])

@@ -12,32 +12,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from .state import delete_folder, shared_folder
+
 CHUNK_ROWS = 5000
 
 
-def id_chunks(df: DataFrame, key: str, size: int = CHUNK_ROWS) -> DataFrame:
-    """`_chunk` by key range: floor((key - least key) / size). One small aggregate, no shuffle of rows."""
-    low = df.agg(F.min(key)).scalar()
+def id_chunks(df: DataFrame, key: str, size: int = CHUNK_ROWS, origin=None) -> DataFrame:
+    """`_chunk` by key range: floor((key - origin) / size); the origin is the least key unless given. No shuffle of rows."""
+    low = df.agg(F.min(key)).scalar() if origin is None else F.lit(origin)
     return df.withColumn("_chunk", F.floor((F.col(key) - low) / size).cast("long"))
 
 
 def offset_chunks(df: DataFrame, order_by: list[str], size: int = CHUNK_ROWS) -> DataFrame:
     """`_chunk` by place in the order: rows are numbered inside range partitions, whose sizes are then added up.
 
-    Only one row per partition is summed over all; no task sees all rows.
+    The range partitions are written first, one file each: worked out twice, their bounds could differ.
+    Only one row per file is summed over all; no task sees all rows. Rows that tie have no order between them.
     """
-    ranged = df.repartitionByRange(*order_by).withColumn("_part", F.spark_partition_id())
-    order = Window.partitionBy("_part").orderBy(*order_by)
-    numbered = ranged.withColumn("_row", F.row_number().over(order))
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("n"))
-    before = sizes.select("_part", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    placed = numbered.join(F.broadcast(before), "_part")
-    return placed.withColumn("_chunk", F.floor((F.col("_before") + F.col("_row") - 1) / size).cast("long")).drop("_part", "_row", "_before")
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, "ranges")
+    df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).write.parquet(path)
+    ranged = spark.read.schema(df.schema).parquet(path).withColumn("_file", F.col("_metadata.file_name"))
+    numbered = ranged.withColumn("_row", F.row_number().over(Window.partitionBy("_file").orderBy(*order_by)))
+    sizes = ranged.groupBy("_file").agg(F.count("*").alias("n"), F.min(F.struct(*(F.col(c) for c in order_by))).alias("first"))
+    before = Window.orderBy("first", "_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    placed = numbered.join(F.broadcast(sizes), "_file")
+    return placed.withColumn("_chunk", F.floor((F.col("_before") + F.col("_row") - 1) / size).cast("long")).select(*df.columns, "_chunk")
 
 
 def chunk_manifest(chunked: DataFrame) -> DataFrame:
-    """(chunk, rows) of a chunked table."""
-    return chunked.groupBy(F.col("_chunk").alias("chunk")).agg(F.count("*").alias("rows"))
+    """(chunk, rows, checksum) of a chunked table; the checksum doesn't depend on the order of rows."""
+    data = [F.col(f"`{f.name}`") for f in chunked.schema if f.name != "_chunk" and not isinstance(f.dataType, T.MapType)]
+    return chunked.groupBy(F.col("_chunk").alias("chunk")).agg(F.count("*").alias("rows"), F.bit_xor(F.xxhash64(*data)).alias("checksum"))
 
 
 def pending(chunked: DataFrame, done: DataFrame) -> DataFrame:
@@ -45,11 +51,11 @@ def pending(chunked: DataFrame, done: DataFrame) -> DataFrame:
     return chunked.join(done.select(F.col("chunk").alias("_chunk")).distinct(), "_chunk", "left_anti")
 
 
-def json_arrays(chunked: DataFrame) -> DataFrame:
-    """One JSON array per chunk, rows in order of their fields; a chunk's rows are bounded by its size."""
-    data = [c for c in chunked.columns if c != "_chunk"]
-    row = F.struct(*(F.col(f"`{c}`") for c in data))
-    return chunked.groupBy("_chunk").agg(F.to_json(F.array_sort(F.collect_list(row)), {"ignoreNullFields": "false"}).alias("value"))
+def json_arrays(chunked: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    """One JSON array per chunk, rows in the order given, else of their fields; a chunk's rows are bounded by its size."""
+    row = F.struct(*(F.col(f"`{c}`") for c in chunked.columns if c != "_chunk"))
+    rank = F.struct(F.struct(*(F.col(f"`{c}`") for c in order_by or [])).alias("o"), row.alias("r")) if order_by else F.struct(row.alias("r"))
+    return chunked.groupBy("_chunk").agg(F.to_json(F.array_sort(F.collect_list(rank))["r"], {"ignoreNullFields": "false"}).alias("value"))
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -58,11 +64,11 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.select(*(F.to_json(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`") for f in df.schema))
 
 
-def write_chunks(chunked: DataFrame, path: str, kind: str, gzip: bool = False) -> None:
-    """Files of each chunk under `_chunk=<n>`; chunks are written in parallel, and only those given are replaced."""
-    parts = chunked.repartition("_chunk")
+def write_chunks(chunked: DataFrame, path: str, kind: str, gzip: bool = False, order_by: list[str] | None = None) -> None:
+    """Files of each chunk under `_chunk=<n>`, rows in order; chunks are written in parallel, and only those given are replaced."""
+    parts = chunked.repartition("_chunk").sortWithinPartitions("_chunk", *(order_by or []))
     if kind == "json":
-        writer, fmt = json_arrays(chunked).write, "text"
+        writer, fmt = json_arrays(chunked, order_by).write, "text"
     else:
         writer, fmt = (_flat(parts) if kind == "csv" else parts).write, {"jsonl": "json", "csv": "csv", "parquet": "parquet"}[kind]
     if kind == "csv":
@@ -83,30 +89,48 @@ def read_export(spark: SparkSession, path: str, kind: str, schema: T.StructType)
     return {"jsonl": reader.json, "csv": lambda p: reader.option("header", True).csv(p), "parquet": reader.parquet}[kind](path).select(*schema.names)
 
 
+MANIFEST = "chunk long, rows long, checksum long, origin string, seconds double, at double"
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    schema = "chunk long, rows long, seconds double"
+    """Latest entry of each chunk."""
     try:
-        return spark.read.schema(schema).parquet(f"{path}-manifest")
+        rows = spark.read.schema(MANIFEST).parquet(f"{path}-manifest")
     except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], MANIFEST)
+    return rows.groupBy("chunk").agg(F.max_by(F.struct("rows", "checksum", "origin", "seconds", "at"), "at").alias("m")).select("chunk", "m.*")
 
 
 def export(df: DataFrame, path: str, kind: str = "parquet", key: str | None = None, order_by: list[str] | None = None, size: int = CHUNK_ROWS, where: str | None = None, after=None, gzip: bool = False) -> DataFrame:
-    """Write the chunks that the manifest lacks and return export statistics.
+    """Write the chunks that are new or differ from the manifest, and return export statistics.
 
-    Chunks are key ranges if `key` is given, else places in `order_by`. `after` continues behind a
-    key. Removing the manifest folder starts over.
+    Chunks are key ranges if `key` is given, else places in `order_by`; rows of a chunk are in the order
+    of `order_by`, else of the key. Key ranges count from the least key of the first run, which the manifest
+    keeps: a smaller key that comes later gets a chunk below 0. A chunk whose row count or checksum has changed
+    is written again. `after` continues behind a key. Removing the manifest folder starts over.
     """
     spark, rows = df.sparkSession, df if where is None else df.where(where)
     if after is not None:
         rows = rows.where(F.col(key or order_by[0]) > F.lit(after))
-    chunked = id_chunks(rows, key, size) if key else offset_chunks(rows, order_by or rows.columns[:1], size)
-    left = pending(chunked, manifest(spark, path))
+    done, origin = manifest(spark, path), None
+    if key:
+        first = done.where("origin IS NOT NULL").select("origin").first()
+        origin = first.origin if first else rows.agg(F.min(key).cast("string")).first()[0]
+        chunked = id_chunks(rows, key, size, F.lit(origin).cast(rows.schema[key].dataType))
+    else:
+        chunked = offset_chunks(rows, order_by or rows.columns[:1], size)
+    # Counted before the files are written: what the source gains meanwhile differs from the manifest in the next run.
+    known = done.select("chunk", F.col("rows").alias("_r"), F.col("checksum").alias("_c"))
+    same = F.col("rows").eqNullSafe(F.col("_r")) & F.col("checksum").eqNullSafe(F.col("_c"))
+    counted = shared_folder(spark, "chunks")
+    chunk_manifest(chunked).join(known, "chunk", "left").where(~same).drop("_r", "_c").write.parquet(counted)
+    changed = spark.read.parquet(counted)
     began = time.time()
-    write_chunks(left, path, kind, gzip)
-    took = time.time() - began
-    # What was written is read off the chunk numbers again: the manifest must not precede the files.
-    chunk_manifest(left).withColumn("seconds", F.lit(took)).write.mode("append").parquet(f"{path}-manifest")
+    left = chunked.join(changed.select(F.col("chunk").alias("_chunk")), "_chunk", "left_semi").select(*chunked.columns)
+    write_chunks(left, path, kind, gzip, order_by or ([key] if key else None))
+    entry = changed.withColumns({"origin": F.lit(origin).cast("string"), "seconds": F.lit(time.time() - began), "at": F.lit(time.time())})
+    entry.select(*spark.createDataFrame([], MANIFEST).columns).write.mode("append").parquet(f"{path}-manifest")
+    delete_folder(spark, counted)
     return export_stats(manifest(spark, path))
 
 
@@ -151,7 +175,9 @@ class ResultCache:
         self.spark.createDataFrame([(key, table, path, time.time())], self._SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/entries")
 
     def result(self, request: dict, table: str, build) -> DataFrame:
-        """The stored result, or `build()` written and read back."""
+        """The stored result, or `build()` written and read back; what isn't a SELECT request is built each time and never stored."""
+        if str(request.get("method", "select")).lower() != "select":
+            return build()
         key = request_key(request)
         last = self._entries().where((F.col("key") == key) | ((F.col("table") == table) & F.col("path").isNull())).orderBy(F.col("at").desc()).first()
         if last is None or last.path is None or time.time() - last["at"] > self.ttl:

@@ -7,6 +7,8 @@ which rows are only added, and every path goes through Spark.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,24 @@ STATE = (
 )
 
 
+POINTER = "version long, at timestamp, batch long"
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the folder in spark.checkpoint.dir; on one machine without that setting, a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="gristmill-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -36,7 +56,7 @@ class Store:
             return self.spark.createDataFrame([], schema)
 
     def _pointers(self, table: str) -> DataFrame:
-        return self._read(f"{self.root}/{table}/pointer", "version long, at timestamp")
+        return self._read(f"{self.root}/{table}/pointer", POINTER)
 
     def version(self, table: str) -> int:
         """Number of the current snapshot; 0 if there is none."""
@@ -48,13 +68,23 @@ class Store:
             raise KeyError(table)
         return self.spark.read.parquet(f"{self.root}/{table}/v={v}")
 
-    def write(self, table: str, df: DataFrame) -> int:
-        """Write a snapshot of a number never used before, then switch to it."""
+    def last_batch(self, table: str) -> int | None:
+        """Greatest number of a stream's batch that a snapshot holds."""
+        return self._pointers(table).agg(F.max("batch")).first()[0]
+
+    def write(self, table: str, df: DataFrame, batch: int | None = None, keep: int | None = None) -> int:
+        """Write a snapshot of a number never used before, then switch to it; with `keep`, delete all but the latest ones."""
         v = self.version(table) + 1
         df.write.mode("overwrite").parquet(f"{self.root}/{table}/v={v}")
-        self.spark.createDataFrame([(v, utc_now())], "version long, at timestamp").coalesce(1).write.mode("append").parquet(f"{self.root}/{table}/pointer")
+        self._switch(table, v, batch)
+        if keep is not None:
+            for old in self._pointers(table).where(F.col("version").between(v - keep - 8, v - keep)).select("version").distinct().collect():
+                delete_folder(self.spark, f"{self.root}/{table}/v={old.version}")
         return v
 
+    def _switch(self, table: str, v: int, batch: int | None) -> None:
+        self.spark.createDataFrame([(v, utc_now(), batch)], POINTER).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}/pointer")
+
     def record(self, **row) -> None:
         """Add a run to the history."""
         names = [part.split()[0] for part in STATE.split(", ")]

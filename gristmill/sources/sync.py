@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.predicates import lookup_filter, where_sql
 from ..operators.checks import field_mappings, fingerprint
 from ..operators.merge import per_key, stamp, upsert, upsert_counts
-from ..operators.relational import pick_fields, scan_since
+from ..operators.mapping import map_positions, named_view, output_names, storage_columns, transform_fields
+from ..operators.relational import pick_fields
 from .state import Store, utc_now
 
 
@@ -45,10 +46,17 @@ class SyncConfig:
 
 
 def source_rows(source: DataFrame, cfg: SyncConfig, where: str | None = None) -> DataFrame:
-    """Rows and columns to load: both predicates and the column list reach the scan; `limit` is exact."""
+    """Rows and columns to load: both predicates and the column list reach the scan.
+
+    `limit` is exact, but for incremental loads: these take the first rows by the incremental field, with
+    all that tie with the last of them, so that the next load, strictly past the checkpoint, misses none.
+    """
     rows = pick_fields(where_sql(where_sql(source, cfg.where), where), cfg.include, cfg.exclude)
     if cfg.limit is None:
         return rows
+    if cfg.strategy == "incremental":
+        field_ = F.col(f"`{cfg.incremental_field}`")
+        return rows.where(field_ <= rows.where(field_.isNotNull()).orderBy(field_).limit(cfg.limit).agg(F.max(field_)).scalar())
     return (rows.orderBy(cfg.order_by or cfg.key) if cfg.order_by or cfg.key in rows.columns else rows).limit(cfg.limit)
 
 
@@ -147,5 +155,23 @@ def sync_all(store: Store, jobs: list[tuple[Callable[[], DataFrame], SyncConfig]
         return list(pool.map(one, jobs))
 
 
-def incremental_rows(source: DataFrame, field_: str, checkpoint, limit: int | None = None) -> DataFrame:
-    return scan_since(source, field_, checkpoint, limit)
+def register(store: Store, schema: dict, rows: DataFrame, key: str, strategy: str = "full", ttl: int = 3600, view: str | None = None) -> DataFrame:
+    """Store a table of positional rows under its schema in one go, and return the view on it by remote names.
+
+    All positions are stored, described ones converted; the run is recorded and the table's fields go to
+    `<table>/fields`. `view` names a temporary view. A key that repeats keeps its greatest row.
+    """
+    started, table = utc_now(), schema["name"]
+    typed = transform_fields(map_positions(rows, schema), schema)
+    named = typed.toDF(*_unique(storage_columns(schema), len(typed.columns)))
+    at = output_names(schema).index(key) if key in output_names(schema) else named.columns.index(key)
+    cfg = SyncConfig(table, key=named.columns[at], ttl=ttl)
+    store.write(table, stamp(per_key(named, cfg.key).drop("_rows")))
+    field_mappings(store.read(table)).write.mode("overwrite").parquet(f"{store.root}/{table}/fields")
+    n = store.read(table).count()
+    _finish(store, cfg, started, None, n, n, 0)
+    return named_view(store.read(table), schema, view)
+
+
+def _unique(names: list[str], width: int) -> list[str]:
+    return [*names, *(f"Field_{p}" for p in range(len(names), width))]

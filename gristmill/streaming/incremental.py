@@ -12,22 +12,23 @@ from ..sources.state import Store
 def stream_into(store: Store, source_path: str, schema, table: str, key: str, order: str, checkpoint: str, files_per_batch: int = 1) -> DataFrame:
     """Merge all files that aren't merged yet and return the table.
 
-    The stream's checkpoint replaces a stored one. A batch that was merged before a failure is
-    recognised by its number (`_batch` of the snapshot), so it never raises versions twice.
+    Files may come in any order: of the rows of a key the greatest in `order` stays. The stream's checkpoint
+    replaces a stored one. A batch that was merged before a failure is recognised by its number, which is
+    kept with the snapshot's pointer, so it never raises versions twice. Two snapshots are kept.
     """
     spark: SparkSession = store.spark
 
     def merge(batch: DataFrame, number: int) -> None:
+        merged = store.last_batch(table)
+        if merged is not None and merged >= number:
+            return
         if store.version(table):
-            old = store.read(table)
-            if old.agg(F.max("_batch")).first()[0] >= number:
-                return
-            new = upsert(old.drop("_batch"), batch, key, order)
+            new = upsert(store.read(table), batch, key, order)
         else:
             new = stamp(per_key(batch, key, order)).withColumn("_sync_version", F.col("_rows")).drop("_rows")
-        store.write(table, new.withColumn("_batch", F.lit(number).cast("long")))
+        store.write(table, new, batch=number, keep=2)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_path)
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return store.read(table).drop("_batch")
+    return store.read(table)
