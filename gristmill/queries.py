@@ -66,6 +66,14 @@ request(
     "SELECT o_orderkey, o_orderkey // 7 AS d, (3 - o_orderkey) % 5 AS m FROM orders",
 )
 request("star_expand", {"data": ["*"], "from": "nation"}, "SELECT * FROM nation")
+
+
+@query("SELECT n_nationkey AS id, n_name AS nation, n_regionkey AS Field_2 FROM nation")
+def expand_star(t):
+    schema = {"name": "nation", "fields": {0: {"name": "id", "type": "integer"}, 1: {"name": "name", "alias": "nation"}}, "total": 2}
+    return mapping.expand_star(t["nation"].select("n_nationkey", "n_name", "n_regionkey"), schema)
+
+
 request("distinct_rows", {"data": ["c_nationkey", "c_mktsegment"], "from": "customer", "distinct": True}, "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer")
 request("distinct_function", {"data": [{"function": "distinct", "args": ["o_orderstatus", "o_orderpriority"]}], "from": "orders"}, "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
 request(
@@ -212,6 +220,13 @@ def related_children(t):
     return down.select("n_nationkey", F.col("region.r_name").alias("r_name"), F.coalesce(ids, F.lit("")).alias("customers"))
 
 
+@query("SELECT o_orderkey, c_name, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def declared_relation(t):
+    schema = {"name": "orders", "fields": {0: {"name": "o_orderkey"}, 1: {"name": "o_custkey", "foreign_key": "customer.c_custkey"}}}
+    joined = relational.join_declared(t["orders"].select("o_orderkey", "o_custkey"), schema, {"customer": t["customer"]})
+    return joined.select("o_orderkey", "customer.c_name", "customer.c_mktsegment")
+
+
 # --- aggregates -------------------------------------------------------------------------------------
 
 
@@ -375,6 +390,41 @@ def named_view(t):
     return mapping.named_view(merge.stamp(t["nation"]), schema).drop("_synced_at", "_is_partial")
 
 
+@query("SELECT upper(n_name) AS n_name, n_nationkey * 10 AS n_nationkey FROM nation")
+def user_transformers(t):
+    schema = {"name": "nation", "fields": {0: {"name": "n_name", "transformer": F.upper}, 1: {"name": "n_nationkey", "transformer": lambda c: c * 10}}}
+    return mapping.transform_fields(t["nation"].select("n_name", "n_nationkey"), schema)
+
+
+@query("SELECT event_id, ts AS at, CAST(ts AS DATE) AS day FROM events")
+def iso_values(t):
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return t["events"].select("event_id", S.convert(text, "datetime").cast(t["events"].schema["ts"].dataType).alias("at"), S.convert(text, "date").alias("day"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 > 0 THEN props END AS props FROM events")
+def json_values(t):
+    broken = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("{"), "props")).otherwise(F.col("props"))
+    return t["events"].select("event_id", S.convert(broken, "json").alias("props"))
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus AS Field_1, o_totalprice AS price, 1::BIGINT AS _sync_version, false AS _is_partial FROM orders")
+def registered_table(t):
+    from .sources.sync import register
+
+    schema = {"name": "orders", "fields": {0: {"name": "id", "type": "integer"}, 2: {"name": "total-price", "type": "float", "remote_name": "price"}}, "total": 3}
+    store = state.Store(t.spark, state.shared_folder(t.spark, "register"))
+    return register(store, schema, t["orders"].select("o_orderkey", "o_orderstatus", "o_totalprice"), "id").drop("_synced_at")
+
+
+@query("SELECT o_orderkey AS id, o_custkey AS Field_1, CAST(o_totalprice AS DOUBLE) AS total_price FROM orders")
+def read_with_schema(t):
+    path = state.shared_folder(t.spark, "positions")
+    t["orders"].select(F.col("o_orderkey").cast("string"), "o_custkey", F.col("o_totalprice").cast("string")).write.parquet(path)
+    schema = {"name": "orders", "fields": {0: {"name": "id", "type": "integer"}, 2: {"name": "total_price", "type": "float"}}, "total": 3}
+    return mapping.read_with_schema(t.spark, path, schema)
+
+
 # --- profiling -----------------------------------------------------------------------------------------
 
 
@@ -408,19 +458,76 @@ def profile_string(t):
     return profile.profile_strings(t["part"]).withColumn("avg_length", F.round("avg_length", 6))
 
 
-@query("SELECT * FROM (VALUES (0, 'event_id', 'integer', 'id'), (1, 'ts', 'datetime', 'created_at'), (2, 'value', 'float', 'Field_2'), (3, 'event_type', 'string', 'Field_3'), (4, 'day', 'date', 'date_4')) AS v(position, column_name, inferred_type, inferred_name) WHERE EXISTS (SELECT 1 FROM events)")
+def _share_sql(test: str) -> str:
+    return f"avg(CASE WHEN t IS NULL THEN NULL WHEN {test} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
+
+
+#: SQL of the type of a column `t` of texts, narrowest first.
+_KIND_SQL = (
+    "CASE WHEN count(t) = 0 THEN 'unknown' "
+    + f"WHEN {_share_sql(r"regexp_full_match(trim(t), '[+-]?\d+') AND TRY_CAST(t AS BIGINT) IS NOT NULL")} = 1 THEN 'integer' "
+    + f"WHEN {_share_sql('TRY_CAST(t AS DOUBLE) IS NOT NULL')} = 1 THEN 'float' WHEN {_share_sql("lower(t) IN ('true', 'false')")} = 1 THEN 'boolean' "
+    + f"WHEN {_share_sql(f"regexp_matches(t, '{profile.DATE_ONLY}') AND TRY_CAST(t AS DATE) IS NOT NULL")} = 1 THEN 'date' "
+    + f"WHEN {_share_sql(r"regexp_matches(t, '^\d{4}-\d{2}-\d{2}') AND TRY_CAST(t AS TIMESTAMP) IS NOT NULL")} = 1 THEN 'datetime' ELSE 'string' END"
+)
+
+
+def _types_sql(table: str, columns: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS column_name, {_KIND_SQL} AS inferred_type FROM (SELECT CAST({e} AS VARCHAR) AS t FROM {table})" for i, (c, e) in enumerate(columns.items()))
+
+
+def _classes_sql(table: str, columns: dict[str, str], numbers: tuple[str, ...] = ()) -> str:
+    """What `profile.classify_columns` says, worked out from the table."""
+
+    def means(test: str) -> str:
+        return f"coalesce({_share_sql(test)}, 0) >= 0.9"
+
+    phone = "regexp_replace(trim(t), '[ ()-]', '', 'g')"
+    kinds = " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS column_name, {_KIND_SQL} AS kind, {str(c in numbers).lower()} AS number, {means(f"regexp_matches(trim(t), '{profile.EMAIL}')")} AS email, {means(f"regexp_matches(trim(t), '{profile.URL}')")} AS url, "
+        f"{means(f"regexp_matches(lower(trim(t)), '{profile.UUID}')")} AS uuid, {means(f"regexp_matches({phone}, '{profile.PHONE}') AND NOT regexp_matches({phone}, '{profile.EIGHT_DIGITS}')")} AS phone FROM (SELECT CAST({e} AS VARCHAR) AS t FROM {table})"
+        for i, (c, e) in enumerate(columns.items())
+    )
+    name = (
+        "CASE WHEN position = 0 AND kind = 'integer' THEN 'id' WHEN number THEN 'Field_' || position WHEN email THEN 'email' WHEN url THEN 'url' WHEN uuid THEN 'uuid' WHEN phone THEN 'phone' "
+        "WHEN kind = 'datetime' AND position = 1 THEN 'created_at' WHEN kind = 'datetime' AND position = 2 THEN 'updated_at' WHEN kind = 'datetime' THEN 'timestamp_' || position WHEN kind = 'date' THEN 'date_' || position ELSE 'Field_' || position END"
+    )
+    return (
+        f"WITH k AS ({kinds}), n AS (SELECT *, {name} AS name FROM k) SELECT position, column_name, kind AS inferred_type, "
+        "CASE WHEN row_number() OVER (PARTITION BY name ORDER BY position) > 1 THEN name || '_' || position ELSE name END AS inferred_name FROM n"
+    )
+
+
+@query(_classes_sql("events", {"event_id": "event_id", "ts": "ts", "value": "value", "event_type": "event_type", "day": "CAST(ts AS DATE)"}))
 def classify_events(t):
     e = t["events"]
     text = e.select(F.col("event_id").cast("string"), F.col("ts").cast("string"), F.col("value").cast("string"), "event_type", F.to_date("ts").cast("string").alias("day"))
     return profile.classify_columns(text)
 
 
-_IS_URL = "avg(CASE WHEN regexp_matches(url, '^https?://\\S+$') THEN 1.0 ELSE 0.0 END) >= 0.9"
+@query(_classes_sql("pages", {"page_id": "page_id", "url": "url", "again": "url"}, ("page_id",)))
+def classify_pages(t):
+    return profile.classify_columns(t["pages"].select("page_id", "url", F.col("url").alias("again")))
 
 
-@query(f"SELECT 0 AS position, 'page_id' AS column_name, 'integer' AS inferred_type, 'id' AS inferred_name FROM pages HAVING count(*) > 0 UNION ALL SELECT 1, 'url', 'string', CASE WHEN {_IS_URL} THEN 'url' ELSE 'Field_1' END FROM pages")
-def classify_pages(t):
-    return profile.classify_columns(t["pages"].select("page_id", "url"))
+_ORDER_TEXTS = ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+@query(_types_sql("orders", {c: c for c in _ORDER_TEXTS}))
+def infer_types(t):
+    return profile.infer_types(t["orders"].select(*(F.col(c).cast("string") for c in _ORDER_TEXTS)))
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in ("nation", "customer", "orders")))
+def introspect_tables(t):
+    found = profile.introspect_all({n: t[n] for n in ("nation", "customer", "orders")}, profile.table_metadata)
+    rows = [d.select(F.lit(n).alias("table_name"), "row_count") for n, d in found.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query("SELECT least(500, count(*)) AS n FROM orders")
+def sample_first(t):
+    return relational.count_where(relational.sample_rows(t["orders"], 500))
 
 
 @query(
@@ -469,6 +576,19 @@ def constraint_report(t):
     return checks.check_constraints(t["orders"], {"o_totalprice": {"ge": 1000}, "o_orderstatus": {"max_length": 1}, "o_orderpriority": {"not_blank": True}, "o_custkey": {"not_null": True, "unique": True}, "o_orderkey": {"primary_key": True}})
 
 
+@query(
+    "SELECT 'c_mktsegment' AS left_col, 'segment' AS right_col, count(*) AS rows, count_if(s = c_mktsegment)::BIGINT AS matches, avg(CASE WHEN s = c_mktsegment THEN 1.0::DOUBLE ELSE 0.0 END) AS match_ratio, count(DISTINCT c_mktsegment) AS unique_count, "
+    "min(c_mktsegment) AS min_value, max(c_mktsegment) AS max_value FROM (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN 'X' ELSE c_mktsegment END AS s FROM customer)"
+)
+def match_ratio(t):
+    return checks.match_ratio(t["customer"], _altered(t), "c_custkey", "c_mktsegment", "segment").drop("verdict", "null_count")
+
+
+@query("SELECT 'o_orderstatus' AS column_name, 'validator' AS rule, count_if(o_orderstatus NOT IN ('F', 'O'))::BIGINT AS violations FROM orders")
+def user_validator(t):
+    return checks.check_constraints(t["orders"], {"o_orderstatus": {"validator": lambda c: c.isin("F", "O")}})
+
+
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)")
 def orphans(t):
     return checks.orphans(t["orders"].select("o_orderkey", "o_custkey"), t["customer"].where("c_acctbal > 0"), "o_custkey", "c_custkey")
@@ -480,17 +600,20 @@ _NOW = "TIMESTAMP '2024-01-01 00:00:00'"
 
 
 def _batches(t) -> tuple[DataFrame, DataFrame]:
-    """A stored table of users and a later batch of their events, cut where event_id is two thirds."""
+    """A stored table of users by their events before a cut, and all events past it as the batch.
+
+    The stored table knows the event types of the first half of the alphabet only, so some users may be new.
+    """
     e = t["events"].select("user_id", "event_id", "event_type", "value")
     cut = e.agg((F.max("event_id") * 2 / 3).alias("cut")).scalar()
-    old, new = e.where(F.col("event_id") <= cut), e.where((F.col("event_id") > cut) & (F.col("user_id") % 2 == 0))
+    old, new = e.where((F.col("event_id") <= cut) & (F.col("event_type") < "m")), e.where(F.col("event_id") > cut)
     return merge.stamp(merge.per_key(old, "user_id", "event_id").drop("_rows")), new
 
 
 _SPLIT = (
     "WITH e AS (SELECT user_id, event_id, event_type, value FROM events), c AS (SELECT max(event_id) * 2 / 3 AS cut FROM e), "
-    "o AS (SELECT user_id, max(event_id) AS event_id FROM e, c WHERE event_id <= cut GROUP BY user_id), "
-    "b AS (SELECT user_id, max(event_id) AS last_id, min(event_id) AS first_id, count(*) AS n FROM e, c WHERE event_id > cut AND user_id % 2 = 0 GROUP BY user_id) "
+    "o AS (SELECT user_id, max(event_id) AS event_id FROM e, c WHERE event_id <= cut AND event_type < 'm' GROUP BY user_id), "
+    "b AS (SELECT user_id, max(event_id) AS last_id, min(event_id) AS first_id, count(*) AS n FROM e, c WHERE event_id > cut GROUP BY user_id) "
 )
 
 
@@ -526,6 +649,86 @@ def sync_full_rows(t):
     return merge.per_key(source_rows(t["events"], cfg), cfg.key, "event_id")
 
 
+def _loads(t):
+    """A store, the events as the source of a table of users, and how they are loaded."""
+    from .sources.sync import SyncConfig
+
+    store = state.Store(t.spark, state.shared_folder(t.spark, "sync"))
+    return store, t["events"].select("user_id", "event_id", "event_type"), SyncConfig("users", key="user_id", strategy="incremental", incremental_field="event_id")
+
+
+_LAST = "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type"
+
+
+@query(_LAST + ", 1::BIGINT AS _sync_version FROM events GROUP BY user_id")
+def sync_full(t):
+    from .sources import sync
+
+    store, events, cfg = _loads(t)
+    sync.sync_full(store, events, cfg)
+    return store.read("users").select("user_id", "event_id", "event_type", "_sync_version")
+
+
+_CUT = "(SELECT max(event_id) / 2 FROM events)"
+
+
+@query(_LAST + f", (CASE WHEN bool_or(event_id <= {_CUT}) THEN 1 ELSE 0 END + count(*) FILTER (event_id > {_CUT}))::BIGINT AS _sync_version FROM events GROUP BY user_id")
+def sync_incremental(t):
+    from .sources import sync
+
+    store, events, cfg = _loads(t)
+    sync.sync(store, events.where(F.col("event_id") <= events.agg(F.max("event_id") / 2).scalar()), cfg)
+    sync.sync(store, events, cfg, force=True)
+    return store.read("users").select("user_id", "event_id", "event_type", "_sync_version")
+
+
+@query(
+    f"WITH a AS (SELECT count(*) AS n, count(DISTINCT user_id) AS u, max(event_id) AS m FROM events WHERE event_id <= {_CUT}), b AS (SELECT count(*) AS n, count(DISTINCT user_id) AS u, max(event_id) AS m FROM events), "
+    f"i AS (SELECT count(DISTINCT user_id) AS n FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id <= {_CUT})) "
+    "SELECT 'users' AS \"table\", 'completed' AS status, n AS fetched, u AS inserted, 0::BIGINT AS updated, u AS row_count, CAST(m AS VARCHAR) AS checkpoint FROM a "
+    "UNION ALL SELECT 'users', 'completed', b.n - a.n, i.n, b.n - a.n - i.n, b.u, CAST(b.m AS VARCHAR) FROM a, b, i UNION ALL SELECT 'users', 'failed', NULL, NULL, NULL, NULL, NULL"
+)
+def sync_history(t):
+    from .sources import sync
+
+    store, events, cfg = _loads(t)
+    sync.sync(store, events.where(F.col("event_id") <= events.agg(F.max("event_id") / 2).scalar()), cfg)
+    sync.sync(store, events, cfg, force=True)
+    sync.sync(store, events, cfg)  # not due: no run
+    sync.sync(store, events.drop("event_id"), cfg, force=True)
+    return store.history().select("table", "status", "fetched", "inserted", "updated", "row_count", "checkpoint")
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS \"table\", count(*) AS row_count, CAST(min({k}) AS VARCHAR) AS min_id, CAST(max({k}) AS VARCHAR) AS max_id FROM {n}" for n, k in (("customer", "c_custkey"), ("orders", "o_orderkey"), ("part", "p_partkey"))))
+def sync_many(t):
+    from .sources import sync
+
+    store = state.Store(t.spark, state.shared_folder(t.spark, "sync"))
+    keys = {"customer": "c_custkey", "orders": "o_orderkey", "part": "p_partkey"}
+    sync.sync_all(store, [(lambda n=n: t[n], sync.SyncConfig(n, key=k)) for n, k in keys.items()])
+    return store.state().select("table", "row_count", "min_id", "max_id")
+
+
+@query("SELECT c_custkey, c_name, true AS _is_partial FROM customer WHERE c_nationkey = 7 OR c_acctbal > 5000")
+def fetch_on_demand(t):
+    from .sources import sync
+
+    store = state.Store(t.spark, state.shared_folder(t.spark, "sync"))
+    cfg = sync.SyncConfig("customer", key="c_custkey", strategy="on_demand")
+    sync.fetch_on_demand(store, t["customer"], cfg, c_nationkey=7)
+    sync.fetch_on_demand(store, t["customer"], cfg, c_acctbal__gt=5000)
+    return store.read("customer").select("c_custkey", "c_name", "_is_partial")
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS size, count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS unique_count FROM customer" for c in ("c_custkey", "c_mktsegment", "c_nationkey")))
+def profile_synced(t):
+    from .sources import sync
+
+    store = state.Store(t.spark, state.shared_folder(t.spark, "sync"))
+    sync.sync_full(store, t["customer"], sync.SyncConfig("customer", key="c_custkey", include=["c_custkey", "c_mktsegment", "c_nationkey"]))
+    return profile.profile(relational.read_synced(store.read("customer"))).select("column_name", "size", "null_count", "unique_count")
+
+
 def _runs(t) -> DataFrame:
     """A sync history derived from the events: each event is a run of a table named by its type."""
     e = t["events"]
@@ -563,12 +766,13 @@ def sync_totals(t):
 
 @query("SELECT ((o_orderkey - m) // 1000)::BIGINT AS chunk, count(*) AS rows FROM orders, (SELECT min(o_orderkey) AS m FROM orders) GROUP BY ALL")
 def id_chunks(t):
-    return export.chunk_manifest(export.id_chunks(t["orders"], "o_orderkey", 1000))
+    return export.chunk_manifest(export.id_chunks(t["orders"], "o_orderkey", 1000)).select("chunk", "rows")
 
 
-@query("SELECT o_orderkey, ((row_number() OVER (ORDER BY o_orderkey) - 1) // 700)::BIGINT AS chunk FROM orders")
+@query("SELECT o_orderkey, o_totalprice, o_orderpriority, ((row_number() OVER (ORDER BY o_orderkey) - 1) // 700)::BIGINT AS chunk FROM orders")
 def offset_chunks(t):
-    return export.offset_chunks(t["orders"].select("o_orderkey"), ["o_orderkey"], 700).select("o_orderkey", F.col("_chunk").alias("chunk"))
+    rows = t["orders"].select("o_orderkey", "o_totalprice", "o_orderpriority")
+    return export.offset_chunks(rows, ["o_orderkey"], 700).withColumnRenamed("_chunk", "chunk")
 
 
 @query("SELECT o_orderkey FROM (SELECT o_orderkey, (o_orderkey - min(o_orderkey) OVER ()) // 1000 AS chunk FROM orders) WHERE chunk % 3 <> 0")
@@ -577,18 +781,40 @@ def resume_chunks(t):
     return export.pending(chunked, export.chunk_manifest(chunked).where("chunk % 3 = 0")).select("o_orderkey")
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (a local one only where none is set)."""
-    import tempfile
-    import uuid
+@query("SELECT ((o_orderkey - m) // 1000)::BIGINT AS chunk, count(*) AS rows FROM orders, (SELECT min(o_orderkey) AS m FROM orders) GROUP BY ALL")
+def export_manifest(t):
+    path = state.shared_folder(t.spark, "export")
+    export.export(t["orders"], path, "parquet", key="o_orderkey", size=1000)
+    return export.manifest(t.spark, path).select("chunk", "rows")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def export_resumed(t):
+    """Half of the rows first, then all: chunks that gained rows are written again."""
+    path, rows = state.shared_folder(t.spark, "export"), t["orders"].select("o_orderkey", "o_totalprice")
+    export.export(rows.where("o_orderkey % 2 = 1"), path, "parquet", key="o_orderkey", size=1000)
+    export.export(rows, path, "parquet", key="o_orderkey", size=1000)
+    return export.read_export(t.spark, path, "parquet", rows.schema)
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*)::DECIMAL(38, 0)::BIGINT AS rows FROM {n}" for n in ("customer", "part")))
+def export_many(t):
+    stats = export.export_all({n: t[n].withColumnRenamed(k, "id") for n, k in (("customer", "c_custkey"), ("part", "p_partkey"))}, state.shared_folder(t.spark, "export"), "jsonl", key="id")
+    rows = [d.select(F.lit(n).alias("table_name"), F.col("rows").cast("long").alias("rows")) for n, d in stats.items()]
+    return rows[0].unionByName(rows[1])
+
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="gristmill-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+@query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY ALL")
+def stored_result(t):
+    cache = export.ResultCache(t.spark, state.shared_folder(t.spark, "results"))
+    request_ = {"data": ["o_orderstatus", {"function": "count", "args": ["*"], "as": "n"}], "from": "orders", "group_by": ["o_orderstatus"]}
+    cache.result({"method": "select", "params": request_}, "orders", lambda: run_select(request_, t))
+    return cache.result({"params": request_, "method": "select"}, "orders", lambda: t["orders"].limit(0))
 
 
 def _roundtrip(kind: str):
     def f(t: Source) -> DataFrame:
-        rows, path = t["customer"], _scratch(t.spark, f"export-{kind}")
+        rows, path = t["customer"], state.shared_folder(t.spark, f"export-{kind}")
         export.write_chunks(export.id_chunks(rows, "c_custkey", 500), path, kind)
         return export.read_export(t.spark, path, kind, rows.schema)
 
@@ -602,7 +828,7 @@ for _kind in ("jsonl", "json", "csv", "parquet"):
 
 @query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, count(*) AS _sync_version FROM events GROUP BY user_id")
 def stream_incremental(t):
-    base = _scratch(t.spark, "stream")
+    base = state.shared_folder(t.spark, "stream")
     rows = t["events"].select("user_id", "event_id", "event_type")
     high = rows.agg(F.max("event_id")).scalar()
     rows.repartitionByRange(3, (F.col("event_id") * 3 / (high + 1)).cast("int")).write.parquet(f"{base}/in")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -167,12 +168,12 @@ class ResultCache:
 
     def _entries(self) -> DataFrame:
         try:
-            return self.spark.read.schema(self._SCHEMA).parquet(f"{self.root}/entries")
+            return self.spark.read.schema(self._SCHEMA).option("recursiveFileLookup", True).parquet(f"{self.root}/entries")
         except AnalysisException:
             return self.spark.createDataFrame([], self._SCHEMA)
 
     def _add(self, key: str, table: str, path: str | None) -> None:
-        self.spark.createDataFrame([(key, table, path, time.time())], self._SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/entries")
+        self.spark.createDataFrame([(key, table, path, time.time())], self._SCHEMA).coalesce(1).write.parquet(f"{self.root}/entries/{uuid.uuid4().hex}")
 
     def result(self, request: dict, table: str, build) -> DataFrame:
         """The stored result, or `build()` written and read back; what isn't a SELECT request is built each time and never stored."""

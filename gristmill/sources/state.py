@@ -51,7 +51,7 @@ class Store:
 
     def _read(self, path: str, schema: str) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(path)
+            return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
         except AnalysisException:
             return self.spark.createDataFrame([], schema)
 
@@ -86,9 +86,9 @@ class Store:
         self.spark.createDataFrame([(v, utc_now(), batch)], POINTER).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}/pointer")
 
     def record(self, **row) -> None:
-        """Add a run to the history."""
+        """Add a run to the history, in a folder of its own, so that loads may end at the same time."""
         names = [part.split()[0] for part in STATE.split(", ")]
-        self.spark.createDataFrame([tuple(row.get(n) for n in names)], STATE).coalesce(1).write.mode("append").parquet(f"{self.root}/_history")
+        self.spark.createDataFrame([tuple(row.get(n) for n in names)], STATE).coalesce(1).write.parquet(f"{self.root}/_history/{uuid.uuid4().hex}")
 
     def history(self, last: int = 100) -> DataFrame:
         return self._read(f"{self.root}/_history", STATE).orderBy(F.col("started_at").desc(), "table").limit(last)
