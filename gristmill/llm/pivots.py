@@ -1,9 +1,11 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
 Every vector is described by its ordered nearest reference points (pivots). Vectors that share enough
-of them are candidates, found through inverted pivot lists, and their cosine is verified in double
-precision. Of its L nearest pivots a vector is listed under the L-m+1 rarest only: two vectors that
-share m pivots then still meet, and a pair counts in the list of the rarest pivot they share, once.
+of them, in similar places of their orders, are candidates, found through inverted pivot lists, and their
+cosine is verified in double precision. Of its L nearest pivots a vector is listed under the L-m+1 rarest
+only: two vectors that share m pivots then still meet, and a pair counts in the list of the rarest pivot
+they share, once. Nearness counts L for the nearest pivot down to 1; the agreement of two orders is the sum, over
+shared pivots, of the products of both nearnesses.
 Lists are cut into blocks and pairs of blocks are compared in one task each, so that no task holds
 a whole list and no pair of vectors is ever a row: a task returns each vector's number of links and
 the root of its group within the task.
@@ -22,11 +24,11 @@ from .common import discard, stored
 from .graph import components
 
 #: Least and greatest number of pivots; in between as many as the root of the number of vectors, a power of two.
-PIVOTS = (256, 4096)
-#: Vectors in the bounded sample for each pivot that is chosen from it.
-SAMPLE_PER_PIVOT = 16
-#: Nearest pivots that candidates share at least.
-SHARED = 4
+PIVOTS = (256, 16384)
+#: Vectors in the bounded sample for each pivot that is chosen from it, and in all.
+SAMPLE_PER_PIVOT, SAMPLE_ROWS = 16, 65_536
+#: Nearest pivots that candidates share at least, and the least agreement of their orders (see the tests for both).
+SHARED, AGREEMENT = 4, 150
 BLOCK_ROWS = 1024
 #: Pivots are no closer to each other than this cosine, so that a mass of copies takes only one.
 APART = 0.8
@@ -65,11 +67,11 @@ def usable(v: Column) -> Column:
 def choose_pivots(vectors: DataFrame, most: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Per dimension: pivots, and their rank by rarity as nearest pivots of the sample (0: rarest).
 
-    The sample is the SAMPLE_PER_PIVOT * `most` vectors with the smallest hashes; pivots are taken from it in
+    The sample is the SAMPLE_PER_PIVOT * `most` vectors (SAMPLE_ROWS at most) with the smallest hashes; pivots are taken from it in
     that order, skipping those close to one taken before.
     """
-    ordered = vectors.select("embedding", F.size("embedding").alias("dim"), F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id")
-    rows = ordered.limit(SAMPLE_PER_PIVOT * most).select("dim", "embedding").toArrow()
+    ordered = vectors.select("embedding", F.size("embedding").alias("dim"), F.xxhash64("node").alias("h"), "node").orderBy("h", "node")
+    rows = ordered.limit(min(SAMPLE_PER_PIVOT * most, SAMPLE_ROWS)).select("dim", "embedding").toArrow()
     sizes = rows["dim"].to_numpy()
     out = {}
     for dim in np.unique(sizes).tolist():
@@ -101,7 +103,7 @@ def nearest(x: np.ndarray, pivots: np.ndarray, many: int) -> np.ndarray:
 
 
 def _describe(pivots: dict[int, tuple[np.ndarray, np.ndarray]], many: int):
-    """Permutation of each vector as ranks by rarity; a dimension the sample lacks has one list."""
+    """Permutation of each vector: its nearest pivots in order, as ranks by rarity; a dimension the sample lacks has one list."""
 
     @F.arrow_udf("array<int>")
     def describe(column: pa.Array) -> pa.Array:
@@ -130,30 +132,45 @@ def _roots(links: np.ndarray) -> np.ndarray:
         root = low
 
 
+def candidates(near: np.ndarray, pivot: int) -> np.ndarray:
+    """Which pairs of one list agree enough in their orders, and share no pivot that is rarer than the list's."""
+    n, many = near.shape
+    nearness = np.zeros((n, int(near.max()) + 1), np.float32)
+    np.put_along_axis(nearness, near, np.broadcast_to(np.arange(many, 0, -1, dtype=np.float32), near.shape), axis=1)
+    seen = (nearness > 0).astype(np.float32)
+    rarer = seen[:, :pivot]
+    return (nearness @ nearness.T >= least_agreement(many)) & (seen @ seen.T >= min(SHARED, many)) & (rarer @ rarer.T == 0)
+
+
+def least_agreement(many: int) -> float:
+    """AGREEMENT, but no more than SHARED pivots in opposite orders have: orders of few pivots say little."""
+    k = np.arange(1, min(SHARED, many) + 1)
+    return min(AGREEMENT, float((k * k[::-1]).sum())) if many <= 2 * SHARED else AGREEMENT
+
+
 def _compare(threshold: float):
     """Links of one pair of blocks of one list."""
 
     def run(table: pa.Table) -> pa.Table:
         pivot = table.column("pivot")[0].as_py()
         left, right = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        ids, weight, block = (table.column(c).to_numpy() for c in ("vec_id", "copies", "block"))
-        ranks = as_matrix(table.column("near")).astype(np.int64)
-        x = unit_rows(as_matrix(table.column("embedding")))
-        # How many pivots a pair shares, and how many of these are rarer than this list's.
-        seen = np.zeros((len(ids), int(ranks.max()) + 1), np.float32)
-        np.put_along_axis(seen, ranks, 1, axis=1)
-        enough = min(SHARED, ranks.shape[1])
-        rarer = seen[:, :pivot]
-        linked = ((seen @ seen.T) >= enough) & ((rarer @ rarer.T) == 0)
-        if linked.any():
-            linked &= (x @ x.T) >= threshold
+        nodes, weight, block = (table.column(c).to_numpy() for c in ("node", "copies", "block"))
+        linked = candidates(as_matrix(table.column("near")).astype(np.int64), pivot)
         np.fill_diagonal(linked, False)
         if left != right:
             linked &= block[:, None] != block[None, :]
+        x = unit_rows(as_matrix(table.column("embedding")))
+        i, j = np.nonzero(np.triu(linked))
+        if 8 * len(i) < len(nodes) ** 2:
+            # Few candidates: their products alone.
+            far = np.concatenate([np.einsum("ij,ij->i", x[p], x[q]) < threshold for p, q in zip(*(np.array_split(v, len(i) // 65536 + 1) for v in (i, j)), strict=True)])
+            linked[i[far], j[far]] = linked[j[far], i[far]] = False
+        else:
+            linked &= (x @ x.T) >= threshold
         counts = linked @ weight
         hit = np.flatnonzero(counts)
         roots = _roots(linked[np.ix_(hit, hit)]) if len(hit) else hit
-        return pa.table({"vec_id": ids[hit], "links": counts[hit], "root": ids[hit][roots]}, schema=pa.schema([("vec_id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]))
+        return pa.table({"node": nodes[hit], "links": counts[hit], "root": nodes[hit][roots]}, schema=pa.schema([("node", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]))
 
     return run
 
@@ -172,8 +189,9 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:
     keyed = good.select("vec_id", "label", "embedding", F.xxhash64("embedding").alias("d1"), F.hash("embedding").alias("d2"))
     key = ["label", "d1", "d2"]
     distinct = keyed.groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
-    distinct = stored(distinct, "vectors")
-    vectors = distinct.select("label", F.col("rep").alias("vec_id"), "copies", "embedding")
+    # Numbered as they are written: ids may repeat.
+    distinct = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    vectors = distinct.select("label", "node", "copies", "embedding")
     many = pivots_for(distinct.count())
     describe = _describe(choose_pivots(vectors, many), nearest_for(many))
     described = vectors.withColumn("dim", F.size("embedding")).withColumn("near", describe("embedding"))
@@ -181,18 +199,20 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:
     posted = stored(described.withColumn("pivot", F.explode(lists)), "postings")
     where = ["label", "dim", "pivot"]
     sizes = posted.groupBy(*where).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    placed = posted.join(sizes, where).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+    placed = posted.join(sizes, where).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # Each row goes to the pairs (i, j), i <= j, of blocks that its own block is part of.
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = paired.select(*where, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "vec_id", "copies", "near", "embedding")
-    found = paired.groupBy(*where, "i", "j").applyInArrow(_compare(threshold), "vec_id long, links long, root long")
-    found = stored(found, "links")
+    paired = paired.select(*where, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "copies", "near", "embedding")
+    found = stored(paired.groupBy(*where, "i", "j").applyInArrow(_compare(threshold), "node long, links long, root long"), "links")
     discard(posted)
-    links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
-    joined = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    of_rep = distinct.select(*key, "rep", "copies").join(links, F.col("rep") == links.vec_id, "left").drop("vec_id").join(joined, F.col("rep") == F.col("node"), "left")
-    of_rep = of_rep.select(*key, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    copies = keyed.select("vec_id", *key).join(of_rep, key)
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    classed = distinct.drop("embedding").join(links, "node", "left").join(joined, "node", "left")
+    least = classed.where("component IS NOT NULL").groupBy("component").agg(F.min("rep").alias("least"))
+    classed = classed.join(least, "component", "left").select(*key, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("least", "rep").alias("component"))
+    classed = stored(classed, "classes")
+    discard(distinct, found, joined)
+    copies = keyed.select("vec_id", *key).join(classed, key)
     alone = rows.where(~fit).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component"))
     out = copies.select("vec_id", "n_links", "component").unionByName(alone)
     return out.select("vec_id", "n_links", F.col("component").alias("component_id"), (F.col("vec_id") == F.col("component")).alias("kept"))
