@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import numpy as np
 
 from .common import SpanHash, mix, ngram_hash, owner, word_spans
+from .units import spread
 
 # The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -22,6 +25,16 @@ _PUNCT = np.zeros(256, bool)
 _PUNCT[[ord(c) for c in ".,;:!?'\"()-"]] = True
 
 
+def measured(f):
+    """A measurement of one value per text that is made once."""
+
+    @wraps(f)
+    def once(self, *args):
+        return self._once((f.__name__, *args), lambda: f(self, *args))
+
+    return once
+
+
 class TextBlock:
     """Lazily measured texts of one chunk; what a rule doesn't ask for is never computed."""
 
@@ -46,6 +59,28 @@ class TextBlock:
         bounds = self.words[2]
         return total[bounds[1:]] - total[bounds[:-1]]
 
+    def subset(self, keep: np.ndarray) -> TextBlock:
+        """Some of the texts, with what is measured of them so far."""
+        size = np.diff(self.offsets)[keep]
+        offsets = np.concatenate(([0], np.cumsum(size)))
+        out = TextBlock(self.data[spread(self.offsets[keep], size)], offsets)
+        if "words" in self._cache:
+            start, end, bounds = self.words
+            count = np.diff(bounds)[keep]
+            of = spread(bounds[keep], count)
+            moved = np.repeat(offsets[:-1] - self.offsets[keep], count)
+            out._cache["words"] = (start[of] + moved, end[of] + moved, np.concatenate(([0], np.cumsum(count))))
+            out._cache |= {name: self._cache[name][of] for name in ("lengths", "word_hash") if name in self._cache}
+        if "lines" in self._cache:
+            h, of = self._cache["lines"]
+            place = np.full(self.n, -1)
+            place[keep] = np.arange(len(keep))
+            own = place[of] >= 0
+            out._cache["lines"] = (h[own], place[of[own]])
+        for name in self._cache.keys() - {"words", "lengths", "word_hash", "lines", "hasher"}:
+            out._cache[name] = self._cache[name][keep]
+        return out
+
     @property
     def words(self):
         return self._once("words", lambda: word_spans(self.data, self.offsets))
@@ -58,6 +93,7 @@ class TextBlock:
     def word_hash(self) -> np.ndarray:
         return self._once("word_hash", lambda: self.hasher.of(self.words[0], self.words[1]))
 
+    @measured
     def n_words(self) -> np.ndarray:
         return np.diff(self.words[2])
 
@@ -70,21 +106,26 @@ class TextBlock:
 
         return self._once("lengths", make)
 
+    @measured
     def word_chars(self) -> np.ndarray:
         return self.per_word(self.word_lengths())
 
+    @measured
     def n_chars(self) -> np.ndarray:
         return self.per_text(_HEAD[self.data])
 
+    @measured
     def n_symbols(self) -> np.ndarray:
         return self.per_text(_SYMBOL[self.data])
 
+    @measured
     def n_upper(self) -> np.ndarray:
         return self.per_text(_UPPER[self.data])
 
     def n_digits(self) -> np.ndarray:
         return self.per_text(_DIGIT[self.data])
 
+    @measured
     def n_letters(self) -> np.ndarray:
         return self.per_text(_LETTER[self.data] & _HEAD[self.data])
 
@@ -110,15 +151,18 @@ class TextBlock:
 
         return self._once("lines", make)
 
+    @measured
     def n_lines(self) -> np.ndarray:
         return np.bincount(self.lines()[1], minlength=self.n)
 
+    @measured
     def n_dup_lines(self) -> np.ndarray:
         h, of = self.lines()
         key = h ^ mix(of.astype(np.uint64) + np.uint64(1))
         _, first = np.unique(key, return_index=True)
         return self.n_lines() - np.bincount(of[first], minlength=self.n)
 
+    @measured
     def n_repeat_words(self, window: int = 8) -> np.ndarray:
         """Words inside windows that occur twice or more in their text, the first occurrence included."""
         bounds = self.words[2]
@@ -157,6 +201,7 @@ class TextBlock:
         """Words that end in one of the symbols."""
         return self.per_word(_SYMBOL[self.data[self.words[1] - 1]])
 
+    @measured
     def n_same_next(self) -> np.ndarray:
         """Words equal to the one before them in the same text."""
         h, bounds = self.word_hash, self.words[2]

@@ -96,16 +96,16 @@ def token_ids(text: Column | str, path: str, end_id: int | None = None) -> Colum
     return encode(F.col(text) if isinstance(text, str) else text)
 
 
-def write_token_files(documents: DataFrame, out: str, path: str, end_id: int | None = 1) -> None:
+def write_token_files(documents: DataFrame, out: str, path: str, end_id: int | None = 1, **options: str) -> None:
     """Encode every text and write the files to `out`, ids of documents ascending over the files.
 
     Rows with one doc_id lie side by side, ordered by text; a null doc_id comes first; null texts
-    are empty. Other columns are not written. No rows give an empty folder of files.
+    are empty. Other columns are not written. No rows give an empty folder of files. `options` change ORC_OPTIONS.
     """
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     tokens = ordered.select("doc_id", token_ids("text", path, end_id).alias("ids"))
-    tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids").write.options(**ORC_OPTIONS).orc(out)
+    tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids").write.options(**ORC_OPTIONS | options).orc(out)
 
 
 def read_token_files(spark: SparkSession, out: str) -> DataFrame:

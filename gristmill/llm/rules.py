@@ -2,7 +2,8 @@
 
 Each rule's cost and selectivity are estimated on a bounded sample; rules are then ordered by
 rejections per unit of cost, and a text that one rule rejects is not measured by the later ones. The
-order changes the work, never the verdict.
+order changes the work, never the verdict. The DIGEST figures are wanted of every text, so they are measured
+first and cost the rules nothing; the base rules use nothing else.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import chunks
 from .features import TextBlock
@@ -47,10 +49,11 @@ EXTRA_RULES = (
 DIGEST = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def estimate(documents: DataFrame, rules: tuple[Rule, ...], sample_rows: int = 400, text: str = "text") -> list[tuple[str, float, float]]:
-    """(rule, seconds per text, share rejected) on at most `sample_rows` texts, measured in one task.
+def estimate(documents: DataFrame, rules: tuple[Rule, ...], sample_rows: int = 400, text: str = "text", base: tuple[Rule, ...] = ()) -> list[tuple[str, float, float]]:
+    """(rule, seconds per text, share rejected) on the `sample_rows` rows with the least hashes, measured in one task.
 
-    Only the figures reach the driver. Without rows every rule gets cost 1 and selectivity 0.
+    As in the cascade, the digest is there already and only texts that the `base` rules pass are measured; a rule's seconds
+    are what it adds to that. Only the figures reach the driver. Without rows every rule gets cost 1 and selectivity 0.
     """
     names = [r.name for r in rules]
 
@@ -58,15 +61,18 @@ def estimate(documents: DataFrame, rules: tuple[Rule, ...], sample_rows: int = 4
         spent, rejected, seen = np.zeros(len(rules)), np.zeros(len(rules)), 0
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(0)):
-                seen += len(offsets) - 1
+                block = TextBlock(data, offsets)
+                digest_of(block)
+                block = block.subset(np.flatnonzero(cascade(block, base) < 0))
+                seen += block.n
                 for k, rule in enumerate(rules):
-                    block = TextBlock(data, offsets)
+                    own = block.subset(np.arange(block.n))
                     began = time.perf_counter()
-                    rejected[k] += rule.rejects(block).sum()
+                    rejected[k] += rule.rejects(own).sum()
                     spent[k] += time.perf_counter() - began
         yield pa.RecordBatch.from_pydict({"rule": names, "spent": spent, "rejected": rejected, "seen": [seen] * len(rules)})
 
-    some = documents.select(F.col(text).alias("text")).sample(0.02, 7).limit(sample_rows)
+    some = documents.orderBy(F.xxhash64(*(documents[f"`{c}`"] for c in documents.columns if not isinstance(documents.schema[c].dataType, T.MapType)))).select(F.col(text).alias("text")).limit(sample_rows)
     rows = some.coalesce(1).mapInArrow(measure, "rule string, spent double, rejected double, seen long").collect()
     by = {r["rule"]: r for r in rows}
     return [(n, by[n]["spent"] / max(by[n]["seen"], 1) if n in by else 1.0, by[n]["rejected"] / max(by[n]["seen"], 1) if n in by else 0.0) for n in names]
@@ -78,31 +84,22 @@ def order_rules(rules: tuple[Rule, ...], figures: list[tuple[str, float, float]]
     return tuple(sorted(rules, key=lambda r: -gain[r.name]))
 
 
-def _subset(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.diff(offsets)[keep]
-    out = np.zeros(len(keep) + 1, np.int64)
-    np.cumsum(sizes, out=out[1:])
-    return (np.concatenate([data[offsets[i] : offsets[i + 1]] for i in keep]) if len(keep) else data[:0]), out
+def digest_of(block: TextBlock) -> list[np.ndarray]:
+    return [getattr(block, n)() for n in DIGEST]
 
 
 def cascade(block: TextBlock, rules: tuple[Rule, ...]) -> np.ndarray:
-    """Index of the first rule that rejects each text, or -1; later rules see only what is left.
-
-    The block is cut down to the survivors once more than half of its texts are gone; until then its
-    measurements are shared between the rules.
-    """
+    """Index of the first rule that rejects each text, or -1; a rejected text is cut from what later rules see."""
     verdict = np.full(block.n, -1, np.int64)
     alive = np.arange(block.n)
     for k, rule in enumerate(rules):
         if not len(alive):
             break
         bad = rule.rejects(block)
-        hit = bad & (verdict[alive] < 0)
-        verdict[alive[hit]] = k
-        left = np.flatnonzero(verdict[alive] < 0)
-        if len(left) < 0.5 * block.n:
-            alive = alive[left]
-            block = TextBlock(*_subset(block.data, block.offsets, left))
+        verdict[alive[bad]] = k
+        if bad.any():
+            left = np.flatnonzero(~bad)
+            alive, block = alive[left], block.subset(left)
     return verdict
 
 
@@ -120,14 +117,11 @@ def apply_rules(text: Column | str, rules: tuple[Rule, ...], base: tuple[Rule, .
         parts: list[list[np.ndarray]] = []
         for _, _, data, offsets in chunks(column):
             block = TextBlock(data, offsets)
-            digest = [getattr(block, n)() for n in DIGEST]
+            digest = digest_of(block)
             first = cascade(block, base)
             passed = np.flatnonzero(first < 0)
-            rest = block if len(passed) > 0.5 * block.n else TextBlock(*_subset(data, offsets, passed))
-            found = cascade(rest, rules)
-            if rest is block:
-                found = found[passed]
-            verdict = np.where(first >= 0, first, -1)
+            found = cascade(block.subset(passed) if len(passed) < block.n else block, rules)
+            verdict = first.copy()
             verdict[passed] = np.where(found >= 0, found + len(base), -1)
             parts.append([*digest, first >= 0, verdict < 0, verdict])
         names = np.array([*(r.name for r in (*base, *rules)), None], object)
@@ -144,6 +138,6 @@ def quality_cascade(documents: DataFrame, text: str = "text", sample_rows: int =
     All rows and columns stay (a column named `out` is replaced); filter on `out`.kept to apply it.
     Repeated rows are judged alike; an empty table stays empty.
     """
-    figures = estimate(documents, BASE_RULES + EXTRA_RULES, sample_rows, text)
-    base, extra = order_rules(BASE_RULES, figures), order_rules(EXTRA_RULES, figures)
+    extra = order_rules(EXTRA_RULES, estimate(documents, EXTRA_RULES, sample_rows, text, BASE_RULES))
+    base = BASE_RULES
     return documents.withColumn(out, apply_rules(text, extra, base))

@@ -117,6 +117,40 @@ def rule_digest(text):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered), failed
 
 
+def rules_keep(text):
+    """The verdict of the quality rules, from the words of a text."""
+    text = text or ""
+    n, chars, symbols, dup, _, failed = rule_digest(text)
+    words = WORD.findall(text)
+    lines = sum(bool(WORD.search(x)) for x in text.split("\n"))
+    letters = sum(c.isascii() and c.isalpha() or ord(c) > 127 for c in text)
+    return not (
+        failed
+        or symbols > 0.03 * max(chars, 1)
+        or sum("A" <= c <= "Z" for c in text) > 0.3 * max(len(text), 1)
+        or dup > 0.5 * max(lines, 1)
+        or sum(a == b for a, b in zip(words, words[1:], strict=False)) > 0.3 * max(n, 1)
+        or letters < 0.45 * max(chars, 1)
+        or chars > 30 * max(n, 1)
+    )
+
+
+def chat_chars(rows):
+    """rows: (conv_id, turn, role, text) -> conv_id: code points of all its examples."""
+    by = defaultdict(list)
+    for c, turn, role, text in rows:
+        by[c].append((turn, role or "", text or ""))
+    size = lambda t: len(t) + sum(t.count(c) for c in "\\<[")
+    out = {}
+    for c, turns in by.items():
+        so_far, total = 0, 0
+        for _, role, text in sorted(turns):
+            so_far += len("<|start|><|sep|><|end|>") + size(role) + size(text)
+            total += so_far if role == "assistant" else 0
+        out[c] = total + (so_far if role != "assistant" else 0)
+    return out
+
+
 def chat_digest(rows):
     """rows: (conv_id, turn, role, text) -> conv_id: (n_turns, turns sha, loss chars, loss sha)."""
     by = defaultdict(list)
