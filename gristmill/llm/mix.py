@@ -28,16 +28,29 @@ def word_count(text: Column) -> Column:
     return (n - F.when(F.element_at(parts, 1) == "", 1).otherwise(0) - F.when((n > 1) & (F.element_at(parts, -1) == ""), 1).otherwise(0)).cast("long")
 
 
-def topic_of(text: Column) -> Column:
-    """A coarse topic from marks in the whole text; the first that fits counts."""
+#: Terms of each topic; the topic whose terms occur most often in a text is its topic.
+TOPICS = {
+    "law": ("icense", "opyright", "arranty", "iabilit"),
+    "contact": ("@", "hone:", "mail:"),
+    "web": ("://", "www.", ".com"),
+    "table": ("|", "\t", ";"),
+    "markup": ("###", "%%%", "***", "$$$", "&&&", "</"),
+}
+#: Topic of a text in which no term occurs.
+NO_TOPIC = "prose"
+
+
+def term_count(text: Column, term: str) -> Column:
+    """Occurrences of a term in a whole text that don't overlap, from the bytes that taking them out saves."""
+    return (F.octet_length(text) - F.octet_length(F.replace(text, F.lit(term), F.lit("")))) / F.lit(len(term.encode()))
+
+
+def topic_of(text: Column, topics: dict[str, tuple[str, ...]] | None = None) -> Column:
+    """The topic whose terms occur most often in the whole text; the first of equal ones, NO_TOPIC without any."""
     t = F.coalesce(text, F.lit(""))
-    return (
-        F.when(F.contains(t, F.lit("|")), "table")
-        .when(F.contains(t, F.lit("%%%")) | F.contains(t, F.lit("###")), "marked")
-        .when(F.contains(t, F.lit("icense")), "licence")
-        .when(F.contains(t, F.lit("@")) | F.contains(t, F.lit("://")), "contact")
-        .otherwise("prose")
-    )
+    scores = [(name, sum((term_count(t, x) for x in terms[1:]), term_count(t, terms[0]))) for name, terms in (TOPICS if topics is None else topics).items()]
+    ranked = F.array(*(F.struct(score.alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("name")) for k, (name, score) in enumerate(scores)), F.struct(F.lit(0.0).alias("n"), F.lit(1).alias("k"), F.lit(NO_TOPIC).alias("name")))
+    return F.array_max(ranked)["name"]
 
 
 def draw(doc_id: Column) -> Column:
@@ -69,19 +82,20 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     return out.withColumn("w", F.col("w") / F.sum("w").over(Window.partitionBy()))
 
 
-def _levels(documents: DataFrame) -> dict[str, Column]:
+def _levels(documents: DataFrame, topics: dict[str, tuple[str, ...]] | None) -> dict[str, Column]:
     """Each document's level of every margin; null source or lang is the level ''."""
     return {
         "source": F.coalesce(documents["source"].cast("string"), F.lit("")),
         "lang": F.coalesce(documents["lang"].cast("string"), F.lit("")),
-        "topic": topic_of(documents["text"]),
+        "topic": topic_of(documents["text"], topics),
     }
 
 
-def _described(documents: DataFrame) -> DataFrame:
+def _described(documents: DataFrame, topics: dict[str, tuple[str, ...]] | None, tokens: str | None) -> DataFrame:
     """Levels and tokens of every document; texts are read once, what follows needs these columns only."""
-    levels = _levels(documents)
-    return stored(documents.select("doc_id", *(levels[m].alias(m) for m in MARGINS), word_count(documents["text"]).alias("n_tokens")), "mix-rows")
+    levels = _levels(documents, topics)
+    n = word_count(documents["text"]) if tokens is None else F.coalesce(documents[tokens].cast("long"), F.lit(0))
+    return stored(documents.select("doc_id", *(levels[m].alias(m) for m in MARGINS), n.alias("n_tokens")), "mix-rows")
 
 
 def _filled(raked: DataFrame, budget: Column) -> DataFrame:
@@ -115,7 +129,7 @@ def _cell_chances(rows: DataFrame, targets: dict[str, DataFrame] | None, budget:
     return stored(raked.select(*MARGINS, scaled.alias("probability")), "mix-cells")
 
 
-def mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | str | None = None, rounds: int = ROUNDS) -> DataFrame:
+def mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | str | None = None, rounds: int = ROUNDS, topics: dict[str, tuple[str, ...]] | None = None, tokens: str | None = None) -> DataFrame:
     """(doc_id, source, lang, topic, n_tokens, probability, kept) for every document.
 
     `targets` maps a margin to (level, target) rows; a margin left out gets tempered natural shares.
@@ -123,35 +137,45 @@ def mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budge
     others are scaled up to fill it. EXACT is the most that meets the targets with no document twice, so the
     largest factor alone sets the scale; by default that holds too, but KEPT_SHARE of the tokens is kept at
     least, so that a rare cell doesn't scale down all others.
-    Null source or lang is the level ''; null text has no tokens; documents of a cell without
+    `topics` gives terms of topics in place of TOPICS; `tokens` names a column of token counts (of another stage, say) to
+    use in place of words. Null source or lang is the level ''; null text has no tokens; documents of a cell without
     tokens have probability 0. Rows with one doc_id are drawn alike. Other columns are ignored.
     """
-    rows = _described(documents)
+    rows = _described(documents, topics, tokens)
     joined = rows.join(_cell_chances(rows, targets, budget, rounds), list(MARGINS), "left")
     p = F.coalesce("probability", F.lit(0.0))
     return joined.select("doc_id", *MARGINS, "n_tokens", F.round(p, 6).alias("probability"), (draw(F.col("doc_id")) < p).alias("kept"))
 
 
-def sample_mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | str | None = None, rounds: int = ROUNDS) -> DataFrame:
+def sample_mix(documents: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | str | None = None, rounds: int = ROUNDS, topics: dict[str, tuple[str, ...]] | None = None, tokens: str | None = None) -> DataFrame:
     """The documents that `mix` keeps, with their own columns only.
 
     The probability of a document depends on its cell alone, so the cells' probabilities are joined
     (their number is bounded by the levels of the margins) and no row is matched by id.
     """
-    cells = _cell_chances(_described(documents), targets, budget, rounds)
+    cells = _cell_chances(_described(documents, topics, tokens), targets, budget, rounds)
     named = {m: f"_{m}_of_cell" for m in MARGINS}
     small = cells.select(*(F.col(m).alias(named[m]) for m in MARGINS), F.col("probability").alias("_probability"))
-    levels = _levels(documents)
+    levels = _levels(documents, topics)
     on = [levels[m] == small[named[m]] for m in MARGINS]
     joined = documents.join(small, on, "inner").where(draw(documents["doc_id"]) < small["_probability"])
     return joined.select(*(documents[f"`{c}`"] for c in documents.columns))
 
 
+def _topic_sql() -> str:
+    counts = {name: " + ".join(f"(strlen(t) - strlen(replace(t, {_quoted(x)}, ''))) / {len(x.encode())}" for x in terms) for name, terms in TOPICS.items()}
+    most = f"greatest({', '.join(counts.values())})"
+    return f"CASE WHEN {most} = 0 THEN '{NO_TOPIC}' " + " ".join(f"WHEN {n} = {most} THEN '{name}'" for name, n in counts.items()) + " END"
+
+
+def _quoted(term: str) -> str:
+    return "chr(9)" if term == "\t" else f"'{term}'"
+
+
 ORACLE = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
-    CASE WHEN contains(t, '|') THEN 'table' WHEN contains(t, '%%%') OR contains(t, '###') THEN 'marked'
-         WHEN contains(t, 'icense') THEN 'licence' WHEN contains(t, '@') OR contains(t, '://') THEN 'contact' ELSE 'prose' END AS topic,
+    {_topic_sql()} AS topic,
     len(list_filter(string_split_regex(t, '[ \\t\\n\\x0b\\f\\r]+'), lambda x: x <> ''))::BIGINT AS n_tokens
   FROM (SELECT *, coalesce(text, '') AS t FROM documents)),
 c AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS n FROM d GROUP BY ALL HAVING sum(n_tokens) > 0),

@@ -193,3 +193,16 @@ def test_mix_with_given_targets(spark):
     few = mix.mix(df, targets, budget=5000).collect()
     assert abs(sum(r.probability * r.n_tokens for r in few) - 5000) < 1
     assert {r.doc_id for r in few if r.kept} == {r.doc_id for r in mix.sample_mix(df, targets, budget=5000).collect()}
+
+
+def test_topics_and_given_token_counts(spark):
+    """The topic whose terms occur most often, ties by the order of topics; token counts may come from a column."""
+    texts = [None, "", "plain words", "a|b|c mail: x@y", "x@y | license", "License, Copyright: see www.a.com", "### *** </b> x@y", "a\tb\tc;d", "||", "😀@@ é://x"]
+    df = spark.createDataFrame([(i, t, "en", "s", 10 * i) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, size int")
+    want = []
+    for t in texts:
+        n = {name: sum((t or "").count(x) for x in terms) for name, terms in mix.TOPICS.items()}
+        want.append(max(n, key=n.get) if any(n.values()) else mix.NO_TOPIC)
+    assert [r.topic for r in mix.mix(df).orderBy("doc_id").collect()] == want and len(set(want)) > 4
+    own = mix.mix(df, topics={"shout": ("!",), "see": ("see", "://")}, tokens="size").orderBy("doc_id").collect()
+    assert [r.topic for r in own] == ["prose"] * 5 + ["see"] + ["prose"] * 3 + ["see"] and [r.n_tokens for r in own] == [10 * i for i in range(len(texts))]
