@@ -518,6 +518,20 @@ def infer_types(t):
     return profile.infer_types(t["orders"].select(*(F.col(c).cast("string") for c in _ORDER_TEXTS)))
 
 
+@query(_classes_sql("events", {"event_id": "event_id", "ts": "ts", "event_type": "event_type"}, ("event_id",)).replace("position, column_name, kind AS inferred_type, CASE", "position, kind AS type, CASE").replace("AS inferred_name FROM n", "AS name FROM n"))
+def inferred_schema(t):
+    found = mapping.infer_schema(t["events"].select("event_id", "ts", "event_type"))
+    return t.spark.createDataFrame([(p, f["type"], f["name"]) for p, f in found["fields"].items()], "position int, type string, name string")
+
+
+@query("SELECT event_id FROM events WHERE event_id % 2 = 0 AND value > 2")
+def policy_rows(t):
+    """The rows that the predicate of an ingest policy keeps."""
+    flags = t["events"].select("event_id", F.when(F.col("event_id") % 2 == 1, F.col("ts")).alias("deleted_at"), (F.col("value") > 2).alias("active"))
+    policy = profile.ingest_policy(profile.policy_metadata(flags, "events"))
+    return flags.where(policy.first()["where"]).select("event_id")
+
+
 @query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in ("nation", "customer", "orders")))
 def introspect_tables(t):
     found = profile.introspect_all({n: t[n] for n in ("nation", "customer", "orders")}, profile.table_metadata)
@@ -669,6 +683,18 @@ def sync_full(t):
     return store.read("users").select("user_id", "event_id", "event_type", "_sync_version")
 
 
+@query(_LAST + ", 1::BIGINT AS _sync_version, (SELECT count(*) FROM events WHERE value > 2) AS counted FROM events WHERE value > 2 GROUP BY user_id")
+def sync_where(t):
+    """A load with an extra predicate, after a dry run that only counts."""
+    from .sources import sync
+
+    store, events, cfg = _loads(t)
+    source = t["events"].select("user_id", "event_id", "event_type", "value")
+    counted = sync.sync_full(store, source, cfg, where="value > 2", dry_run=True)["fetched"]
+    sync.sync_full(store, source, cfg, where="value > 2")
+    return store.read("users").select("user_id", "event_id", "event_type", "_sync_version", F.lit(counted).cast("long").alias("counted"))
+
+
 _CUT = "(SELECT max(event_id) / 2 FROM events)"
 
 
