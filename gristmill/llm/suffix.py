@@ -5,29 +5,33 @@ Three Spark steps keep what is sorted small and co-located without losing a matc
 1. Every `width`-byte string is assigned to the least-hashed k-gram inside it (its anchor). Equal
    strings have equal anchors, so only strings whose anchor occurs in two documents can repeat.
 2. Around each such anchor a document contributes a window: the bytes of all strings that the anchor
-   owns. Windows go to shards by anchor; equal windows are one.
-3. Each shard builds the suffix array of its windows by induced sorting: the sorted leftmost S-type
-   suffixes seed bucket queues that carry (suffix, common prefix) tuples, L-type suffixes are induced
-   in ascending and S-type ones in descending order. Queues hold their tuples in memory up to a
-   bound and in temporary files beyond it. Neighbours with a common prefix of `width` are equal
-   strings; the least document of each run decides.
+   owns. Windows go to shards by anchor, each distinct one once, with the least document that uses it.
+3. Each shard builds the suffix array of its windows by external induced sorting (`induced`). Neighbours with a
+   common prefix of `width` are equal strings; the least document of each run decides. A shard gives, for
+   each window, runs of strings with their least document.
+
+Documents look up the runs of the windows they use in tasks of their own, so a passage that very many
+documents share is sorted once and its uses are dealt over tasks.
 """
 
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, discard, gram_hash, release_memory, stored
+from .common import SpanHash, chunks, discard, gram_hash, mix, release_memory, stored
+from .induced import Disk, suffix_array
+from .units import spread
 
-#: Rows up to which a list of ids or spans is broadcast instead of shuffled against.
-BROADCAST_ROWS = 500_000
-#: Tuples that a shard's queues keep in memory before they go to temporary files.
-QUEUE_ROWS = 8_000_000
+#: Bytes of arrays that a shard keeps in memory; the rest of them lies in temporary files.
+SHARD_MEMORY = 256 << 20
+#: Uses of windows that one task looks up.
+USES = 2_000_000
 
 
 # --- anchors and windows -------------------------------------------------------------------------
@@ -124,15 +128,41 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": rows["doc"], "key": rows["key"].astype(np.int64)}, schema=pa.schema([("doc_id", pa.int64()), ("key", pa.int64())]))
 
 
-def _emit_windows(width: int, buckets: int):
-    """Windows around a document's shared anchors, packed by shard; equal windows of a batch once."""
+_WINDOW = np.dtype([("id", "<u8"), ("low", "<i8"), ("high", "<i8"), ("size", "<u4")])
+_USE = np.dtype([("id", "<u8"), ("doc", "<i8"), ("at", "<u4")])
+_RUN = np.dtype([("id", "<u8"), ("least", "<i8"), ("a", "<u4"), ("b", "<u4")])
+_RANGE = np.dtype([("doc", "<i8"), ("a", "<u4"), ("b", "<u4")])
+_WINDOWS = pa.schema([("shard", pa.int32()), ("data", pa.binary()), ("about", pa.binary()), ("n_uses", pa.int64()), ("uses", pa.binary())])
+
+
+def _squeezed(raw: np.ndarray) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(raw).tobytes(), "zstd", asbytes=True)
+
+
+def _spread_out(raw: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True), np.uint8)
+
+
+def _packed(rows: np.ndarray) -> bytes:
+    """Records compressed byte place by byte place, so that the high bytes of neighbours lie together."""
+    return _squeezed(rows.view(np.uint8).reshape(len(rows), rows.itemsize).T.ravel())
+
+
+def _unpacked(raw: bytes, kind: np.dtype) -> np.ndarray:
+    return np.ascontiguousarray(_spread_out(raw).reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
+def _emit_windows(width: int, shards: int):
+    """Windows around a document's shared anchors, one row per batch and shard: the distinct ones with their least and
+    greatest document, and the uses, all compressed. A window is known by a 64-bit hash in its shard.
+    """
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             hot = batch.column(2)
             hot_ends, hot_keys = hot.offsets.to_numpy() - hot.offsets[0].as_py(), hot.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
-            shards: dict[int, tuple[dict, list]] = {}
+            raws, sizes, uses, shard = [], [], [], []
             for a, b, data, offsets in chunks(batch.column(1)):
                 text, key, first, last = anchors(data, offsets, width)
                 wanted = np.zeros(hot_ends[b] - hot_ends[a], _ENTRY)
@@ -141,18 +171,31 @@ def _emit_windows(width: int, buckets: int):
                 own = np.zeros(len(key), _ENTRY)
                 own["key"], own["doc"] = key, text
                 keep = np.flatnonzero(np.isin(_fold(own), _fold(wanted)))
-                raw = data.tobytes()
-                for t, x, s, e in zip(text[keep].tolist(), (key[keep] % np.uint64(buckets)).tolist(), first[keep].tolist(), (last[keep] + width).tolist(), strict=True):
-                    known, uses = shards.setdefault(x, ({}, []))
-                    uses.append((ids[a + t], s - int(offsets[t]), known.setdefault(raw[s:e], len(known))))
-            out = {"bucket": [], "windows": [], "sizes": [], "uses": []}
-            for x, (known, uses) in shards.items():
-                out["bucket"].append(x)
-                out["windows"].append(b"".join(known))
-                out["sizes"].append(np.array([len(w) for w in known], "<u4").tobytes())
-                out["uses"].append(np.array(uses, "<i8").tobytes())
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("bucket", pa.int32()), ("windows", pa.binary()), ("sizes", pa.binary()), ("uses", pa.binary())]))
-            del shards, out
+                start, end, text = first[keep], last[keep] + width, text[keep]
+                some = np.zeros(len(keep), _USE)
+                some["id"], some["doc"], some["at"] = SpanHash(data).of(start, end), ids[a + text], start - offsets[text]
+                raws.append(data[spread(start, end - start)])
+                sizes.append(end - start)
+                uses.append(some)
+                shard.append((key[keep] % np.uint64(shards)).astype(np.int64))
+            raw, size, uses, shard = (np.concatenate(x) if x else np.zeros(0, kind) for x, kind in ((raws, np.uint8), (sizes, np.int64), (uses, _USE), (shard, np.int64)))
+            order = np.lexsort((uses["id"], shard))
+            start, size, uses, shard = (np.cumsum(size) - size)[order], size[order], uses[order], shard[order]
+            new = np.flatnonzero(np.append(True, (shard[1:] != shard[:-1]) | (uses["id"][1:] != uses["id"][:-1]))[: len(uses)])
+            about = np.zeros(len(new), _WINDOW)
+            about["size"] = size[new]
+            if len(new):
+                about["id"] = uses["id"][new]
+                about["low"], about["high"] = np.minimum.reduceat(uses["doc"], new), np.maximum.reduceat(uses["doc"], new)
+            out = {f.name: [] for f in _WINDOWS}
+            for x in np.unique(shard).tolist():
+                u, v = np.searchsorted(shard, [x, x + 1])
+                p, q = np.searchsorted(new, [u, v])
+                row = (x, _squeezed(raw[spread(start[new[p:q]], size[new[p:q]])]), _packed(about[p:q]), int(v - u), _packed(uses[u:v]))
+                for values, value in zip(out.values(), row, strict=True):
+                    values.append(value)
+            yield pa.RecordBatch.from_pydict(out, schema=_WINDOWS)
+            del out, raws, sizes, raw, uses, shard
             release_memory()
 
     return run
@@ -163,360 +206,187 @@ def _fold(rows: np.ndarray) -> np.ndarray:
     return rows["key"] ^ (rows["doc"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-# --- induced sorting ------------------------------------------------------------------------------
-
-
-class BucketQueues:
-    """Queues of (suffix, common prefix) tuples by first symbol, popped in order of arrival.
-
-    Induction visits buckets in order and pushes only to buckets still to come (or the current one),
-    so first-in first-out queues by symbol are the priority queue. Beyond `most` tuples in memory,
-    the fullest queues move to temporary files and are read back when their bucket's turn comes.
+# --- shards and look-ups ---------------------------------------------------------------------------
+
+
+def _spool(batches: Iterator[pa.RecordBatch], memory: int):
+    """(file of the bytes of distinct windows, their sizes, what is known about each) of a shard's rows."""
+    file = tempfile.SpooledTemporaryFile(max_size=memory)
+    known, sizes, seen = np.zeros(0, np.uint64), [], []
+    for batch in batches:
+        raw = np.concatenate([_spread_out(x) for x in batch.column("data").to_pylist()])
+        about = np.concatenate([_unpacked(x, _WINDOW) for x in batch.column("about").to_pylist()])
+        size = about["size"].astype(np.int64)
+        seen.append(about)
+        _, fresh = np.unique(about["id"], return_index=True)
+        fresh = fresh[~np.isin(about["id"][fresh], known)]
+        file.write(raw[spread((np.cumsum(size) - size)[fresh], size[fresh])].tobytes())
+        sizes.append((about["id"][fresh], size[fresh]))
+        known = np.union1d(known, about["id"][fresh])
+    seen = np.concatenate(seen)
+    ids = np.concatenate([x for x, _ in sizes])
+    order = np.argsort(ids)
+    place = order[np.searchsorted(ids[order], seen["id"])]
+    about = np.zeros(len(ids), _WINDOW)
+    about["id"], about["low"], about["high"] = ids, np.iinfo(np.int64).max, np.iinfo(np.int64).min
+    np.minimum.at(about["low"], place, seen["low"])
+    np.maximum.at(about["high"], place, seen["high"])
+    return file, np.concatenate([x for _, x in sizes]), about
+
+
+def window_runs(file, size: np.ndarray, about: np.ndarray, width: int, memory: int, block: int = 1 << 13) -> Iterator[np.ndarray]:
+    """_RUN rows of windows whose bytes lie in `file` one after the other: ranges of starts [a, b] in a window with the
+    least document that has their string, where that isn't the greatest document that uses the window.
     """
+    count = len(size)
+    begin = np.cumsum(size + 1) - size - 1
+    with Disk(memory) as disk:
+        n = int(size.sum()) + count + 1
+        text = disk.array(n, np.uint16)
+        file.seek(0)
+        for a in range(0, count, block):
+            some = size[a : a + block]
+            raw = np.frombuffer(file.read(int(some.sum())), np.uint8)
+            part = np.ones(len(raw) + len(some), np.uint16)  # 1 ends a window, 0 the whole
+            part[spread(np.cumsum(some + 1) - some - 1, some)] = raw.astype(np.uint16) + 2
+            text[begin[a] : begin[a] + len(part)] = part
+        order, shared = suffix_array(text, 258, width, disk)
+        least, of_run = disk.array(n, np.int64), disk.array(n, np.int64)
+        of_run[:] = np.iinfo(np.int64).max
+        # First the least document of each run of equal strings, then that of each place.
+        for fill in (False, True):
+            run = -1
+            for a in range(0, n, 1 << 16):
+                at, same = order[a : a + (1 << 16)].astype(np.int64), shared[a : a + (1 << 16)] >= width
+                window = np.minimum(np.searchsorted(begin, at, "right") - 1, count - 1)
+                runs = run + np.cumsum(~same)
+                run = int(runs[-1])
+                if fill:
+                    least[at] = of_run[runs]
+                else:
+                    whole = at - begin[window] + width <= size[window]
+                    np.minimum.at(of_run, runs[whole], about["low"][window[whole]])
+        for a in range(0, count, block):
+            starts = np.maximum(size[a : a + block] - width + 1, 0)
+            window = np.repeat(a + np.arange(len(starts)), starts)
+            at = spread(begin[a : a + block], starts)
+            value = least[at]
+            new = np.append(True, (window[1:] != window[:-1]) | (value[1:] != value[:-1]))[: len(at)]
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(at))[: len(first)] - 1
+            keep = value[first] < about["high"][window[first]]
+            first, last = first[keep], last[keep]
+            out = np.zeros(len(first), _RUN)
+            out["id"], out["least"] = about["id"][window[first]], value[first]
+            out["a"], out["b"] = at[first] - begin[window[first]], at[last] - begin[window[first]]
+            if len(out):
+                yield out
+
+
+def _shard(width: int, memory: int):
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, size, about = _spool(batches, memory)
+        with file:
+            for runs in window_runs(file, size, about, width, memory):
+                yield pa.RecordBatch.from_pydict({"shard": [key[0].as_py()], "data": [_packed(runs)]}, schema=pa.schema([("shard", pa.int32()), ("data", pa.binary())]))
+        release_memory()
 
-    def __init__(self, most: int = QUEUE_ROWS):
-        self.most, self.held = most, 0
-        self.parts: dict[int, list] = {}
-        self.file = None
-
-    def push(self, symbol: int, suffixes: np.ndarray, prefix: np.ndarray) -> None:
-        self.parts.setdefault(symbol, []).append((suffixes, prefix))
-        self.held += len(suffixes)
-        if self.held > self.most:
-            self._spill()
-
-    def _spill(self) -> None:
-        if self.file is None:
-            self.file = tempfile.TemporaryFile()
-        for symbol in sorted(self.parts, key=lambda s: -sum(len(p[0]) for p in self.parts[s] if p[0] is not None)):
-            if self.held <= self.most // 2:
-                break
-            kept = []
-            for suffixes, prefix in self.parts[symbol]:
-                if suffixes is not None:
-                    where = self.file.seek(0, 2)
-                    self.file.write(suffixes.astype("<i4").tobytes() + prefix.astype("<i4").tobytes())
-                    self.held -= len(suffixes)
-                    suffixes, prefix = None, (where, len(suffixes))
-                kept.append((suffixes, prefix))
-            self.parts[symbol] = kept
-
-    def pop(self, symbol: int) -> tuple[np.ndarray, np.ndarray] | None:
-        """All that a bucket's queue holds now."""
-        parts = self.parts.pop(symbol, None)
-        if not parts:
-            return None
-        out = []
-        for suffixes, prefix in parts:
-            if suffixes is None:
-                self.file.seek(prefix[0])
-                both = np.frombuffer(self.file.read(8 * prefix[1]), "<i4")
-                suffixes, prefix = both[: prefix[1]], both[prefix[1] :]
-            else:
-                self.held -= len(suffixes)
-            out.append((suffixes, prefix))
-        return np.concatenate([p[0] for p in out]), np.concatenate([p[1] for p in out])
-
-    def close(self) -> None:
-        if self.file is not None:
-            self.file.close()
-
-
-def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefix of suffix pairs, at most `cap`."""
-    out = np.zeros(len(a), np.int32)
-    left = np.arange(len(a))
-    for _ in range(cap):
-        x, y = a[left], b[left]
-        fits = np.maximum(x, y) < len(text)
-        left, x, y = left[fits], x[fits], y[fits]
-        left = left[text[x] == text[y]]
-        if not len(left):
-            break
-        out[left] += 1
-        a, b = a + 1, b + 1
-    return out
-
-
-def _suffix_types(text: np.ndarray) -> np.ndarray:
-    """True for S-type suffixes (less than the one after); the last symbol is the least, S-type."""
-    step = np.sign(np.diff(text.astype(np.int32)))
-    n = len(text)
-    nearest = np.where(step != 0, np.arange(n - 1), n - 1)
-    nearest = np.minimum.accumulate(nearest[::-1])[::-1]
-    out = np.ones(n, bool)
-    known = nearest < n - 1
-    out[:-1][known] = step[nearest[known]] > 0
-    return out
-
-
-def _ranked(*keys: np.ndarray) -> np.ndarray:
-    """Dense ranks of rows by keys (first key most significant)."""
-    if len(keys) == 2 and len(keys[0]) and int(keys[0].max()) < 1:
-        keys = keys[1:]
-    elif len(keys) == 2 and len(keys[0]) and int(keys[0].max()) * (int(keys[1].max()) + 2) < 2**62 and keys[1].dtype == np.int64:
-        keys = (keys[0] * (int(keys[1].max()) + 2) + keys[1] + 1,)
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
-    change = np.zeros(len(order), bool)
-    for k in keys:
-        change[1:] |= k[order][1:] != k[order][:-1]
-    out = np.empty(len(order), np.int64)
-    out[order] = np.cumsum(change)
-    return out
-
-
-def sort_seeds(text: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, reach: int) -> np.ndarray:
-    """The leftmost S-type suffixes in order, as far as `reach` symbols tell.
-
-    The substrings between neighbouring seeds are named in order; the string of names is then sorted
-    by recursion on pairs of names, each level naming twice the length.
-    """
-    bounds = np.append(seeds[1:], len(text) - 1)
-    length = bounds - seeds + 1
-    symbol = text.astype(np.uint64) * np.uint64(2) + is_s
-    per = 6
-    names = np.zeros(len(seeds), np.int64)
-    open_ = np.arange(len(seeds))
-    done = 0
-    while len(open_):
-        packed = np.zeros(len(open_), np.uint64)
-        for j in range(per):
-            at = seeds[open_] + done + j
-            inside = done + j < length[open_]
-            packed = packed * np.uint64(1024) + np.where(inside, symbol[np.minimum(at, len(text) - 1)] + np.uint64(1), np.uint64(0))
-        # Refine the names of those that are still compared; others keep their place by scaling.
-        fine = _ranked(names[open_], packed)
-        size = np.bincount(names[open_], minlength=int(names.max()) + 1)
-        base = np.concatenate(([0], np.cumsum(np.maximum(np.bincount(names, minlength=len(size)), 0))))[:-1]
-        first = np.full(len(size), len(open_), np.int64)
-        np.minimum.at(first, names[open_], fine)
-        renamed = base[names]
-        renamed[open_] = base[names[open_]] + fine - first[names[open_]]
-        names = _ranked(renamed)
-        done += per
-        tied = np.bincount(names)[names] > 1
-        open_ = np.flatnonzero(tied & (length > done))
-        del size
-    order = np.argsort(names, kind="stable")
-    step, covered = 1, 1
-    while len(names) and names.max() + 1 < len(names) and covered < reach:
-        following = np.full(len(names), -1, np.int64)
-        following[:-step] = names[step:]
-        names = _ranked(names, following)
-        order = np.argsort(names, kind="stable")
-        step *= 2
-        covered *= 2
-    return seeds[order]
-
-
-def _induce(text, wanted, seeds, seed_prefix, symbols, cap):
-    """Induce the `wanted` suffixes from seeds, bucket by bucket in the order of `symbols`.
-
-    `seeds` and `seed_prefix` map a symbol to its suffixes in visiting order and their common prefix with
-    the one before. Returns the same for the induced suffixes. A pushed suffix shares one symbol
-    more with the one pushed before it than their successors do, and these share the least of the
-    common prefixes visited in between.
-    """
-    queues, out = BucketQueues(), {}
-    pushed = np.zeros(int(text.max()) + 1, bool)
-    since = np.full(int(text.max()) + 1, cap, np.int32)
-
-    def visit(suffixes: np.ndarray, prefix: np.ndarray) -> None:
-        before = suffixes - 1
-        use = np.flatnonzero((before >= 0) & wanted[before])
-        low = int(prefix.min())
-        symbol = text[before[use]]
-        order = np.argsort(symbol, kind="stable")
-        use, symbol = use[order], symbol[order]
-        cuts = np.append(np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1])), len(use)) if len(use) else np.zeros(1, np.int64)
-        touched, ends = symbol[cuts[:-1]].astype(np.int64), []
-        for i, s in enumerate(touched.tolist()):
-            at = use[cuts[i] : cuts[i + 1]]
-            shared = np.empty(len(at), np.int32)
-            # Least common prefix since the push before: one range per pushed suffix.
-            shared[0] = min(int(since[s]), int(prefix[: at[0] + 1].min())) + 1 if pushed[s] else 0
-            if len(at) > 1:
-                shared[1:] = np.minimum.reduceat(prefix[: at[-1] + 1], at[:-1] + 1) + 1
-            queues.push(s, before[at], np.minimum(shared, cap))
-            ends.append(int(prefix[at[-1] + 1 :].min()) if at[-1] + 1 < len(prefix) else cap)
-        np.minimum(since, low, out=since)
-        since[touched] = ends
-        pushed[touched] = True
-
-    for s in symbols:
-        found = []
-        while (batch := queues.pop(s)) is not None:
-            found.append(batch)
-            visit(*batch)
-        if found:
-            out[s] = (np.concatenate([b[0] for b in found]), np.concatenate([b[1] for b in found]))
-        if s in seeds:
-            prefix = seed_prefix[s].copy()
-            if found:
-                prefix[0] = common_prefix(text, out[s][0][-1:], seeds[s][:1], cap)[0]
-            visit(seeds[s], prefix)
-    queues.close()
-    return out
-
-
-def suffix_array(text: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array of symbols 0..510 and common prefixes up to `reach`.
-
-    The text ends in its least symbol, after a greater one. Suffixes that agree in their first `reach` symbols may come in any order. The common prefix of
-    each suffix is with the one before it; the first has 0.
-    """
-    text = text.astype(np.int16)
-    is_s = _suffix_types(text)
-    seeds = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    used = np.unique(text).tolist()
-
-    def by_symbol(suffixes, prefix):
-        symbol = text[suffixes]
-        cuts = np.append(np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1])), len(suffixes)) if len(suffixes) else [0]
-        where, what = {}, {}
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            s = int(symbol[a])
-            where[s], what[s] = suffixes[a:b], prefix[a:b].copy()
-            what[s][0] = 0
-        return where, what
-
-    ordered = sort_seeds(text, is_s, seeds, reach)
-    prefix = np.zeros(len(ordered), np.int32)
-    prefix[1:] = common_prefix(text, ordered[:-1], ordered[1:], reach)
-    large = _induce(text, ~is_s, *by_symbol(ordered, prefix), used, reach)
-    back = {s: (a[::-1], np.append(0, p[1:][::-1]).astype(np.int32)) for s, (a, p) in large.items()}
-    small = _induce(text, is_s, {s: v[0] for s, v in back.items()}, {s: v[1] for s, v in back.items()}, used[::-1], reach)
-    parts, shared = [], []
-    if used and used[0] not in small:
-        parts, shared = [np.array([len(text) - 1])], [np.zeros(1, np.int32)]
-    for s in used:
-        if s in large:
-            parts.append(large[s][0])
-            shared.append(large[s][1].copy())
-            shared[-1][0] = 0
-        if s in small:
-            suffixes = small[s][0][::-1]
-            own = np.append(0, small[s][1][1:][::-1]).astype(np.int32)
-            if not parts and s == used[0]:
-                # Nothing induces the last suffix, which is the least of all.
-                shared_first = common_prefix(text, np.array([len(text) - 1]), suffixes[:1], reach)
-                suffixes, own = np.append(len(text) - 1, suffixes), np.concatenate(([0], shared_first, own[1:])).astype(np.int32)
-            if s in large:
-                own[0] = common_prefix(text, parts[-1][-1:], suffixes[:1], reach)[0]
-            parts.append(suffixes)
-            shared.append(own)
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(parts), np.concatenate(shared)) if parts else (none, none)
-
-
-# --- shards ---------------------------------------------------------------------------------------
+    return run
 
 
-def _shard(width: int):
-    """Ranges to remove, from the windows of one shard and the documents that use them."""
+def _look_up(width: int, buckets: int):
+    """Ranges to remove, packed by bucket of documents, from the runs of a shard and a part of its uses."""
 
     def run(table: pa.Table) -> pa.Table:
-        known: dict[bytes, int] = {}
-        uses = []
-        for raw, sizes, used in zip(*(table.column(c).to_pylist() for c in ("windows", "sizes", "uses")), strict=True):
-            ends = np.cumsum(np.frombuffer(sizes, "<u4").astype(np.int64)).tolist()
-            place = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip([0, *ends[:-1]], ends, strict=True)])
-            rows = np.frombuffer(used, "<i8").reshape(-1, 3).copy()
-            rows[:, 2] = place[rows[:, 2]]
-            uses.append(rows)
-        uses = np.concatenate(uses)
-        windows = list(known)
-        size = np.array([len(w) for w in windows])
-        low = np.full(len(windows), np.iinfo(np.int64).max)
-        np.minimum.at(low, uses[:, 2], uses[:, 0])
-        text = np.frombuffer(b"\0".join([b"", *windows, b""]), np.uint8).astype(np.int16) + 1
-        begin = np.cumsum(size + 1) - size
-        text[begin - 1] = 0
-        text[-1] = 0
-        of = np.repeat(np.arange(len(windows) + 1), np.append(1, size + 1))[: len(text)] - 1
-        order, shared = suffix_array(text[1:], width)
-        order = order + 1
-        starts = size - width + 1
-        whole = order - begin[of[order]] < starts[of[order]]
-        whole &= order < len(text) - 1
-        new = np.append(True, shared[1:] < width) | ~whole
-        run_begin = np.flatnonzero(new)
-        least = np.minimum.reduceat(low[of[order]], run_begin)
-        earliest = np.empty(len(text), np.int64)
-        earliest[order] = np.repeat(least, np.diff(np.append(run_begin, len(order))))
-        count = starts[uses[:, 2]]
-        total = np.cumsum(count)
-        at = np.repeat(begin[uses[:, 2]] - (total - count), count) + np.arange(total[-1])
-        owner = np.repeat(np.arange(len(uses)), count)
-        gone = earliest[at] < uses[owner, 0]
-        edge = np.append(True, owner[1:] != owner[:-1])
-        opens = np.flatnonzero(gone & (edge | ~np.append(False, gone[:-1])))
-        closes = np.flatnonzero(gone & (np.append(edge[1:], True) | ~np.append(gone[1:], False)))
-        base = uses[owner[opens], 1] - begin[uses[owner[opens], 2]]
-        position = np.repeat(begin[uses[:, 2]] - (total - count), count)
-        a = position[opens] + opens + base
-        b = position[closes] + closes + base + width
-        del known, windows, text, order, shared, earliest, at, position
+        is_use = table.column("is_use").to_pylist()
+        raw = table.column("data").to_pylist()
+        runs = np.concatenate([np.zeros(0, _RUN), *(_unpacked(x, _RUN) for x, u in zip(raw, is_use, strict=True) if not u)])
+        runs = runs[np.argsort(runs["id"], kind="stable")]
+        parts = []
+        for x in (x for x, u in zip(raw, is_use, strict=True) if u):
+            uses = _unpacked(x, _USE)
+            low, high = (np.searchsorted(runs["id"], uses["id"], side) for side in ("left", "right"))
+            use, of = np.repeat(np.arange(len(uses)), high - low), spread(low, high - low)
+            keep = runs["least"][of] < uses["doc"][use]
+            use, of = use[keep], of[keep]
+            part = np.zeros(len(use), _RANGE)
+            part["doc"], part["a"], part["b"] = uses["doc"][use], uses["at"][use] + runs["a"][of], uses["at"][use] + runs["b"][of] + width
+            parts.append(part)
+        ranges = np.concatenate(parts) if parts else np.zeros(0, _RANGE)
+        at = (mix(ranges["doc"].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        ranges, at = ranges[order], at[order]
+        some = np.unique(at).tolist()
+        packed = [_packed(ranges[slice(*np.searchsorted(at, [x, x + 1]))]) for x in some]
+        del runs, parts, raw, ranges
         release_memory()
-        return pa.table({"doc_id": uses[owner[opens], 0], "a": a, "b": b}, schema=pa.schema([("doc_id", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]))
+        return pa.table({"bucket": some, "ranges": packed}, schema=pa.schema([("bucket", pa.int32()), ("ranges", pa.binary())]))
 
     return run
 
 
-def _checked(rows: DataFrame) -> DataFrame:
-    """Broadcast only what is counted to be small; otherwise the join shuffles."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-
-
-def _merge(column: pa.Array) -> pa.Array:
-    """Overlapping or touching ranges joined, per row."""
-    ends = column.offsets.to_numpy() - column.offsets[0].as_py()
-    flat = column.flatten()
-    a, b = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(2))
-    row = np.repeat(np.arange(len(column)), np.diff(ends))
-    order = np.lexsort((a, row))
-    a, b, row = a[order], b[order], row[order]
-    # Ends so far within a row: rows are shifted far apart so one running maximum does.
-    far = row * (int(b.max()) + 2 if len(b) else 1)
+def _spans(table: pa.Table) -> pa.Table:
+    """Of one bucket of documents: overlapping or touching ranges joined, one row a document."""
+    rows = np.concatenate([_unpacked(x, _RANGE) for x in table.column("ranges").to_pylist()])
+    rows = rows[np.lexsort((rows["a"], rows["doc"]))]
+    new_doc = np.append(True, rows["doc"][1:] != rows["doc"][:-1])[: len(rows)]
+    doc = np.cumsum(new_doc) - 1
+    a, b = rows["a"].astype(np.int64), rows["b"].astype(np.int64)
+    # Ends so far within a document: documents are shifted far apart so one running maximum does.
+    far = doc * (int(b.max(initial=0)) + 2)
     reach = np.maximum.accumulate(b + far)
-    new = np.append(True, (a + far)[1:] > reach[:-1]) if len(a) else np.zeros(0, bool)
+    new = np.append(True, (a + far)[1:] > reach[:-1])[: len(rows)]
     begin = np.flatnonzero(new)
-    stop = np.append(begin[1:], len(a)) - 1
-    counts = np.bincount(row[begin], minlength=len(column)) if len(a) else np.zeros(len(column), np.int64)
-    spans = pa.StructArray.from_arrays([pa.array(a[begin]), pa.array((reach - far)[stop] if len(a) else a)], ["a", "b"])
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), spans)
+    stop = np.append(begin[1:], len(rows))[: len(begin)] - 1
+    ends = np.concatenate(([0], np.cumsum(np.bincount(doc[begin], minlength=int(new_doc.sum())))))
+    spans = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(a[begin]), pa.array((reach - far)[stop])], ["a", "b"]))
+    out = pa.table({"doc_id": pa.array(rows["doc"][new_doc]), "spans": spans})
+    release_memory()
+    return out
 
 
 SPANS = "array<struct<a: long, b: long>>"
 
 
 def repeated_spans(documents: DataFrame, width: int = 50) -> DataFrame:
-    """(doc_id, spans): maximal byte ranges [a, b) covered by repeated strings, of documents that have any.
+    """(doc_id, spans), stored: maximal byte ranges [a, b) covered by repeated strings, of documents that have any.
 
     A `width`-byte string of the text (UTF-8, null: empty) is repeated if it also starts in a document
     with a smaller doc_id; matches never cross texts and are judged on the whole input. Equal texts
     are sorted once, as their least doc_id; the others repeat it from end to end. A doc_id is taken to
     have one text (repeated rows are fine); rows with a null doc_id repeat nothing and are not repeated.
+
+    Lists of ids and spans grow with the data, so none is broadcast; texts are dealt by doc_id once for both
+    the search for anchors and the windows.
     """
     spark = documents.sparkSession
     if width < 2:
         raise ValueError("width must be 2 at least")
     docs = documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     digests = stored(docs.select("doc_id", F.md5("text").alias("d"), F.octet_length("text").alias("n")), "digests")
-    least = digests.groupBy("d").agg(F.min("doc_id").alias("least"))
+    least = digests.groupBy("d").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least <> last").select("d", "least")
+    least = stored(least, "least")
     copies = stored(digests.join(least, "d").where("doc_id <> least").select("doc_id", "n").distinct(), "copies")
-    discard(digests)
-    unique = docs.where(F.octet_length("text") >= width).join(_checked(copies.select("doc_id")), "doc_id", "left_anti")
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = unique.mapInArrow(_emit_keys(width, buckets), "bucket int, low binary, high binary, docs binary")
+    discard(digests, least)
+    unique = docs.where(F.octet_length("text") >= width).join(copies.select("doc_id").hint("shuffle_hash"), "doc_id", "left_anti")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = unique.mapInArrow(_emit_keys(width, partitions), "bucket int, low binary, high binary, docs binary")
     shared = keys.groupBy("bucket").applyInArrow(_shared, "doc_id long, key long")
     hot = shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
-    windows = unique.join(hot, "doc_id").select("doc_id", "text", "keys").mapInArrow(_emit_windows(width, buckets), "bucket int, windows binary, sizes binary, uses binary")
-    ranges = windows.groupBy("bucket").applyInArrow(_shard(width), "doc_id long, a long, b long")
-    merge = F.arrow_udf(_merge, SPANS)
-    own = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("s")).select("doc_id", merge("s").alias("spans"))
+    emitted = unique.join(hot.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "keys").mapInArrow(_emit_windows(width, 4 * partitions), "shard int, data binary, about binary, n_uses long, uses binary")
+    emitted = stored(emitted, "windows")
+    uses = emitted.select("shard", "n_uses", F.col("uses").alias("data"))
+    runs = emitted.select("shard", "data", "about").groupBy("shard").applyInArrow(_shard(width, SHARD_MEMORY), "shard int, data binary")
+    runs = stored(runs, "runs")
+    parts = uses.groupBy("shard").agg(F.ceil(F.sum("n_uses") / USES).cast("int").alias("parts"))
+    dealt = uses.join(F.broadcast(parts), "shard").select("shard", F.pmod(F.xxhash64("data"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("is_use"), "data")
+    copied = runs.join(F.broadcast(parts), "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("is_use"), "data")
+    ranges = dealt.unionByName(copied).groupBy("shard", "part").applyInArrow(_look_up(width, partitions), "bucket int, ranges binary")
+    own = ranges.groupBy("bucket").applyInArrow(_spans, f"doc_id long, spans {SPANS}")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n").cast("long").alias("b")))
-    return own.unionByName(copies.where(F.col("n") >= width).select("doc_id", whole.alias("spans")))
+    out = stored(own.unionByName(copies.where(F.col("n") >= width).select("doc_id", whole.alias("spans"))), "spans")
+    discard(copies, emitted, runs)
+    return out
 
 
 def _without(text: Column, spans: Column, whole_characters: bool) -> Column:
@@ -550,9 +420,9 @@ def remove_repeats(documents: DataFrame, width: int = 50) -> DataFrame:
 
     Documents without repeats have null spans. An empty table gives no rows.
     """
-    spans = stored(repeated_spans(documents, width), "spans")
+    spans = repeated_spans(documents, width).hint("shuffle_hash")
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    joined = docs.join(_checked(spans), "doc_id", "left")
+    joined = docs.join(spans, "doc_id", "left")
     kept = F.coalesce(_without(F.col("text"), F.col("spans"), False), F.encode("text", "UTF-8"))
     return joined.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "spans", kept.alias("kept"))
 
@@ -562,7 +432,7 @@ def cut_repeats(documents: DataFrame, width: int = 50) -> DataFrame:
 
     A column n_chars, where there is one, follows the texts that are cut.
     """
-    spans = _checked(stored(repeated_spans(documents, width), "spans"))
+    spans = repeated_spans(documents, width).hint("shuffle_hash")
     text = F.coalesce(F.decode(_without(documents["text"], spans["spans"], True), "UTF-8"), documents["text"])
     joined = documents.join(spans, documents["doc_id"] == spans["doc_id"], "left")
     new = {"text": text, "n_chars": F.when(spans["spans"].isNull(), documents["n_chars"]).otherwise(F.length(text).cast("long"))} if "n_chars" in documents.columns else {"text": text}

@@ -122,7 +122,7 @@ class UnitTable:
         at, length = self._store(self._encode(data, start, end))
         size = end - start
         raw_at = self.raw_used + np.cumsum(size) - size
-        self.raw, self.raw_used = _appended(self.raw, self.raw_used, data[_spread(start, size)])
+        self.raw, self.raw_used = _appended(self.raw, self.raw_used, data[spread(start, size)])
         self.keys = np.insert(self.keys, place, keys)
         for name, values in (("at", at), ("length", length), ("raw_at", raw_at), ("size", size)):
             setattr(self, name, np.insert(getattr(self, name), place, values))
@@ -131,7 +131,7 @@ class UnitTable:
         """Places of units that aren't the ones kept under their hashes. Up to 8 bytes, equal size and hash are equal bytes."""
         differs = size != self.size[rows]
         long = np.flatnonzero(~differs & (size > 8))
-        unequal = data[_spread(start[long], size[long])] != self.raw[_spread(self.raw_at[rows[long]].astype(np.int64), size[long])]
+        unequal = data[spread(start[long], size[long])] != self.raw[spread(self.raw_at[rows[long]].astype(np.int64), size[long])]
         if unequal.any():
             differs[np.repeat(long, size[long])[unequal]] = True
         return np.flatnonzero(differs)
@@ -155,10 +155,10 @@ class UnitTable:
         others = self._others(data, start, end - start, rows)
         if len(others):
             at[others], length[others] = self._store(self._encode(data, start[others], end[others]))
-        return self.flat[_spread(at, length)], length
+        return self.flat[spread(at, length)], length
 
 
-def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Every place of the given runs, one run after the other."""
     total = np.cumsum(size)
     return np.repeat(start - (total - size), size) + np.arange(total[-1] if len(total) else 0)

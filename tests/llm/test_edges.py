@@ -4,12 +4,13 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gristmill.llm import bpe, chat, gam, jaccard, lengths, mix, orc_tokens, queries, rules, suffix
-from gristmill.llm.common import CHUNK_BYTES, shared_dir
+from gristmill.llm import bpe, chat, gam, jaccard, lengths, mix, orc_tokens, queries, rules, suffix, units
+from gristmill.llm.common import CHUNK_BYTES, SpanHash, gram_hash, shared_dir
 
 from . import brute
 
@@ -206,3 +207,29 @@ def test_topics_and_given_token_counts(spark):
     assert [r.topic for r in mix.mix(df).orderBy("doc_id").collect()] == want and len(set(want)) > 4
     own = mix.mix(df, topics={"shout": ("!",), "see": ("see", "://")}, tokens="size").orderBy("doc_id").collect()
     assert [r.topic for r in own] == ["prose"] * 5 + ["see"] + ["prose"] * 3 + ["see"] and [r.n_tokens for r in own] == [10 * i for i in range(len(texts))]
+
+
+def test_units_whose_hashes_clash_keep_their_own_ids(monkeypatch):
+    """Long pre-tokens that share a hash are told apart by their bytes, in one chunk and over several."""
+    keep = units.SpanHash.of
+    monkeypatch.setattr(units.SpanHash, "of", lambda self, a, b: np.where(b - a > 8, keep(self, a, b) % np.uint64(3), keep(self, a, b)))
+    library = Tokenizer.from_file(queries.BYTE_BPE)
+    made = bpe.BytePairCoder(queries.BYTE_BPE)
+    table = units.UnitTable(made.encode_unit)
+    texts = [t or "" for t in brute.ODD_TEXTS] + ["internationally " + "x" * k + " counterproductive" for k in range(12)]
+    for some in (texts, texts[::-1]):
+        got = [x for ids, n in units.encode_texts(pa.array(some), table, made.encode_text, tuple(made.special), keep_space=True, lower=False) for x in np.split(ids, np.cumsum(n)[:-1])]
+        assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_span_hashes_tell_spans_apart():
+    """Every distinct span of some bytes, short and long, has a hash of its own; equal spans share theirs wherever they lie."""
+    data = np.frombuffer((brute.THUE_MORSE[:300] + "the cat, the hat\\n" * 9).encode(), np.uint8)
+    raw, hasher, seen = data.tobytes(), SpanHash(data), {}
+    for size in (*range(1, 20), 63, 64, 65, 128):
+        start = np.arange(len(raw) - size + 1)
+        for a, h in zip(start.tolist(), hasher.of(start, start + size).tolist(), strict=True):
+            assert seen.setdefault(h, raw[a : a + size]) == raw[a : a + size]
+        grams = gram_hash(data, size, block=50)
+        assert len(np.unique(grams)) == len({raw[a : a + size] for a in start.tolist()})
+    assert len(seen) == len({raw[a : a + size] for size in (*range(1, 20), 63, 64, 65, 128) for a in range(len(raw) - size + 1)})

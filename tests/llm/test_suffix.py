@@ -1,25 +1,27 @@
 import hashlib
+import io
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill.llm import queries, suffix
+from gristmill.llm import induced, queries, suffix
 
 from . import brute
 
 
-@pytest.mark.parametrize("most", [8_000_000, 10])
-def test_suffix_array(monkeypatch, most):
-    """Order and common prefixes against sorting, in memory and with queues on disk."""
-    monkeypatch.setattr(suffix.BucketQueues.__init__, "__defaults__", (most,))
+@pytest.mark.parametrize("batch,short,memory", [(1 << 15, 1 << 19, 1 << 30), (7, 2, 0), (64, 2, 0), (1 << 15, 2, 1 << 30)])
+def test_suffix_array(monkeypatch, batch, short, memory):
+    """Order and common prefixes against sorting: in one go, by recursion, in small batches, with every array on disk."""
+    for name, value in (("BATCH", batch), ("SHORT", short), ("SYMBOLS", 5 if batch == 7 else 1024)):
+        monkeypatch.setattr(induced, name, value)
     rng = np.random.default_rng(1)
-    for trial in range(150):
-        n, k, reach = int(rng.integers(1, 80)), int(rng.integers(1, 6)), int(rng.integers(1, 90))
-        text = np.append(rng.integers(0, k, n) + trial % 2, 0)
-        text[-2] = max(1, text[-2])
-        order, shared = suffix.suffix_array(text, reach)
+    for _ in range(150):
+        n, k, reach = int(rng.integers(0, 90)), int(rng.integers(1, 6)), int(rng.integers(1, 90))
+        text = np.append(rng.integers(0, k, n) + 1, 0).astype(np.uint16)
+        with induced.Disk(memory) as disk:
+            order, shared = map(np.array, induced.suffix_array(text, int(text.max()) + 1, reach, disk))
         raw = text.tolist()
         cut = [tuple(raw[i : i + reach]) for i in order]
         assert sorted(order.tolist()) == list(range(len(text))) and cut == sorted(cut)
@@ -28,6 +30,27 @@ def test_suffix_array(monkeypatch, most):
             assert shared[i] == same
 
 
+def test_a_shard_far_larger_than_its_memory():
+    """Windows of 400 kB with 64 kB of arrays in memory give the same runs as with all of them there."""
+    rng = np.random.default_rng(2)
+    stock = rng.integers(97, 103, 20_000).astype(np.uint8)
+    size = rng.integers(50, 90, 6000)
+    at = rng.integers(0, len(stock) - 100, len(size))
+    about = np.zeros(len(size), suffix._WINDOW)
+    about["id"], about["low"] = np.arange(len(size)), rng.integers(0, 10**6, len(size))
+    about["high"] = about["low"] + rng.integers(0, 10, len(size))
+    raw = b"".join(stock[a : a + n].tobytes() for a, n in zip(at, size, strict=True))
+    found = [np.concatenate(list(suffix.window_runs(io.BytesIO(raw), size, about, 50, memory))) for memory in (1 << 30, 1 << 16)]
+    assert len(found[0]) and (found[0] == found[1]).all()
+    least = {}
+    for a, n, low in zip(at.tolist(), size.tolist(), about["low"].tolist(), strict=True):
+        for i in range(a, a + n - 49):
+            key = stock[i : i + 50].tobytes()
+            least[key] = min(least.get(key, low), low)
+    want = {(w, i): v for w, (a, n) in enumerate(zip(at.tolist(), size.tolist(), strict=True)) for i in range(n - 49) if (v := least[stock[a + i : a + i + 50].tobytes()]) < about["high"][w]}
+    assert {(int(r["id"]), i): int(r["least"]) for r in found[0] for i in range(r["a"], r["b"] + 1)} == want
+
+
 def digest(df, width=50):
     rows = suffix.remove_repeats(df, width).collect()
     out = {}
