@@ -421,10 +421,10 @@ def _by_sets(words: int, percent: int):
     return settle
 
 
-def _related(rows: DataFrame, settle: Callable, most: int, cells: int) -> list[DataFrame]:
+def _related(rows: DataFrame, sizes: DataFrame, settle: Callable, most: int, cells: int) -> list[DataFrame]:
     """(a, b) links that join the related nodes of every group, in one or two tables.
 
-    `rows` has grp, node, size (of the whole group, in any unit) and what `settle` reads. Groups up to `most` are
+    `rows` has grp, node, size (of the whole group, in any unit) and what `settle` reads; `sizes` has all their sizes. Groups up to `most` are
     settled whole, many to a cell. A larger one is dealt over cells by node; each cell also gets the group's
     heads, so members related to one of them are joined in linear work. Nodes that stay outside the
     group's largest part are then held against all its nodes, a block of them in each cell.
@@ -433,9 +433,9 @@ def _related(rows: DataFrame, settle: Callable, most: int, cells: int) -> list[D
     cell = F.col("cell")
     whole = rows.where(F.col("size") <= most).withColumn("side", F.lit(OWN)).withColumn("cell", F.pmod(F.xxhash64("grp"), F.lit(cells)))
     out = [whole.groupBy(cell).applyInArrow(_cell(settle), kind)]
-    large = rows.where(F.col("size") > most)
-    if not large.take(1):
+    if not sizes.where(F.col("size") > most).take(1):
         return out
+    large = rows.where(F.col("size") > most)
     blocks = F.ceil(F.col("size") / most).cast("int")
     members = large.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("side", F.lit(MEMBER))
     heads = large.groupBy("grp", F.pmod(F.xxhash64("node"), F.lit(HEADS)).alias("slot")).agg(F.min("node").alias("node")).select("grp", "node")
@@ -483,7 +483,7 @@ def _row_classes(documents: DataFrame, words: int, percent: int) -> DataFrame:
     reps = by_row.groupBy("node", "twin").agg(F.min("rep").alias("rep"), F.min(F.struct("times", "row")).alias("text_row"), F.first("n").alias("n"), F.first("mark").alias("mark"))
     reps = stored(reps.select("node", "twin", "rep", "text_row.row", "text_row.times", "n", "mark"), "sets")
     marked = members.join(reps.select("node", "rep", "n", "mark"), "node").select("grp", F.col("rep").alias("node"), "size", "n", "mark")
-    near = _related(marked, _by_marks(percent), KEY_ROWS, 2 * buckets)
+    near = _related(marked, members, _by_marks(percent), KEY_ROWS, 2 * buckets)
     candidates = components(_union(near))
     described = candidates.join(reps.withColumnRenamed("node", "digest"), F.col("node") == F.col("rep"))
     described = described.select(F.col("component").alias("grp"), "node", "digest", "twin", "row", "times", "n")
@@ -491,12 +491,13 @@ def _row_classes(documents: DataFrame, words: int, percent: int) -> DataFrame:
     wanted = stored(described.join(sizes, "grp").drop("n"), "candidates")
     elements = sizes.agg(F.sum("size")).first()[0] or 0
     discard(members, candidates, *near)
-    linked = _related(_with_texts(docs, wanted), _by_sets(words, percent), CELL_ELEMENTS, max(buckets, int(elements // CELL_ELEMENTS) + 1))
+    linked = _related(_with_texts(docs, wanted), wanted, _by_sets(words, percent), CELL_ELEMENTS, max(buckets, int(elements // CELL_ELEMENTS) + 1))
     joined = components(_union(linked))
     classes = reps.select("node", "twin", "rep").join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left").select("node", "twin", F.coalesce("component", "rep").alias("class"))
+    classes = stored(classes, "set-classes")
     by_node = nodes.join(classes, ["node", "twin"], "left").select("doc_id", "n", "row", F.coalesce("class", "ord").alias("class"))
     by_node = stored(by_node, "classes")
-    discard(nodes, reps, wanted, joined, *linked)
+    discard(nodes, reps, wanted, joined, classes, *linked)
     return by_node
 
 
@@ -539,7 +540,7 @@ def jaccard_classes(documents: DataFrame, words: int = 5, percent: int = 80) ->
     """
     by_node = _row_classes(documents, words, percent)
     empty = F.col("n") == 0
-    least = by_node.where(~empty).groupBy("class").agg(F.min("doc_id").alias("least"))
+    least = stored(by_node.where(~empty).groupBy("class").agg(F.min("doc_id").alias("least")), "least")
     out = by_node.join(least, "class", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(empty, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
