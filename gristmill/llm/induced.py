@@ -54,17 +54,30 @@ def _parts(n: int):
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray | int) -> np.ndarray:
-    """Common prefix of suffix pairs, at most `most`."""
-    out = np.zeros(len(a), np.int64)
-    left = np.flatnonzero(np.broadcast_to(most, len(a)) > 0)
+    """Common prefix of suffix pairs, at most `most`, four symbols of 16 bits at a time (two of 32)."""
     most = np.broadcast_to(most, len(a))
+    out = np.zeros(len(a), np.int64)
+    at_once = 8 // text.itemsize
+    whole = np.ndarray((max(len(text) - at_once + 1, 0),), "<u8", text, strides=(text.itemsize,))
+    left = np.flatnonzero(most > 0)
     while len(left):
         x, y = a[left] + out[left], b[left] + out[left]
-        left = left[(np.maximum(x, y) < len(text)) & (most[left] > out[left])]
-        if len(left):
-            left = left[text[a[left] + out[left]] == text[b[left] + out[left]]]
-            out[left] += 1
-    return out
+        inside = np.maximum(x, y) < len(whole)
+        differ = whole[x[inside]] ^ whole[y[inside]]
+        same = np.full(len(differ), at_once)
+        unequal = differ > 0
+        lowest = differ[unequal] & (~differ[unequal] + np.uint64(1))
+        same[unequal] = np.bitwise_count(lowest - np.uint64(1)) // (64 // at_once)
+        step = np.zeros(len(left), np.int64)
+        step[inside] = same
+        at = np.flatnonzero(~inside)
+        while len(at):  # at the end of the text, symbol by symbol
+            at = at[(np.maximum(x[at], y[at]) + step[at] < len(text)) & (step[at] < at_once)]
+            at = at[text[x[at] + step[at]] == text[y[at] + step[at]]]
+            step[at] += 1
+        out[left] += step
+        left = left[(step == at_once) & (out[left] < most[left])]
+    return np.minimum(out, most)
 
 
 def _types(text: np.ndarray, disk: Disk) -> np.ndarray:
@@ -90,6 +103,13 @@ def _starts(counts: np.ndarray, disk: Disk) -> np.ndarray:
     return out
 
 
+def _count(counts: np.ndarray, symbols: np.ndarray) -> None:
+    if len(counts) <= BATCH:
+        counts += np.bincount(symbols, minlength=len(counts))
+    else:
+        np.add.at(counts, symbols, 1)
+
+
 def _append(heads: np.ndarray, store: np.ndarray, symbols: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Put values behind the queues of their symbols (sorted); their places, and where each symbol begins."""
     begin = np.flatnonzero(np.append(True, symbols[1:] != symbols[:-1]))[: len(symbols)]
@@ -136,11 +156,12 @@ def _induce(text: np.ndarray, symbols: int, is_s: np.ndarray, want_s: bool, seed
         found = text[at].astype(np.int64)
         return top - found if want_s else found
 
+    narrow = np.uint16 if symbols <= 1 << 16 else np.int64  # 16 bits are sorted by radix
     wanted, seeded = disk.array(symbols, np.int64), disk.array(symbols, np.int64)
     for a, b in _parts(len(text) - 1):
-        np.add.at(wanted, symbol(a + np.flatnonzero(is_s[a:b] == want_s)), 1)
+        _count(wanted, symbol(a + np.flatnonzero(is_s[a:b] == want_s)))
     for a, b in _parts(len(seeds)):
-        np.add.at(seeded, symbol(seeds[a:b]), 1)
+        _count(seeded, symbol(seeds[a:b]))
     start, seed_start = _starts(wanted, disk), _starts(seeded, disk)
     heads = disk.array(symbols, np.int64)
     heads[:] = start[:-1]
@@ -175,8 +196,7 @@ def _induce(text: np.ndarray, symbols: int, is_s: np.ndarray, want_s: bool, seed
         late = 2 * c + segment[1:] > np.minimum.accumulate(np.where(pushes, 2 * into, 2 * symbols))[:-1]
         many = int(np.argmax(late)) + 1 if late.any() else len(segment)
         use = np.flatnonzero(pushes[:many])
-        order = np.argsort(into[use], kind="stable")
-        use = use[order]
+        use = use[np.argsort(into[use].astype(narrow), kind="stable")]
         to = into[use]
         if prefix is None:
             _append(heads, store, to, before[use])
@@ -207,7 +227,7 @@ def _first_queues(text: np.ndarray, symbols: int, places: np.ndarray, disk: Disk
     """Places dealt into the queues of their symbols, in order of arrival."""
     counts = disk.array(symbols, np.int64)
     for a, b in _parts(len(places)):
-        np.add.at(counts, text[places[a:b]].astype(np.int64), 1)
+        _count(counts, text[places[a:b]].astype(np.int64))
     heads = disk.array(symbols, np.int64)
     heads[:] = _starts(counts, disk)[:-1]
     out = disk.array(len(places), places.dtype)
@@ -244,11 +264,14 @@ def _sorted_seeds(text: np.ndarray, symbols: int, is_s: np.ndarray, reach: int,
         some = some[(some > 0) & ~is_s[some - 1]]
         by_substring[n : n + len(some)] = some
         n += len(some)
+    rank = disk.array(len(text), kind)
+    for a, b in _parts(len(places)):
+        rank[places[a:b]] = np.arange(a, b)
     names, last_name = disk.array(len(places), np.uint32), 0
     before, before_size = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for a, b in _parts(len(places)):
         own = by_substring[a:b].astype(np.int64)
-        row = np.searchsorted(places, own)
+        row = rank[own].astype(np.int64)
         size = places[np.minimum(row + 1, len(places) - 1)] - own + 1
         x, xs = np.append(before, own[:-1]), np.append(before_size, size[:-1])
         y, ys = (own, size) if a else (own[1:], size[1:])

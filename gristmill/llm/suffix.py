@@ -123,8 +123,8 @@ def _shared(table: pa.Table) -> pa.Table:
     rows = np.concatenate(parts)
     rows = rows[np.argsort(rows["key"], kind="stable")]
     begin = np.flatnonzero(np.append(True, rows["key"][1:] != rows["key"][:-1]))
-    spread = np.maximum.reduceat(rows["doc"], begin) != np.minimum.reduceat(rows["doc"], begin)
-    rows = np.unique(rows[np.repeat(spread, np.diff(np.append(begin, len(rows))))])
+    apart = np.maximum.reduceat(rows["doc"], begin) != np.minimum.reduceat(rows["doc"], begin)
+    rows = np.unique(rows[np.repeat(apart, np.diff(np.append(begin, len(rows))))])
     return pa.table({"doc_id": rows["doc"], "key": rows["key"].astype(np.int64)}, schema=pa.schema([("doc_id", pa.int64()), ("key", pa.int64())]))
 
 
@@ -242,7 +242,7 @@ def window_runs(file, size: np.ndarray, about: np.ndarray, width: int, memory: i
     begin = np.cumsum(size + 1) - size - 1
     with Disk(memory) as disk:
         n = int(size.sum()) + count + 1
-        text = disk.array(n, np.uint16)
+        text, of = disk.array(n, np.uint16), disk.array(n, np.int32)
         file.seek(0)
         for a in range(0, count, block):
             some = size[a : a + block]
@@ -250,6 +250,7 @@ def window_runs(file, size: np.ndarray, about: np.ndarray, width: int, memory: i
             part = np.ones(len(raw) + len(some), np.uint16)  # 1 ends a window, 0 the whole
             part[spread(np.cumsum(some + 1) - some - 1, some)] = raw.astype(np.uint16) + 2
             text[begin[a] : begin[a] + len(part)] = part
+            of[begin[a] : begin[a] + len(part)] = np.repeat(np.arange(a, a + len(some)), some + 1)
         order, shared = suffix_array(text, 258, width, disk)
         least, of_run = disk.array(n, np.int64), disk.array(n, np.int64)
         of_run[:] = np.iinfo(np.int64).max
@@ -258,7 +259,7 @@ def window_runs(file, size: np.ndarray, about: np.ndarray, width: int, memory: i
             run = -1
             for a in range(0, n, 1 << 16):
                 at, same = order[a : a + (1 << 16)].astype(np.int64), shared[a : a + (1 << 16)] >= width
-                window = np.minimum(np.searchsorted(begin, at, "right") - 1, count - 1)
+                window = of[at]
                 runs = run + np.cumsum(~same)
                 run = int(runs[-1])
                 if fill:
