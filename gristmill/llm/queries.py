@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fim, gam, jaccard, lengths, mix, orc_tokens, pivots, rules, suffix
+from . import bpe, chat, fim, gam, jaccard, lengths, mix, orc_tokens, pivots, rules, site_pages, suffix
 from .common import shared_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -85,7 +85,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_pages.extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pivot_near_dedup, op2_mix_sources, op3_suffix_dedup, op4_orc_tokens, op5_jaccard_join, op6_quality_rules, op7_bpe, op8_quality_classifier, op9_token_counts, op10_chat_format, op11_fill_in_middle)
+    f.__name__: f for f in (op1_pivot_near_dedup, op2_mix_sources, op3_suffix_dedup, op4_orc_tokens, op5_jaccard_join, op6_quality_rules, op7_bpe, op8_quality_classifier, op9_token_counts, op10_chat_format, op11_fill_in_middle, op12_html_extraction)
 }
 ORACLES: dict[str, str] = {"op2_mix_sources": mix.ORACLE, "op11_fill_in_middle": fim.ORACLE}
