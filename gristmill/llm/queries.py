@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fim, gam, jaccard, lengths, mix, orc_tokens, pivots, rules, site_pages, suffix
+from . import bpe, chat, fim, gam, jaccard, lengths, mix, negatives, orc_tokens, pivots, rules, site_pages, suffix
 from .common import shared_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -89,7 +89,13 @@ def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_pages.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pivot_near_dedup, op2_mix_sources, op3_suffix_dedup, op4_orc_tokens, op5_jaccard_join, op6_quality_rules, op7_bpe, op8_quality_classifier, op9_token_counts, op10_chat_format, op11_fill_in_middle, op12_html_extraction)
+    f.__name__: f for f in (op1_pivot_near_dedup, op2_mix_sources, op3_suffix_dedup, op4_orc_tokens, op5_jaccard_join, op6_quality_rules, op7_bpe, op8_quality_classifier, op9_token_counts, op10_chat_format, op11_fill_in_middle, op12_html_extraction, op13_hard_negatives)
 }
 ORACLES: dict[str, str] = {"op2_mix_sources": mix.ORACLE, "op11_fill_in_middle": fim.ORACLE}
