@@ -7,6 +7,7 @@ columns. `{"t": "c"}` is column c of t; `{"col": x}` and `{"lit": x}` say it out
 
 from __future__ import annotations
 
+import re
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -255,12 +256,16 @@ def run_delete(spec: dict, tables: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 def query_sql(tables: Tables, sql: str, args: dict | list | None = None) -> DataFrame:
-    """SQL text over the given tables only, with bound parameters; an unknown table fails at analysis."""
-    spark = next(iter(tables.values())).sparkSession
-    return spark.sql(sql, args, **tables) if not args else _with_views(spark, tables, sql, args)
-
+    """SQL text over the given tables, with bound parameters if any.
 
-def _with_views(spark, tables: Tables, sql: str, args):
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=args)
+    The tables are common table expressions of this one statement: nothing is registered under their names,
+    so calls at the same time don't see each other's rows, and a later call knows only its own tables. The text is a
+    query; a WITH of its own follows the tables.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    given = {f"t{i}": df for i, df in enumerate(tables.values())}
+    named = ", ".join(f"`{name.replace('`', '``')}` AS (SELECT * FROM {{t{i}}})" for i, name in enumerate(tables))
+    text = sql.replace("{", "{{").replace("}", "}}")
+    own = re.match(r"(?:\s|--[^\n]*\n|/\*.*?\*/)*WITH\s+(RECURSIVE\s+)?", text, re.I | re.S)
+    text = f"WITH {own[1] or ''}{named}, {text[own.end():]}" if own else f"WITH {named} {text}"
+    return spark.sql(text, args or None, **given)

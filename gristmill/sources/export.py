@@ -16,12 +16,21 @@ from pyspark.sql.utils import AnalysisException
 from .state import delete_folder, shared_folder
 
 CHUNK_ROWS = 5000
+#: Chunk of the rows without a key, below all others.
+NO_KEY = -(2**63)
+#: CSV files keep null (nothing) apart from the empty text (two quotes), blanks at both ends, and line breaks inside quotes.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+#: What the CSV reader takes for a field that isn't there; no text of a table is this.
+_NOTHING = "\x00nothing\x00"
 
 
 def id_chunks(df: DataFrame, key: str, size: int = CHUNK_ROWS, origin=None) -> DataFrame:
-    """`_chunk` by key range: floor((key - origin) / size); the origin is the least key unless given. No shuffle of rows."""
+    """`_chunk` by key range: floor((key - origin) / size); the origin is the least key unless given. No shuffle of rows.
+
+    Rows with a null key are the chunk NO_KEY.
+    """
     low = df.agg(F.min(key)).scalar() if origin is None else F.lit(origin)
-    return df.withColumn("_chunk", F.floor((F.col(key) - low) / size).cast("long"))
+    return df.withColumn("_chunk", F.coalesce(F.floor((F.col(key) - low) / size).cast("long"), F.lit(NO_KEY)))
 
 
 def offset_chunks(df: DataFrame, order_by: list[str], size: int = CHUNK_ROWS) -> DataFrame:
@@ -56,24 +65,35 @@ def json_arrays(chunked: DataFrame, order_by: list[str] | None = None) -> DataFr
     """One JSON array per chunk, rows in the order given, else of their fields; a chunk's rows are bounded by its size."""
     row = F.struct(*(F.col(f"`{c}`") for c in chunked.columns if c != "_chunk"))
     rank = F.struct(F.struct(*(F.col(f"`{c}`") for c in order_by or [])).alias("o"), row.alias("r")) if order_by else F.struct(row.alias("r"))
-    return chunked.groupBy("_chunk").agg(F.to_json(F.array_sort(F.collect_list(rank))["r"], {"ignoreNullFields": "false"}).alias("value"))
+    return chunked.groupBy("_chunk").agg(F.to_json(F.sort_array(F.collect_list(rank))["r"], {"ignoreNullFields": "false"}).alias("value"))
+
+
+_NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
 def _flat(df: DataFrame) -> DataFrame:
     """Nested columns as JSON text."""
-    nested = (T.ArrayType, T.MapType, T.StructType)
-    return df.select(*(F.to_json(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`") for f in df.schema))
+    return df.select(*(F.to_json(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, _NESTED) else F.col(f"`{f.name}`") for f in df.schema))
+
+
+def _flat_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, _NESTED) else f.dataType) for f in schema])
+
+
+def _unflat(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*(F.from_json(F.col(f"`{f.name}`"), f.dataType).alias(f.name) if isinstance(f.dataType, _NESTED) else F.col(f"`{f.name}`") for f in schema))
 
 
 def write_chunks(chunked: DataFrame, path: str, kind: str, gzip: bool = False, order_by: list[str] | None = None) -> None:
     """Files of each chunk under `_chunk=<n>`, rows in order; chunks are written in parallel, and only those given are replaced."""
-    parts = chunked.repartition("_chunk").sortWithinPartitions("_chunk", *(order_by or []))
+    # Rebalanced by chunk: a chunk far larger than the others (rows without a key) is split into several files.
+    parts = chunked.hint("rebalance", "_chunk").sortWithinPartitions("_chunk", *(order_by or []))
     if kind == "json":
         writer, fmt = json_arrays(chunked, order_by).write, "text"
     else:
         writer, fmt = (_flat(parts) if kind == "csv" else parts).write, {"jsonl": "json", "csv": "csv", "parquet": "parquet"}[kind]
     if kind == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV_OPTIONS, nullValue="", emptyValue='""')
     if kind == "jsonl":
         writer = writer.option("ignoreNullFields", "false")
     if gzip and kind in ("jsonl", "json"):
@@ -86,20 +106,22 @@ def read_export(spark: SparkSession, path: str, kind: str, schema: T.StructType)
     if kind == "json":
         rows = spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", T.ArrayType(schema))).alias("r"))
         return rows.select("r.*")
+    if kind == "csv":
+        return _unflat(spark.read.options(**CSV_OPTIONS, nullValue=_NOTHING, emptyValue="", multiLine="true").schema(_flat_schema(schema)).csv(path), schema)
     reader = spark.read.schema(schema)
-    return {"jsonl": reader.json, "csv": lambda p: reader.option("header", True).csv(p), "parquet": reader.parquet}[kind](path).select(*schema.names)
+    return {"jsonl": reader.json, "parquet": reader.parquet}[kind](path).select(*schema.names)
 
 
 MANIFEST = "chunk long, rows long, checksum long, origin string, seconds double, at double"
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Latest entry of each chunk."""
+    """Latest entry of each chunk that is there."""
     try:
         rows = spark.read.schema(MANIFEST).parquet(f"{path}-manifest")
     except AnalysisException:
         return spark.createDataFrame([], MANIFEST)
-    return rows.groupBy("chunk").agg(F.max_by(F.struct("rows", "checksum", "origin", "seconds", "at"), "at").alias("m")).select("chunk", "m.*")
+    return rows.groupBy("chunk").agg(F.max_by(F.struct("rows", "checksum", "origin", "seconds", "at"), "at").alias("m")).select("chunk", "m.*").where("rows > 0")
 
 
 def export(df: DataFrame, path: str, kind: str = "parquet", key: str | None = None, order_by: list[str] | None = None, size: int = CHUNK_ROWS, where: str | None = None, after=None, gzip: bool = False) -> DataFrame:
@@ -108,7 +130,8 @@ def export(df: DataFrame, path: str, kind: str = "parquet", key: str | None = No
     Chunks are key ranges if `key` is given, else places in `order_by`; rows of a chunk are in the order
     of `order_by`, else of the key. Key ranges count from the least key of the first run, which the manifest
     keeps: a smaller key that comes later gets a chunk below 0. A chunk whose row count or checksum has changed
-    is written again. `after` continues behind a key. Removing the manifest folder starts over.
+    is written again; one that the source no longer has is deleted, unless `after` says that the run continues behind a
+    key. Removing the manifest folder starts over.
     """
     spark, rows = df.sparkSession, df if where is None else df.where(where)
     if after is not None:
@@ -124,8 +147,11 @@ def export(df: DataFrame, path: str, kind: str = "parquet", key: str | None = No
     known = done.select("chunk", F.col("rows").alias("_r"), F.col("checksum").alias("_c"))
     same = F.col("rows").eqNullSafe(F.col("_r")) & F.col("checksum").eqNullSafe(F.col("_c"))
     counted = shared_folder(spark, "chunks")
-    chunk_manifest(chunked).join(known, "chunk", "left").where(~same).drop("_r", "_c").write.parquet(counted)
+    found = chunk_manifest(chunked).join(known, "chunk", "left" if after is not None else "full_outer").where(~same)
+    found.select("chunk", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), "checksum").write.parquet(counted)
     changed = spark.read.parquet(counted)
+    for gone in changed.where("rows = 0").select("chunk").toLocalIterator():
+        delete_folder(spark, f"{path}/_chunk={gone.chunk}")
     began = time.time()
     left = chunked.join(changed.select(F.col("chunk").alias("_chunk")), "_chunk", "left_semi").select(*chunked.columns)
     write_chunks(left, path, kind, gzip, order_by or ([key] if key else None))
