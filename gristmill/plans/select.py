@@ -17,6 +17,7 @@ from ..functions import aggregates as A
 from ..functions import predicates as P
 from ..functions import scalars as S
 from ..operators import dml
+from ..operators.intervals import range_join
 
 Tables = dict[str, DataFrame]
 _COMPARE = {"eq": "eq", "neq": "neq", "gt": "gt", "gte": "gte", "lt": "lt", "lte": "lte", "like": "like", "ilike": "ilike"}
@@ -30,6 +31,8 @@ def _list(x: Any) -> list:
 
 def column(node: Any, tables: Tables, first: bool = True) -> Column:
     """The Column of a node; a string is a column if it comes `first`, else a literal."""
+    if isinstance(node, Column):
+        return node
     if isinstance(node, str):
         return F.col(node) if first else F.lit(node)
     if not isinstance(node, dict):
@@ -114,7 +117,8 @@ def _source(item: Any, tables: Tables) -> DataFrame:
 
 
 def _from(items: Any, tables: Tables) -> DataFrame:
-    first, *joins = _list(items)
+    items = _list(items)
+    first, *joins = items
     df = _source(first, tables)
     for j in joins:
         how = j.get("how", "inner").lower()
@@ -122,10 +126,54 @@ def _from(items: Any, tables: Tables) -> DataFrame:
             df = df.crossJoin(_source(j, tables))
             continue
         on = [column(x, tables) for x in j["on"]] if isinstance(j["on"], list) else [column(j["on"], tables)]
+        if how == "inner" and (found := _range_of(j["on"], _aliases(items[: items.index(j)]), _aliases([j]))):
+            (point, low, high), here = (column(x, tables) for x in found[:3]), found[3]
+            sides = (df, _source(j, tables)) if here else (_source(j, tables), df)
+            df = range_join(*sides, point, low, high, P.all_of(*on))
+            continue
         df = df.join(_source(j, tables), P.all_of(*on), {"full": "full_outer"}.get(how, how))
     return df
 
 
+def _tables_of(node: Any, first: bool = True) -> set[str]:
+    """Tables that an expression names; "" for a column without one."""
+    if isinstance(node, str):
+        return {node.rpartition(".")[0]} if first else set()
+    if not isinstance(node, dict) or "lit" in node:
+        return set()
+    kind = next((k for k in node if k in _WORDS), None)
+    if kind is None:
+        return {next(k for k in node if k != "as")}
+    if kind in _MATH:
+        return set().union(*map(_tables_of, _list(node[kind])))
+    if kind == "function":
+        return set().union(*(_tables_of(x, i == 0) for i, x in enumerate(_list(node.get("args", [])))))
+    return {node["col"].rpartition(".")[0]} if kind == "col" else {""}
+
+
+def _range_of(on: Any, left: set[str], right: set[str]) -> tuple[Any, Any, Any, bool] | None:
+    """(point, low, high, whether the point is of the left side) if a join condition without equality says low <= point <= high."""
+    parts = on["and"] if isinstance(on, dict) and "and" in on else _list(on)
+    sides = lambda x, first: ({"left"} if (t := _tables_of(x, first)) and t <= left else {"right"} if t and t <= right else set() if not t else {"both"})
+    bounds: dict[tuple[str, bool], Any] = {}
+    for x in parts:
+        op = next((k for k in ("eq", "gt", "gte", "lt", "lte") if isinstance(x, dict) and k in x), None)
+        if op is None:
+            continue
+        (a, b), above = x[op], op in ("gt", "gte")
+        one, two = sides(a, True), sides(b, False)
+        if one | two != {"left", "right"} or one == two:
+            continue
+        if op == "eq":
+            return None
+        bounds.setdefault((repr(a), above), (a, b, one == {"left"}))
+        bounds.setdefault((repr(b), not above), (b, a, two == {"left"}))
+    for (name, above), (point, low, here) in bounds.items():
+        if above and (name, False) in bounds:
+            return point, low, bounds[name, False][1], here
+    return None
+
+
 def _aliases(items: Any) -> set[str]:
     """Names by which the tables of a FROM list are known."""
     return {x if isinstance(x, str) else x.get("as") or x.get("join", x.get("table")) for x in _list(items)}
@@ -166,33 +214,75 @@ def default_order(spec: dict) -> list[str]:
     return ["id"] if limited and plain and wanted and not spec.get("group_by") and not _is_aggregate(data) and not spec.get("order_by") else []
 
 
-def _not_in(node: Any) -> tuple[Any, dict] | None:
-    """(column, subquery) of NOT IN with a subquery; none for anything else."""
-    inner = _list(node["not"])[0] if isinstance(node, dict) and "not" in node else None
-    if not isinstance(inner, dict) or "in" not in inner:
+def _in_subquery(node: Any) -> tuple[Any, dict] | None:
+    """(column, subquery) of IN with a subquery; none for anything else."""
+    if not isinstance(node, dict) or "in" not in node:
         return None
-    rest = inner["in"][1:]
+    rest = node["in"][1:]
     if len(rest) == 1 and isinstance(rest[0], (list, tuple)):
         rest = rest[0]
-    return (inner["in"][0], rest[0].get("select", rest[0])) if len(rest) == 1 and isinstance(rest[0], dict) else None
+    return (node["in"][0], rest[0].get("select", rest[0])) if len(rest) == 1 and isinstance(rest[0], dict) else None
+
+
+def _not_in(node: Any) -> tuple[Any, dict] | None:
+    """The same of NOT IN."""
+    return _in_subquery(_list(node["not"])[0]) if isinstance(node, dict) and "not" in node else None
+
+
+def _figures(sub: DataFrame) -> Column:
+    """Number of rows and of nulls of a subquery's only column, as a struct."""
+    return sub.agg(F.struct(F.count("*").alias("n"), F.count_if(F.col(sub.columns[0]).isNull()).alias("nulls")).alias("f")).scalar()
+
+
+def _marked(df: DataFrame, node: Any, tables: Tables, names: list[str]) -> tuple[DataFrame, Any]:
+    """The rows with a mark for each IN subquery below AND, OR and NOT, and the predicate over the marks.
+
+    A mark join: a left join with the subquery's distinct values. The mark is null where SQL says so: nothing
+    equal is found, and the value or one of the subquery's rows is null.
+    """
+    if (found := _in_subquery(node)) is not None:
+        name = f"_in{len(names)}"
+        names.append(name)
+        key, sub = column(found[0], tables), run_select(found[1], tables).toDF(name)
+        figures = _figures(sub)
+        df = df.join(sub.where(F.col(name).isNotNull()).distinct(), key == F.col(name), "left")
+        unknown = key.isNull() | (figures["nulls"] > 0)
+        return df, F.when(figures["n"] == 0, False).when(F.col(name).isNotNull(), True).when(unknown, F.lit(None)).otherwise(False)
+    for kind in ("and", "or", "not"):
+        if isinstance(node, dict) and kind in node:
+            parts = []
+            for x in _list(node[kind]):
+                df, part = _marked(df, x, tables, names)
+                parts.append(part)
+            return df, {kind: parts}
+    return df, node
+
+
+def _has_subquery(node: Any) -> bool:
+    return _in_subquery(node) is not None or isinstance(node, dict) and any(_has_subquery(x) for kind in ("and", "or", "not") if kind in node for x in _list(node[kind]))
 
 
 def _filtered(df: DataFrame, where: Any, tables: Tables) -> DataFrame:
     """Rows for which the predicate holds.
 
-    NOT IN with a subquery, alone or joined by AND, becomes an anti join and a check for nulls on either side, because
-    Spark plans the predicate itself as a join that broadcasts the whole subquery.
+    Spark plans NOT IN as a join that broadcasts the whole subquery. Here NOT IN, alone or joined by AND, is an
+    anti join and a check for nulls on either side; IN and NOT IN deeper in a predicate are mark joins.
     """
     if where is None:
         return df
-    parts = where["and"] if isinstance(where, dict) and "and" in where else [where]
-    plain = [x for x in parts if _not_in(x) is None]
+    parts, names = where["and"] if isinstance(where, dict) and "and" in where else [where], []
+    plain = []
     for x in parts:
         if (found := _not_in(x)) is not None:
             key, sub = column(found[0], tables), run_select(found[1], tables).toDF("_in")
-            figures = sub.agg(F.struct(F.count("*").alias("n"), F.count_if(F.col("_in").isNull()).alias("nulls")).alias("f")).scalar()
+            figures = _figures(sub)
             df = df.join(sub, key == F.col("_in"), "left_anti").where((figures["n"] == 0) | (key.isNotNull() & (figures["nulls"] == 0)))
-    return df.where(P.all_of(*(column(x, tables) for x in plain))) if plain else df
+        elif _in_subquery(x) is None and _has_subquery(x):
+            df, x = _marked(df, x, tables, names)
+            plain.append(x)
+        else:
+            plain.append(x)
+    return df.where(P.all_of(*(column(x, tables) for x in plain))).drop(*names) if plain else df
 
 
 def run_select(spec: dict, tables: Tables) -> DataFrame:

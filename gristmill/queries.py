@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from .functions import aggregates as A
 from .functions import predicates as P
 from .functions import scalars as S
-from .operators import checks, dml, mapping, merge, profile, relational
+from .operators import checks, dml, intervals, mapping, merge, profile, relational
 from .plans.select import query_sql, run_delete, run_insert, run_select, run_update
-from .sources import export, state
+from .sources import export, ordered, state
 from .streaming.incremental import stream_into
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,6 +139,19 @@ request("in_subquery", {"data": ["c_custkey"], "from": "customer", "where": {"in
 request("not_in_subquery", {"data": ["c_custkey"], "from": "customer", "where": {"not": {"in": ["c_custkey", [_BIG]]}}}, "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 250000)")
 
 
+_STATUS = {"function": "nullif", "args": ["o_orderstatus", {"lit": "P"}], "as": "s"}
+request(
+    "not_in_or",
+    {"data": ["o_orderkey"], "from": "orders", "where": {"or": [{"gt": ["o_totalprice", 300000]}, {"not": {"in": [{k: v for k, v in _STATUS.items() if k != "as"}, {"select": {"data": ["o_orderstatus"], "from": "orders", "where": {"eq": ["o_orderstatus", "O"]}}}]}}]}},
+    "SELECT o_orderkey FROM orders WHERE o_totalprice > 300000 OR nullif(o_orderstatus, 'P') NOT IN (SELECT o_orderstatus FROM orders WHERE o_orderstatus = 'O')",
+)
+request(
+    "not_in_or_nulls",
+    {"data": ["c_custkey"], "from": "customer", "where": {"or": [{"in": ["c_custkey", {"select": _BIG}]}, {"not": {"or": [{"gt": ["c_acctbal", 500]}, {"in": ["c_mktsegment", {"select": {"data": [{**_STATUS}], "from": "orders"}}]}]}}]}},
+    "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 250000) OR NOT (c_acctbal > 500 OR c_mktsegment IN (SELECT nullif(o_orderstatus, 'P') FROM orders))",
+)
+
+
 @query("SELECT c_custkey FROM customer WHERE (c_acctbal >= 1000 AND c_nationkey IN (1, 5, 9)) OR NOT (c_acctbal >= -500 AND c_mktsegment LIKE '%')")
 def lookup_filter(t):
     return t["customer"].where(P.lookup_filter(c_acctbal__gte=1000, c_nationkey__in=[1, 5, 9]) | ~P.lookup_filter(c_acctbal__gte=-500, c_mktsegment__like="%")).select("c_custkey")
@@ -193,6 +206,29 @@ request(
     {"data": ["s.s_suppkey", "n.n_nationkey"], "from": [{"table": "supplier", "as": "s"}, {"join": "nation", "as": "n", "on": {"and": [{"gte": [{"s": "s_nationkey"}, {"n": "n_nationkey"}]}, {"lt": [{"sub": [{"s": "s_nationkey"}, {"n": "n_nationkey"}]}, {"lit": 3}]}, {"neq": [{"n": "n_regionkey"}, 2]}]}}]},
     "SELECT s.s_suppkey, n.n_nationkey FROM supplier s JOIN nation n ON s.s_nationkey >= n.n_nationkey AND s.s_nationkey - n.n_nationkey < 3 AND n.n_regionkey <> 2",
 )
+_DEAR = {"data": ["o_orderkey", "o_orderdate"], "from": "orders", "where": {"gt": ["o_totalprice", 250000]}}
+request(
+    "join_band",
+    {
+        "data": ["o.o_orderkey", {"function": "count", "args": ["*"], "as": "n"}, {"function": "sum", "args": ["l.l_orderkey"], "as": "keys"}],
+        "from": [{"table": {"select": _DEAR}, "as": "o"}, {"join": "lineitem", "as": "l", "on": {"and": [{"gte": [{"l": "l_shipdate"}, {"o": "o_orderdate"}]}, {"lt": [{"l": "l_shipdate"}, {"function": "date_add", "args": [{"o": "o_orderdate"}, {"lit": 3}]}]}]}}],
+        "group_by": ["o.o_orderkey"],
+    },
+    "SELECT o_orderkey, count(*) AS n, sum(l_orderkey)::BIGINT AS keys FROM orders JOIN lineitem ON l_shipdate >= o_orderdate AND l_shipdate < o_orderdate + INTERVAL 3 DAY WHERE o_totalprice > 250000 GROUP BY o_orderkey",
+)
+
+
+@query(
+    "WITH b AS (SELECT o_custkey, min(o_orderdate) AS first, max(o_orderdate) AS last FROM orders GROUP BY o_custkey HAVING count(*) < 6) "
+    "SELECT o_custkey, count(*) AS n FROM b JOIN (SELECT DISTINCT l_shipdate FROM lineitem) ON l_shipdate BETWEEN first AND last GROUP BY o_custkey"
+)
+def join_range(t):
+    """Spans of very unlike lengths, from the first to the last order of a customer, and the days on which something was shipped."""
+    spans = t["orders"].groupBy("o_custkey").agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"), F.count("*").alias("n")).where("n < 6").drop("n")
+    joined = intervals.range_join(t["lineitem"].select("l_shipdate").distinct(), spans, F.col("l_shipdate"), F.col("first"), F.col("last"))
+    return joined.groupBy("o_custkey").agg(F.count("*").alias("n"))
+
+
 _TOTALS = {"data": ["o_custkey", {"function": "sum", "args": "o_orderkey", "as": "keys"}], "from": "orders", "group_by": "o_custkey"}
 request(
     "join_subquery",
@@ -307,6 +343,13 @@ def page_offset(t):
     return relational.page(t["orders"].select("o_orderkey", "o_custkey"), ["o_orderkey"], 600, 300)
 
 
+@query("SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber LIMIT 1000 OFFSET (SELECT count(*) // 2 FROM lineitem)")
+def page_deep_offset(t):
+    rows, path = t["lineitem"].select("l_orderkey", "l_linenumber", "l_shipdate"), state.shared_folder(t.spark, "ordered")
+    ordered.write_ordered(rows, ["l_shipdate", "l_orderkey", "l_linenumber"], path)
+    return ordered.read_page(t.spark, path, rows.count() // 2, 1000)
+
+
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 777 ORDER BY o_orderkey LIMIT 300")
 def keyset_page(t):
     return relational.keyset_page(t["orders"].select("o_orderkey", "o_custkey"), "o_orderkey", 777, 300)
@@ -327,6 +370,13 @@ def sql_text(t):
     return query_sql({"o": t["orders"]}, "SELECT o_orderstatus, count(*) AS n FROM o WHERE o_totalprice > :least GROUP BY ALL", {"least": 1234.5})
 
 
+@query("WITH big AS (SELECT o_custkey FROM orders WHERE o_totalprice > 250000) SELECT c_mktsegment, count(*) AS n, '{' || min(c_name) || '}' AS least FROM customer JOIN big ON c_custkey = o_custkey GROUP BY c_mktsegment")
+def sql_text_plain(t):
+    """Without parameters, with a WITH of its own and braces in a text."""
+    text = "WITH big AS (SELECT o_custkey FROM orders WHERE o_totalprice > 250000) SELECT c_mktsegment, count(*) AS n, '{' || min(c_name) || '}' AS least FROM customer JOIN big ON c_custkey = o_custkey GROUP BY c_mktsegment"
+    return query_sql({"customer": t["customer"], "orders": t["orders"]}, text)
+
+
 # --- row modification -----------------------------------------------------------------------------------
 
 
@@ -346,6 +396,13 @@ def update_returning(t):
     return dml.update_rows(t["customer"], {"c_name": "x"}, F.col("c_nationkey") < 5, ["c_custkey", "c_acctbal"])[1]
 
 
+@query("SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 'in credit' END AS c_name, c_acctbal * 2 AS c_acctbal FROM customer WHERE c_nationkey < 5")
+def update_after_image(t):
+    """The columns returned are those that changed: names by a case without ELSE, a balance from its old value."""
+    changes = {"c_name": F.when(F.col("c_acctbal") > 0, "in credit"), "c_acctbal": F.col("c_acctbal") * 2}
+    return dml.update_rows(t["customer"], changes, F.col("c_nationkey") < 5, ["c_custkey", "c_name", "c_acctbal"])[1]
+
+
 @query("SELECT * FROM customer WHERE NOT (c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 250000))")
 def delete_where(t):
     return run_delete({"from": "c", "where": {"in": ["c_custkey", {"select": _BIG}]}}, {"c": t["customer"], "orders": t["orders"]})[0]
@@ -608,6 +665,21 @@ def orphans(t):
     return checks.orphans(t["orders"].select("o_orderkey", "o_custkey"), t["customer"].where("c_acctbal > 0"), "o_custkey", "c_custkey")
 
 
+@query(
+    "WITH a AS (SELECT row_number() OVER () - 1 AS p, column_name AS f, column_type AS t FROM (DESCRIBE orders)), "
+    "b AS (SELECT row_number() OVER () - 1 AS p, column_name AS f, column_type AS t FROM (DESCRIBE (SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice::VARCHAR AS o_totalprice, o_orderdate, o_orderpriority AS priority FROM orders))) "
+    "SELECT field, change, rows FROM (SELECT coalesce(a.f, b.f) AS field, CASE WHEN a.p IS NULL THEN 'added' WHEN b.p IS NULL THEN 'removed' WHEN a.t <> b.t THEN 'retyped' WHEN a.p <> b.p THEN 'moved' END AS change FROM a FULL JOIN b ON a.f = b.f), "
+    "(SELECT count(*) AS rows FROM orders) WHERE change IS NOT NULL"
+)
+def drift(t):
+    """Fields that differ between the orders stored first and a later load of them with other columns."""
+    store, orders = state.Store(t.spark, state.shared_folder(t.spark, "drift")), t["orders"]
+    store.write("orders", orders)
+    store.write("orders", orders.selectExpr("o_custkey", "o_orderkey", "o_orderstatus", "CAST(o_totalprice AS string) AS o_totalprice", "o_orderdate", "o_orderpriority AS priority"))
+    now = store.read("orders")
+    return checks.schema_drift(store.read("orders", 1), now).select("field", "change").crossJoin(now.agg(F.count("*").alias("rows")))
+
+
 # --- merge and sync ------------------------------------------------------------------------------------
 
 _NOW = "TIMESTAMP '2024-01-01 00:00:00'"
@@ -823,6 +895,50 @@ def export_resumed(t):
     return export.read_export(t.spark, path, "parquet", rows.schema)
 
 
+@query("SELECT o_orderkey, o_totalprice, o_orderdate FROM orders WHERE o_totalprice > 100000 AND o_orderstatus = 'F'")
+def export_filtered(t):
+    """Only the rows of a predicate, in chunks by date and price."""
+    path, rows = state.shared_folder(t.spark, "export"), t["orders"].select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    export.export(rows, path, "jsonl", order_by=["o_orderdate", "o_totalprice", "o_orderkey"], size=700, where="o_totalprice > 100000 AND o_orderstatus = 'F'")
+    return export.read_export(t.spark, path, "jsonl", rows.schema).drop("o_orderstatus")
+
+
+@query("SELECT ((row_number() OVER (ORDER BY o_orderdate, o_totalprice, o_orderkey) - 1) // 700)::BIGINT AS chunk, o_orderkey, (row_number() OVER (ORDER BY o_orderdate, o_totalprice, o_orderkey) - 1) % 700 AS place FROM orders WHERE o_totalprice > 100000")
+def export_order(t):
+    """Where each row stands in the files of an ordered export: its chunk and its place there."""
+    path, rows = state.shared_folder(t.spark, "export"), t["orders"].select("o_orderkey", "o_totalprice", "o_orderdate")
+    export.export(rows, path, "parquet", order_by=["o_orderdate", "o_totalprice", "o_orderkey"], size=700, where="o_totalprice > 100000")
+    written = t.spark.read.parquet(path)
+    return written.select(F.col("_chunk").cast("long").alias("chunk"), "o_orderkey", F.col("_metadata.row_index").alias("place"))
+
+
+@query("SELECT doc_id, text, lang, source, n_chars, '' AS empty, NULL::VARCHAR AS nothing, chr(10) || ' \"' || source || '\" ,' || chr(13) || ' ' AS odd FROM documents")
+def export_csv_texts(t):
+    """Whole texts through CSV: line breaks, quotes, blanks at both ends, empty and null."""
+    path = state.shared_folder(t.spark, "export")
+    odd = F.concat(F.lit('\n "'), "source", F.lit('" ,\r '))
+    rows = t["documents"].select("doc_id", "text", "lang", "source", "n_chars", F.lit("").alias("empty"), F.lit(None).cast("string").alias("nothing"), odd.alias("odd"))
+    export.export(rows, path, "csv", key="doc_id", size=1000)
+    return export.read_export(t.spark, path, "csv", rows.schema)
+
+
+@query("SELECT nullif(o_custkey, (SELECT min(o_custkey) FROM orders)) AS k, o_orderkey FROM orders")
+def export_null_keys(t):
+    path, low = state.shared_folder(t.spark, "export"), t["orders"].agg(F.min("o_custkey")).scalar()
+    rows = t["orders"].select(F.nullif("o_custkey", low).alias("k"), "o_orderkey")
+    export.export(rows, path, "parquet", key="k", size=100)
+    return export.read_export(t.spark, path, "parquet", rows.schema)
+
+
+@query("SELECT o_orderkey, (SELECT count(DISTINCT (o_orderkey - m) // 1000) FROM orders, (SELECT min(o_orderkey) AS m FROM orders) WHERE o_orderkey <= h) AS chunks FROM orders, (SELECT max(o_orderkey) / 2 AS h FROM orders) WHERE o_orderkey <= h")
+def export_shrunk(t):
+    """All rows first, then the lower half of the keys: what the source lost is gone from the folder and the manifest."""
+    path, rows = state.shared_folder(t.spark, "export"), t["orders"].select("o_orderkey")
+    export.export(rows, path, "parquet", key="o_orderkey", size=1000)
+    export.export(rows.where(F.col("o_orderkey") <= rows.agg(F.max("o_orderkey") / 2).scalar()), path, "parquet", key="o_orderkey", size=1000)
+    return export.read_export(t.spark, path, "parquet", rows.schema).withColumn("chunks", F.lit(export.manifest(t.spark, path).count()).cast("long"))
+
+
 @query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*)::DECIMAL(38, 0)::BIGINT AS rows FROM {n}" for n in ("customer", "part")))
 def export_many(t):
     stats = export.export_all({n: t[n].withColumnRenamed(k, "id") for n, k in (("customer", "c_custkey"), ("part", "p_partkey"))}, state.shared_folder(t.spark, "export"), "jsonl", key="id")
