@@ -686,19 +686,16 @@ _NOW = "TIMESTAMP '2024-01-01 00:00:00'"
 
 
 def _batches(t) -> tuple[DataFrame, DataFrame]:
-    """A stored table of users by their events before a cut, and all events past it as the batch.
-
-    The stored table knows the event types of the first half of the alphabet only, so some users may be new.
-    """
+    """A stored table of users by their events before a cut, so early that many users are new, and all events past it as the batch."""
     e = t["events"].select("user_id", "event_id", "event_type", "value")
-    cut = e.agg((F.max("event_id") * 2 / 3).alias("cut")).scalar()
-    old, new = e.where((F.col("event_id") <= cut) & (F.col("event_type") < "m")), e.where(F.col("event_id") > cut)
+    cut = e.agg((F.max("event_id") / 100).alias("cut")).scalar()
+    old, new = e.where(F.col("event_id") <= cut), e.where(F.col("event_id") > cut)
     return merge.stamp(merge.per_key(old, "user_id", "event_id").drop("_rows")), new
 
 
 _SPLIT = (
-    "WITH e AS (SELECT user_id, event_id, event_type, value FROM events), c AS (SELECT max(event_id) * 2 / 3 AS cut FROM e), "
-    "o AS (SELECT user_id, max(event_id) AS event_id FROM e, c WHERE event_id <= cut AND event_type < 'm' GROUP BY user_id), "
+    "WITH e AS (SELECT user_id, event_id, event_type, value FROM events), c AS (SELECT max(event_id) / 100 AS cut FROM e), "
+    "o AS (SELECT user_id, max(event_id) AS event_id FROM e, c WHERE event_id <= cut GROUP BY user_id), "
     "b AS (SELECT user_id, max(event_id) AS last_id, min(event_id) AS first_id, count(*) AS n FROM e, c WHERE event_id > cut GROUP BY user_id) "
 )
 
@@ -780,6 +777,38 @@ def sync_incremental(t):
     return store.read("users").select("user_id", "event_id", "event_type", "_sync_version")
 
 
+_LATE = "(SELECT max(event_id) - 7 FROM events)"
+
+
+@query(_LAST + f", (CASE WHEN bool_or(event_id <= {_LATE}) THEN 1 ELSE 0 END + count(*) FILTER (event_id > {_LATE}))::BIGINT AS _sync_version FROM events GROUP BY user_id")
+def upsert_buckets(t):
+    """A narrow batch merged into a table of 16 hash buckets: only those of its few users are written."""
+    store, events, cfg = _loads(t)
+    late = events.agg(F.max("event_id") - 7).scalar()
+    cfg.buckets = 16
+    store.write("users", merge.stamp(merge.per_key(events.where(F.col("event_id") <= late), "user_id", "event_id").drop("_rows")), **cfg.layout)
+    store.merge("users", events.where(F.col("event_id") > late), "user_id", "event_id")
+    return store.read("users").select("user_id", "event_id", "event_type", "_sync_version")
+
+
+@query(
+    "WITH s AS (SELECT count(DISTINCT user_id) AS users, arg_max(user_id, event_id) AS last FROM events), "
+    "k AS (SELECT * FROM (VALUES (1, 'write'), (2, 'merge'), (3, 'merge')) AS v(version, kind)) "
+    "SELECT version::BIGINT AS version, kind, CASE WHEN kind = 'write' THEN NULL ELSE 1 END::BIGINT AS changed, (SELECT count(*) FROM events WHERE user_id = s.last)::BIGINT AS events, users FROM k, s"
+)
+def commit_log(t):
+    """What the log says of a table that was written and then got one user's events twice: one bucket each time."""
+    store, events, cfg = _loads(t)
+    cfg.buckets = 8
+    store.write("users", merge.stamp(merge.per_key(events, "user_id", "event_id").drop("_rows")), **cfg.layout)
+    one = events.where(F.col("user_id") == events.agg(F.max_by("user_id", "event_id")).scalar())
+    for _ in range(2):
+        store.merge("users", one, "user_id", "event_id")
+    log = store.commits("users").select("version", "kind", F.when(F.col("kind") == "merge", F.col("changed")).alias("changed"))
+    figures = one.agg(F.count("*").alias("events")).crossJoin(store.read("users").agg(F.count("*").alias("users")))
+    return log.crossJoin(figures)
+
+
 @query(
     f"WITH a AS (SELECT count(*) AS n, count(DISTINCT user_id) AS u, max(event_id) AS m FROM events WHERE event_id <= {_CUT}), b AS (SELECT count(*) AS n, count(DISTINCT user_id) AS u, max(event_id) AS m FROM events), "
     f"i AS (SELECT count(DISTINCT user_id) AS n FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id <= {_CUT})) "
@@ -968,11 +997,24 @@ for _kind in ("jsonl", "json", "csv", "parquet"):
     _roundtrip(_kind)
 
 
-@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, count(*) AS _sync_version FROM events GROUP BY user_id")
+_STREAMED = "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, count(*) AS _sync_version FROM events GROUP BY user_id"
+
+
+@query(_STREAMED)
 def stream_incremental(t):
+    return _streamed(t, 0)
+
+
+@query(_STREAMED)
+def stream_bucketed(t):
+    """The same stream into a table of hash buckets."""
+    return _streamed(t, 8)
+
+
+def _streamed(t, buckets: int) -> DataFrame:
     base = state.shared_folder(t.spark, "stream")
     rows = t["events"].select("user_id", "event_id", "event_type")
     high = rows.agg(F.max("event_id")).scalar()
     rows.repartitionByRange(3, (F.col("event_id") * 3 / (high + 1)).cast("int")).write.parquet(f"{base}/in")
     store = state.Store(t.spark, f"{base}/store")
-    return stream_into(store, f"{base}/in", rows.schema, "users", "user_id", "event_id", f"{base}/checkpoint").select("user_id", "event_id", "event_type", "_sync_version")
+    return stream_into(store, f"{base}/in", rows.schema, "users", "user_id", "event_id", f"{base}/checkpoint", buckets=buckets).select("user_id", "event_id", "event_type", "_sync_version")

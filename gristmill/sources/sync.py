@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import lookup_filter, where_sql
 from ..operators.checks import field_mappings, fingerprint
-from ..operators.merge import per_key, stamp, upsert, upsert_counts
+from ..operators.merge import per_key, stamp
 from ..operators.mapping import map_positions, named_view, output_names, storage_columns, transform_fields
 from ..operators.relational import pick_fields
 from .state import Store, utc_now
@@ -34,6 +34,15 @@ class SyncConfig:
     exclude: list[str] = field(default_factory=list)
     ttl: int = 3600
     disabled: bool = False
+    #: Hash buckets of the key that the stored table is split into (0: none): merges rewrite only those that they change.
+    buckets: int = 0
+    #: Columns that order the stored rows, and columns with Bloom filters: scans and single-record reads skip row groups.
+    cluster_by: list[str] | None = None
+    bloom: list[str] | None = None
+
+    @property
+    def layout(self) -> dict:
+        return {"key": self.key, "buckets": self.buckets, "cluster_by": self.cluster_by, "bloom": self.bloom}
 
     def __post_init__(self):
         self.strategy = self.strategy.replace("-", "_")
@@ -85,7 +94,7 @@ def sync_full(store: Store, source: DataFrame, cfg: SyncConfig, where: str | Non
     if dry_run:
         return {"table": cfg.table, "strategy": "full", "fetched": rows.count(), "dry_run": True}
     new = stamp(per_key(rows, cfg.key, cfg.incremental_field or cfg.order_by))
-    store.write(cfg.table, new)
+    store.write(cfg.table, new, **cfg.layout)
     kept = store.read(cfg.table)
     at = F.max(cfg.incremental_field).cast("string") if cfg.incremental_field else F.lit(None).cast("string")
     found = kept.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("fetched"), F.count("*").alias("n"), at.alias("at")).first()
@@ -111,19 +120,14 @@ def sync_incremental(store: Store, source: DataFrame, cfg: SyncConfig, dry_run:
     found = new.agg(F.count("*").alias("n"), F.max(name).cast("string").alias("at")).first()
     if not found.n:
         return _finish(store, cfg, started, last.last_checkpoint, 0, 0, 0)
-    old = store.read(cfg.table)
-    counts = upsert_counts(old, new, cfg.key).first()
-    store.write(cfg.table, upsert(old.drop("_rows"), new, cfg.key, name))
-    return _finish(store, cfg, started, found["at"], found.n, counts.inserted, counts.updated)
+    done = store.merge(cfg.table, new, cfg.key, name, counted=True)
+    return _finish(store, cfg, started, found["at"], found.n, done["inserted"], done["updated"])
 
 
 def fetch_on_demand(store: Store, source: DataFrame, cfg: SyncConfig, **lookups) -> DataFrame:
     """Rows that match the lookups, from the source; they are merged into the store as partial rows."""
     rows = source_rows(source, cfg).where(lookup_filter(**lookups))
-    if store.version(cfg.table):
-        store.write(cfg.table, upsert(store.read(cfg.table).drop("_rows"), rows, cfg.key, partial=True))
-    else:
-        store.write(cfg.table, stamp(per_key(rows, cfg.key).drop("_rows"), partial=True))
+    store.merge(cfg.table, rows, cfg.key, partial=True, **{k: v for k, v in cfg.layout.items() if k != "key"})
     return store.read(cfg.table).drop("_rows").where(lookup_filter(**lookups))
 
 
