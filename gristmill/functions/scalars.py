@@ -59,10 +59,12 @@ def parse_date(c: Column | str) -> Column:
 
 
 def convert(c: Column | str, kind: str) -> Column:
-    """Value as integer, float, boolean, string, datetime, date or json (checked text); null on failure."""
+    """Value as integer, float, boolean, string, datetime, date, json (checked text) or variant (parsed JSON); null on failure."""
     c = col(c)
     if kind in ("datetime", "date"):
         return parse_datetime(c) if kind == "datetime" else parse_date(c)
+    if kind == "variant":
+        return F.try_parse_json(c.cast("string"))
     if kind == "json":
         return F.when(F.try_parse_json(c.cast("string")).isNotNull(), c.cast("string"))
     spark_type = {"integer": "bigint", "float": "double", "boolean": "boolean", "string": "string", "unknown": "string"}[kind]

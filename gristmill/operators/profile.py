@@ -96,23 +96,44 @@ EIGHT_DIGITS = r"^\d{8}$"
 DATE_ONLY = r"^\d{4}-\d{2}-\d{2}$"
 
 
+#: Types of columns that need no look at their values.
+_SETTLED = ((T.IntegralType, "integer"), ((T.FloatType, T.DoubleType), "float"), (T.BooleanType, "boolean"), (T.DateType, "date"), ((T.TimestampType, T.TimestampNTZType), "datetime"))
+_DIGITS = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+|[nN][aA][nN]|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)(?:[eE][+-]?[0-9]+)?[fFdD]?\s*$"
+
+
 def _fits(c: Column, kind: str) -> Column:
+    """Patterns come first: a cast that fails raises inside, which costs far more than a look at the characters."""
     if kind == "date":
         return c.rlike(DATE_ONLY) & c.try_cast("date").isNotNull()
     if kind == "boolean":
         return F.lower(c).isin("true", "false")
     if kind == "datetime":
         return c.rlike(r"^\d{4}-\d{2}-\d{2}") & c.try_cast("timestamp").isNotNull()
-    return c.try_cast({"integer": "bigint", "float": "double"}[kind]).isNotNull()
+    pattern, spark_type = {"integer": (_DIGITS, "bigint"), "float": (_NUMBER, "double")}[kind]
+    return c.rlike(pattern) & c.try_cast(spark_type).isNotNull()
 
 
-def _share(test) -> Callable[[Column], Column]:
+def _share(c: Column, test) -> Column:
     """Share of the non-null values that pass a test; null without values."""
-    return lambda c: F.avg(F.when(c.isNotNull(), F.when(test(c.cast("string")), 1.0).otherwise(0.0)))
+    return F.avg(F.when(c.isNotNull(), F.when(test(c.cast("string")), 1.0).otherwise(0.0)))
+
 
+def _shares(df: DataFrame, meanings: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Per column the share of values that fit each kind and show each meaning, and the number of values (`present`): one aggregate.
 
-def _kind_shares() -> dict:
-    return {k: _share(lambda c, k=k: _fits(c, k)) for k in _KINDS} | {"present": F.count}
+    A column whose own type says what it is gets that kind and no meaning, without a look at its values.
+    """
+    cells = []
+    for f in df.schema:
+        c = _q(f.name)
+        settled = next((k for cls, k in _SETTLED if isinstance(f.dataType, cls)), None)
+        if settled:
+            shares = [F.lit(float(k == settled)).alias(k) for k in (*_KINDS, *meanings)]
+        else:
+            shares = [_share(c, lambda x, k=k: _fits(x, k)).alias(k) for k in _KINDS] + [_share(c, lambda x, t=t: t(F.trim(x))).alias(k) for k, t in meanings.items()]
+        cells.append(F.struct(F.lit(f.name).alias("column_name"), *shares, F.count(c).alias("present")))
+    return df.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
 
 def _kind() -> Column:
@@ -126,7 +147,7 @@ def _place(df: DataFrame) -> Column:
 
 def infer_types(df: DataFrame) -> DataFrame:
     """(position, column_name, inferred_type): the narrowest type that all non-null values fit; unknown without values."""
-    return _per_column(df, df.columns, _kind_shares()).select(_place(df).alias("position"), "column_name", _kind().alias("inferred_type"))
+    return _shares(df, {}).select(_place(df).alias("position"), "column_name", _kind().alias("inferred_type"))
 
 
 def classify_columns(df: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -141,8 +162,7 @@ def classify_columns(df: DataFrame, threshold: float = 0.9) -> DataFrame:
         return clean.rlike(PHONE) & ~clean.rlike(EIGHT_DIGITS)
 
     tests = {"email": lambda c: c.rlike(EMAIL), "url": lambda c: c.rlike(URL), "uuid": lambda c: F.lower(c).rlike(UUID), "phone": phone}
-    shown = {k: _share(lambda c, t=t: t(F.trim(c))) for k, t in tests.items()}
-    kinds = _per_column(df, df.columns, _kind_shares() | shown).na.fill(0.0, list(tests)).select("column_name", *tests, _place(df).alias("position"), _kind().alias("inferred_type"))
+    kinds = _shares(df, tests).na.fill(0.0, list(tests)).select("column_name", *tests, _place(df).alias("position"), _kind().alias("inferred_type"))
     numbers = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     p, kind, own = F.col("position"), F.col("inferred_type"), F.concat(F.lit("Field_"), F.col("position"))
     name = (

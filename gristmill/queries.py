@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from .functions import aggregates as A
 from .functions import predicates as P
 from .functions import scalars as S
-from .operators import checks, dml, intervals, mapping, merge, profile, relational
+from .operators import checks, dml, documents, intervals, mapping, merge, profile, relational
 from .plans.select import query_sql, run_delete, run_insert, run_select, run_update
-from .sources import export, ordered, state
+from .sources import export, ordered, sketches, state
 from .streaming.incremental import stream_into
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -465,6 +465,34 @@ def json_values(t):
     return t["events"].select("event_id", S.convert(broken, "json").alias("props"))
 
 
+_NESTED_SQL = """WITH j AS (SELECT event_id, json_object('who', json_object('id', user_id, 'name', CASE WHEN user_id % 5 > 0 THEN event_type END), 'p', props::JSON, 'at', json_array(event_id, event_id + 1), 'v', value) AS j FROM events)
+SELECT event_id, CAST(j->>'$.who.id' AS BIGINT) AS who, j->>'$.who.name' AS name, CAST(j->>'$.p.k' AS BIGINT) AS k, CAST(j->>'$.at[1]' AS BIGINT) AS second, CAST(j->>'$.v' AS DOUBLE) AS v, CAST(NULL AS BIGINT) AS none FROM j"""
+
+
+def _nested(t) -> DataFrame:
+    """Events as JSON texts, the stored properties inside as they are; one in seven is cut short and so no JSON."""
+    e = t["events"]
+    name = F.when(F.col("user_id") % 5 > 0, F.concat(F.lit('"'), "event_type", F.lit('"'))).otherwise("null")
+    return e.select("event_id", F.concat(F.lit('{"who": {"id": '), "user_id", F.lit(', "name": '), name, F.lit('}, "p": '), "props", F.lit(', "at": ['), "event_id", F.lit(", "), F.col("event_id") + 1, F.lit('], "v": '), F.col("value").cast("string"), F.lit("}")).alias("j"))
+
+
+@query(_NESTED_SQL)
+def json_nested(t):
+    """Values at nested paths of parsed JSON; one of the wrong type is null."""
+    paths = {"who": (["who", "id"], "integer"), "name": (["who", "name"], "string"), "k": (["p", "k"], "integer"), "second": (["at", 1], "integer"), "v": (["v"], "float"), "none": (["who"], "integer")}
+    return documents.flattened(_nested(t), "j", paths).drop("j")
+
+
+@query(
+    "SELECT * FROM (SELECT unnest(['who.id', 'who.name', 'p.k', 'at', 'v']) AS path, unnest(['integer', 'string', 'integer', 'array', 'float']) AS inferred_type, "
+    "unnest([count(user_id), count(*) FILTER (user_id % 5 > 0), count(json_extract(props, '$.k')), count(*), count(value)]) AS present FROM events WHERE event_id % 7 > 0)"
+)
+def json_types(t):
+    """The paths in JSON texts with their types; texts that are cut short don't count."""
+    whole = F.col("event_id") % 7 > 0
+    return documents.json_paths(_nested(t).select(F.when(whole, F.col("j")).otherwise(F.substr("j", F.lit(1), F.length("j") - 1)).alias("j")), "j")
+
+
 @query("SELECT o_orderkey AS id, o_orderstatus AS Field_1, o_totalprice AS price, 1::BIGINT AS _sync_version, false AS _is_partial FROM orders")
 def registered_table(t):
     from .sources.sync import register
@@ -617,6 +645,39 @@ def ingest_policy(t):
     return profile.ingest_policy(sizes).drop("has_update_time")
 
 
+_SKETCHED = ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS size, count(*) - count({c}) AS null_count, true AS close FROM lineitem" for c in _SKETCHED))
+def profile_sketched(t):
+    """Sketches of a table's two halves, merged: distinct counts within 3 % of the exact ones."""
+    rows = t["lineitem"].select(*_SKETCHED)
+    halves = [sketches.sketched(rows.where(F.col("l_orderkey") % 2 == k)) for k in (0, 1)]
+    exact = profile.profile(rows, top=0).select("column_name", F.col("unique_count").alias("exact"))
+    found = sketches.merged(halves[0].unionByName(halves[1])).join(exact, "column_name")
+    return found.select("column_name", "size", "null_count", (F.abs(F.col("unique_count") - F.col("exact")) <= 0.03 * F.col("exact")).alias("close"))
+
+
+@query(
+    "SELECT k AS column_name, count(*) AS size, true AS close FROM orders, (SELECT unnest(['o_orderkey', 'o_custkey', 'o_totalprice']) AS k) GROUP BY k"
+)
+def profile_grown(t):
+    """Quantiles of a stored table that has grown by a merge since its first profile, by exact ranks: off by 2 % of the rows at most."""
+    store, names = state.Store(t.spark, state.shared_folder(t.spark, "grown")), ["o_orderkey", "o_custkey", "o_totalprice"]
+    rows = t["orders"].select(*names)
+    half = F.col("o_orderkey") <= rows.agg(F.max("o_orderkey") / 2).scalar()
+    store.write("o", merge.stamp(rows.where(half)), key="o_orderkey", buckets=8)
+    sketches.profile_stored(store, "o")
+    store.merge("o", rows.where(~half), "o_orderkey")
+    found = sketches.profile_stored(store, "o").where(F.col("quantiles").isNotNull())
+    at = found.select("column_name", "size", F.posexplode("quantiles").alias("i", "q"))
+    cells = rows.unpivot([], [F.col(c).cast("double").alias(c) for c in names], "column_name", "value")
+    ranks = cells.join(F.broadcast(at), "column_name").groupBy("column_name", "size", "i").agg(F.count_if(F.col("value") < F.col("q")).alias("below"), F.count_if(F.col("value") <= F.col("q")).alias("upto"))
+    want = F.col("i") / 4 * F.col("size")
+    off = F.greatest(F.col("below") - want, want - F.col("upto"))
+    return ranks.groupBy("column_name", "size").agg((F.max(off) <= 0.02 * F.max("size")).alias("close"))
+
+
 # --- validation ----------------------------------------------------------------------------------------
 
 

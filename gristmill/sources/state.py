@@ -87,6 +87,16 @@ class Store:
             raise KeyError(table)
         return self._rows(table, entry)
 
+    def rows_of(self, table: str, folders: list[str]) -> DataFrame:
+        """Rows of some of the current version's folders."""
+        entry = self._log(table).last()[1]
+        return self._rows(table, entry | {"dirs": dict(enumerate(folders))})
+
+    def sketches(self, table: str, schema: str) -> DataFrame:
+        """What is kept about folders beside the table; nothing at first."""
+        names = Folder(self.spark, f"{self.root}/{table}").names("sketches")
+        return self.spark.read.schema(schema).parquet(*(f"{self.root}/{table}/sketches/{x}" for x in names)) if names else self.spark.createDataFrame([], schema)
+
     def files(self, table: str) -> dict[int, str]:
         """Folder of each bucket of the current version; a table without buckets has one, 0."""
         entry = self._log(table).last()[1] or {"dirs": {}}
