@@ -100,28 +100,28 @@ def write_token_files(documents: DataFrame, out: str, path: str, end_id: int | N
     """Encode every text and write the files to `out`, ids of documents ascending over the files.
 
     Rows with one doc_id lie side by side, ordered by text; a null doc_id comes first; null texts
-    are empty. Other columns are not written. No rows give an empty folder of files. `options` change ORC_OPTIONS.
+    are empty. `row` numbers the rows in the order in which they stand, with gaps between files. Other columns are not written. No rows give an empty folder of files. `options` change ORC_OPTIONS.
     """
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     tokens = ordered.select("doc_id", token_ids("text", path, end_id).alias("ids"))
-    tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids").write.options(**ORC_OPTIONS | options).orc(out)
+    tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.monotonically_increasing_id().alias("row")).write.options(**ORC_OPTIONS | options).orc(out)
 
 
 def read_token_files(spark: SparkSession, out: str) -> DataFrame:
-    """(doc_id, n_tokens, ids); filters on doc_id skip stripes and row groups by their metadata."""
-    return spark.read.schema("doc_id long, n_tokens long, ids array<int>").orc(out)
+    """(doc_id, n_tokens, ids, row); filters on doc_id skip stripes and row groups by their metadata."""
+    return spark.read.schema("doc_id long, n_tokens long, ids array<int>, row long").orc(out)
 
 
 def token_starts(spark: SparkSession, out: str) -> DataFrame:
-    """(file, doc_id, n_tokens, start, ids): `start` counts the ids of all rows before.
+    """(file, before, doc_id, n_tokens, ids, row): `before` counts the ids of all files before.
 
     File totals need one narrow column; only one row per file is summed over all files, and rows are
     numbered inside their own file, whose size the range partitioning bounds.
     """
     rows = read_token_files(spark, out).withColumn("file", F.col("_metadata.file_name"))
-    sums = rows.groupBy("file").agg(F.min("doc_id").alias("first"), F.sum("n_tokens").alias("total"))
-    order = Window.orderBy(F.col("first").asc_nulls_first(), "file").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("file").agg(F.min("row").alias("first"), F.sum("n_tokens").alias("total"))
+    order = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("file", F.coalesce(F.sum("total").over(order), F.lit(0)).alias("before"))
     return rows.join(F.broadcast(offsets), "file")
 
@@ -139,8 +139,8 @@ def ids_crc32(ids: Column | str) -> Column:
 
 
 def digest(spark: SparkSession, out: str) -> DataFrame:
-    """Per document: doc_id, start, n_tokens, ids_crc32, all read from the files."""
-    rows = token_starts(spark, out).select("file", "before", "doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_crc32("ids").alias("ids_crc32"))
-    order = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids_crc32")
+    """Per document: doc_id, start, n_tokens, ids_crc32, all read from the files; rows of one doc_id are counted as they stand."""
+    rows = token_starts(spark, out).select("file", "before", "row", "doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_crc32("ids").alias("ids_crc32"))
+    order = Window.partitionBy("file").orderBy("row")
     inside = F.coalesce(F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return rows.select("doc_id", (F.col("before") + inside).alias("start"), "n_tokens", "ids_crc32")

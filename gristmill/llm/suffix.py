@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SpanHash, chunks, discard, gram_hash, mix, release_memory, stored
@@ -129,9 +129,9 @@ def _shared(table: pa.Table) -> pa.Table:
 
 
 _WINDOW = np.dtype([("id", "<u8"), ("low", "<i8"), ("high", "<i8"), ("size", "<u4")])
-_USE = np.dtype([("id", "<u8"), ("doc", "<i8"), ("at", "<u4")])
+_USE = np.dtype([("id", "<u8"), ("doc", "<i8"), ("variant", "<u4"), ("at", "<u4")])
 _RUN = np.dtype([("id", "<u8"), ("least", "<i8"), ("a", "<u4"), ("b", "<u4")])
-_RANGE = np.dtype([("doc", "<i8"), ("a", "<u4"), ("b", "<u4")])
+_RANGE = np.dtype([("doc", "<i8"), ("variant", "<u4"), ("a", "<u4"), ("b", "<u4")])
 _WINDOWS = pa.schema([("shard", pa.int32()), ("data", pa.binary()), ("about", pa.binary()), ("n_uses", pa.int64()), ("uses", pa.binary())])
 
 
@@ -161,6 +161,7 @@ def _emit_windows(width: int, shards: int):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             hot = batch.column(2)
+            variants = batch.column(3).to_numpy(zero_copy_only=False)
             hot_ends, hot_keys = hot.offsets.to_numpy() - hot.offsets[0].as_py(), hot.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
             raws, sizes, uses, shard = [], [], [], []
             for a, b, data, offsets in chunks(batch.column(1)):
@@ -174,6 +175,7 @@ def _emit_windows(width: int, shards: int):
                 start, end, text = first[keep], last[keep] + width, text[keep]
                 some = np.zeros(len(keep), _USE)
                 some["id"], some["doc"], some["at"] = SpanHash(data).of(start, end), ids[a + text], start - offsets[text]
+                some["variant"] = variants[a + text]
                 raws.append(data[spread(start, end - start)])
                 sizes.append(end - start)
                 uses.append(some)
@@ -311,7 +313,8 @@ def _look_up(width: int, buckets: int):
             keep = runs["least"][of] < uses["doc"][use]
             use, of = use[keep], of[keep]
             part = np.zeros(len(use), _RANGE)
-            part["doc"], part["a"], part["b"] = uses["doc"][use], uses["at"][use] + runs["a"][of], uses["at"][use] + runs["b"][of] + width
+            part["doc"], part["variant"] = uses["doc"][use], uses["variant"][use]
+            part["a"], part["b"] = uses["at"][use] + runs["a"][of], uses["at"][use] + runs["b"][of] + width
             parts.append(part)
         ranges = np.concatenate(parts) if parts else np.zeros(0, _RANGE)
         at = (mix(ranges["doc"].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
@@ -327,10 +330,10 @@ def _look_up(width: int, buckets: int):
 
 
 def _spans(table: pa.Table) -> pa.Table:
-    """Of one bucket of documents: overlapping or touching ranges joined, one row a document."""
+    """Of one bucket of documents: overlapping or touching ranges joined, one row a text."""
     rows = np.concatenate([_unpacked(x, _RANGE) for x in table.column("ranges").to_pylist()])
-    rows = rows[np.lexsort((rows["a"], rows["doc"]))]
-    new_doc = np.append(True, rows["doc"][1:] != rows["doc"][:-1])[: len(rows)]
+    rows = rows[np.lexsort((rows["a"], rows["variant"], rows["doc"]))]
+    new_doc = np.append(True, (rows["doc"][1:] != rows["doc"][:-1]) | (rows["variant"][1:] != rows["variant"][:-1]))[: len(rows)]
     doc = np.cumsum(new_doc) - 1
     a, b = rows["a"].astype(np.int64), rows["b"].astype(np.int64)
     # Ends so far within a document: documents are shifted far apart so one running maximum does.
@@ -341,7 +344,7 @@ def _spans(table: pa.Table) -> pa.Table:
     stop = np.append(begin[1:], len(rows))[: len(begin)] - 1
     ends = np.concatenate(([0], np.cumsum(np.bincount(doc[begin], minlength=int(new_doc.sum())))))
     spans = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(a[begin]), pa.array((reach - far)[stop])], ["a", "b"]))
-    out = pa.table({"doc_id": pa.array(rows["doc"][new_doc]), "spans": spans})
+    out = pa.table({"doc_id": pa.array(rows["doc"][new_doc]), "variant": pa.array(rows["variant"][new_doc].astype(np.int32)), "spans": spans})
     release_memory()
     return out
 
@@ -349,13 +352,37 @@ def _spans(table: pa.Table) -> pa.Table:
 SPANS = "array<struct<a: long, b: long>>"
 
 
+def _digests(documents: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(doc_id, d, n, variant) of every row with an id, stored, and (doc_id, d, variant) of ids with several texts if there are any.
+
+    d is the text's md5; the texts of one id are variants 0, 1, ... in order of d.
+    """
+    texts = documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    digests = stored(texts.select("doc_id", F.md5("text").alias("d"), F.octet_length("text").alias("n")), "digests")
+    several = digests.groupBy("doc_id").agg(F.min("d").alias("a"), F.max("d").alias("b")).where("a <> b").select("doc_id")
+    if not several.take(1):
+        return digests, None
+    order = Window.partitionBy("doc_id").orderBy("d")
+    variants = stored(digests.join(several, "doc_id", "left_semi").select("doc_id", "d").distinct().withColumn("variant", F.row_number().over(order) - 1), "variants")
+    return digests, variants
+
+
+def _numbered(rows: DataFrame, variants: DataFrame | None, digest: Column) -> DataFrame:
+    """The rows with the number of their text among those of their id (`variant`); no join where every id has one text."""
+    if variants is None:
+        return rows.withColumn("variant", F.lit(0))
+    joined = rows.withColumn("_d", digest).join(variants.withColumnRenamed("d", "_d").hint("shuffle_hash"), ["doc_id", "_d"], "left")
+    return joined.select(*(rows[f"`{c}`"] for c in rows.columns), F.coalesce("variant", F.lit(0)).alias("variant"))
+
+
 def repeated_spans(documents: DataFrame, width: int = 50) -> DataFrame:
-    """(doc_id, spans), stored: maximal byte ranges [a, b) covered by repeated strings, of documents that have any.
+    """(doc_id, d, spans), stored: maximal byte ranges [a, b) covered by repeated strings, of texts that have any.
 
     A `width`-byte string of the text (UTF-8, null: empty) is repeated if it also starts in a document
     with a smaller doc_id; matches never cross texts and are judged on the whole input. Equal texts
-    are sorted once, as their least doc_id; the others repeat it from end to end. A doc_id is taken to
-    have one text (repeated rows are fine); rows with a null doc_id repeat nothing and are not repeated.
+    are sorted once, as their least doc_id; the others repeat it from end to end. Texts that share a doc_id each have
+    spans of their own and don't repeat each other; d, null where an id has one text, is the md5 that tells them apart.
+    Rows with a null doc_id repeat nothing and are not repeated.
 
     Lists of ids and spans grow with the data, so none is broadcast; texts are dealt by doc_id once for both
     the search for anchors and the windows.
@@ -363,18 +390,20 @@ def repeated_spans(documents: DataFrame, width: int = 50) -> DataFrame:
     spark = documents.sparkSession
     if width < 2:
         raise ValueError("width must be 2 at least")
+    digests, variants = _digests(documents)
     docs = documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    digests = stored(docs.select("doc_id", F.md5("text").alias("d"), F.octet_length("text").alias("n")), "digests")
+    docs = _numbered(docs, variants, F.md5("text"))
     least = digests.groupBy("d").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least <> last").select("d", "least")
     least = stored(least, "least")
-    copies = stored(digests.join(least, "d").where("doc_id <> least").select("doc_id", "n").distinct(), "copies")
-    discard(digests, least)
-    unique = docs.where(F.octet_length("text") >= width).join(copies.select("doc_id").hint("shuffle_hash"), "doc_id", "left_anti")
+    copies = _numbered(digests.join(least, "d").where("doc_id <> least").select("doc_id", "d", "n"), variants, F.col("d"))
+    copies = stored(copies.select("doc_id", "variant", "n").distinct(), "copies")
+    discard(least)
+    unique = docs.where(F.octet_length("text") >= width).join(copies.select("doc_id", "variant").hint("shuffle_hash"), ["doc_id", "variant"], "left_anti")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = unique.mapInArrow(_emit_keys(width, partitions), "bucket int, low binary, high binary, docs binary")
+    keys = unique.select("doc_id", "text").mapInArrow(_emit_keys(width, partitions), "bucket int, low binary, high binary, docs binary")
     shared = keys.groupBy("bucket").applyInArrow(_shared, "doc_id long, key long")
     hot = shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
-    emitted = unique.join(hot.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "keys").mapInArrow(_emit_windows(width, 4 * partitions), "shard int, data binary, about binary, n_uses long, uses binary")
+    emitted = unique.join(hot.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "keys", "variant").mapInArrow(_emit_windows(width, 4 * partitions), "shard int, data binary, about binary, n_uses long, uses binary")
     emitted = stored(emitted, "windows")
     uses = emitted.select("shard", "n_uses", F.col("uses").alias("data"))
     runs = emitted.select("shard", "data", "about").groupBy("shard").applyInArrow(_shard(width, SHARD_MEMORY), "shard int, data binary")
@@ -383,13 +412,24 @@ def repeated_spans(documents: DataFrame, width: int = 50) -> DataFrame:
     dealt = uses.join(F.broadcast(parts), "shard").select("shard", F.pmod(F.xxhash64("data"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("is_use"), "data")
     copied = runs.join(F.broadcast(parts), "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("is_use"), "data")
     ranges = dealt.unionByName(copied).groupBy("shard", "part").applyInArrow(_look_up(width, partitions), "bucket int, ranges binary")
-    own = ranges.groupBy("bucket").applyInArrow(_spans, f"doc_id long, spans {SPANS}")
+    own = ranges.groupBy("bucket").applyInArrow(_spans, f"doc_id long, variant int, spans {SPANS}")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n").cast("long").alias("b")))
-    out = stored(own.unionByName(copies.where(F.col("n") >= width).select("doc_id", whole.alias("spans"))), "spans")
-    discard(copies, emitted, runs)
+    found = own.unionByName(copies.where(F.col("n") >= width).select("doc_id", "variant", whole.alias("spans")))
+    if variants is None:
+        out = stored(found.select("doc_id", F.lit(None).cast("string").alias("d"), "spans"), "spans")
+    else:
+        out = stored(found.join(variants.hint("shuffle_hash"), ["doc_id", "variant"], "left").select("doc_id", "d", "spans"), "spans")
+    out.__dict__["_several"] = variants is not None
+    discard(copies, emitted, runs, digests, variants)
     return out
 
 
+def _own_spans(documents: DataFrame, spans: DataFrame) -> Column:
+    """Whether a row of spans belongs to a document's text; the md5 matters only where an id has several texts."""
+    same = documents["doc_id"] == spans["doc_id"]
+    return same & (F.coalesce(spans["d"], F.lit("")) == F.when(spans["d"].isNull(), "").otherwise(F.md5(F.coalesce(documents["text"], F.lit(""))))) if spans.__dict__["_several"] else same
+
+
 def _without(text: Column, spans: Column, whole_characters: bool) -> Column:
     """Bytes of a text outside the spans; null spans give null."""
 
@@ -421,9 +461,9 @@ def remove_repeats(documents: DataFrame, width: int = 50) -> DataFrame:
 
     Documents without repeats have null spans. An empty table gives no rows.
     """
-    spans = repeated_spans(documents, width).hint("shuffle_hash")
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    joined = docs.join(spans, "doc_id", "left")
+    spans = repeated_spans(docs, width)
+    joined = docs.join(spans.hint("shuffle_hash"), _own_spans(docs, spans), "left").select(docs["doc_id"], docs["text"], spans["spans"])
     kept = F.coalesce(_without(F.col("text"), F.col("spans"), False), F.encode("text", "UTF-8"))
     return joined.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "spans", kept.alias("kept"))
 
@@ -433,8 +473,8 @@ def cut_repeats(documents: DataFrame, width: int = 50) -> DataFrame:
 
     A column n_chars, where there is one, follows the texts that are cut.
     """
-    spans = repeated_spans(documents, width).hint("shuffle_hash")
+    spans = repeated_spans(documents, width)
     text = F.coalesce(F.decode(_without(documents["text"], spans["spans"], True), "UTF-8"), documents["text"])
-    joined = documents.join(spans, documents["doc_id"] == spans["doc_id"], "left")
+    joined = documents.join(spans.hint("shuffle_hash"), _own_spans(documents, spans), "left")
     new = {"text": text, "n_chars": F.when(spans["spans"].isNull(), documents["n_chars"]).otherwise(F.length(text).cast("long"))} if "n_chars" in documents.columns else {"text": text}
     return joined.select(*(new[c].alias(c) if c in new else documents[f"`{c}`"] for c in documents.columns))

@@ -56,3 +56,15 @@ def test_odd_rows(spark, sf):
     for some in (docs, docs.limit(0)):
         for _, stage in P.STAGES:
             assert stage(spark, some, sf).count() <= len(rows)
+
+
+def test_an_id_with_two_texts(spark, tmp_path, sf):
+    """The whole pipeline over rows whose id repeats, one text far shorter than what the other repeats."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(*COLUMNS)
+    long = docs.orderBy(F.length("text").desc()).first()
+    extra = [(10**6, f"{long.text} more", "en", "s", 1), (10**6, "A short text of its own.", "en", "s", 1), (10**6, None, "en", "s", 1)]
+    both = docs.unionByName(spark.createDataFrame(extra, docs.schema)).withColumn("n_chars", F.length("text").cast("long"))
+    both.write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf}/labels.parquet").write.parquet(f"file://{tmp_path}/labels.parquet")
+    out = P.run(spark, f"file://{tmp_path}").collect()
+    assert 0 < len(out) <= both.count() and all(r.n_tokens == len(r.ids) for r in out)

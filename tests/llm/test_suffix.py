@@ -91,3 +91,33 @@ def test_cut_repeats(spark):
     by = {r.doc_id: r.text for r in got.collect()}
     assert by[1] == "first " + passage and passage[10:60] not in by[2] and by[2].startswith("z") and by[2].endswith(" end") and by[3] is None
     assert got.count() == 4 and suffix.cut_repeats(df.limit(0), 50).where(F.lit(True)).count() == 0
+
+
+def brute_rows(rows, width):
+    """(id, text, bytes removed, bytes left): strings that also start in a row of a smaller id; rows of one id don't count for each other."""
+    raws = [(i, (t or "").encode()) for i, t in rows]
+    starts = {}
+    for i, raw in raws:
+        for k in range(len(raw) - width + 1):
+            s = raw[k : k + width]
+            starts[s] = min(starts.get(s, i), i)
+    out = []
+    for (i, t), (_, raw) in zip(rows, raws, strict=True):
+        gone = bytearray(len(raw))
+        for k in range(len(raw) - width + 1):
+            if starts[raw[k : k + width]] < i:
+                gone[k : k + width] = b"\1" * width
+        out.append((i, t, sum(gone), bytes(b for b, g in zip(raw, gone, strict=True) if not g)))
+    return out
+
+
+def test_an_id_with_two_texts(spark):
+    """Each text of an id has its own spans; the short one is no shorter for what the long one repeats."""
+    one, two = ("".join(chr(97 + (k * k * m + k) % 26) for k in range(210)) for m in (3, 7))
+    rows = [(1, one), (2, f"head {one} tail"), (2, "short"), (3, one + two), (3, f"x{one}"), (3, f"x{one}"), (3, None), (4, two), (4, one), (5, f"é{two}é"), (6, two[:60])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix.remove_repeats(docs, 50).selectExpr("doc_id", "aggregate(spans, 0L, (n, s) -> n + s.b - s.a) AS gone", "kept").collect()
+    assert sorted((r.doc_id, r.gone or 0, bytes(r.kept)) for r in got) == sorted((i, n, kept) for i, _, n, kept in brute_rows(rows, 50))
+    cut = suffix.cut_repeats(docs.withColumn("n_chars", F.length("text").cast("long")), 50).collect()
+    assert sorted((r.doc_id, r.text or "") for r in cut) == sorted((i, kept.decode()) for i, _, _, kept in brute_rows(rows, 50))
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in cut)
