@@ -6,6 +6,10 @@ cosine is verified in double precision. Of its L nearest pivots a vector is list
 only: two vectors that share m pivots then still meet, and a pair counts in the list of the rarest pivot
 they share, once. Nearness counts L for the nearest pivot down to 1; the agreement of two orders is the sum, over
 shared pivots, of the products of both nearnesses.
+
+Many embeddings share a direction, which says nothing about who is near whom: pivots and orders are of what is left of the unit
+vectors without their mean. How alike the orders of two vectors at the threshold are depends on the table: L, m and the least
+agreement are set on pairs at exactly the threshold, made from the sample, so that few of them are missed.
 Lists are cut into blocks and pairs of blocks are compared in one task each, so that no task holds
 a whole list and no pair of vectors is ever a row: a task returns each vector's number of links and
 the root of its group within the task.
@@ -14,6 +18,7 @@ the root of its group within the task.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +32,15 @@ from .graph import components
 PIVOTS = (256, 16384)
 #: Vectors in the bounded sample for each pivot that is chosen from it, and in all.
 SAMPLE_PER_PIVOT, SAMPLE_ROWS = 16, 65_536
-#: Nearest pivots that candidates share at least, and the least agreement of their orders (see the tests for both).
-SHARED, AGREEMENT = 4, 150
+#: Numbers of nearest pivots to choose from, and the most that candidates must share.
+NEAREST, SHARED = (12, 16, 24, 32, 48, 64, 96, 128), 4
+#: The most that the orders of 12 nearest pivots must agree; more pivots, by the square of their number.
+AGREEMENT = 150
+#: Pairs at the threshold that the index is set on, and the share of them that may share too few pivots, or agree too little.
+PAIRS, MISSED = 2000, 0.005
 BLOCK_ROWS = 1024
-#: Pivots are no closer to each other than this cosine, so that a mass of copies takes only one.
-APART = 0.8
+#: Pivots are no closer to each other than the first of these cosines that leaves enough of them, so that a mass of near copies takes few.
+APART = (0.8, 0.9, 0.95, 0.98, 0.99)
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -52,11 +61,6 @@ def pivots_for(n: int) -> int:
     return int(min(PIVOTS[1], max(PIVOTS[0], 2 ** math.ceil(math.log2(max(n, 1)) / 2))))
 
 
-def nearest_for(n_pivots: int) -> int:
-    """Pivots that describe a vector: enough that pairs at the threshold share SHARED of them (see the tests)."""
-    return 12 if n_pivots <= PIVOTS[0] else 16
-
-
 def usable(v: Column) -> Column:
     """Whether a vector can link at all: not null or empty, all components finite, one of them not 0."""
     d = v.cast("array<double>")
@@ -64,32 +68,90 @@ def usable(v: Column) -> Column:
     return F.coalesce((F.size(d) > 0) & good & F.exists(d, lambda x: x != 0), F.lit(False))
 
 
-def choose_pivots(vectors: DataFrame, most: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Per dimension: pivots, and their rank by rarity as nearest pivots of the sample (0: rarest).
+@dataclass
+class Index:
+    """Pivots of one dimension, and how vectors are compared by them."""
 
-    The sample is the SAMPLE_PER_PIVOT * `most` vectors (SAMPLE_ROWS at most) with the smallest hashes; pivots are taken from it in
-    that order, skipping those close to one taken before.
-    """
-    ordered = vectors.select("embedding", F.size("embedding").alias("dim"), F.xxhash64("node").alias("h"), "node").orderBy("h", "node")
-    rows = ordered.limit(min(SAMPLE_PER_PIVOT * most, SAMPLE_ROWS)).select("dim", "embedding").toArrow()
-    sizes = rows["dim"].to_numpy()
-    out = {}
-    for dim in np.unique(sizes).tolist():
-        x = unit_rows(as_matrix(rows["embedding"].take(pa.array(np.flatnonzero(sizes == dim)))))
+    mean: np.ndarray
+    points: np.ndarray
+    #: By rarity as nearest pivots of the sample (0: rarest).
+    rank: np.ndarray
+    many: int
+    shared: int
+    agreement: float
+
+    def order(self, vectors: np.ndarray) -> np.ndarray:
+        """Each vector's nearest pivots in order, as ranks by rarity."""
+        return self.rank[nearest(residual(unit_rows(vectors), self.mean), self.points, self.many)]
+
+
+def residual(x: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Unit vectors without their mean, as unit vectors again; what equals the mean stays as it is."""
+    left = x - mean
+    norm = np.sqrt((left * left).sum(1, keepdims=True))
+    return np.where(norm > 1e-9, left / np.where(norm > 1e-9, norm, 1), x)
+
+
+def far_apart(x: np.ndarray, most: int) -> np.ndarray:
+    """Up to `most` rows, in their order, none close to one taken before."""
+    for apart in APART:
         taken = [0]
         near = x @ x[0]
         for k in range(1, len(x)):
             if len(taken) >= most:
                 break
-            if near[k] < APART:
+            if near[k] < apart:
                 taken.append(k)
                 near = np.maximum(near, x @ x[k])
-        pivots = x[taken]
-        used = np.bincount(nearest(x, pivots, nearest_for(most)).ravel(), minlength=len(pivots))
-        rank = np.empty(len(pivots), np.int64)
-        rank[np.lexsort((np.arange(len(pivots)), used))] = np.arange(len(pivots))
-        out[dim] = (pivots, rank)
-    return out
+        if len(taken) >= min(most, len(x) // 2):
+            break
+    return x[taken]
+
+
+def pairs_at(x: np.ndarray, threshold: float, many: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of the sample and partners at exactly the threshold: half of them off in any direction, half towards another vector."""
+    rng = np.random.default_rng(0)
+    a = x[rng.integers(0, len(x), many)]
+    off = np.where(np.arange(many)[:, None] % 2, rng.normal(size=a.shape), x[rng.integers(0, len(x), many)] + 1e-6 * rng.normal(size=a.shape))
+    off = unit_rows(off - (off * a).sum(1, keepdims=True) * a) if x.shape[1] > 1 else a
+    return a, unit_rows(threshold * a + math.sqrt(1 - threshold**2) * off)
+
+
+def alike(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shared pivots and agreement of the orders of each pair."""
+    nearness = np.arange(p.shape[1], 0, -1)
+    same = p[:, :, None] == q[:, None, :]
+    return same.sum((1, 2)), (same * (nearness[:, None] * nearness[None, :])).sum((1, 2))
+
+
+def index_of(sample: np.ndarray, most: int, threshold: float) -> Index:
+    """The index of a sample of vectors: of the numbers of nearest pivots, the one with the least expected rows in its lists."""
+    x = unit_rows(sample)
+    mean = x.mean(0) if len(x) > 1 else np.zeros(x.shape[1])
+    left = residual(x, mean)
+    points = far_apart(left, most)
+    near = [nearest(residual(v, mean), points, max(NEAREST)) for v in pairs_at(x, threshold)]
+    best = None
+    for many in NEAREST:
+        many = min(many, len(points))
+        shared, agreement = alike(*(v[:, :many] for v in near))
+        least = int(min(SHARED, np.quantile(shared, MISSED)))
+        rows = (many - least + 1) ** 2
+        if least and (best is None or rows < best[0]):
+            best = (rows, many, least, min(float(np.quantile(agreement, MISSED)), AGREEMENT * (many / 12) ** 2))
+    _, many, shared, agreement = best or (0, min(max(NEAREST), len(points)), 1, 1.0)
+    used = np.bincount(nearest(left, points, many).ravel(), minlength=len(points))
+    rank = np.empty(len(points), np.int64)
+    rank[np.lexsort((np.arange(len(points)), used))] = np.arange(len(points))
+    return Index(mean, points, rank, many, shared, agreement)
+
+
+def choose_pivots(vectors: DataFrame, most: int, threshold: float) -> dict[int, Index]:
+    """The index of each dimension, from the SAMPLE_PER_PIVOT * `most` vectors (SAMPLE_ROWS at most) with the smallest hashes."""
+    ordered = vectors.select("embedding", F.size("embedding").alias("dim"), F.xxhash64("node").alias("h"), "node").orderBy("h", "node")
+    rows = ordered.limit(min(SAMPLE_PER_PIVOT * most, SAMPLE_ROWS)).select("dim", "embedding").toArrow()
+    sizes = rows["dim"].to_numpy()
+    return {dim: index_of(as_matrix(rows["embedding"].take(pa.array(np.flatnonzero(sizes == dim)))), most, threshold) for dim in np.unique(sizes).tolist()}
 
 
 def nearest(x: np.ndarray, pivots: np.ndarray, many: int) -> np.ndarray:
@@ -102,7 +164,7 @@ def nearest(x: np.ndarray, pivots: np.ndarray, many: int) -> np.ndarray:
     return np.take_along_axis(some, np.argsort(np.take_along_axis(near, some, 1), axis=1, kind="stable"), 1)
 
 
-def _describe(pivots: dict[int, tuple[np.ndarray, np.ndarray]], many: int):
+def _describe(indexes: dict[int, Index]):
     """Permutation of each vector: its nearest pivots in order, as ranks by rarity; a dimension the sample lacks has one list."""
 
     @F.arrow_udf("array<int>")
@@ -110,10 +172,9 @@ def _describe(pivots: dict[int, tuple[np.ndarray, np.ndarray]], many: int):
         sizes = np.diff(column.offsets.to_numpy())
         out = [[0]] * len(column)
         for dim in np.unique(sizes).tolist():
-            if dim in pivots:
+            if dim in indexes:
                 at = np.flatnonzero(sizes == dim)
-                points, rank = pivots[dim]
-                for i, row in zip(at, rank[nearest(unit_rows(as_matrix(column.take(pa.array(at)))), points, many)].tolist(), strict=True):
+                for i, row in zip(at, indexes[dim].order(as_matrix(column.take(pa.array(at)))).tolist(), strict=True):
                     out[i] = row
         return pa.array(out, pa.list_(pa.int32()))
 
@@ -132,30 +193,24 @@ def _roots(links: np.ndarray) -> np.ndarray:
         root = low
 
 
-def candidates(near: np.ndarray, pivot: int) -> np.ndarray:
+def candidates(near: np.ndarray, pivot: int, shared: int, agreement: float) -> np.ndarray:
     """Which pairs of one list agree enough in their orders, and share no pivot that is rarer than the list's."""
     n, many = near.shape
     nearness = np.zeros((n, int(near.max()) + 1), np.float32)
     np.put_along_axis(nearness, near, np.broadcast_to(np.arange(many, 0, -1, dtype=np.float32), near.shape), axis=1)
     seen = (nearness > 0).astype(np.float32)
     rarer = seen[:, :pivot]
-    return (nearness @ nearness.T >= least_agreement(many)) & (seen @ seen.T >= min(SHARED, many)) & (rarer @ rarer.T == 0)
-
-
-def least_agreement(many: int) -> float:
-    """AGREEMENT, but no more than SHARED pivots in opposite orders have: orders of few pivots say little."""
-    k = np.arange(1, min(SHARED, many) + 1)
-    return min(AGREEMENT, float((k * k[::-1]).sum())) if many <= 2 * SHARED else AGREEMENT
+    return (nearness @ nearness.T >= agreement) & (seen @ seen.T >= shared) & (rarer @ rarer.T == 0)
 
 
-def _compare(threshold: float):
-    """Links of one pair of blocks of one list."""
+def _compare(threshold: float, needed: dict[int, tuple[int, float]]):
+    """Links of one pair of blocks of one list; `needed`: shared pivots and agreement of candidates by dimension."""
 
     def run(table: pa.Table) -> pa.Table:
         pivot = table.column("pivot")[0].as_py()
         left, right = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         nodes, weight, block = (table.column(c).to_numpy() for c in ("node", "copies", "block"))
-        linked = candidates(as_matrix(table.column("near")).astype(np.int64), pivot)
+        linked = candidates(as_matrix(table.column("near")).astype(np.int64), pivot, *needed.get(table.column("dim")[0].as_py(), (1, 1.0)))
         np.fill_diagonal(linked, False)
         if left != right:
             linked &= block[:, None] != block[None, :]
@@ -192,10 +247,13 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:
     # Numbered as they are written: ids may repeat.
     distinct = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "vectors")
     vectors = distinct.select("label", "node", "copies", "embedding")
-    many = pivots_for(distinct.count())
-    describe = _describe(choose_pivots(vectors, many), nearest_for(many))
+    indexes = choose_pivots(vectors, pivots_for(distinct.count()), threshold)
+    describe = _describe(indexes)
     described = vectors.withColumn("dim", F.size("embedding")).withColumn("near", describe("embedding"))
-    lists = F.slice(F.array_sort("near"), F.lit(1), F.greatest(F.lit(1), F.size("near") - (SHARED - 1)))
+    least = F.lit(1)
+    for dim, index in indexes.items():
+        least = F.when(F.col("dim") == dim, index.shared).otherwise(least)
+    lists = F.slice(F.array_sort("near"), F.lit(1), F.greatest(F.lit(1), F.size("near") - (least - 1)))
     posted = stored(described.withColumn("pivot", F.explode(lists)), "postings")
     where = ["label", "dim", "pivot"]
     sizes = posted.groupBy(*where).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
@@ -203,7 +261,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:
     # Each row goes to the pairs (i, j), i <= j, of blocks that its own block is part of.
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = paired.select(*where, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "copies", "near", "embedding")
-    found = stored(paired.groupBy(*where, "i", "j").applyInArrow(_compare(threshold), "node long, links long, root long"), "links")
+    found = stored(paired.groupBy(*where, "i", "j").applyInArrow(_compare(threshold, {dim: (x.shared, x.agreement) for dim, x in indexes.items()}), "node long, links long, root long"), "links")
     discard(posted)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
