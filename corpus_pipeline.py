@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gristmill.llm import bpe, gam, jaccard, mix, suffix
-from gristmill.llm.common import stored
+from gristmill.llm.common import discard, stored
 
 #: Shingle length and similarity in percent of the near-copy stage.
 WORDS, PERCENT = 5, 80
@@ -55,8 +55,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each one's rows are written and read again for the next."""
+    """Apply the stages to documents; each one's rows are written and read again for the next, then deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        after = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(docs)
+        docs = after
     return docs
