@@ -350,12 +350,13 @@ def query_sql(tables: Tables, sql: str, args: dict | list | None = None) -> Data
 
     The tables are common table expressions of this one statement: nothing is registered under their names,
     so calls at the same time don't see each other's rows, and a later call knows only its own tables. The text is a
-    query; a WITH of its own follows the tables.
+    query; a WITH of its own follows the tables. A table may also stand in braces; other braces stay as they are.
     """
     spark = next(iter(tables.values())).sparkSession
     given = {f"t{i}": df for i, df in enumerate(tables.values())}
-    named = ", ".join(f"`{name.replace('`', '``')}` AS (SELECT * FROM {{t{i}}})" for i, name in enumerate(tables))
-    text = sql.replace("{", "{{").replace("}", "}}")
+    quoted = {name: f"`{name.replace('`', '``')}`" for name in tables}
+    text = re.sub(r"\{(\w+)\}", lambda m: quoted.get(m[1], m[0]), sql).replace("{", "{{").replace("}", "}}")
+    named = ", ".join(f"{name} AS (SELECT * FROM {{t{i}}})" for i, name in enumerate(quoted.values()))
     own = re.match(r"(?:\s|--[^\n]*\n|/\*.*?\*/)*WITH\s+(RECURSIVE\s+)?", text, re.I | re.S)
     text = f"WITH {own[1] or ''}{named}, {text[own.end():]}" if own else f"WITH {named} {text}"
     return spark.sql(text, args or None, **given)
