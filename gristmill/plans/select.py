@@ -127,9 +127,10 @@ def _from(items: Any, tables: Tables) -> DataFrame:
             continue
         on = [column(x, tables) for x in j["on"]] if isinstance(j["on"], list) else [column(j["on"], tables)]
         if how == "inner" and (found := _range_of(j["on"], _aliases(items[: items.index(j)]), _aliases([j]))):
-            (point, low, high), here = (column(x, tables) for x in found[:3]), found[3]
+            ends, (open_low, open_high), here, others = found
+            point, low, high = (column(x, tables) for x in ends)
             sides = (df, _source(j, tables)) if here else (_source(j, tables), df)
-            df = range_join(*sides, point, low, high, P.all_of(*on))
+            df = range_join(*sides, point, low, high, P.all_of(*(column(x, tables) for x in others)) if others else None, open_low, open_high)
             continue
         df = df.join(_source(j, tables), P.all_of(*on), {"full": "full_outer"}.get(how, how))
     return df
@@ -151,13 +152,16 @@ def _tables_of(node: Any, first: bool = True) -> set[str]:
     return {node["col"].rpartition(".")[0]} if kind == "col" else {""}
 
 
-def _range_of(on: Any, left: set[str], right: set[str]) -> tuple[Any, Any, Any, bool] | None:
-    """(point, low, high, whether the point is of the left side) if a join condition without equality says low <= point <= high."""
+def _range_of(on: Any, left: set[str], right: set[str]) -> tuple[tuple[Any, Any, Any], tuple[bool, bool], bool, list] | None:
+    """What a join condition without equality says of a range low <= point <= high, None if it says none.
+
+    ((point, low, high), whether each bound is left out, whether the point is of the left side, the other parts of the condition).
+    """
     parts = on["and"] if isinstance(on, dict) and "and" in on else _list(on)
     sides = lambda x, first: ({"left"} if (t := _tables_of(x, first)) and t <= left else {"right"} if t and t <= right else set() if not t else {"both"})
     bounds: dict[tuple[str, bool], Any] = {}
-    for x in parts:
-        op = next((k for k in ("eq", "gt", "gte", "lt", "lte") if isinstance(x, dict) and k in x), None)
+    for k, x in enumerate(parts):
+        op = next((o for o in ("eq", "gt", "gte", "lt", "lte") if isinstance(x, dict) and o in x), None)
         if op is None:
             continue
         (a, b), above = x[op], op in ("gt", "gte")
@@ -166,11 +170,12 @@ def _range_of(on: Any, left: set[str], right: set[str]) -> tuple[Any, Any, Any,
             continue
         if op == "eq":
             return None
-        bounds.setdefault((repr(a), above), (a, b, one == {"left"}))
-        bounds.setdefault((repr(b), not above), (b, a, two == {"left"}))
-    for (name, above), (point, low, here) in bounds.items():
+        bounds.setdefault((repr(a), above), (a, b, one == {"left"}, op, k))
+        bounds.setdefault((repr(b), not above), (b, a, two == {"left"}, op, k))
+    for (name, above), (point, low, here, op, k) in bounds.items():
         if above and (name, False) in bounds:
-            return point, low, bounds[name, False][1], here
+            _, high, _, other, m = bounds[name, False]
+            return (point, low, high), (op in ("gt", "lt"), other in ("gt", "lt")), here, [x for i, x in enumerate(parts) if i not in (k, m)]
     return None
 
 

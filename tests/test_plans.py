@@ -48,6 +48,8 @@ def test_range_join_against_all_pairs(spark):
     p, i = spark.createDataFrame(dots, "p long, x double"), spark.createDataFrame(spans, "i long, lo double, hi double")
     got = sorted((r.p, r.i) for r in intervals.range_join(p, i, F.col("x"), F.col("lo"), F.col("hi")).collect())
     assert got == sorted((a, b) for a, x in dots for b, lo, hi in spans if None not in (x, lo, hi) and lo <= x <= hi)
+    inside = intervals.range_join(p, i, F.col("x"), F.col("lo"), F.col("hi"), F.col("p") > F.col("i"), open_low=True, open_high=True)
+    assert sorted((r.p, r.i) for r in inside.collect()) == sorted((a, b) for a, x in dots for b, lo, hi in spans if a > b and None not in (x, lo, hi) and lo < x < hi)
     assert intervals.range_join(p, i.limit(0), F.col("x"), F.col("lo"), F.col("hi")).count() == 0
 
 
