@@ -189,7 +189,14 @@ ipf AS (
   SELECT k + 1, source, lang, topic, n, t_source, t_lang, t_topic, w2 * t_topic / sum(w2) OVER (PARTITION BY topic)
   FROM (SELECT *, w1 * t_lang / sum(w1) OVER (PARTITION BY lang) AS w2
         FROM (SELECT *, w * t_source / sum(w) OVER (PARTITION BY source) AS w1 FROM ipf WHERE k < {ROUNDS}))),
-p AS (SELECT source, lang, topic, f / max(f) OVER () AS p FROM (SELECT *, w / n AS f FROM ipf WHERE k = {ROUNDS}))
+f AS (SELECT *, w / n AS factor, max(w / n) OVER () AS f_max FROM ipf WHERE k = {ROUNDS}),
+tried AS (
+  SELECT *, ({KEPT_SHARE} * sum(n) OVER () - coalesce(sum(n) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM f WINDOW o AS (ORDER BY factor DESC, source, lang, topic)),
+p AS (
+  SELECT source, lang, topic, CASE WHEN factor > 0 THEN greatest(factor / f_max, least(1.0, coalesce(level * factor, 1.0))) ELSE 0 END AS p
+  FROM (SELECT * REPLACE (max(CASE WHEN level * factor <= 1 THEN level END) OVER () AS level) FROM tried))
 SELECT doc_id, source, lang, topic, n_tokens, round(coalesce(p, 0), 6) AS probability,
   CAST('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8) AS UBIGINT)::DOUBLE / 4294967296.0 < coalesce(p, 0) AS kept
 FROM d LEFT JOIN p USING (source, lang, topic)
