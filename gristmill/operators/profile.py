@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..failures import FAILURES
 from ..functions.predicates import live_rows_sql
 
 
@@ -220,14 +221,14 @@ def policy_metadata(df: DataFrame, name: str) -> DataFrame:
 def introspect_all(tables: dict[str, DataFrame], job=profile, at_once: int = 3) -> dict[str, DataFrame | str]:
     """A job per table, a few at a time; a table that fails, also while it runs, gives its error text instead of a DataFrame.
 
-    Results are profiles: a row per table or column, held on the driver.
+    Results are profiles: a row per table or column, held on the driver. A mistake in `job` itself is raised.
     """
 
     def one(df: DataFrame):
         try:
             out = job(df)
             return out.sparkSession.createDataFrame(out.collect(), out.schema)
-        except Exception as e:  # one table must not end the others
+        except FAILURES as e:  # one table must not end the others
             return f"{type(e).__name__}: {e}"
 
     with ThreadPoolExecutor(at_once) as pool:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..failures import FAILURES
 from .state import delete_folder, shared_folder
 
 CHUNK_ROWS = 5000
@@ -167,12 +168,12 @@ def export_stats(done: DataFrame) -> DataFrame:
 
 
 def export_all(tables: dict[str, DataFrame], root: str, kind: str = "parquet", at_once: int = 2, **options) -> dict[str, DataFrame | str]:
-    """Many exports, a few at a time; a failed one gives its error text."""
+    """Many exports, a few at a time; a failed one gives its error text, a mistake in the call is raised."""
 
     def one(item):
         try:
             return export(item[1], f"{root}/{item[0]}", kind, **options)
-        except Exception as e:
+        except FAILURES as e:
             return f"{type(e).__name__}: {e}"
 
     with ThreadPoolExecutor(at_once) as pool:
@@ -185,16 +186,19 @@ def request_key(request: dict) -> str:
 
 
 class ResultCache:
-    """Results of SELECT requests as Parquet, found by the request, fresh for `ttl` seconds, cleared by table."""
+    """Results of SELECT requests as Parquet, found by the request, fresh for `ttl` seconds, cleared by table.
+
+    Results no longer fresh are deleted `grace` seconds later, the time that readers of an old result have.
+    """
 
     _SCHEMA = "key string, table string, path string, at double"
 
-    def __init__(self, spark: SparkSession, root: str, ttl: float = 300.0):
-        self.spark, self.root, self.ttl = spark, root.rstrip("/"), ttl
+    def __init__(self, spark: SparkSession, root: str, ttl: float = 300.0, grace: float = 3600.0):
+        self.spark, self.root, self.ttl, self.grace = spark, root.rstrip("/"), ttl, grace
 
     def _entries(self) -> DataFrame:
         try:
-            return self.spark.read.schema(self._SCHEMA).option("recursiveFileLookup", True).parquet(f"{self.root}/entries")
+            return self.spark.read.schema(self._SCHEMA).option("recursiveFileLookup", True).option("ignoreMissingFiles", True).parquet(f"{self.root}/entries")
         except AnalysisException:
             return self.spark.createDataFrame([], self._SCHEMA)
 
@@ -211,9 +215,19 @@ class ResultCache:
             path = f"{self.root}/{key}-{time.time_ns()}"
             build().write.parquet(path)
             self._add(key, table, path)
+            self.sweep()
         else:
             path = last.path
         return self.spark.read.parquet(path)
 
+    def sweep(self) -> int:
+        """Delete what is out of date for longer than `grace`: results, then their entries, so a sweep cut short is finished by the next."""
+        old = self._entries().where(F.col("at") < time.time() - self.ttl - self.grace).select("path", "_metadata.file_path").collect()
+        for r in old:
+            if r.path is not None:
+                delete_folder(self.spark, r.path)
+            delete_folder(self.spark, r.file_path.rpartition("/")[0])
+        return len(old)
+
     def clear(self, table: str) -> None:
         self._add("", table, None)

@@ -10,6 +10,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..failures import FAILURES
 from ..functions.predicates import lookup_filter, where_sql
 from ..operators.checks import field_mappings, fingerprint
 from ..operators.merge import per_key, stamp
@@ -140,20 +141,24 @@ def sync(store: Store, source: DataFrame, cfg: SyncConfig, force: bool = False)
         return {"table": cfg.table, "status": "on_demand"}
     try:
         return {"full": sync_full, "incremental": sync_incremental}[cfg.strategy](store, source, cfg)
-    except Exception as e:
+    except FAILURES as e:
         row = {"table": cfg.table, "strategy": cfg.strategy, "status": "failed", "started_at": started, "finished_at": utc_now(), "error": f"{type(e).__name__}: {e}"[:1000]}
         store.record(**row)
         return row
 
 
 def sync_all(store: Store, jobs: list[tuple[Callable[[], DataFrame], SyncConfig]], at_once: int = 3, force: bool = False) -> list[dict]:
-    """Many loads, a few at a time; each one's failure is its own."""
+    """Many loads, a few at a time; each one's failure is its own, whatever its source raises. A mistake in a load is raised."""
 
     def one(job):
         try:
-            return sync(store, job[0](), job[1], force)
-        except Exception as e:
-            return {"table": job[1].table, "status": "failed", "error": str(e)}
+            source = job[0]()
+        except Exception as e:  # a user's source may fail in any way
+            return {"table": job[1].table, "status": "failed", "error": f"{type(e).__name__}: {e}"}
+        try:
+            return sync(store, source, job[1], force)
+        except FAILURES as e:
+            return {"table": job[1].table, "status": "failed", "error": f"{type(e).__name__}: {e}"}
 
     with ThreadPoolExecutor(at_once) as pool:
         return list(pool.map(one, jobs))

@@ -82,6 +82,8 @@ def test_profile(spark):
     # One that fails while it runs leaves the others alone.
     mixed = profile.introspect_all({"good": df, "bad": df.withColumn("x", F.raise_error(F.lit("broken")))})
     assert isinstance(mixed["bad"], str) and "broken" in mixed["bad"] and mixed["good"].count() == 3
+    with pytest.raises(KeyError):
+        profile.introspect_all({"x": df}, lambda d: {}["a mistake"])
 
 
 def test_inference(spark):
@@ -365,3 +367,8 @@ def test_result_cache(spark, tmp_path):
     assert len(calls) == 2
     export.ResultCache(spark, f"file://{tmp_path}", ttl=0).result(request, "t", build)
     assert len(calls) == 3
+    # Results out of date are deleted once their readers had time, and fresh ones stay.
+    assert cache.sweep() == 0 and len(list(tmp_path.iterdir())) == 4
+    assert export.ResultCache(spark, f"file://{tmp_path}", ttl=-1, grace=0).sweep() == 4
+    assert [p.name for p in tmp_path.iterdir()] == ["entries"] and not list(tmp_path.glob("entries/*/*.parquet"))
+    assert cache.result(request, "t", build).count() == 3 and cache.result(request, "t", build).count() == 3 and len(calls) == 4
