@@ -38,8 +38,11 @@ from .graph import components
 BAND_RATIO = 2.0
 #: Sets of one key, and elements of one candidate component, that one task settles; larger groups are dealt over tasks.
 KEY_ROWS, CELL_ELEMENTS = 1 << 15, 1 << 20
-#: Nodes outside the largest part of such a group that one task holds against a block of it.
-LEFT_ROWS = 1000
+#: Index entries that one task sorts; a bucket of more (a key of very many sets) is dealt over tasks.
+BUCKET_ENTRIES = 1 << 22
+#: Nodes outside the largest part of such a group that one task holds against a block of it: of a key's sets, by their marks, and of a candidate
+#: component, by their texts. Members are repeated once for so many nodes.
+LEFT_MARKS, LEFT_ROWS = 1 << 14, 1000
 #: Bits of a mark for each element of its set, at least: where marks travel, and where a task makes them.
 NARROW, WIDE = 0.8, 4.0
 
@@ -154,7 +157,7 @@ def index_keys(elements: np.ndarray, percent: int) -> np.ndarray:
 def _emit(words: int, percent: int, buckets: int):
     """Per batch of documents: its rows, and its index entries packed by bucket, 14 bytes each (48 bits of the key, the set).
 
-    `ord` numbers the rows of the whole table; equal sets of a batch are indexed once.
+    `ord` numbers the rows of the whole table; equal sets of a batch are indexed once. `n` is a row's set size, or the number of packed entries.
     """
 
     def run(batches):
@@ -185,6 +188,7 @@ def _emit(words: int, percent: int, buckets: int):
                 some = np.flatnonzero(np.diff(cuts)).tolist()
                 packed = {f.name: pa.nulls(len(some), f.type) for f in EMITTED}
                 packed["bucket"] = pa.array(some, pa.int32())
+                packed["n"] = pa.array([int(cuts[x + 1] - cuts[x]) for x in some], pa.int64())
                 packed["keys"] = pa.array([_six_bytes(key[cuts[x] : cuts[x + 1]]) for x in some], pa.binary())
                 packed["nodes"] = pa.array([node[cuts[x] : cuts[x + 1]].tobytes() for x in some], pa.binary())
                 yield pa.RecordBatch.from_pydict(packed, schema=EMITTED)
@@ -202,28 +206,101 @@ def _six_bytes(key: np.ndarray) -> bytes:
     return np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
-def _shared_keys(table: pa.Table) -> pa.Table:
-    """Of one bucket: the (key, set, sets of the key) rows of keys that two sets or more have."""
+MEMBERS = pa.schema([("grp", pa.int64()), ("node", pa.int64()), ("size", pa.int64())])
+
+
+def _entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(key, set) of packed entries."""
     raw = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint8).reshape(-1, 6)
     key = np.zeros((len(raw), 8), np.uint8)
     key[:, :6] = raw
-    key = key.view("<i8").ravel()
-    node = np.frombuffer(b"".join(table.column("nodes").to_pylist()), np.int64)
-    order = np.argsort(key)
-    begin = np.append(True, key[order][1:] != key[order][:-1])
-    begin = np.flatnonzero(begin)
-    order = order[np.repeat(np.diff(np.append(begin, len(order))) > 1, np.diff(np.append(begin, len(order))))]
-    key, node = key[order], node[order]
+    return key.view("<i8").ravel(), np.frombuffer(b"".join(table.column("nodes").to_pylist()), np.int64)
+
+
+def _distinct(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (key, set) pairs in order, and where each key begins."""
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
     new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))[: len(key)]
     key, node = key[new], node[new]
-    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    return key, node, np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+
+
+def _shared_keys(table: pa.Table) -> pa.Table:
+    """Of one bucket: the (key, set, sets of the key) rows of keys that two sets or more have."""
+    key, node = _entries(table)
+    order = np.argsort(key)
+    begin = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+    uses = np.diff(np.append(begin, len(order)))
+    order = order[np.repeat(uses > 1, uses)]
+    key, node, begin = _distinct(key[order], node[order])
     size = np.diff(np.append(begin, len(key)))
     size = np.repeat(size, size)
-    del raw, order
+    del order, uses
     release_memory()
-    return pa.table({"grp": key[size > 1], "node": node[size > 1], "size": size[size > 1]}, schema=pa.schema([("grp", pa.int64()), ("node", pa.int64()), ("size", pa.int64())]))
+    return pa.table({"grp": key[size > 1], "node": node[size > 1], "size": size[size > 1]}, schema=MEMBERS)
+
+
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed entries of large buckets, dealt over `parts` by their set; a set's own entries stay together."""
+    schema = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("nodes", pa.binary())])
+    for batch in batches:
+        out = {f.name: [] for f in schema}
+        for bucket, parts, keys, nodes in zip(*(batch.column(c).to_pylist() for c in ("bucket", "parts", "keys", "nodes")), strict=True):
+            key, node = np.frombuffer(keys, np.uint8).reshape(-1, 6), np.frombuffer(nodes, np.int64)
+            part = node % parts
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            for x in np.flatnonzero(np.diff(cuts)).tolist():
+                some = order[cuts[x] : cuts[x + 1]]
+                for values, value in zip(out.values(), (bucket, x, key[some].tobytes(), node[some].tobytes()), strict=True):
+                    values.append(value)
+        yield pa.RecordBatch.from_pydict(out, schema=schema)
+
+
+def _count_keys(place: tuple, table: pa.Table) -> pa.Table:
+    """Of one part of a bucket: the number of sets of each key."""
+    key, _, begin = _distinct(*_entries(table))
+    bucket, part = (np.full(len(begin), x.as_py(), np.int32) for x in place)
+    return pa.table({"bucket": bucket, "part": part, "grp": key[begin], "n": np.diff(np.append(begin, len(key)))})
+
+
+def _of_shared_keys(table: pa.Table, shared: pa.Table) -> pa.Table:
+    """Of one part of a bucket: its rows of the keys that are shared, with their sizes in the whole bucket."""
+    key, node, begin = _distinct(*_entries(table))
+    wanted, size = (shared.column(c).to_numpy() for c in ("grp", "size"))
+    order = np.argsort(wanted)
+    wanted, size = wanted[order], size[order]
+    at = np.searchsorted(wanted, key)
+    at[at == len(wanted)] = 0
+    keep = wanted[at] == key if len(wanted) else np.zeros(len(key), bool)
+    return pa.table({"grp": key[keep], "node": node[keep], "size": size[at[keep]]}, schema=MEMBERS)
+
+
+def _members(entries: DataFrame) -> DataFrame:
+    """(grp, node, size), stored: the sets of every key that two sets or more have.
+
+    A bucket is settled in one task; one of more than BUCKET_ENTRIES is dealt over tasks by set. There
+    each part counts its sets of a key, the counts are added up, and each part gets the sums of its keys. There are
+    no more buckets than shuffle partitions, so the list of the large ones may be broadcast.
+    """
+    kind = "grp long, node long, size long"
+    parts = entries.groupBy("bucket").agg(F.ceil(F.sum("n") / BUCKET_ENTRIES).cast("int").alias("parts")).where("parts > 1")
+    parts = stored(parts, "large-buckets")
+    if not parts.take(1):
+        members = stored(entries.groupBy("bucket").applyInArrow(_shared_keys, kind), "members")
+        discard(parts)
+        return members
+    own = F.broadcast(parts)
+    whole = entries.join(own, "bucket", "left_anti").groupBy("bucket").applyInArrow(_shared_keys, kind)
+    dealt = stored(entries.join(own, "bucket").select("bucket", "parts", "keys", "nodes").mapInArrow(_deal, "bucket int, part int, keys binary, nodes binary"), "dealt")
+    counts = stored(dealt.groupBy("bucket", "part").applyInArrow(_count_keys, "bucket int, part int, grp long, n long"), "key-counts")
+    sizes = counts.groupBy("grp").agg(F.sum("n").alias("size")).where("size > 1")
+    shared = counts.join(sizes, "grp").select("bucket", "part", "grp", "size")
+    split = dealt.groupBy("bucket", "part").cogroup(shared.groupBy("bucket", "part")).applyInArrow(_of_shared_keys, kind)
+    members = stored(whole.unionByName(split), "members")
+    discard(parts, dealt, counts)
+    return members
 
 
 def parity_marks(elements: np.ndarray, per_element: float) -> np.ndarray:
@@ -421,7 +498,7 @@ def _by_sets(words: int, percent: int):
     return settle
 
 
-def _related(rows: DataFrame, sizes: DataFrame, settle: Callable, most: int, cells: int) -> list[DataFrame]:
+def _related(rows: DataFrame, sizes: DataFrame, settle: Callable, most: int, cells: int, left: int) -> list[DataFrame]:
     """(a, b) links that join the related nodes of every group, in one or two tables.
 
     `rows` has grp, node, size (of the whole group, in any unit) and what `settle` reads; `sizes` has all their sizes. Groups up to `most` are
@@ -450,7 +527,7 @@ def _related(rows: DataFrame, sizes: DataFrame, settle: Callable, most: int, cel
     if outside.take(1):
         own = large.join(outside, ["grp", "node"])
         sizes = outside.groupBy("grp").agg(F.count("*").alias("left"))
-        slices = F.ceil(F.col("left") / LEFT_ROWS).cast("int")
+        slices = F.ceil(F.col("left") / left).cast("int")
         own = own.join(sizes, "grp").withColumn("slice", F.pmod(F.xxhash64("node", F.lit(1)), slices)).drop("left")
         own = own.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("side", F.lit(HEAD))
         every = members.join(sizes, "grp").withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("left")
@@ -475,15 +552,14 @@ def _row_classes(documents: DataFrame, words: int, percent: int) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     emitted = stored(keyed.mapInArrow(_emit(words, percent, buckets), "doc_id long, n long, node long, twin long, mark binary, row long, ord long, bucket int, keys binary, nodes binary"), "entries")
     nodes = stored(emitted.where("bucket IS NULL").drop("bucket", "keys", "nodes"), "nodes")
-    entries = emitted.where("bucket IS NOT NULL").select("bucket", "keys", "nodes")
-    members = stored(entries.groupBy("bucket").applyInArrow(_shared_keys, "grp long, node long, size long"), "members")
+    members = _members(emitted.where("bucket IS NOT NULL").select("bucket", "n", "keys", "nodes"))
     discard(emitted)
     # One representative of each set: the least of its rows, and for the text a row that is alone in its key if there is one.
     by_row = nodes.where("n > 0").groupBy("node", "twin", "row").agg(F.count("*").alias("times"), F.min("ord").alias("rep"), F.first("n").alias("n"), F.first("mark").alias("mark"))
     reps = by_row.groupBy("node", "twin").agg(F.min("rep").alias("rep"), F.min(F.struct("times", "row")).alias("text_row"), F.first("n").alias("n"), F.first("mark").alias("mark"))
     reps = stored(reps.select("node", "twin", "rep", "text_row.row", "text_row.times", "n", "mark"), "sets")
     marked = members.join(reps.select("node", "rep", "n", "mark"), "node").select("grp", F.col("rep").alias("node"), "size", "n", "mark")
-    near = _related(marked, members, _by_marks(percent), KEY_ROWS, 2 * buckets)
+    near = _related(marked, members, _by_marks(percent), KEY_ROWS, 2 * buckets, LEFT_MARKS)
     candidates = components(_union(near))
     described = candidates.join(reps.withColumnRenamed("node", "digest"), F.col("node") == F.col("rep"))
     described = described.select(F.col("component").alias("grp"), "node", "digest", "twin", "row", "times", "n")
@@ -491,7 +567,7 @@ def _row_classes(documents: DataFrame, words: int, percent: int) -> DataFrame:
     wanted = stored(described.join(sizes, "grp").drop("n"), "candidates")
     elements = sizes.agg(F.sum("size")).first()[0] or 0
     discard(members, candidates, *near)
-    linked = _related(_with_texts(docs, wanted), wanted, _by_sets(words, percent), CELL_ELEMENTS, max(buckets, int(elements // CELL_ELEMENTS) + 1))
+    linked = _related(_with_texts(docs, wanted), wanted, _by_sets(words, percent), CELL_ELEMENTS, max(buckets, int(elements // CELL_ELEMENTS) + 1), LEFT_ROWS)
     joined = components(_union(linked))
     classes = reps.select("node", "twin", "rep").join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left").select("node", "twin", F.coalesce("component", "rep").alias("class"))
     classes = stored(classes, "set-classes")

@@ -51,10 +51,10 @@ def test_equals_brute_force(spark, words, percent):
     assert got == brute.near_texts(rows, words, percent)
 
 
-@pytest.mark.parametrize("left", (1, 1000))
-def test_large_groups_are_dealt_over_cells(spark, monkeypatch, left):
-    """Keys of more than 3 sets and components of more than 400 elements go the way of large groups."""
-    for name, value in (("KEY_ROWS", 3), ("CELL_ELEMENTS", 400), ("LEFT_ROWS", left), ("HEADS", 2)):
+@pytest.mark.parametrize("left,entries", ((1, 1), (1000, 300)))
+def test_large_groups_are_dealt_over_cells(spark, monkeypatch, left, entries):
+    """Keys of more than 3 sets, components of more than 400 elements and buckets of more than a few entries go the way of large groups."""
+    for name, value in (("KEY_ROWS", 3), ("CELL_ELEMENTS", 400), ("LEFT_ROWS", left), ("LEFT_MARKS", left), ("HEADS", 2), ("BUCKET_ENTRIES", entries)):
         monkeypatch.setattr(jaccard, name, value)
     rng = random.Random(5)
     base = [f"w{k}" for k in range(120)]
@@ -65,6 +65,29 @@ def test_large_groups_are_dealt_over_cells(spark, monkeypatch, left):
     assert got == brute.near_texts(rows)
 
 
+def test_members_of_large_buckets(spark, monkeypatch):
+    """Dealt over parts or not, buckets give the same members; one key has a third of all entries, and entries repeat."""
+    rng = np.random.default_rng(8)
+    key = np.where(rng.random(30_000) < 0.33, 5, rng.integers(0, 2**47, 30_000) * 2 + 1)
+    key[rng.random(30_000) < 0.3] = rng.integers(6, 900)
+    node = rng.integers(-(2**62), 2**62, 30_000)
+    node[::3] = node[1::3]
+    key[::6] = key[1::6]
+    rows = []
+    for part in np.array_split(np.arange(30_000), 40):
+        for b in range(4):
+            some = part[key[part] % 4 == b]
+            rows.append((b, len(some), jaccard._six_bytes(key[some]), node[some].tobytes()))
+    entries = spark.createDataFrame(rows, "bucket int, n long, keys binary, nodes binary").where("n > 0")
+    want = {}
+    for k, x in zip(key.tolist(), node.tolist(), strict=True):
+        want.setdefault(k, set()).add(x)
+    want = sorted((k, x, len(s)) for k, s in want.items() if len(s) > 1 for x in s)
+    for most in (1 << 22, 2000, 700):
+        monkeypatch.setattr(jaccard, "BUCKET_ENTRIES", most)
+        assert sorted(tuple(r) for r in jaccard._members(entries).select("grp", "node", "size").collect()) == want
+
+
 def test_parts_of_one_size_are_compared():
     """Every order of links must end in the components of the relation, whichever part is the largest meanwhile."""
     rng = np.random.default_rng(4)
