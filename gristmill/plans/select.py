@@ -8,6 +8,7 @@ columns. `{"t": "c"}` is column c of t; `{"col": x}` and `{"lit": x}` say it out
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +23,9 @@ from ..operators.intervals import range_join
 Tables = dict[str, DataFrame]
 _COMPARE = {"eq": "eq", "neq": "neq", "gt": "gt", "gte": "gte", "lt": "lt", "lte": "lte", "like": "like", "ilike": "ilike"}
 _MATH = {"add": S.add, "sub": S.sub, "mul": S.mul, "mod": S.mod}
-_WORDS = {"and", "or", "not", "in", "is", "is_not", "div", "function", "select", "lit", "col", "regexp_replace", *_COMPARE, *_MATH}
+_WORDS = {"and", "or", "not", "in", "is", "is_not", "div", "function", "select", "lit", "col", "regexp_replace", "merged", *_COMPARE, *_MATH}
+#: Aggregates that add up from those of parts.
+_ADDED_UP = ("count", "sum", "min", "max")
 
 
 def _list(x: Any) -> list:
@@ -44,6 +47,8 @@ def column(node: Any, tables: Tables, first: bool = True) -> Column:
     value = node[kind]
     if kind in ("lit", "col"):
         return F.lit(value) if kind == "lit" else F.col(value)
+    if kind == "merged":
+        return value
     if kind == "select":
         return run_select(value, tables).scalar()
     if kind == "function":
@@ -99,12 +104,22 @@ def _function(name: str, args: Any, tables: Tables) -> Column:
     return F.call_function(name, *(column(x, tables, first=i == 0) for i, x in enumerate(args)))
 
 
+def _is_call(node: Any) -> bool:
+    """Whether a node is itself an aggregate call, or what took its place."""
+    return isinstance(node, dict) and "select" not in node and ("merged" in node or str(node.get("function", "")).lower() in {*A.AGGREGATES, "string_agg"})
+
+
+def _calls(node: Any) -> list[dict]:
+    """Aggregate calls of an expression."""
+    if _is_call(node):
+        return [node]
+    if isinstance(node, dict):
+        return [] if "select" in node else [c for x in node.values() for c in _calls(x)]
+    return [c for x in node for c in _calls(x)] if isinstance(node, list) else []
+
+
 def _is_aggregate(node: Any) -> bool:
-    if isinstance(node, list):
-        return any(map(_is_aggregate, node))
-    if not isinstance(node, dict) or "select" in node:
-        return False
-    return str(node.get("function", "")).lower() in {*A.AGGREGATES, "string_agg"} or any(map(_is_aggregate, node.values()))
+    return bool(_calls(node))
 
 
 def _source(item: Any, tables: Tables) -> DataFrame:
@@ -112,6 +127,8 @@ def _source(item: Any, tables: Tables) -> DataFrame:
         return tables[item].alias(item)
     inner = item.get("join", item.get("table", item.get("select")))
     alias = item.get("as") or (inner if isinstance(inner, str) else None)
+    if isinstance(inner, DataFrame):
+        return inner.alias(alias)
     df = tables[inner] if isinstance(inner, str) else run_select(inner.get("select", inner), tables)
     return df.alias(alias) if alias else df
 
@@ -136,20 +153,28 @@ def _from(items: Any, tables: Tables) -> DataFrame:
     return df
 
 
-def _tables_of(node: Any, first: bool = True) -> set[str]:
-    """Tables that an expression names; "" for a column without one."""
+def _columns_of(node: Any, first: bool = True) -> set[tuple[str, str]]:
+    """(table, column) that an expression names outside aggregates; the table is "" for a column without one, and for what isn't looked into."""
     if isinstance(node, str):
-        return {node.rpartition(".")[0]} if first else set()
-    if not isinstance(node, dict) or "lit" in node:
+        return {node.rpartition(".")[::2]} if first else set()
+    if isinstance(node, Column):
+        return {("", "")}
+    if not isinstance(node, dict) or "lit" in node or _is_call(node):
         return set()
     kind = next((k for k in node if k in _WORDS), None)
     if kind is None:
-        return {next(k for k in node if k != "as")}
-    if kind in _MATH:
-        return set().union(*map(_tables_of, _list(node[kind])))
-    if kind == "function":
-        return set().union(*(_tables_of(x, i == 0) for i, x in enumerate(_list(node.get("args", [])))))
-    return {node["col"].rpartition(".")[0]} if kind == "col" else {""}
+        return {next((k, v) for k, v in node.items() if k != "as")}
+    args = _list(node.get("args", []) if kind == "function" else node[kind])
+    if kind in _MATH or kind in ("col", "div", "and", "or", "not"):
+        return set().union(*map(_columns_of, args))
+    if kind in _COMPARE or kind in ("function", "is", "is_not", "regexp_replace") or (kind == "in" and not _in_subquery(node)):
+        return set().union(*(_columns_of(x, i == 0) for i, x in enumerate(args)))
+    return {("", "")}
+
+
+def _tables_of(node: Any, first: bool = True) -> set[str]:
+    """Tables that an expression names; "" for a column without one."""
+    return {t for t, _ in _columns_of(node, first)}
 
 
 def _range_of(on: Any, left: set[str], right: set[str]) -> tuple[tuple[Any, Any, Any], tuple[bool, bool], bool, list] | None:
@@ -184,6 +209,59 @@ def _aliases(items: Any) -> set[str]:
     return {x if isinstance(x, str) else x.get("as") or x.get("join", x.get("table")) for x in _list(items)}
 
 
+def _merged(node: Any, columns: Iterator[Column]) -> Any:
+    """An expression with its aggregate calls replaced, in their order."""
+    if _is_call(node):
+        return {"merged": next(columns)} | {k: v for k, v in node.items() if k == "as"}
+    if isinstance(node, dict):
+        return node if "select" in node else {k: _merged(x, columns) for k, x in node.items()}
+    return [_merged(x, columns) for x in node] if isinstance(node, list) else node
+
+
+def _grouped_first(spec: dict, tables: Tables) -> dict:
+    """The request, with one side of its range join grouped before the join where its aggregates allow it.
+
+    Counts, sums, least and greatest values of one side's columns need no pairs of rows. That side is grouped by those of
+    its columns that stand outside the aggregates (in ON, WHERE, GROUP BY, HAVING), and the join adds its groups up: copies
+    of a value meet an interval once. Columns must be named with their table, else the request stays as it is.
+    """
+    items, data, having = _list(spec["from"]), _list(spec.get("data", "*")), spec.get("having")
+    *before, last = items
+    calls = _calls([data, having])
+    if not calls or not before or not isinstance(last, dict) or "on" not in last or last.get("how", "inner").lower() != "inner" or _range_of(last["on"], _aliases(before), _aliases([last])) is None:
+        return spec
+    rows = [str(c["function"]).lower() == "count" and _list(c.get("args", [])) in (["*"], []) for c in calls]
+    values = [(_list(c.get("args", [])) or [None])[0] for c, every in zip(calls, rows, strict=True) if not every]
+    if any(str(c["function"]).lower() not in _ADDED_UP for c in calls) or any(isinstance(x, dict) and x.get("function") == "distinct" for x in values):
+        return spec
+    by = set().union(*map(_columns_of, _list(spec.get("group_by") or [])))
+    plain = by.union(*map(_columns_of, [*_list(last["on"]), spec.get("where"), having, *(x for x in data if _is_aggregate(x))]))
+    within = {t for x in values for t in _tables_of(x)}
+    if "" in within or any(t == "" for t, _ in plain) or any(_is_aggregate(x) and "as" not in x and not any(x is c for c in calls) for x in data):
+        return spec
+    sides = [(k, name) for k, item in enumerate(items) if k == len(items) - 1 or len(items) == 2 for name in _aliases([item]) if within <= {name}]
+    if not sides:
+        return spec
+    place, name = min(sides, key=lambda s: sum(t == s[1] for t, _ in by))
+    side = _source(items[place], tables)
+    own = sorted(c for t, c in plain if t == name)
+    if len(set(side.columns)) < len(side.columns) or not set(own) <= set(side.columns):
+        return spec
+    figures = [column(c, tables) for c in calls]
+    named = side.agg(*figures).schema
+    grouped = side.groupBy(*(F.col(f"{name}.{c}") for c in own)).agg(*(f.alias(f"_part{i}") for i, f in enumerate(figures)))
+    merged = []
+    for i, (call, field) in enumerate(zip(calls, named, strict=True)):
+        kind = str(call["function"]).lower()
+        total = (F.sum if kind == "count" else A.AGGREGATES[kind])(F.col(f"{name}._part{i}"))
+        # A sum of sums has the type of a sum; without any rows a count is 0.
+        total = F.coalesce(total, F.lit(0)) if kind == "count" else total.cast(field.dataType)
+        merged.append(total if "as" in call else total.alias(field.name))
+    columns = iter(merged)
+    item = ({"on": last["on"], "join": grouped} if place else {"table": grouped}) | {"as": name}
+    return spec | {"data": _merged(data, columns), "having": _merged(having, columns), "from": [*items[:place], item, *items[place + 1 :]]}
+
+
 def _named(node: Any, tables: Tables, known: set[str]) -> list[Column]:
     """Output columns of one entry of `data`; `known` are the table names that can stand before a column."""
     if node == "*":
@@ -292,6 +370,7 @@ def _filtered(df: DataFrame, where: Any, tables: Tables) -> DataFrame:
 
 def run_select(spec: dict, tables: Tables) -> DataFrame:
     """from → where → group and having → data → distinct → order → offset and limit."""
+    spec = _grouped_first(spec, tables)
     df = _filtered(_from(spec["from"], tables), spec.get("where"), tables)
     data = _list(spec.get("data", "*"))
     distinct = bool(spec.get("distinct")) or any(isinstance(x, dict) and x.get("function") == "distinct" for x in data)

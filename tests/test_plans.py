@@ -2,6 +2,7 @@
 
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -65,6 +66,67 @@ def test_band_join_of_days_and_times(spark):
     assert sorted(map(tuple, got)) == sorted((a, b) for a, x in enumerate(times) for b, y in enumerate(times) if abs((y - x).total_seconds()) <= 3600)
 
 
+def test_copies_of_a_value_meet_an_interval_once(spark, sf):
+    below = queries.QUERIES["join_band"](spark, sf)._jdf.queryExecution().optimizedPlan().toString().partition("Join Inner")[2]
+    assert "Aggregate [l_shipdate" in below
+    many = spark.range(3_000_000).select((F.col("id") % 3).alias("x"), "id")
+    spans = spark.range(20_000).select("id", F.lit(0).alias("lo"), (F.col("id") % 4).alias("hi"))
+    spec = {
+        "data": ["s.id", {"function": "count", "args": ["*"], "as": "n"}, {"function": "sum", "args": ["m.id"], "as": "ids"}, {"function": "max", "args": ["m.id"], "as": "most"}],
+        "from": [{"table": "many", "as": "m"}, {"join": "spans", "as": "s", "on": {"and": [{"gt": [{"m": "x"}, {"s": "lo"}]}, {"lte": [{"m": "x"}, {"s": "hi"}]}]}}],
+        "group_by": ["s.id"],
+    }  # 25 thousand million pairs
+    n, ids = 1_000_000, 3 * 1_000_000 * 999_999 // 2
+    want = [(n, ids + n, 2_999_998, 5_000), (2 * n, 2 * ids + 3 * n, 2_999_999, 10_000)]
+    assert sorted(map(tuple, run_select(spec, {"many": many, "spans": spans}).groupBy("n", "ids", "most").count().collect())) == want
+
+
+RANGE = "p.x >= i.lo AND p.x < i.hi"
+
+
+@pytest.mark.parametrize(
+    "data, more, sql",
+    [
+        (["i.k", "sum p.v", "count p.v", "min p.x", "max p.t"], {"group_by": ["i.k"]}, "SELECT i.k, sum(p.v), count(p.v), min(p.x), max(p.t) FROM p JOIN i ON RANGE GROUP BY i.k"),
+        (["p.g", "count *", "sum i.k"], {"group_by": ["p.g"]}, "SELECT p.g, count(*), sum(i.k) FROM p JOIN i ON RANGE GROUP BY p.g"),
+        (["p.g", "i.k", "count *", "sum p.v"], {"group_by": ["p.g", "i.k"]}, "SELECT p.g, i.k, count(*), sum(p.v) FROM p JOIN i ON RANGE GROUP BY p.g, i.k"),
+        (["count *", "count p.v", "sum p.v"], {}, "SELECT count(*), count(p.v), sum(p.v) FROM p JOIN i ON RANGE"),
+        (["count *", "sum p.w"], {"where": {"gt": ["i.k", 10_000]}}, "SELECT count(*), sum(p.w) FROM p JOIN i ON RANGE WHERE i.k > 10000"),
+        (["i.k", "sum p.w"], {"group_by": ["i.k"], "where": {"or": [{"is": ["p.v", None]}, {"lt": ["p.g", 2]}]}}, "SELECT i.k, sum(p.w) FROM p JOIN i ON RANGE WHERE p.v IS NULL OR p.g < 2 GROUP BY i.k"),
+        (["i.k", "max p.w"], {"group_by": ["i.k"], "on": [{"neq": ["p.g", {"i": "k"}]}, {"not": {"in": ["p.g", [1, 4]]}}]}, "SELECT i.k, max(p.w) FROM p JOIN i ON RANGE AND p.g <> i.k AND p.g NOT IN (1, 4) GROUP BY i.k"),
+        (["i.k", "sum p.w"], {"group_by": ["i.k"], "having": {"gt": [{"function": "COUNT", "args": ["*"]}, 12]}}, "SELECT i.k, sum(p.w) FROM p JOIN i ON RANGE GROUP BY i.k HAVING count(*) > 12"),
+        # What isn't grouped first: both sides, other aggregates, distinct values, columns without a table, subqueries.
+        (["i.k", "sum p.w", "sum i.lo"], {"group_by": ["i.k"]}, "SELECT i.k, sum(p.w), sum(i.lo) FROM p JOIN i ON RANGE GROUP BY i.k"),
+        (["i.k", "avg p.w", "count *"], {"group_by": ["i.k"]}, "SELECT i.k, avg(p.w), count(*) FROM p JOIN i ON RANGE GROUP BY i.k"),
+        (["k", "sum w"], {"group_by": ["k"]}, "SELECT k, sum(w) FROM p JOIN i ON RANGE GROUP BY k"),
+        (["i.k", "count p.w distinct"], {"group_by": ["i.k"]}, "SELECT i.k, count(DISTINCT p.w) FROM p JOIN i ON RANGE GROUP BY i.k"),
+        (["i.k", "sum p.w"], {"group_by": ["i.k"], "where": {"in": ["p.g", {"select": {"data": ["k"], "from": "i"}}]}}, "SELECT i.k, sum(p.w) FROM p JOIN i ON RANGE WHERE p.g IN (SELECT k FROM i) GROUP BY i.k"),
+    ],
+)
+@pytest.mark.parametrize("turned", [False, True])
+def test_aggregates_over_ranges_like_sql(spark, data, more, sql, turned):
+    """Values, types and names; points on either side, copies, nulls and intervals of no length among the rows."""
+    rng = np.random.default_rng(7)
+    some = lambda x, k, step=5: None if k % step == 0 else x
+    dots = [(int(rng.integers(6)), some(float(x), k, 11), some(Decimal(int(x * 7)) / 100, k), int(rng.integers(100)), f"t{k % 9}") for k, x in enumerate(rng.integers(0, 12, 150))]
+    spans = [(some(k % 13, k, 17), some(float(lo), k, 9), float(lo + w)) for k, (lo, w) in enumerate(zip(rng.integers(0, 12, 60), rng.integers(-1, 5, 60), strict=True))]
+    tables = {"p": spark.createDataFrame(dots, "g int, x double, v decimal(9, 2), w long, t string"), "i": spark.createDataFrame(spans, "k int, lo double, hi double")}
+
+    def call(text):
+        function, arg, *distinct = text.split()
+        return {"function": function, "args": {"function": "distinct", "args": arg} if distinct else [arg]}
+
+    one, two = ("i", "p") if turned else ("p", "i")
+    on = {"and": [{"gte": ["p.x", {"i": "lo"}]}, {"lt": ["p.x", {"i": "hi"}]}, *more.get("on", [])]}
+    spec = {"data": [call(x) if " " in x else x for x in data], "from": [one, {"join": two, "on": on}], **{k: v for k, v in more.items() if k != "on"}}
+    got, want = run_select(spec, tables), query_sql(tables, sql.replace("RANGE", RANGE))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert [c.replace("p.", "").replace("i.", "") for c in got.columns] == [c.replace("p.", "").replace("i.", "") for c in want.columns]
+    spec["data"] = [x | {"as": f"c{k}"} if isinstance(x, dict) else x for k, x in enumerate(spec["data"])]
+    assert [c for c in run_select(spec, tables).columns if c[0] == "c"] == [f"c{k}" for k, x in enumerate(data) if " " in x]
+
+
 def test_a_page_reads_the_files_it_lies_in(spark, tmp_path):
     rows = spark.range(0, 20_000).select(F.pmod(F.xxhash64("id"), F.lit(5000)).alias("v"), "id")
     path = f"file://{tmp_path}/o"
