@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -211,7 +212,7 @@ request(
     "join_band",
     {
         "data": ["o.o_orderkey", {"function": "count", "args": ["*"], "as": "n"}, {"function": "sum", "args": ["l.l_orderkey"], "as": "keys"}],
-        "from": [{"table": {"select": _DEAR}, "as": "o"}, {"join": "lineitem", "as": "l", "on": {"and": [{"gte": [{"l": "l_shipdate"}, {"o": "o_orderdate"}]}, {"lt": [{"l": "l_shipdate"}, {"function": "date_add", "args": [{"o": "o_orderdate"}, {"lit": 3}]}]}]}}],
+        "from": [{"table": {"select": _DEAR}, "as": "o"}, {"join": "lineitem", "as": "l", "on": {"and": [{"gte": [{"l": "l_shipdate"}, {"o": "o_orderdate"}]}, {"lt": [{"l": "l_shipdate"}, {"add": [{"o": "o_orderdate"}, {"lit": timedelta(days=3)}]}]}]}}],
         "group_by": ["o.o_orderkey"],
     },
     "SELECT o_orderkey, count(*) AS n, sum(l_orderkey)::BIGINT AS keys FROM orders JOIN lineitem ON l_shipdate >= o_orderdate AND l_shipdate < o_orderdate + INTERVAL 3 DAY WHERE o_totalprice > 250000 GROUP BY o_orderkey",

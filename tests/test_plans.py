@@ -4,6 +4,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +82,17 @@ def test_copies_of_a_value_meet_an_interval_once(spark, sf):
     assert sorted(map(tuple, run_select(spec, {"many": many, "spans": spans}).groupBy("n", "ids", "most").count().collect())) == want
 
 
+def test_band_of_times_like_sql(spark, sf, tmp_path):
+    """Orders and line items at times of day, some without a date or a key."""
+    db = duckdb.connect()
+    db.sql(f"CREATE TABLE orders AS SELECT * REPLACE (CASE WHEN o_orderkey % 7 > 0 THEN o_orderdate + to_seconds(o_orderkey * 977 % 86400) END AS o_orderdate) FROM '{sf}/orders.parquet'")
+    db.sql(f"CREATE TABLE lineitem AS SELECT * REPLACE (CASE WHEN l_linenumber > 1 THEN l_shipdate + to_seconds(l_orderkey * l_linenumber % 3 * 7919) END AS l_shipdate, nullif(l_orderkey, 5) AS l_orderkey) FROM '{sf}/lineitem.parquet'")
+    for name in ("orders", "lineitem"):
+        db.sql(f"COPY {name} TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+    got = queries.QUERIES["join_band"](spark, f"file://{tmp_path}").collect()
+    assert sorted(map(tuple, got)) == sorted(db.sql(queries.ORACLES["join_band"]).fetchall())
+
+
 RANGE = "p.x >= i.lo AND p.x < i.hi"
 
 
