@@ -324,8 +324,11 @@ def hard_negatives(
     dealt = blocks.withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)))
 
     def meeting(groups: DataFrame) -> DataFrame:
-        """Every anchor group with every block of its dimension; all blocks of one salt in one task, a group after the other."""
-        return groups.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))).join(dealt, ["dim", "salt"]).drop("salt")
+        """Every anchor group with every block of its dimension; all blocks of one salt in one task, a group after the other.
+
+        Spark takes the groups for no larger than before they are repeated for each salt, and would broadcast them through the driver.
+        """
+        return groups.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))).join(dealt.hint("merge"), ["dim", "salt"]).drop("salt")
 
     best = stored(_first(meeting(groups).mapInArrow(_positives(positives), _FINDS), positives), "positives")
     # Equal finds count once, so ranks are the positives' numbers.
@@ -333,7 +336,7 @@ def hard_negatives(
     mined = _first(meeting(groups.join(listed, "grp")).mapInArrow(_negatives(negatives, positives, window), _FINDS), negatives)
     mined = mined.select("grp", (F.col("place") % positives + 1).cast("int").alias("r"), F.floor(F.col("place") / positives).alias("place"), F.col("r").alias("rank"), F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
     names = groups.select("grp", F.posexplode(_ids("a_ids")).alias("at", "anchor_id")).select("grp", F.col("at").cast("long").alias("place"), "anchor_id")
-    pairs = best.join(names, ["grp", "place"]).select("grp", "place", "r", "anchor_id", F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
+    pairs = best.join(names.hint("merge"), ["grp", "place"]).select("grp", "place", "r", "anchor_id", F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
     return pairs.join(mined, ["grp", "place", "r"]).select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score")
 
 

@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -84,6 +85,15 @@ def test_bounds_hold_and_filter():
     assert (np.diag(equal[0]) <= (x * x).sum(1)).all() and ((x * x).sum(1) <= np.diag(equal[1])).all()
 
 
+def test_no_anchors_through_the_driver(spark):
+    """Anchors are repeated for each deal of the blocks and listed by name: neither table is broadcast, however small Spark takes it for."""
+    df = spark.createDataFrame([(*r, "x", 1) for r in clustered(300, 6)], SCHEMA)
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) >= 10 << 20
+    plan = negatives.hard_negatives(df)._jdf.queryExecution().executedPlan().toString()
+    joins = {tuple(re.findall(r"(\w+)#", line.split("]")[0])): line for line in plan.splitlines() if "Join" in line}
+    assert "SortMergeJoin" in joins["dim", "salt"] and "SortMergeJoin" in joins["grp", "place"]
+
+
 def test_no_rows_and_registered_query(spark, sf):
     assert mined(spark.createDataFrame([], SCHEMA)) == set()
     assert mined(spark.createDataFrame([(0, [1.0], 1, "x", 1)], SCHEMA)) == set()
