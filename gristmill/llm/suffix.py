@@ -6,7 +6,9 @@ Three Spark steps keep what is sorted small and co-located without losing a matc
    strings have equal anchors, so only strings whose anchor occurs in two documents can repeat.
 2. Around each such anchor a document contributes a window: the bytes of all strings that the anchor
    owns. Windows go to shards by anchor, each distinct one once, with the least document that uses it.
-3. Each shard builds the suffix array of its windows by external induced sorting (`induced`). Neighbours with a
+3. Strings whose anchors stand at nearly the same place have most of their bytes around the anchor in common. A window
+   that shares none of these cores with another window of its shard has strings of its own only: its documents decide.
+   Of the other windows each shard builds the suffix array by external induced sorting (`induced`). Neighbours with a
    common prefix of `width` are equal strings; the least document of each run decides. A shard gives, for
    each window, runs of strings with their least document.
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,10 @@ from .units import spread
 
 #: Bytes of arrays that a shard keeps in memory; the rest of them lies in temporary files.
 SHARD_MEMORY = 256 << 20
+#: Bytes of texts for each shard, on average: a shard ten times as large takes twice the time a byte.
+SHARD_TEXT = 16 << 20
+#: Bytes of texts whose anchors are sought at a time: the working arrays fit a processor's cache.
+ANCHOR_BYTES = 1 << 17
 #: Uses of windows that one task looks up.
 USES = 2_000_000
 
@@ -52,7 +59,7 @@ def _sliding_min(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, width: int):
-    """Per owned run of string starts: text, key, first start, last start (starts relative to the chunk).
+    """Per owned run of string starts: text, key, first start, last start, place of the anchor (relative to the chunk).
 
     A string's anchor is the k-gram with the least hash inside it, the leftmost of equal ones.
     """
@@ -60,7 +67,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int):
     span = width - k + 1
     none = np.zeros(0, np.int64)
     if len(data) < width:
-        return none, none.astype(np.uint64), none, none
+        return none, none.astype(np.uint64), none, none, none
     h = gram_hash(data, k)
     at = np.arange(len(h))
     packed = (h & np.uint64(0xFFFFFFFF80000000)) | at.astype(np.uint64)
@@ -74,7 +81,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int):
     first = np.flatnonzero(change & inside)
     ends = np.append(np.flatnonzero(change), starts)
     last = ends[np.searchsorted(ends, first, "right")] - 1
-    return text[first], h[owner[first]] >> np.uint64(16), first, last
+    return text[first], h[owner[first]] >> np.uint64(16), first, last, owner[first]
 
 
 _ENTRY = np.dtype([("key", "<u8"), ("doc", "<i8")])
@@ -87,8 +94,8 @@ def _emit_keys(width: int, buckets: int):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             parts = []
-            for a, _, data, offsets in chunks(batch.column(1)):
-                text, key, _, _ = anchors(data, offsets, width)
+            for a, _, data, offsets in chunks(batch.column(1), ANCHOR_BYTES):
+                text, key, *_ = anchors(data, offsets, width)
                 entry = np.zeros(len(key), _ENTRY)
                 entry["key"], entry["doc"] = key, ids[a + text]
                 parts.append(entry)
@@ -128,7 +135,7 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": rows["doc"], "key": rows["key"].astype(np.int64)}, schema=pa.schema([("doc_id", pa.int64()), ("key", pa.int64())]))
 
 
-_WINDOW = np.dtype([("id", "<u8"), ("low", "<i8"), ("high", "<i8"), ("size", "<u4")])
+_WINDOW = np.dtype([("id", "<u8"), ("low", "<i8"), ("high", "<i8"), ("size", "<u4"), ("anchor", "<u4")])
 _USE = np.dtype([("id", "<u8"), ("doc", "<i8"), ("variant", "<u4"), ("at", "<u4")])
 _RUN = np.dtype([("id", "<u8"), ("least", "<i8"), ("a", "<u4"), ("b", "<u4")])
 _RANGE = np.dtype([("doc", "<i8"), ("variant", "<u4"), ("a", "<u4"), ("b", "<u4")])
@@ -163,9 +170,9 @@ def _emit_windows(width: int, shards: int):
             hot = batch.column(2)
             variants = batch.column(3).to_numpy(zero_copy_only=False)
             hot_ends, hot_keys = hot.offsets.to_numpy() - hot.offsets[0].as_py(), hot.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
-            raws, sizes, uses, shard = [], [], [], []
-            for a, b, data, offsets in chunks(batch.column(1)):
-                text, key, first, last = anchors(data, offsets, width)
+            raws, sizes, places, uses, shard = [], [], [], [], []
+            for a, b, data, offsets in chunks(batch.column(1), ANCHOR_BYTES):
+                text, key, first, last, place = anchors(data, offsets, width)
                 wanted = np.zeros(hot_ends[b] - hot_ends[a], _ENTRY)
                 wanted["key"] = hot_keys[hot_ends[a] : hot_ends[b]]
                 wanted["doc"] = np.repeat(np.arange(b - a), np.diff(hot_ends[a : b + 1]))
@@ -178,14 +185,17 @@ def _emit_windows(width: int, shards: int):
                 some["variant"] = variants[a + text]
                 raws.append(data[spread(start, end - start)])
                 sizes.append(end - start)
+                places.append(place[keep] - start)
                 uses.append(some)
                 shard.append((key[keep] % np.uint64(shards)).astype(np.int64))
-            raw, size, uses, shard = (np.concatenate(x) if x else np.zeros(0, kind) for x, kind in ((raws, np.uint8), (sizes, np.int64), (uses, _USE), (shard, np.int64)))
+            raw, size, place, uses, shard = (
+                np.concatenate(x) if x else np.zeros(0, kind) for x, kind in ((raws, np.uint8), (sizes, np.int64), (places, np.int64), (uses, _USE), (shard, np.int64))
+            )
             order = np.lexsort((uses["id"], shard))
-            start, size, uses, shard = (np.cumsum(size) - size)[order], size[order], uses[order], shard[order]
+            start, size, place, uses, shard = (np.cumsum(size) - size)[order], size[order], place[order], uses[order], shard[order]
             new = np.flatnonzero(np.append(True, (shard[1:] != shard[:-1]) | (uses["id"][1:] != uses["id"][:-1]))[: len(uses)])
             about = np.zeros(len(new), _WINDOW)
-            about["size"] = size[new]
+            about["size"], about["anchor"] = size[new], place[new]
             if len(new):
                 about["id"] = uses["id"][new]
                 about["low"], about["high"] = np.minimum.reduceat(uses["doc"], new), np.maximum.reduceat(uses["doc"], new)
@@ -197,7 +207,7 @@ def _emit_windows(width: int, shards: int):
                 for values, value in zip(out.values(), row, strict=True):
                     values.append(value)
             yield pa.RecordBatch.from_pydict(out, schema=_WINDOWS)
-            del out, raws, sizes, raw, uses, shard
+            del out, raws, sizes, places, raw, uses, shard
             release_memory()
 
     return run
@@ -211,10 +221,34 @@ def _fold(rows: np.ndarray) -> np.ndarray:
 # --- shards and look-ups ---------------------------------------------------------------------------
 
 
-def _spool(batches: Iterator[pa.RecordBatch], memory: int):
-    """(file of the bytes of distinct windows, their sizes, what is known about each) of a shard's rows."""
+def _cores(raw: np.ndarray, start: np.ndarray, about: np.ndarray, width: int, ranges: int = 4) -> np.ndarray:
+    """Per range of places that an anchor can have in a string: hashes of the bytes that all strings of the range have in
+    common; a number of its own, the window's id, where the window has fewer, and so no string of that range.
+    """
+    k = gram_size(width)
+    at, size = about["anchor"].astype(np.int64), about["size"].astype(np.int64)
+    cuts = np.linspace(0, width - k + 1, ranges + 1).astype(np.int64)
+    hasher, out = SpanHash(raw), np.tile(about["id"], (ranges, 1))
+    for core, least, most in zip(out, cuts[:-1], cuts[1:] - 1, strict=True):
+        behind = width - most  # from the anchor on
+        some = (at >= least) & (at + behind <= size)
+        core[some] = hasher.of(start[some] + at[some] - least, start[some] + at[some] + behind)
+    return out
+
+
+def _alone(cores: np.ndarray) -> np.ndarray:
+    """Windows that share no core with another one."""
+    out = np.ones(cores.shape[1], bool)
+    for core in cores:
+        _, back, count = np.unique(core, return_inverse=True, return_counts=True)
+        out &= count[back] == 1
+    return out
+
+
+def _spool(batches: Iterator[pa.RecordBatch], width: int, memory: int):
+    """(file of the bytes of distinct windows, their sizes, what is known about each, their cores) of a shard's rows."""
     file = tempfile.SpooledTemporaryFile(max_size=memory)
-    known, sizes, seen = np.zeros(0, np.uint64), [], []
+    known, sizes, cores, seen = np.zeros(0, np.uint64), [], [], []
     for batch in batches:
         raw = np.concatenate([_spread_out(x) for x in batch.column("data").to_pylist()])
         about = np.concatenate([_unpacked(x, _WINDOW) for x in batch.column("about").to_pylist()])
@@ -222,8 +256,10 @@ def _spool(batches: Iterator[pa.RecordBatch], memory: int):
         seen.append(about)
         _, fresh = np.unique(about["id"], return_index=True)
         fresh = fresh[~np.isin(about["id"][fresh], known)]
-        file.write(raw[spread((np.cumsum(size) - size)[fresh], size[fresh])].tobytes())
+        start = np.cumsum(size) - size
+        file.write(raw[spread(start[fresh], size[fresh])].tobytes())
         sizes.append((about["id"][fresh], size[fresh]))
+        cores.append(_cores(raw, start[fresh], about[fresh], width))
         known = np.union1d(known, about["id"][fresh])
     seen = np.concatenate(seen)
     ids = np.concatenate([x for x, _ in sizes])
@@ -233,7 +269,26 @@ def _spool(batches: Iterator[pa.RecordBatch], memory: int):
     about["id"], about["low"], about["high"] = ids, np.iinfo(np.int64).max, np.iinfo(np.int64).min
     np.minimum.at(about["low"], place, seen["low"])
     np.maximum.at(about["high"], place, seen["high"])
-    return file, np.concatenate([x for _, x in sizes]), about
+    return file, np.concatenate([x for _, x in sizes]), about, np.concatenate(cores, 1)
+
+
+def _chosen(file, size: np.ndarray, which: np.ndarray, memory: int, block: int = 1 << 13):
+    """A file of the bytes of some of a file's windows."""
+    out = tempfile.SpooledTemporaryFile(max_size=memory)
+    file.seek(0)
+    for a in range(0, len(size), block):
+        some, keep = size[a : a + block], which[a : a + block]
+        raw = np.frombuffer(file.read(int(some.sum())), np.uint8)
+        out.write(raw[spread((np.cumsum(some) - some)[keep], some[keep])].tobytes())
+    return out
+
+
+def _own_runs(size: np.ndarray, about: np.ndarray, width: int) -> np.ndarray:
+    """_RUN rows of windows whose strings no other window has, as `window_runs` gives them."""
+    keep = (about["low"] < about["high"]) & (size >= width)
+    out = np.zeros(int(keep.sum()), _RUN)
+    out["id"], out["least"], out["b"] = about["id"][keep], about["low"][keep], size[keep] - width
+    return out
 
 
 def window_runs(file, size: np.ndarray, about: np.ndarray, width: int, memory: int, block: int = 1 << 13) -> Iterator[np.ndarray]:
@@ -288,10 +343,13 @@ def window_runs(file, size: np.ndarray, about: np.ndarray, width: int, memory: i
 
 def _shard(width: int, memory: int):
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, size, about = _spool(batches, memory)
-        with file:
-            for runs in window_runs(file, size, about, width, memory):
-                yield pa.RecordBatch.from_pydict({"shard": [key[0].as_py()], "data": [_packed(runs)]}, schema=pa.schema([("shard", pa.int32()), ("data", pa.binary())]))
+        file, size, about, cores = _spool(batches, width, memory)
+        alone = _alone(cores)
+        with file, _chosen(file, size, ~alone, memory) as rest:
+            sorted_runs = () if alone.all() else window_runs(rest, size[~alone], about[~alone], width, memory)
+            for runs in chain([_own_runs(size[alone], about[alone], width)], sorted_runs):
+                if len(runs):
+                    yield pa.RecordBatch.from_pydict({"shard": [key[0].as_py()], "data": [_packed(runs)]}, schema=pa.schema([("shard", pa.int32()), ("data", pa.binary())]))
         release_memory()
 
     return run
@@ -399,11 +457,12 @@ def repeated_spans(documents: DataFrame, width: int = 50) -> DataFrame:
     copies = stored(copies.select("doc_id", "variant", "n").distinct(), "copies")
     discard(least)
     unique = docs.where(F.octet_length("text") >= width).join(copies.select("doc_id", "variant").hint("shuffle_hash"), ["doc_id", "variant"], "left_anti")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = unique.select("doc_id", "text").mapInArrow(_emit_keys(width, partitions), "bucket int, low binary, high binary, docs binary")
+    # Shards follow the texts, however many partitions the session has.
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -((digests.agg(F.sum("n")).first()[0] or 0) // -SHARD_TEXT))
+    keys = unique.select("doc_id", "text").mapInArrow(_emit_keys(width, shards), "bucket int, low binary, high binary, docs binary")
     shared = keys.groupBy("bucket").applyInArrow(_shared, "doc_id long, key long")
     hot = shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
-    emitted = unique.join(hot.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "keys", "variant").mapInArrow(_emit_windows(width, 4 * partitions), "shard int, data binary, about binary, n_uses long, uses binary")
+    emitted = unique.join(hot.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "keys", "variant").mapInArrow(_emit_windows(width, shards), "shard int, data binary, about binary, n_uses long, uses binary")
     emitted = stored(emitted, "windows")
     uses = emitted.select("shard", "n_uses", F.col("uses").alias("data"))
     runs = emitted.select("shard", "data", "about").groupBy("shard").applyInArrow(_shard(width, SHARD_MEMORY), "shard int, data binary")
@@ -411,7 +470,7 @@ def repeated_spans(documents: DataFrame, width: int = 50) -> DataFrame:
     parts = uses.groupBy("shard").agg(F.ceil(F.sum("n_uses") / USES).cast("int").alias("parts"))
     dealt = uses.join(F.broadcast(parts), "shard").select("shard", F.pmod(F.xxhash64("data"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("is_use"), "data")
     copied = runs.join(F.broadcast(parts), "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("is_use"), "data")
-    ranges = dealt.unionByName(copied).groupBy("shard", "part").applyInArrow(_look_up(width, partitions), "bucket int, ranges binary")
+    ranges = dealt.unionByName(copied).groupBy("shard", "part").applyInArrow(_look_up(width, shards), "bucket int, ranges binary")
     own = ranges.groupBy("bucket").applyInArrow(_spans, f"doc_id long, variant int, spans {SPANS}")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n").cast("long").alias("b")))
     found = own.unionByName(copies.where(F.col("n") >= width).select("doc_id", "variant", whole.alias("spans")))

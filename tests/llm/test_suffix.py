@@ -3,6 +3,7 @@ import io
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +122,76 @@ def test_an_id_with_two_texts(spark):
     cut = suffix.cut_repeats(docs.withColumn("n_chars", F.length("text").cast("long")), 50).collect()
     assert sorted((r.doc_id, r.text or "") for r in cut) == sorted((i, kept.decode()) for i, _, _, kept in brute_rows(rows, 50))
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in cut)
+
+
+@pytest.mark.parametrize("width", [50, 7])
+def test_windows_without_partners_are_not_sorted(spark, monkeypatch, width):
+    """Copied passages whose surroundings differ share strings; windows that only share their anchor by chance, or have it alone, are settled without a sort."""
+    rng = np.random.default_rng(width)
+    texts = [bytes(rng.integers(97, 109 if width == 7 else 123, int(rng.integers(0, 400))).astype(np.uint8)) for _ in range(60)]
+    k = suffix.gram_size(width)
+    for i in range(20, 60):  # a copy of each length around the width, some only as long as the part that has the anchor
+        a, n = int(rng.integers(0, 20)), int(rng.integers(k, 3 * width))
+        texts[i] += texts[a][:n] + texts[i][: i % 3]
+    data = [(i, t.decode()) for i, t in enumerate(texts)] + [(100 + i, f"x{texts[i].decode()}") for i in range(10)]
+    rows = brute.repeated_bytes(data, width)
+    gone = {i: r[1] for i, r in rows.items()}
+    shards = {}
+    for a, (i, t) in enumerate(data):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        for key, first, last, place in zip(*(x.tolist() for x in suffix.anchors(raw, np.array([0, len(raw)]), width)[1:]), strict=True):
+            shards.setdefault(raw[first : last + width].tobytes(), []).append((i, place - first))
+    size = np.array([len(w) for w in shards])
+    about = np.zeros(len(size), suffix._WINDOW)
+    about["id"], about["size"] = np.arange(len(size)), size
+    about["low"], about["high"] = [min(u)[0] for u in shards.values()], [max(u)[0] for u in shards.values()]
+    about["anchor"] = [u[0][1] for u in shards.values()]
+    raw = np.frombuffer(b"".join(shards), np.uint8)
+    alone = suffix._alone(suffix._cores(raw, np.cumsum(size) - size, about, width))
+    assert 0.1 * len(size) < alone.sum() < len(size)
+    whole = np.concatenate(list(suffix.window_runs(io.BytesIO(raw.tobytes()), size, about, width, 1 << 30)))
+    own = suffix._own_runs(size[alone], about[alone], width)
+    assert sorted(own.tolist()) == sorted(r for r in whole.tolist() if alone[r[0]])
+    rest = np.concatenate([np.zeros(0, suffix._RUN), *suffix.window_runs(suffix._chosen(io.BytesIO(raw.tobytes()), size, ~alone, 1 << 30, 7), size[~alone], about[~alone], width, 1 << 30)])
+    assert sorted([*own.tolist(), *rest.tolist()]) == sorted(whole.tolist()) and len(rest)
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert {i: r[1] for i, r in digest(docs, width).items()} == gone
+
+
+def test_shards_sort_only_what_can_match(monkeypatch):
+    """Of windows with one anchor and unlike surroundings none reaches the sort; of two that agree on one side both do."""
+    sorted_bytes = []
+    real = suffix.window_runs
+    monkeypatch.setattr(suffix, "window_runs", lambda file, size, *rest: sorted_bytes.append(int(size.sum())) or real(file, size, *rest))
+    rng = np.random.default_rng(5)
+    gram = "the anchor of them  "
+    about = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    right = about(40)
+    texts = [about(40) + gram + (right if i < 2 else about(40)) for i in range(40)]
+    key = suffix.anchors(np.frombuffer(gram.encode() + right.encode(), np.uint8), np.array([0, 60]), 50)[1]
+    assert len(key)
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": list(range(40)), "text": texts, "keys": [_keys(t) for t in texts], "variant": pa.array([0] * 40, pa.int32())}
+    )
+    emitted = next(suffix._emit_windows(50, 1)([batch]))
+    windows = np.concatenate([suffix._unpacked(x, suffix._WINDOW) for x in emitted["about"].to_pylist()])
+    list(suffix._shard(50, 1 << 20)((pa.scalar(0),), iter([emitted.select(["shard", "data", "about"])])))
+    assert 0 < sorted_bytes[0] < windows["size"].sum() / 5
+
+
+def test_shards_follow_the_texts(spark, monkeypatch):
+    """Few partitions don't make large shards; the result is the same."""
+    rng = random.Random(9)
+    parts = ["".join(rng.choice("abcdef ") for _ in range(120)) for _ in range(9)]
+    rows = [(i, rng.choice(parts) + str(i) * 9 + rng.choice(parts)) for i in range(40)]
+    many = []
+    for name in ("_emit_keys", "_emit_windows", "_look_up"):
+        monkeypatch.setattr(suffix, name, lambda width, n, real=getattr(suffix, name): many.append(n) or real(width, n))
+    monkeypatch.setattr(suffix, "SHARD_TEXT", 1000)
+    assert digest(spark.createDataFrame(rows, "doc_id long, text string")) == brute.repeated_bytes(rows)
+    assert many == [-(sum(len(t) for _, t in rows) // -1000)] * 3 and many[0] > 4
+
+
+def _keys(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return np.unique(suffix.anchors(raw, np.array([0, len(raw)]), 50)[1]).astype(np.int64).tolist()
